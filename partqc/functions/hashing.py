@@ -21,7 +21,7 @@ def _cols(keys: str | Sequence[str] | Column) -> list[Column]:
         return [keys]
     if isinstance(keys, str):
         keys = [keys]
-    return [F.col(k).cast("string") for k in keys]
+    return [(k if isinstance(k, Column) else F.col(k)).cast("string") for k in keys]
 
 
 def seeded_hash(seed: int | str, keys: str | Sequence[str] | Column) -> Column:
