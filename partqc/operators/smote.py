@@ -241,11 +241,15 @@ class Smote:
         ranked = cands.dropDuplicates(["qkey", "nkey"]).withColumn("rank", F.row_number().over(w))
         return ranked.where(F.col("rank") <= k)
 
-    def prepare(self, df: DataFrame, label: str, key: str, feature_cols: Sequence[str],
+    def prepare(self, df: DataFrame, label: str, key: str, feature_cols: Sequence[str] | str,
                 minority_class: int = 1, majority_class: int = 0) -> SmoteResult:
         """Neighbours of the minority rows of ``df``; synthetic rows bring the
-        minority up to the majority size."""
-        x = F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("x")
+        minority up to the majority size. ``feature_cols`` lists numeric
+        columns or names one array column."""
+        if isinstance(feature_cols, str):
+            x = F.col(feature_cols).cast("array<double>").alias("x")
+        else:
+            x = F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("x")
         base = df.select(F.col(key).cast("long").alias(key), F.col(label), x)
         minority = base.where(F.col(label) == minority_class).select(key, "x")
         majority = base.where(F.col(label) == majority_class).select(key, "x")

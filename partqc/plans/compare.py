@@ -20,6 +20,8 @@ from ..functions.columns import class_probability
 from ..operators import evaluate, features, models, sampling
 from ..operators.smote import Smote
 
+FeatureSpec = Sequence[str] | str  # columns, or one array<double> column
+
 KINDS = ("logistic", "forest_entropy", "forest_gini")
 
 
@@ -39,24 +41,33 @@ def _scale(train: DataFrame, test: DataFrame, label: str, key: str) -> ModelData
     return ModelData(tr, te, label, key, train.count())
 
 
-def notebook_data(df: DataFrame, label: str, key: str, feature_cols: Sequence[str],
+def to_vector(df: DataFrame, feature_cols: FeatureSpec, out_col: str = "assembler") -> DataFrame:
+    """Feature vector from columns (rows with a null/NaN input dropped) or
+    from one array column (kept narrow: wide alias projections are costly to
+    plan)."""
+    if isinstance(feature_cols, str):
+        arr = F.col(feature_cols).cast("array<double>")
+        ok = arr.isNotNull() & ~F.exists(arr, lambda v: v.isNull() | F.isnan(v))
+        return df.where(ok).withColumn(out_col, array_to_vector(arr))
+    return features.assemble_features(df, feature_cols, out_col)
+
+
+def notebook_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                   sample_seed: int = 13, split_seed: int = 42, test_size: float = 0.2) -> ModelData:
     """Under-sampled path: balance exactly, split exactly, scale."""
     balanced = sampling.undersample_exact(df, label, key, sample_seed)
     train, test = sampling.split_exact(balanced, key, test_size, split_seed)
-    asm = features.assembler(feature_cols, "assembler", "skip")
-    return _scale(asm.transform(train), asm.transform(test), label, key)
+    return _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
 
 
-def smote_data(df: DataFrame, label: str, key: str, feature_cols: Sequence[str],
+def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                split_seed: int = 42, test_size: float = 0.2, smote_seed: int = 2, k: int = 5) -> ModelData:
     """SMOTE path: split the full table, grow the training minority with
     SMOTE to the majority size, scale."""
     train, test = sampling.split_exact(df, key, test_size, split_seed)
     res = Smote(k=k, seed=smote_seed).prepare(train, label, key, feature_cols)
     grown = res.resampled().select(key, label, array_to_vector("x").alias("assembler"))
-    asm = features.assembler(feature_cols, "assembler", "skip")
-    return _scale(grown, asm.transform(test).select(key, label, "assembler"), label, key)
+    return _scale(grown, to_vector(test, feature_cols).select(key, label, "assembler"), label, key)
 
 
 def classifier(kind: str, label: str, n_train: int):
@@ -81,7 +92,7 @@ def fit_and_score(data: ModelData, kind: str) -> DataFrame:
     return model.transform(data.test).withColumn("p1", class_probability("probability", 1))
 
 
-def compare_models(df: DataFrame, label: str, key: str, feature_cols: Sequence[str],
+def compare_models(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                    kinds: Sequence[str] = KINDS) -> DataFrame:
     """``sampling, model, accuracy, precision, recall, auc`` for every pair."""
     rows = None

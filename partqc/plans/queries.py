@@ -18,7 +18,8 @@ from ..functions.columns import class_probability, cutoff_class, round6
 from ..operators import evaluate, features, models, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
-from ..sources.tables import EM_FEATURES, EV_FEATURES, embeddings_view, events_view, table
+from ..sources.tables import (EM_FEATURES, EV_FEATURES, embeddings_array_view, embeddings_view,
+                              events_view, table)
 from ..streaming import messages as msg
 from ..streaming import run as srun
 from ..streaming.score import score_messages
@@ -209,8 +210,8 @@ def q_union_classes(spark, sf):
 # ---------------------------------------------------------------- SMOTE
 def _em_smote(spark, sf):
     def build():
-        em = embeddings_view(spark, sf)
-        return smote.Smote(k=5, seed=2).prepare(em, "y", EM_KEY, EM_FEATURES)
+        em = embeddings_array_view(spark, sf)
+        return smote.Smote(k=5, seed=2).prepare(em, "y", EM_KEY, "x")
     return _memo(spark, sf, "smote_em", build)
 
 
@@ -284,8 +285,8 @@ def q_logreg(spark, sf):
 
 
 def q_compare_models(spark, sf):
-    em = embeddings_view(spark, sf)
-    return compare.compare_models(em, "y", EM_KEY, EM_FEATURES)
+    em = embeddings_array_view(spark, sf)
+    return compare.compare_models(em, "y", EM_KEY, "x")
 
 
 # ---------------------------------------------------------------- evaluation

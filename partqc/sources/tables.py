@@ -54,6 +54,13 @@ def embeddings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embeddings_array_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EM with the features as one ``x array<double>`` column."""
+    em = table(spark, sf_dir, "embeddings")
+    return em.select("vec_id", (F.col("label") == 5).cast("int").alias("y"),
+                     F.col("embedding").cast("array<double>").alias("x"))
+
+
 def lineitem_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
