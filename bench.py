@@ -51,6 +51,7 @@ def main():
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="partqc-bench")
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    parts = int(cpus) * 2
 
     def timed(name, fn):
         t0 = time.time()
@@ -80,7 +81,7 @@ def main():
     # Fit the production pipeline on lineitem features, then score every row.
     li_model = {}
     timed("fit_lineitem", lambda: li_model.setdefault(
-        "m", models.fit(models.production_pipeline(LI_FEATURES, "y"), li)))
+        "m", models.fit(models.production_pipeline(LI_FEATURES, "y"), li, partitions=parts)))
     timed("score_lineitem", lambda: run(evaluate.confusion_matrix(li_model["m"].transform(li), "y")))
 
     # SMOTE on embeddings (exact neighbours + synthetic rows).
@@ -90,19 +91,20 @@ def main():
     # JSON scoring of 72-field messages (one per lineitem row).
     mf = machine_frame(spark, sf)
     json_model = models.fit(models.production_pipeline(FEATURES, "reason"), mf.sample(0.1, 1))
-    msgs = msg.to_messages(mf, ["reason", *FEATURES]).persist()
+    # Messages arrive from a topic with many partitions: spread them likewise.
+    msgs = msg.to_messages(mf, ["reason", *FEATURES]).repartition(parts).persist()
     msgs.count()
     schema = message_schema()
     timed("json_score", lambda: run(score_messages(msgs, json_model, schema)))
 
     # The same scoring as a stream over message files (availableNow).
     src = scratch_path(spark, "bench_msgs")
-    msgs.repartition(8).write.mode("overwrite").parquet(src)
+    msgs.write.mode("overwrite").parquet(src)
     msgs.unpersist()
     sink, ckpt = scratch_path(spark, "bench_out"), scratch_path(spark, "bench_ckpt")
     timed("stream_score", lambda: srun.run_file_stream(
         spark, src, lambda d: score_messages(d, json_model, schema), sink, ckpt,
-        max_files_per_trigger=2))
+        max_files_per_trigger=parts // 2))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",

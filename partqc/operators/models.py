@@ -80,8 +80,14 @@ def pipeline_with(features: Sequence[str], classifier, scaler=None) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training frame persisted for the duration of the fit."""
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """Fit with the training frame persisted for the duration of the fit.
+
+    ``partitions`` spreads the training rows over that many tasks first (one
+    round-robin shuffle): useful when the input comes in few large splits,
+    since every tree level is one pass over the cached partitions."""
+    if partitions:
+        train = train.repartition(int(partitions))
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)

@@ -209,6 +209,9 @@ class Smote:
         cand1 = refs.unionByName(qrys).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
         best1 = self._top_k(cand1, k).persist(StorageLevel.MEMORY_AND_DISK)
 
+        if len(pivots) == 1:  # one cell: round 1 already compared all pairs of blocks
+            return best1.select(F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
+
         # Bound r: distance to the k-th neighbour found in the own cell.
         kth = best1.groupBy("qkey").agg(F.count(F.lit(1)).alias("nfound"), F.max("distance").alias("dk"))
         bounded = (assigned.join(kth, assigned[key] == kth["qkey"], "left")
