@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import TWO_32, bernoulli_keep, keep_bound, seeded_hash, seeded_u32
+from ..functions.hashing import TWO_32, bernoulli_keep, hash_u32, keep_bound, seeded_hash, seeded_u32
 from .profile import class_sizes
 from .scan import positions
 
@@ -150,9 +150,11 @@ def shuffle_rows(df: DataFrame, key: KeyCols, seed: int = 7, position_col: str =
     """Rows in a repeatable random order with their 1-based position
     (distributed ranking; the final sort is a range-partitioned sort)."""
     keys = _key_list(key)
-    hashed = df.withColumn("_h", seeded_hash(seed, keys))
-    ranked = positions(hashed, ["_h", *keys], name=position_col, blocks=blocks)
-    return ranked.drop("_h").orderBy(position_col)
+    hashed = df.withColumn("_h", seeded_hash(seed, keys)).withColumn("_u", hash_u32(F.col("_h")))
+    # _u (first 8 hex digits as a number) leads the order, so blocks can be
+    # cut on a numeric column; (_u, _h, key) orders exactly like (_h, key).
+    ranked = positions(hashed, ["_u", "_h", *keys], name=position_col, blocks=blocks)
+    return ranked.drop("_h", "_u").orderBy(position_col)
 
 
 def union_classes(*frames: DataFrame) -> DataFrame:

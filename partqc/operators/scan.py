@@ -3,13 +3,18 @@
 ``Window.orderBy(x)`` with no partition key moves the whole input to one task.
 The helpers here do the same scan in parallel:
 
-1. range-partition the rows on (group, order) into ``blocks`` ordered blocks;
-2. total every block (one small row per block and group);
-3. prefix-sum the block totals (at most ``blocks`` + #groups rows);
+1. cut the order range into about ``blocks`` blocks with approximate
+   quantiles of the first order column (one small sketch aggregate; the
+   bounds only balance the blocks, exactness does not depend on them);
+2. give every row its block number, a deterministic function of its own
+   value (so recomputed or retried tasks agree);
+3. total every block and prefix-sum the block totals (at most ``blocks`` rows
+   per group);
 4. run the ordered window inside each block only and add the block offset.
 
 The result is exact. Rows that tie on the order columns must be distinct
-(the callers group by the order value first, or order by a unique key).
+(the callers group by the order value first, or order by a unique key); a
+single order value is never split across blocks.
 """
 
 from __future__ import annotations
@@ -20,23 +25,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BLK = "_blk"
+_BOUNDS = "_bounds"
 
 
 def _default_blocks(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
+                descending: bool = False, blocks: int | None = None, accuracy: int = 10000) -> DataFrame:
+    """Add ``_blk``: block number, monotone in ``order_col`` (within
+    ``partition_cols``), from approximate quantile bounds."""
+    nb = blocks or _default_blocks(df)
+    v = F.col(order_col)
+    if nb <= 1:
+        return df.withColumn(_BLK, F.lit(0))
+    fracs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
+    sketch = F.percentile_approx(v, fracs, accuracy).alias(_BOUNDS)
+    if partition_cols:
+        bounds = df.groupBy(*partition_cols).agg(sketch)
+        # One row per group of partition_cols, each holding nb - 1 bounds.
+        tagged = df.join(F.broadcast(bounds), list(partition_cols), "left")
+        b = F.col(_BOUNDS)
+    else:
+        # Bounds as a column: a subquery may not sit inside the lambda below.
+        tagged = df.withColumn(_BOUNDS, df.agg(sketch).scalar())
+        b = F.col(_BOUNDS)
+    if descending:
+        blk = F.size(F.filter(b, lambda x: x > v))
+    else:
+        blk = F.size(F.filter(b, lambda x: x < v))
+    out = tagged.withColumn(_BLK, F.coalesce(blk, F.lit(0)))
+    return out.drop(_BOUNDS)
+
+
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
                    blocks: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of ``c`` over ``order_cols``
-    (within ``partition_cols``) for every ``c`` in ``sum_cols``."""
-    nb = blocks or _default_blocks(df)
+    (within ``partition_cols``) for every ``c`` in ``sum_cols``. The first
+    order column must be numeric (it sets the blocks)."""
     order: list[Column] = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    parts = [F.col(p) for p in partition_cols]
-    ranged = df.repartitionByRange(nb, *parts, *order).withColumn(_BLK, F.spark_partition_id())
+    blocked = with_blocks(df, order_cols[0], partition_cols, descending, blocks)
 
-    totals = ranged.groupBy(*partition_cols, _BLK).agg(
+    totals = blocked.groupBy(*partition_cols, _BLK).agg(
         *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     before = Window.partitionBy(*partition_cols).orderBy(_BLK).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -46,11 +78,10 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[
 
     inside = Window.partitionBy(*partition_cols, _BLK).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    joined = ranged.join(offsets, [*partition_cols, _BLK])
-    out = joined.select(
+    joined = blocked.join(offsets, [*partition_cols, _BLK])
+    return joined.select(
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
-    return out
 
 
 def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
