@@ -44,8 +44,9 @@ def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (
     sketch = F.percentile_approx(v, fracs, accuracy).alias(_BOUNDS)
     if partition_cols:
         bounds = df.groupBy(*partition_cols).agg(sketch)
-        # One row per group of partition_cols, each holding nb - 1 bounds.
-        tagged = df.join(F.broadcast(bounds), list(partition_cols), "left")
+        # One row per group of partition_cols (nb - 1 bounds each); no hint:
+        # the group count is the caller's, AQE broadcasts it when it is small.
+        tagged = df.join(bounds, list(partition_cols), "left")
         b = F.col(_BOUNDS)
     else:
         # Bounds as a column: a subquery may not sit inside the lambda below.

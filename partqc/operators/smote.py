@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import TWO_32, seeded_hash, seeded_u32
+from ..session import checkpoint_root
 from .sampling import flag_first_n
 from .scan import positions
 
@@ -175,6 +176,7 @@ class Smote:
                  max_pivots: int = 4096):
         self.k, self.seed, self.block = k, seed, block
         self.cell_size, self.max_pivots = cell_size, max_pivots
+        self._cached: list[DataFrame] = []
 
     def neighbours(self, minority: DataFrame, key: str, m: int) -> DataFrame:
         """Exact k nearest neighbours of every row of ``minority`` (key, x)."""
@@ -195,6 +197,7 @@ class Smote:
         assigned = (assigned.join(F.broadcast(stats.select("cell", "nsub")), "cell")
                     .withColumn("b", (seeded_u32(f"{self.seed}:blk", key) % F.col("nsub")).cast("int"))
                     .persist(StorageLevel.MEMORY_AND_DISK))
+        self._cached.append(assigned)
         radius = np.zeros(len(pivots))
         for row in stats.select("cell", "radius").collect():  # <= max_pivots rows
             radius[row["cell"]] = row["radius"]
@@ -208,6 +211,7 @@ class Smote:
                                F.lit("q").alias("role"), F.col(key).alias("key"), "x")
         cand1 = refs.unionByName(qrys).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
         best1 = self._top_k(cand1, k).persist(StorageLevel.MEMORY_AND_DISK)
+        self._cached.append(best1)
 
         if len(pivots) == 1:  # one cell: round 1 already compared all pairs of blocks
             return best1.select(F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
@@ -265,6 +269,13 @@ class Smote:
         if k < 1:
             raise ValueError("SMOTE: the minority class needs at least two rows")
         nb = self.neighbours(minority, key, m)
+        # Reliable checkpoint into the session's checkpoint folder: cuts the
+        # multi-stage lineage of the search, survives lost executors.
+        checkpoint_root(df.sparkSession)
+        nb = nb.checkpoint(eager=True)
+        for cached in self._cached:
+            cached.unpersist()
+        self._cached = []
         return SmoteResult(df.sparkSession, label, key, minority, majority, nb, m, max(0, big_m - m), k,
                            self.seed, minority_class, majority_class)
 
