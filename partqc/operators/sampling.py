@@ -7,8 +7,9 @@ retry. ``key`` must identify a row (pass several columns for a compound key).
 Exact "first n rows by hash" selections never rank a whole class in one
 task. They use a histogram cut: count rows per hash prefix (at most 16^P
 groups, P = ``prefix_len``), prefix-sum the small histogram, keep whole
-prefixes below the cut, and rank only inside the one prefix that straddles
-it (about n_rows / 16^P rows).
+prefixes below the cut, and cut the one prefix that straddles it again on
+the next P digits; only the last straddling prefix (about n_rows / 16^(2P)
+rows) is ranked.
 """
 
 from __future__ import annotations
@@ -39,15 +40,27 @@ def _as_n(n: int | Column | DataFrame) -> Column:
 
 def flag_first_n(df: DataFrame, seed: int | str, key: KeyCols, n: int | Column | DataFrame,
                  out_col: str = "_first", group_cols: Sequence[str] = (),
-                 prefix_len: int = 4) -> DataFrame:
+                 prefix_len: int = 4, levels: int = 2) -> DataFrame:
     """Add boolean ``out_col``: the row is among the ``n`` rows with the
     smallest ``(md5(seed:key), key)`` (within ``group_cols``). ``n`` may be a
     number, a column (e.g. a scalar subquery) or a one-row, one-column frame.
+
+    ``levels`` histogram cuts on successive hash digits narrow the one
+    straddling prefix before anything is ranked: with two levels of 4 digits
+    the final ranked group holds about n_rows / 2^32 rows.
     """
     keys = _key_list(key)
-    n_col = _as_n(n)
-    h = seeded_hash(seed, keys)
-    pre = df.withColumn("_h", h).withColumn("_pre", F.substring("_h", 1, prefix_len))
+    hashed = df.withColumn("_h", seeded_hash(seed, keys)).withColumn("_need", _as_n(n))
+    flagged = _cut(hashed, keys, out_col, list(group_cols), 1, prefix_len, max(1, levels))
+    return flagged.select(*df.columns, out_col)
+
+
+def _cut(df: DataFrame, keys: list[str], out_col: str, group_cols: list[str], start: int,
+         prefix_len: int, levels: int) -> DataFrame:
+    """One histogram level over hash digits ``start .. start+prefix_len-1``;
+    ``_need`` is the number of rows still to take in the row's group."""
+    cols = list(df.columns)
+    pre = df.withColumn("_pre", F.substring("_h", start, prefix_len))
     hist = pre.groupBy(*group_cols, "_pre").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*group_cols).orderBy("_pre").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
@@ -55,15 +68,16 @@ def flag_first_n(df: DataFrame, seed: int | str, key: KeyCols, n: int | Column |
     # (prefix, two longs); 65,536 rows per group at the default prefix.
     tagged = pre.join(F.broadcast(hist), [*group_cols, "_pre"])
 
-    whole = (F.col("_before") + F.col("_cnt")) <= n_col
-    outside = F.col("_before") >= n_col
-    settled = tagged.where(whole | outside).withColumn(out_col, whole)
-    straddle = tagged.where(~(whole | outside))
-    rank_w = Window.partitionBy(*group_cols, "_pre").orderBy("_h", *keys)
-    ranked = straddle.withColumn(
-        out_col, F.row_number().over(rank_w) <= (n_col - F.col("_before")))
-    cols = [*df.columns, out_col]
-    return settled.select(*cols).unionByName(ranked.select(*cols))
+    whole = (F.col("_before") + F.col("_cnt")) <= F.col("_need")
+    outside = F.col("_before") >= F.col("_need")
+    settled = tagged.where(whole | outside).withColumn(out_col, whole).select(*cols, out_col)
+    straddle = tagged.where(~(whole | outside)).withColumn("_need", F.col("_need") - F.col("_before"))
+    if levels > 1 and start + prefix_len <= 32:
+        rest = _cut(straddle.select(*cols), keys, out_col, group_cols, start + prefix_len, prefix_len, levels - 1)
+    else:
+        rank_w = Window.partitionBy(*group_cols, "_pre").orderBy("_h", *keys)
+        rest = straddle.withColumn(out_col, F.row_number().over(rank_w) <= F.col("_need")).select(*cols, out_col)
+    return settled.unionByName(rest)
 
 
 def undersample_bernoulli(df: DataFrame, label: str, key: KeyCols, seed: int = 13,
