@@ -78,7 +78,8 @@ def roc_curve(df: DataFrame, label: str, score: str, positive: int = 1,
     the start point ``(+inf, 0, 0)``. All points are kept."""
     counts = score_counts(df, label, score, positive)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    P, N = totals.select("P").scalar(), totals.select("N").scalar()
+    both = totals.select(F.struct("P", "N")).scalar()  # one subquery for both totals
+    P, N = both.getField("P"), both.getField("N")
     cum = running_totals(counts, ["score"], ["pos", "neg"], descending=True, blocks=blocks)
     pts = cum.select(F.col("score").alias("threshold"),
                      _safe_ratio(F.col("neg_cum"), N, None).alias("fpr"),

@@ -40,14 +40,18 @@ def _as_n(n: int | Column | DataFrame) -> Column:
 
 def flag_first_n(df: DataFrame, seed: int | str, key: KeyCols, n: int | Column | DataFrame,
                  out_col: str = "_first", group_cols: Sequence[str] = (),
-                 prefix_len: int = 4, levels: int = 2) -> DataFrame:
+                 prefix_len: int = 4, levels: int = 1) -> DataFrame:
     """Add boolean ``out_col``: the row is among the ``n`` rows with the
     smallest ``(md5(seed:key), key)`` (within ``group_cols``). ``n`` may be a
     number, a column (e.g. a scalar subquery) or a one-row, one-column frame.
 
-    ``levels`` histogram cuts on successive hash digits narrow the one
-    straddling prefix before anything is ranked: with two levels of 4 digits
-    the final ranked group holds about n_rows / 2^32 rows.
+    The cost is one narrow scan for the histogram and one scan for the flag
+    (two branches: settled prefixes, and the one straddling prefix of about
+    n_rows / 16^prefix_len rows that is ranked). ``levels=2`` cuts that prefix
+    again on the next digits before ranking (about n_rows / 16^(2 prefix_len)
+    rows ranked), at the price of re-reading the filtered input; it is meant
+    for groups so large that n_rows / 65,536 rows do not sort well in one
+    task.
     """
     keys = _key_list(key)
     hashed = df.withColumn("_h", seeded_hash(seed, keys)).withColumn("_need", _as_n(n))
@@ -86,14 +90,15 @@ def undersample_bernoulli(df: DataFrame, label: str, key: KeyCols, seed: int = 1
     ``1 / floor(n_major / n_minor)`` (all of them when that ratio is 0, i.e.
     the minority is larger). Fails at run time on an empty minority class.
 
-    One filter over one scan; the ratio is a scalar subquery.
+    One filter over one scan; the hash bound comes from one scalar subquery.
     """
     sizes = class_sizes(df, label, majority, minority)
-    ratio = sizes.select(
+    ratio = F.floor(F.col("n_major") / F.col("n_minor"))
+    bound = sizes.select(
         F.when(F.col("n_minor") == 0, F.raise_error(F.lit("undersample: the minority class is empty")))
-        .otherwise(F.floor(F.col("n_major") / F.col("n_minor"))).alias("ratio")).scalar()
-    fraction = F.when(ratio >= 1, F.lit(1.0) / ratio).otherwise(F.lit(1.0))
-    keep = bernoulli_keep(seed, _key_list(key), fraction)
+        .when(ratio >= 1, keep_bound(F.lit(1.0) / ratio))
+        .otherwise(F.lit(TWO_32)).cast("long").alias("bound")).scalar()
+    keep = seeded_u32(seed, _key_list(key)) < bound
     return df.where((F.col(label) == minority) | ((F.col(label) == majority) & keep))
 
 
@@ -107,11 +112,13 @@ def undersample_fraction(df: DataFrame, label: str, fraction: float, seed: int =
 def undersample_exact(df: DataFrame, label: str, key: KeyCols, seed: int = 13,
                       majority: int = 0, minority: int = 1, prefix_len: int = 4) -> DataFrame:
     """R2: as many majority rows as there are minority rows (the ones with the
-    smallest ``md5(seed:key)``), plus all minority rows."""
-    n_minor = df.where(F.col(label) == minority).agg(F.count(F.lit(1)))
-    major = flag_first_n(df.where(F.col(label) == majority), seed, key, n_minor, "_keep",
-                         prefix_len=prefix_len).where("_keep").drop("_keep")
-    return union_classes(major, df.where(F.col(label) == minority))
+    smallest ``md5(seed:key)``), plus all minority rows. One histogram cut
+    over the whole table, per class; the minority target is its own size."""
+    n_minor = df.where(F.col(label) == minority).agg(F.count(F.lit(1))).scalar()
+    need = F.when(F.col(label) == majority, n_minor).otherwise(F.lit(2 ** 62))
+    flagged = flag_first_n(df.where(F.col(label).isin(majority, minority)), seed, key, need, "_keep",
+                           group_cols=[label], prefix_len=prefix_len)
+    return flagged.where("_keep").drop("_keep")
 
 
 def assign_split(df: DataFrame, key: KeyCols, weights: Sequence[float], seed: int = 13,
