@@ -174,7 +174,10 @@ def shuffle_rows(df: DataFrame, key: KeyCols, seed: int = 7, position_col: str =
     hashed = df.withColumn("_h", seeded_hash(seed, keys)).withColumn("_u", hash_u32(F.col("_h")))
     # _u (first 8 hex digits as a number) leads the order, so blocks can be
     # cut on a numeric column; (_u, _h, key) orders exactly like (_h, key).
-    ranked = positions(hashed, ["_u", "_h", *keys], name=position_col, blocks=blocks)
+    nb = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # _u is uniform on [0, 2^32): equal-width ranges of it are balanced blocks.
+    blk = F.floor(F.col("_u") * F.lit(float(nb)) / F.lit(float(TWO_32)))
+    ranked = positions(hashed, ["_u", "_h", *keys], name=position_col, block_expr=blk)
     return ranked.drop("_h", "_u").orderBy(position_col)
 
 

@@ -62,12 +62,18 @@ def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   blocks: int | None = None, suffix: str = "_cum") -> DataFrame:
+                   blocks: int | None = None, suffix: str = "_cum",
+                   block_expr: Column | None = None) -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of ``c`` over ``order_cols``
     (within ``partition_cols``) for every ``c`` in ``sum_cols``. The first
-    order column must be numeric (it sets the blocks)."""
+    order column must be numeric (it sets the blocks), unless ``block_expr``
+    gives the block directly (an integer non-decreasing along the order, e.g.
+    a range bucket of a uniform hash; no sketch pass is needed then)."""
     order: list[Column] = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    blocked = with_blocks(df, order_cols[0], partition_cols, descending, blocks)
+    if block_expr is not None:
+        blocked = df.withColumn(_BLK, block_expr.cast("int"))
+    else:
+        blocked = with_blocks(df, order_cols[0], partition_cols, descending, blocks)
 
     totals = blocked.groupBy(*partition_cols, _BLK).agg(
         *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
@@ -87,12 +93,12 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[
 
 def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
               partition_cols: Sequence[str] = (), blocks: int | None = None,
-              start: int = 1) -> DataFrame:
+              start: int = 1, block_expr: Column | None = None) -> DataFrame:
     """Dense position of each row in the order of ``order_cols`` (unique),
     counted from ``start``: a distributed ``row_number``."""
     tmp = "_one"
     counted = running_totals(df.withColumn(tmp, F.lit(1)), order_cols, [tmp],
-                             partition_cols=partition_cols, blocks=blocks)
+                             partition_cols=partition_cols, blocks=blocks, block_expr=block_expr)
     return counted.select(*df.columns, (F.col(f"{tmp}_cum") - 1 + start).cast("long").alias(name))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import class_probability
 from ..operators import evaluate, features, models, sampling
 from ..operators.smote import Smote
+from .train import materialize
 
 FeatureSpec = Sequence[str] | str  # columns, or one array<double> column
 
@@ -55,7 +56,7 @@ def to_vector(df: DataFrame, feature_cols: FeatureSpec, out_col: str = "assemble
 def notebook_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                   sample_seed: int = 13, split_seed: int = 42, test_size: float = 0.2) -> ModelData:
     """Under-sampled path: balance exactly, split exactly, scale."""
-    balanced = sampling.undersample_exact(df, label, key, sample_seed)
+    balanced = materialize(sampling.undersample_exact(df, label, key, sample_seed))
     train, test = sampling.split_exact(balanced, key, test_size, split_seed)
     return _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
 
@@ -65,8 +66,8 @@ def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
     """SMOTE path: split the full table, grow the training minority with
     SMOTE to the majority size, scale."""
     train, test = sampling.split_exact(df, key, test_size, split_seed)
-    res = Smote(k=k, seed=smote_seed).prepare(train, label, key, feature_cols)
-    grown = res.resampled().select(key, label, array_to_vector("x").alias("assembler"))
+    res = Smote(k=k, seed=smote_seed).prepare(materialize(train), label, key, feature_cols)
+    grown = materialize(res.resampled().select(key, label, array_to_vector("x").alias("assembler")))
     return _scale(grown, to_vector(test, feature_cols).select(key, label, "assembler"), label, key)
 
 

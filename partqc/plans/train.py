@@ -15,6 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators import evaluate, models, prep, sampling
+from ..session import checkpoint_root
 
 
 @dataclass
@@ -25,6 +26,13 @@ class TrainResult:
     scored: DataFrame
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint folder (cuts the
+    lineage; never a machine-local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def prepare_balanced(df: DataFrame, label: str, key: str | Sequence[str], seed: int = 13,
                      exact: bool = True) -> DataFrame:
     """Under-sample the majority class (exactly to the minority size, or by
@@ -38,7 +46,10 @@ def train_and_score(balanced: DataFrame, features: Sequence[str], label: str,
                     key: str | Sequence[str], split_seed: int = 42, test_size: float = 0.2,
                     thresholds: Sequence[float] | None = (0.18, 0.82), model_seed: int = 7) -> TrainResult:
     """Split, drop incomplete rows, fit the production pipeline, score the
-    hold-out part."""
+    hold-out part. The balanced frame is checkpointed once (the split reads
+    it several times; re-running the balancing for every read would repeat
+    its scans, and the checkpoint survives lost executors)."""
+    balanced = materialize(balanced)
     train, test = sampling.split_exact(balanced, key, test_size, split_seed)
     train = prep.drop_incomplete(train, [label, *features])
     test = prep.drop_incomplete(test, [label, *features])
