@@ -104,7 +104,7 @@ ORACLE: dict[str, str] = {
     "threshold_ratio": f"""
         SELECT event_id,
                CASE WHEN (value / (value + 20.0)) / 0.82 > (1.0 - value / (value + 20.0)) / 0.18
-                    THEN 1.0 ELSE 0.0 END AS prediction
+                    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
           FROM {EV}""",
     "first_rows": f"SELECT * FROM {EV} ORDER BY event_id LIMIT 5",
     "class_counts": f"SELECT y, count(*) AS count FROM {EV} GROUP BY y",
@@ -154,9 +154,10 @@ ORACLE: dict[str, str] = {
           FROM {EV}""",
     "union_classes": f"SELECT * FROM {EV} WHERE y = 0 UNION ALL SELECT * FROM {EV} WHERE y = 1",
     "smote_neighbours": f"""
-        SELECT vec_id, rank, neighbour, round(distance, 6) AS distance FROM ({EM_NEIGHBOURS})""",
+        SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 6) AS distance
+          FROM ({EM_NEIGHBOURS})""",
     "smote_rows": SMOTE_DRAWS + """
-        SELECT new_id, base, neighbour, position,
+        SELECT new_id, base, neighbour, CAST(position AS INTEGER) AS position,
                round(CAST(xb[position + 1] AS DOUBLE)
                      + step * (CAST(xn[position + 1] AS DOUBLE) - CAST(xb[position + 1] AS DOUBLE)), 6) AS value
           FROM (SELECT *, unnest(range(64)) AS position FROM srows)""",

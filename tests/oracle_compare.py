@@ -54,6 +54,17 @@ def _norm(v):
     return ("str", str(v))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, rel) -> dict:
+    sp = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in sdf.schema.fields}
+    dk = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (sp.get(c), dk.get(c)) for c in set(sp) | set(dk) if sp.get(c) != dk.get(c)}
+
+
 def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
     out = []
@@ -75,7 +86,9 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         res["status"] = "rows-only"
         return res
     con = con or duck(sf_dir)
-    opdf = con.sql(sql).df()
+    rel = con.sql(sql)
+    bad_types = type_mismatches(sdf, rel)
+    opdf = rel.df()
     res["oracle_rows"] = len(opdf)
     if sorted(spdf.columns) != sorted(opdf.columns):
         res["status"] = f"COLUMNS {sorted(spdf.columns)} vs {sorted(opdf.columns)}"
@@ -85,7 +98,12 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         res["status"] = "ROWCOUNT"
         return res
     diff = [(x, y) for x, y in zip(a, b) if x != y]
-    res["status"] = "ok" if not diff else f"VALUES {len(diff)} differ, e.g. {diff[:2]}"
+    if diff:
+        res["status"] = f"VALUES {len(diff)} differ, e.g. {diff[:2]}"
+    elif bad_types:
+        res["status"] = f"TYPES {bad_types}"
+    else:
+        res["status"] = "ok"
     return res
 
 
