@@ -123,3 +123,17 @@ def test_kafka_source_needs_connector(spark):
     only on load, with an analysis error naming the source."""
     with pytest.raises(Exception):
         kafka.read_kafka(spark, "localhost:9092", "injection")
+
+
+def test_scoring_parses_each_message_once(spark, stream_setup):
+    """The plain assembler with 'skip' makes Catalyst parse every message once
+    per feature; the clean-vector path keeps a single from_json."""
+    df, model, _ = stream_setup
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000000")
+    ours = score_messages(df, model, message_schema())
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    flat = msg.parse_flatten(df, message_schema()).drop("reason")
+    plain = model.transform(flat).select("timCycle", "prediction")
+    assert plain._jdf.queryExecution().executedPlan().toString().count("from_json") > len(FEATURES)
