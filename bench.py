@@ -90,6 +90,10 @@ def main():
 
     # JSON scoring of 72-field messages (one per lineitem row).
     mf = machine_frame(spark, sf)
+    # Profiles over all 72 readings + label, as the analysis notebook does.
+    wide = mf.repartition(parts)
+    timed("correlation_wide", lambda: run(profile.correlation_matrix(wide, ["reason", *FEATURES])))
+    timed("describe_wide", lambda: run(profile.describe_columns(wide, ["reason", *FEATURES])))
     json_model = models.fit(models.production_pipeline(FEATURES, "reason"), mf.sample(0.1, 1))
     # Messages arrive from a topic with many partitions: spread them likewise.
     msgs = msg.to_messages(mf, ["reason", *FEATURES]).repartition(parts).persist()

@@ -164,3 +164,14 @@ def test_empty_minority_raises(spark):
     ev = events_view(spark, SF01).where("y = 0")
     with pytest.raises(Exception):
         sampling.undersample_bernoulli(ev, "y", "event_id").count()
+
+
+def test_wide_correlation_matches_pairwise(spark):
+    from partqc.operators import profile
+    ev = events_view(spark, SF01)
+    cols = ["y", "value", "user_id", "k"]
+    narrow = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(ev, cols).collect()}
+    wide = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(ev, cols, wide_from=2).collect()}
+    assert narrow.keys() == wide.keys()
+    for k in narrow:
+        assert wide[k] == pytest.approx(narrow[k], abs=1e-12)
