@@ -88,15 +88,19 @@ def main():
     em = embeddings_array_view(spark, sf)
     timed("smote", lambda: run(Smote(k=5, seed=2).prepare(em, "y", "vec_id", "x").resampled()))
 
-    # JSON scoring of 72-field messages (one per lineitem row).
-    mf = machine_frame(spark, sf)
+    # A machine-readings table (72 readings + label per lineitem row) written
+    # once as parquet, as such a table would be stored (setup, not timed).
+    wide_path = scratch_path(spark, "bench_machine")
+    machine_frame(spark, sf).repartition(parts).write.mode("overwrite").parquet(wide_path)
+    mf = spark.read.parquet(wide_path)
+    wide = mf
     # Profiles over all 72 readings + label, as the analysis notebook does.
-    wide = mf.repartition(parts)
     timed("correlation_wide", lambda: run(profile.correlation_matrix(wide, ["reason", *FEATURES])))
     timed("describe_wide", lambda: run(profile.describe_columns(wide, ["reason", *FEATURES])))
     json_model = models.fit(models.production_pipeline(FEATURES, "reason"), mf.sample(0.1, 1))
-    # Messages arrive from a topic with many partitions: spread them likewise.
-    msgs = msg.to_messages(mf, ["reason", *FEATURES]).repartition(parts).persist()
+    # JSON scoring of 72-field messages (one per machine row); messages come
+    # from a topic with many partitions: the table's files give as many tasks.
+    msgs = msg.to_messages(mf, ["reason", *FEATURES]).persist()
     msgs.count()
     schema = message_schema()
     timed("json_score", lambda: run(score_messages(msgs, json_model, schema)))

@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _BLK = "_blk"
 _BOUNDS = "_bounds"
 
@@ -103,37 +105,81 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    blocks: int | None = None) -> DataFrame:
+                    blocks: int | None = None, bins: int = 4096) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (position ``p * (n - 1)``), the definition of ``percentile`` /
-    ``quantile_cont``. Nulls are ignored. Returns ``column, prob, quantile``.
+    ``quantile_cont``. Nulls and NaN are ignored. Returns ``column, prob,
+    quantile``.
+
+    No task holds all values of a column (as ``percentile`` would):
+
+    1. one aggregate gives count, min and max per column;
+    2. an equal-width histogram of ``bins`` bins per column (at most
+       len(cols) x bins rows) and its prefix sums locate the bins that hold
+       the two ranks around every wanted position;
+    3. only the rows inside those bins are counted by distinct value and
+       ranked with :func:`running_totals`, offset by the rows below the bins.
+
+    The small stats and bracket tables and the candidate rows are
+    checkpointed, so each step reads its input once instead of re-running
+    the earlier steps in every branch of the plan.
 
-    Unlike ``percentile``, no task holds all values of a column: values are
-    counted by distinct value, ranked with :func:`running_totals`, and only the
-    rows that hold a wanted rank are kept.
+    Exact for any data; a column whose values crowd into one bin only makes
+    step 3 larger (hot values are one row each after the distinct count).
     """
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
-    long = df.select(stacked.alias("s")).select("s.column", "s.v").where(F.col("v").isNotNull())
-    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["column"], blocks=blocks)
-
-    sizes = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
-    pos = (F.col("p") * (F.col("n") - 1))
-    targets = (sizes.select("column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .select("column", "p", F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
+    cols = list(cols)
+    probs = [float(p) for p in probs]
+    ok = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    stats_row = df.agg(*[F.struct(F.lit(i).alias("ci"),
+                                  F.count(F.when(ok(c), 1)).alias("n"),
+                                  F.min(F.when(ok(c), F.col(c).cast("double"))).alias("lo"),
+                                  F.max(F.when(ok(c), F.col(c).cast("double"))).alias("hi")).alias(f"_s{i}")
+                         for i, c in enumerate(cols)])
+    stats = materialize(  # one row per column
+        stats_row.select(F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("s")).select("s.*"))
+
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
+                                          for i, c in enumerate(cols)])).alias("s"))
+            .select("s.ci", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
+    width = F.col("hi") - F.col("lo")
+    bin_of = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * F.lit(float(bins))),
+                                       F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+    # Broadcast bound: one stats row per column.
+    tagged = long.join(F.broadcast(stats.select("ci", "lo", "hi")), "ci").select("ci", "v", bin_of.alias("b"))
+
+    hist = tagged.groupBy("ci", "b").agg(F.count(F.lit(1)).alias("hc"))
+    below = Window.partitionBy("ci").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("hb", F.coalesce(F.sum("hc").over(below), F.lit(0)))  # <= bins rows per column
+
+    pos = F.col("p") * (F.col("n") - 1)
+    targets = (stats.where(F.col("n") > 0)
+               .select("ci", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+               .select("ci", "p", F.floor(pos).alias("k_lo"), F.ceil(pos).alias("k_hi"),
                        (pos - F.floor(pos)).alias("frac")))
-    # Each distinct value covers ranks [cnt_cum - cnt, cnt_cum - 1]; the
-    # targets side has len(cols) * len(probs) rows.
-    hit = ranked.join(targets, "column").where(
-        ((F.col("lo") >= F.col("cnt_cum") - F.col("cnt")) & (F.col("lo") <= F.col("cnt_cum") - 1))
-        | ((F.col("hi") >= F.col("cnt_cum") - F.col("cnt")) & (F.col("hi") <= F.col("cnt_cum") - 1)))
-    in_lo = (F.col("lo") >= F.col("cnt_cum") - F.col("cnt")) & (F.col("lo") <= F.col("cnt_cum") - 1)
-    in_hi = (F.col("hi") >= F.col("cnt_cum") - F.col("cnt")) & (F.col("hi") <= F.col("cnt_cum") - 1)
-    picked = hit.groupBy("column", "p").agg(
+    holds = lambda k: (F.col("hb") <= F.col(k)) & (F.col(k) < F.col("hb") + F.col("hc"))
+    th = targets.join(hist, "ci")  # <= len(cols) x len(probs) x bins rows
+    lo_bin = th.where(holds("k_lo")).select("ci", "p", F.col("b").alias("b_lo"), F.col("hb").alias("before"))
+    hi_bin = th.where(holds("k_hi")).select("ci", "p", F.col("b").alias("b_hi"))
+    brackets = materialize(targets.join(lo_bin, ["ci", "p"]).join(hi_bin, ["ci", "p"]))  # cols x probs rows
+
+    # Broadcast bound: len(cols) x len(probs) rows.
+    cand = materialize(tagged.join(F.broadcast(brackets.select("ci", "p", "b_lo", "b_hi")), "ci")
+                       .where((F.col("b") >= F.col("b_lo")) & (F.col("b") <= F.col("b_hi")))
+                       .select("ci", "p", "v"))
+    counts = cand.groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["ci", "p"], blocks=blocks)
+
+    first = F.col("before") + F.col("cnt_cum") - F.col("cnt")
+    last = F.col("before") + F.col("cnt_cum") - 1
+    in_lo = (F.col("k_lo") >= first) & (F.col("k_lo") <= last)
+    in_hi = (F.col("k_hi") >= first) & (F.col("k_hi") <= last)
+    hit = ranked.join(F.broadcast(brackets.select("ci", "p", "k_lo", "k_hi", "frac", "before")), ["ci", "p"]) \
+        .where(in_lo | in_hi)
+    picked = hit.groupBy("ci", "p").agg(
         F.max(F.when(in_lo, F.col("v"))).alias("v_lo"),
         F.max(F.when(in_hi, F.col("v"))).alias("v_hi"),
         F.first("frac").alias("frac"))
+    names = F.array(*[F.lit(c) for c in cols])
     return picked.select(
-        "column", F.col("p").alias("prob"),
+        F.element_at(names, F.col("ci") + 1).alias("column"), F.col("p").alias("prob"),
         (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("quantile"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import class_probability
 from ..operators import evaluate, features, models, sampling
 from ..operators.smote import Smote
-from .train import materialize
+from ..session import materialize
 
 FeatureSpec = Sequence[str] | str  # columns, or one array<double> column
 

@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators import evaluate, models, prep, sampling
-from ..session import checkpoint_root
+from ..session import materialize
 
 
 @dataclass
@@ -26,13 +26,6 @@ class TrainResult:
     scored: DataFrame
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (cuts the
-    lineage; never a machine-local checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def prepare_balanced(df: DataFrame, label: str, key: str | Sequence[str], seed: int = 13,
                      exact: bool = True) -> DataFrame:
     """Under-sample the majority class (exactly to the minority size, or by

@@ -48,3 +48,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder: cuts the lineage
+    (later branches read the written data instead of recomputing it) and
+    survives lost executors. Never a machine-local checkpoint."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
