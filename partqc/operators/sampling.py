@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import TWO_32, bernoulli_keep, hash_u32, keep_bound, seeded_hash, seeded_u32
+from ..functions.hashing import TWO_32, hash_u32, keep_bound, seeded_hash, seeded_u32
 from .profile import class_sizes
 from .scan import positions
 

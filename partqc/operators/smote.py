@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import TWO_32, seeded_hash, seeded_u32
+from ..functions.hashing import TWO_32, seeded_u32
 from ..session import checkpoint_root
 from .sampling import flag_first_n
 from .scan import positions
@@ -279,7 +279,3 @@ class Smote:
         return SmoteResult(df.sparkSession, label, key, minority, majority, nb, m, max(0, big_m - m), k,
                            self.seed, minority_class, majority_class)
 
-
-def smote_hash(seed: int | str, tag: str, i):
-    """The md5 text behind one synthetic-row draw (for tests)."""
-    return seeded_hash(seed, [F.lit(tag), F.lit(str(i))])

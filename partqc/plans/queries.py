@@ -18,8 +18,7 @@ from ..functions.columns import class_probability, cutoff_class, round6
 from ..operators import evaluate, features, models, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
-from ..sources.tables import (EM_FEATURES, EV_FEATURES, embeddings_array_view, embeddings_view,
-                              events_view, table)
+from ..sources.tables import EV_FEATURES, embeddings_array_view, events_view, table
 from ..streaming import messages as msg
 from ..streaming import run as srun
 from ..streaming.score import score_messages

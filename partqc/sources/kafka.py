@@ -15,11 +15,13 @@ KAFKA_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp", "t
 
 def kafka_source_options(bootstrap: str, topic: str, starting_offsets: str = "earliest",
                          fail_on_data_loss: bool = False,
-                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = None,
+                         min_partitions: int | None = None) -> dict[str, str]:
     """Options to subscribe to one topic. ``startingOffsets`` only acts on the
     first start; afterwards the checkpoint decides. ``failOnDataLoss=false``
     tolerates offsets that were aged out of the topic. ``maxOffsetsPerTrigger``
-    bounds the size of one micro-batch (back-pressure)."""
+    bounds the size of one micro-batch (back-pressure); ``minPartitions``
+    splits large topic partitions over more tasks per micro-batch."""
     opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
@@ -28,6 +30,8 @@ def kafka_source_options(bootstrap: str, topic: str, starting_offsets: str = "ea
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 

@@ -4,7 +4,6 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from partqc.functions.columns import binary_ratio_class, class_probability
