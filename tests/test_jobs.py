@@ -46,3 +46,30 @@ def test_train_job_and_alerts(spark):
     row = out.first()
     assert json.loads(row["value"])["timCycle"] == row["key"]
     assert out.count() == prepared.count()
+
+
+def test_analysis_flow(spark):
+    """Raw export with reason text and machine-state columns -> analysis ->
+    CSV outputs."""
+    from partqc.plans import analysis
+
+    em = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    feats = [f"e{i}" for i in range(8)]
+    raw = em.select(
+        F.col("vec_id").alias("Unnamed: 0"),
+        F.lit("2024-01-01").alias("date"), F.lit(1).alias("cntCycle"),
+        F.when(F.col("label") == 5, F.lit("['short shot']")).otherwise(F.lit("[]")).alias("reason"),
+        *[F.col("embedding").getItem(i).cast("double").alias(f) for i, f in enumerate(feats)],
+        F.col("vec_id").alias("part_id"))
+    prepared = analysis.prepare_raw(raw)
+    assert "date" not in prepared.columns and "Unnamed: 0" not in prepared.columns
+    res = analysis.analyse(prepared, "part_id", feats)
+    counts = {r["reason"]: r["count"] for r in res.class_counts.collect()}
+    assert counts == {0: 456, 1: 44}
+    assert res.correlation.count() == (len(feats) + 1) ** 2
+    assert res.comparison.count() == 6
+    assert res.cutoff_confusion.count() == 4
+    p1, p2 = scratch_path(spark, "an_prep"), scratch_path(spark, "an_bal")
+    analysis.write_outputs(prepared, "part_id", "reason", p1, p2)
+    back = files.read_csv(spark, p2, infer=True)
+    assert back.count() == 88 and "position" in back.columns
