@@ -156,10 +156,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                .select("ci", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
                .select("ci", "p", F.floor(pos).alias("k_lo"), F.ceil(pos).alias("k_hi"),
                        (pos - F.floor(pos)).alias("frac")))
-    holds = lambda k: (F.col("hb") <= F.col(k)) & (F.col(k) < F.col("hb") + F.col("hc"))
-    th = targets.join(hist, "ci")  # <= len(cols) x len(probs) x bins rows
-    lo_bin = th.where(holds("k_lo")).select("ci", "p", F.col("b").alias("b_lo"), F.col("hb").alias("before"))
-    hi_bin = th.where(holds("k_hi")).select("ci", "p", F.col("b").alias("b_hi"))
+    # Each histogram row keeps only the target ranks that fall inside its bin
+    # (the per-column target list has len(probs) entries; nothing is paired).
+    per_col = targets.groupBy("ci").agg(F.collect_list(F.struct("p", "k_lo", "k_hi")).alias("ts"))
+    inside = lambda k: lambda t: (F.col("hb") <= t[k]) & (t[k] < F.col("hb") + F.col("hc"))
+    hist_t = hist.join(F.broadcast(per_col), "ci")  # broadcast bound: one row per column
+    lo_bin = (hist_t.select("ci", "b", "hb", F.explode(F.filter("ts", inside("k_lo"))).alias("t"))
+              .select("ci", F.col("t.p").alias("p"), F.col("b").alias("b_lo"), F.col("hb").alias("before")))
+    hi_bin = (hist_t.select("ci", "b", F.explode(F.filter("ts", inside("k_hi"))).alias("t"))
+              .select("ci", F.col("t.p").alias("p"), F.col("b").alias("b_hi")))
     brackets = materialize(targets.join(lo_bin, ["ci", "p"]).join(hi_bin, ["ci", "p"]))  # cols x probs rows
 
     # Broadcast bound: len(cols) x len(probs) rows.
