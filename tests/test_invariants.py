@@ -174,3 +174,35 @@ def test_wide_correlation_matches_pairwise(spark):
     assert narrow.keys() == wide.keys()
     for k in narrow:
         assert wide[k] == pytest.approx(narrow[k], abs=1e-12)
+
+
+def test_two_level_cut_equals_one_level(spark):
+    ev = events_view(spark, SF01)
+    one = sampling.flag_first_n(ev, 13, "event_id", 3000, "f", levels=1).where("f").select("event_id")
+    two = sampling.flag_first_n(ev, 13, "event_id", 3000, "f", prefix_len=2, levels=3).where("f").select("event_id")
+    a, b = sorted(r[0] for r in one.collect()), sorted(r[0] for r in two.collect())
+    assert len(a) == 3000 and a == b
+
+
+def test_keyless_variants(spark):
+    ev = events_view(spark, SF01)
+    out = sampling.undersample_fraction(ev, "y", 0.25, seed=3)
+    counts = {r["y"]: r["count"] for r in out.groupBy("y").count().collect()}
+    assert counts[1] == 2014 and 1500 < counts[0] < 2500
+    parts = sampling.split_random(ev, [0.8, 0.2], seed=13)
+    assert sum(p.count() for p in parts) == ev.count()
+
+
+def test_compound_key_sampling(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn(
+        "y", (F.col("l_returnflag") == "R").cast("int"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    out = sampling.undersample_exact(li, "y", keys, 13)
+    counts = {r["y"]: r["count"] for r in out.groupBy("y").count().collect()}
+    assert counts[0] == counts[1]
+
+
+def test_split_exact_size(spark):
+    ev = events_view(spark, SF01).where("event_id < 1003")  # a size that needs rounding up
+    tagged = sampling.assign_split_exact(ev, "event_id", 0.2, 42)
+    assert tagged.where("split = 'test'").count() == 201
