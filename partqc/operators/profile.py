@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import exact_quantiles
+from ..session import materialize
+from .scan import column_stats, exact_quantiles
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -45,23 +46,19 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
 
 def describe_columns(df: DataFrame, cols: Sequence[str], blocks: int | None = None) -> DataFrame:
     """A4: per column: count, mean, sample std, min, exact interpolated
-    quartiles, max (the numbers of a pandas ``describe``). Returned long, one
-    row per column."""
-    basic = df.agg(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.count(c).alias("count"),
-                 F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("std"),
-                 F.min(c).cast("double").alias("min"),
-                 F.max(c).cast("double").alias("max")).alias(f"_s{i}")
-        for i, c in enumerate(cols)])
-    basic_long = basic.select(F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("s")).select("s.*")
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], blocks=blocks)
+    quartiles, max (the numbers of a pandas ``describe``; nulls and NaN are
+    left out). Returned long, one row per column. One aggregate gives the
+    moments and the range; the quartiles reuse its count, min and max."""
+    stats = materialize(column_stats(df, cols, extra=True))
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], blocks=blocks, stats=stats.select("ci", "n", "lo", "hi"))
     qw = q.groupBy("column").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("q50"),
         F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q75"))
-    return (basic_long.join(qw, "column", "left")
+    names = F.array(*[F.lit(c) for c in cols])
+    basic = stats.select(F.element_at(names, F.col("ci") + 1).alias("column"), F.col("n").alias("count"),
+                         "mean", "std", F.col("lo").alias("min"), F.col("hi").alias("max"))
+    return (basic.join(qw, "column", "left")
             .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 

@@ -104,8 +104,23 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
     return counted.select(*df.columns, (F.col(f"{tmp}_cum") - 1 + start).cast("long").alias(name))
 
 
+def column_stats(df: DataFrame, cols: Sequence[str], extra: bool = False) -> DataFrame:
+    """One aggregate over all columns, returned long: ``ci, n, lo, hi`` (and
+    ``mean, std`` with ``extra``) over the non-null, non-NaN values. NaN is
+    turned into null in a projection first, so the aggregate itself stays
+    plain (small generated code even for many columns)."""
+    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"_c{i}")
+                        for i, c in enumerate(cols)])
+    fields = lambda i: [F.lit(i).alias("ci"), F.count(f"_c{i}").alias("n"),
+                        F.min(f"_c{i}").alias("lo"), F.max(f"_c{i}").alias("hi")] + (
+        [F.avg(f"_c{i}").alias("mean"), F.stddev_samp(f"_c{i}").alias("std")] if extra else [])
+    row = clean.agg(*[F.struct(*fields(i)).alias(f"_s{i}") for i in range(len(cols))])
+    return row.select(F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("s")).select("s.*")
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    blocks: int | None = None, bins: int = 4096) -> DataFrame:
+                    blocks: int | None = None, bins: int = 4096,
+                    stats: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (position ``p * (n - 1)``), the definition of ``percentile`` /
     ``quantile_cont``. Nulls and NaN are ignored. Returns ``column, prob,
@@ -129,14 +144,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols = list(cols)
     probs = [float(p) for p in probs]
-    ok = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    stats_row = df.agg(*[F.struct(F.lit(i).alias("ci"),
-                                  F.count(F.when(ok(c), 1)).alias("n"),
-                                  F.min(F.when(ok(c), F.col(c).cast("double"))).alias("lo"),
-                                  F.max(F.when(ok(c), F.col(c).cast("double"))).alias("hi")).alias(f"_s{i}")
-                         for i, c in enumerate(cols)])
-    stats = materialize(  # one row per column
-        stats_row.select(F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("s")).select("s.*"))
+    # One row per column (ci, n, lo, hi); a caller that already has them passes them in.
+    stats = stats if stats is not None else materialize(column_stats(df, cols))
 
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
                                           for i, c in enumerate(cols)])).alias("s"))
