@@ -64,19 +64,26 @@ def binary_metrics(df: DataFrame, label: str, prediction: str = "prediction", po
                          _safe_ratio(F.col("tp"), F.col("ap")).alias("recall"))
 
 
-def score_counts(df: DataFrame, label: str, score: str, positive: int = 1) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str, positive: int = 1,
+                 decimals: int | None = None) -> DataFrame:
     """Per distinct score: positives and negatives (the only input the ROC
-    and AUC scans need; a hot score value becomes one row)."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    and AUC scans need; a hot score value becomes one row). With
+    ``decimals`` the scores are rounded first, which bounds the number of
+    curve points (an approximation, like binned ROC curves)."""
+    s = F.col(score).cast("double")
+    if decimals is not None:
+        s = F.round(s, int(decimals))
+    return df.groupBy(s.alias("score")).agg(
         _count_if(_is(label, positive)).alias("pos"),
         _count_if(~_is(label, positive)).alias("neg"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str, positive: int = 1,
-              blocks: int | None = None) -> DataFrame:
+              blocks: int | None = None, decimals: int | None = None) -> DataFrame:
     """``threshold, fpr, tpr`` at every distinct score (descending), plus
-    the start point ``(+inf, 0, 0)``. All points are kept."""
-    counts = score_counts(df, label, score, positive)
+    the start point ``(+inf, 0, 0)``. All points are kept; ``decimals``
+    rounds the scores first to bound the number of points."""
+    counts = score_counts(df, label, score, positive, decimals)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     both = totals.select(F.struct("P", "N")).scalar()  # one subquery for both totals
     P, N = both.getField("P"), both.getField("N")

@@ -206,3 +206,11 @@ def test_split_exact_size(spark):
     ev = events_view(spark, SF01).where("event_id < 1003")  # a size that needs rounding up
     tagged = sampling.assign_split_exact(ev, "event_id", 0.2, 42)
     assert tagged.where("split = 'test'").count() == 201
+
+
+def test_rounded_roc_has_bounded_points(spark):
+    ev = events_view(spark, SF01).withColumn("p1", F.col("value") / (F.col("value") + 20.0))
+    exact = evaluate.roc_curve(ev, "y", "p1").count()
+    rounded = evaluate.roc_curve(ev, "y", "p1", decimals=2).toPandas()
+    assert len(rounded) <= 102 < exact
+    assert rounded["fpr"].max() == pytest.approx(1.0) and rounded["tpr"].max() == pytest.approx(1.0)
