@@ -44,8 +44,8 @@ def forest_full_depth(label: str = LABEL, features_col: str = "features", impuri
     rf = forest(label, features_col, impurity, num_trees=100, max_depth=SPARK_MAX_DEPTH,
                 subset="sqrt", seed=seed)
     # Deep trees: keep node ids cached between levels instead of re-walking
-    # every tree per level, and give each level pass more nodes.
-    return rf.setCacheNodeIds(True).setMaxMemoryInMB(512)
+    # every tree per level.
+    return rf.setCacheNodeIds(True)
 
 
 def logistic(n_train: int, label: str = LABEL, features_col: str = "features", c: float = 1.0) -> LogisticRegression:
