@@ -62,11 +62,16 @@ def alerts(messages: DataFrame, model: PipelineModel, fields: Sequence[str] = tu
 
 
 def serve_job(spark: SparkSession, model_path: str, bootstrap: str, in_topic: str, out_topic: str,
-              checkpoint: str, trigger: str | None = None, console: bool = False) -> StreamingQuery:
+              checkpoint: str, trigger: str | None = None, console: bool = False,
+              max_offsets_per_trigger: int | None = None,
+              min_partitions: int | None = None) -> StreamingQuery:
     """Load the model, read the input topic, write alerts to the output topic
-    (or to the console), and return the running query."""
+    (or to the console), and return the running query. The two Kafka knobs
+    bound a micro-batch and spread it over more tasks."""
     model = model_store.load_model(model_path)
-    stream = kafka.read_kafka(spark, bootstrap, in_topic, fail_on_data_loss=False)
+    stream = kafka.read_kafka(spark, bootstrap, in_topic, fail_on_data_loss=False,
+                              max_offsets_per_trigger=max_offsets_per_trigger,
+                              min_partitions=min_partitions)
     out = alerts(stream.select(F.col("value")), model)
     if console:
         return kafka.console_writer(out, trigger=trigger or "10 seconds").start()

@@ -23,10 +23,13 @@ from .messages import parse_flatten
 
 
 def score_clean(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Transform with a fitted pipeline whose first stage is an assembler,
-    dropping rows with a null or NaN input once, on the assembled vector."""
+    """Transform with a fitted pipeline whose first stage is an assembler
+    with ``handleInvalid='skip'``, dropping rows with a null or NaN input
+    once, on the assembled vector. Other pipelines (an assembler that keeps
+    or rejects invalid rows, or none) are applied unchanged."""
     stages = list(model.stages)
-    if not stages or not isinstance(stages[0], VectorAssembler):
+    if (not stages or not isinstance(stages[0], VectorAssembler)
+            or stages[0].getHandleInvalid() != "skip"):
         return model.transform(df)
     asm = stages[0].copy().setHandleInvalid("keep")
     vec = asm.transform(df).where(~vector_has_invalid(asm.getOutputCol()))

@@ -137,3 +137,13 @@ def test_scoring_parses_each_message_once(spark, stream_setup):
     flat = msg.parse_flatten(df, message_schema()).drop("reason")
     plain = model.transform(flat).select("timCycle", "prediction")
     assert plain._jdf.queryExecution().executedPlan().toString().count("from_json") > len(FEATURES)
+
+
+def test_clean_path_respects_keep(spark, stream_setup):
+    """An assembler fitted with 'keep' keeps invalid rows; the clean path
+    must not drop them."""
+    from pyspark.ml import PipelineModel
+    df, model, _ = stream_setup
+    keep_model = PipelineModel([model.stages[0].copy().setHandleInvalid("keep"), *model.stages[1:]])
+    flat = msg.parse_flatten(df, message_schema()).drop("reason")
+    assert score_clean(flat, keep_model).count() == model.stages[0].copy().setHandleInvalid("keep").transform(flat).count()
