@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 
 from ..functions.columns import vector_has_invalid
@@ -29,7 +30,9 @@ def score_clean(df: DataFrame, model: PipelineModel) -> DataFrame:
     or rejects invalid rows, or none) are applied unchanged."""
     stages = list(model.stages)
     if (not stages or not isinstance(stages[0], VectorAssembler)
-            or stages[0].getHandleInvalid() != "skip"):
+            or stages[0].getHandleInvalid() != "skip"
+            or any(isinstance(df.schema[c].dataType, VectorUDT) for c in stages[0].getInputCols())):
+        # 'skip' tests NaN only in numeric inputs, not inside vector inputs.
         return model.transform(df)
     asm = stages[0].copy().setHandleInvalid("keep")
     vec = asm.transform(df).where(~vector_has_invalid(asm.getOutputCol()))
