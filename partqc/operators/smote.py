@@ -244,8 +244,10 @@ class Smote:
     @staticmethod
     def _top_k(cands: DataFrame, k: int) -> DataFrame:
         # One group per query row holding at most k x (blocks visited) rows.
+        # Each (query, candidate) pair is compared in exactly one block (cells
+        # and blocks are disjoint), so there are no duplicates to remove.
         w = Window.partitionBy("qkey").orderBy("distance", "nkey")
-        ranked = cands.dropDuplicates(["qkey", "nkey"]).withColumn("rank", F.row_number().over(w))
+        ranked = cands.withColumn("rank", F.row_number().over(w))
         return ranked.where(F.col("rank") <= k)
 
     def prepare(self, df: DataFrame, label: str, key: str, feature_cols: Sequence[str] | str,
