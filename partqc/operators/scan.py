@@ -37,7 +37,13 @@ def _default_blocks(df: DataFrame) -> int:
 def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
                 descending: bool = False, blocks: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``_blk``: block number, monotone in ``order_col`` (within
-    ``partition_cols``), from approximate quantile bounds."""
+    ``partition_cols``), from approximate quantile bounds.
+
+    The bounds are computed once, before the plan that uses them (a literal
+    array of ``blocks - 1`` values, or a checkpointed table with one row per
+    group): a sketch merged in another order on a recomputation or a retried
+    task could give other bounds, and every branch must see the same blocks.
+    """
     nb = blocks or _default_blocks(df)
     v = F.col(order_col)
     if nb <= 1:
@@ -45,21 +51,17 @@ def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (
     fracs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
     sketch = F.percentile_approx(v, fracs, accuracy).alias(_BOUNDS)
     if partition_cols:
-        bounds = df.groupBy(*partition_cols).agg(sketch)
-        # One row per group of partition_cols (nb - 1 bounds each); no hint:
-        # the group count is the caller's, AQE broadcasts it when it is small.
+        bounds = materialize(df.groupBy(*partition_cols).agg(sketch))  # one row per group
         tagged = df.join(bounds, list(partition_cols), "left")
-        b = F.col(_BOUNDS)
     else:
-        # Bounds as a column: a subquery may not sit inside the lambda below.
-        tagged = df.withColumn(_BOUNDS, df.agg(sketch).scalar())
-        b = F.col(_BOUNDS)
+        found = df.agg(sketch).first()[0] or []  # blocks - 1 values
+        tagged = df.withColumn(_BOUNDS, F.array(*[F.lit(float(x)) for x in found]).cast("array<double>"))
+    b = F.col(_BOUNDS)
     if descending:
         blk = F.size(F.filter(b, lambda x: x > v))
     else:
         blk = F.size(F.filter(b, lambda x: x < v))
-    out = tagged.withColumn(_BLK, F.coalesce(blk, F.lit(0)))
-    return out.drop(_BOUNDS)
+    return tagged.withColumn(_BLK, F.coalesce(blk, F.lit(0))).drop(_BOUNDS)
 
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
