@@ -106,18 +106,27 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
     return counted.select(*df.columns, (F.col(f"{tmp}_cum") - 1 + start).cast("long").alias(name))
 
 
+def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``ci, v``: one row per non-null, non-NaN value (column index, value)."""
+    return (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
+                                          for i, c in enumerate(cols)])).alias("s"))
+            .select("s.ci", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
+
+
 def column_stats(df: DataFrame, cols: Sequence[str], extra: bool = False) -> DataFrame:
-    """One aggregate over all columns, returned long: ``ci, n, lo, hi`` (and
-    ``mean, std`` with ``extra``) over the non-null, non-NaN values. NaN is
-    turned into null in a projection first, so the aggregate itself stays
-    plain (small generated code even for many columns)."""
-    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"_c{i}")
-                        for i, c in enumerate(cols)])
-    fields = lambda i: [F.lit(i).alias("ci"), F.count(f"_c{i}").alias("n"),
-                        F.min(f"_c{i}").alias("lo"), F.max(f"_c{i}").alias("hi")] + (
-        [F.avg(f"_c{i}").alias("mean"), F.stddev_samp(f"_c{i}").alias("std")] if extra else [])
-    row = clean.agg(*[F.struct(*fields(i)).alias(f"_s{i}") for i in range(len(cols))])
-    return row.select(F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("s")).select("s.*")
+    """``ci, n, lo, hi`` (and ``mean, std`` with ``extra``) per column over
+    the non-null, non-NaN values. Computed long (one group per column,
+    combined map-side): a single wide aggregate would hold several buffer
+    fields per column and lose whole-stage code generation past 100 fields."""
+    aggs = [F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    if extra:
+        aggs += [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+    stats = _long_values(df, cols).groupBy("ci").agg(*aggs)
+    # Columns with no valid value keep a row (count 0).
+    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("ci"))
+    return (every.join(stats, "ci", "left")
+            .select("ci", F.coalesce(F.col("n"), F.lit(0)).alias("n"),
+                    *[c for c in ["lo", "hi"] + (["mean", "std"] if extra else [])]))
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -149,9 +158,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # One row per column (ci, n, lo, hi); a caller that already has them passes them in.
     stats = stats if stats is not None else materialize(column_stats(df, cols))
 
-    long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
-                                          for i, c in enumerate(cols)])).alias("s"))
-            .select("s.ci", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
+    long = _long_values(df, cols)
     width = F.col("hi") - F.col("lo")
     bin_of = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * F.lit(float(bins))),
                                        F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
