@@ -62,13 +62,14 @@ def describe_columns(df: DataFrame, cols: Sequence[str], blocks: int | None = No
             .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], wide_from: int = 9) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str], wide_from: int = 6) -> DataFrame:
     """A5: Pearson correlation of every pair of columns (label included if
     listed), long as ``col_a, col_b, r``.
 
     Few columns: one aggregate with a ``corr`` per pair (pairwise complete
     rows, as pandas). From ``wide_from`` columns on, the pair aggregates grow
-    quadratically inside one aggregation (73 columns: 2,701 of them), so the
+    quadratically inside one aggregation (six buffer fields each; past 100
+    fields Spark drops whole-stage code generation; 73 columns: 2,701 pairs), so the
     columns are assembled into a vector and Spark ML computes the matrix in one
     distributed pass (a Gram-matrix tree aggregate); rows with a null or NaN in
     any listed column are left out, as the source application drops them
