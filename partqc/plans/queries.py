@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import class_probability, cutoff_class, round6
-from ..operators import evaluate, features, models, prep, profile, sampling, smote
+from ..operators import evaluate, features, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
 from ..sources.tables import EV_FEATURES, embeddings_array_view, events_view, table

@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from partqc.operators import models
 from partqc.schema import FEATURES, message_schema
