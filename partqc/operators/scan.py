@@ -131,7 +131,8 @@ def column_stats(df: DataFrame, cols: Sequence[str], extra: bool = False) -> Dat
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     blocks: int | None = None, bins: int = 4096,
-                    stats: DataFrame | None = None) -> DataFrame:
+                    stats: DataFrame | None = None, max_candidates: int = 65_536,
+                    max_levels: int = 6) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (position ``p * (n - 1)``), the definition of ``percentile`` /
     ``quantile_cont``. Nulls and NaN are ignored. Returns ``column, prob,
@@ -140,54 +141,44 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     No task holds all values of a column (as ``percentile`` would):
 
     1. one aggregate gives count, min and max per column;
-    2. an equal-width histogram of ``bins`` bins per column (at most
-       len(cols) x bins rows) and its prefix sums locate the bins that hold
-       the two ranks around every wanted position;
-    3. only the rows inside those bins are counted by distinct value and
-       ranked with :func:`running_totals`, offset by the rows below the bins.
-
-    The small stats and bracket tables and the candidate rows are
-    checkpointed, so each step reads its input once instead of re-running
-    the earlier steps in every branch of the plan.
-
-    Exact for any data; a column whose values crowd into one bin only makes
-    step 3 larger (hot values are one row each after the distinct count).
+    2. narrowing: every target rank keeps a value range ``[a, b]`` and the
+       count of values below it. An equal-width histogram of ``bins`` bins
+       over each range (with per-bin min and max) locates the bins holding the
+       two ranks around the wanted position; their exact min and max become
+       the next range. Levels repeat while a range holds more than
+       ``max_candidates`` values, so heavy tails and sentinel values do not
+       keep everything in one bin;
+    3. only the values inside the final ranges are counted by distinct value
+       and ranked with :func:`running_totals`, offset by the values below.
+
+    The small per-target state is checkpointed at every level (at most
+    len(cols) x len(probs) rows), so no level re-runs the previous ones.
     """
     cols = list(cols)
     probs = [float(p) for p in probs]
     # One row per column (ci, n, lo, hi); a caller that already has them passes them in.
     stats = stats if stats is not None else materialize(column_stats(df, cols))
-
     long = _long_values(df, cols)
-    width = F.col("hi") - F.col("lo")
-    bin_of = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * F.lit(float(bins))),
-                                       F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    # Broadcast bound: one stats row per column.
-    tagged = long.join(F.broadcast(stats.select("ci", "lo", "hi")), "ci").select("ci", "v", bin_of.alias("b"))
-
-    hist = tagged.groupBy("ci", "b").agg(F.count(F.lit(1)).alias("hc"))
-    below = Window.partitionBy("ci").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("hb", F.coalesce(F.sum("hc").over(below), F.lit(0)))  # <= bins rows per column
 
     pos = F.col("p") * (F.col("n") - 1)
-    targets = (stats.where(F.col("n") > 0)
-               .select("ci", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-               .select("ci", "p", F.floor(pos).alias("k_lo"), F.ceil(pos).alias("k_hi"),
-                       (pos - F.floor(pos)).alias("frac")))
-    # Each histogram row keeps only the target ranks that fall inside its bin
-    # (the per-column target list has len(probs) entries; nothing is paired).
-    per_col = targets.groupBy("ci").agg(F.collect_list(F.struct("p", "k_lo", "k_hi")).alias("ts"))
-    inside = lambda k: lambda t: (F.col("hb") <= t[k]) & (t[k] < F.col("hb") + F.col("hc"))
-    hist_t = hist.join(F.broadcast(per_col), "ci")  # broadcast bound: one row per column
-    lo_bin = (hist_t.select("ci", "b", "hb", F.explode(F.filter("ts", inside("k_lo"))).alias("t"))
-              .select("ci", F.col("t.p").alias("p"), F.col("b").alias("b_lo"), F.col("hb").alias("before")))
-    hi_bin = (hist_t.select("ci", "b", F.explode(F.filter("ts", inside("k_hi"))).alias("t"))
-              .select("ci", F.col("t.p").alias("p"), F.col("b").alias("b_hi")))
-    brackets = materialize(targets.join(lo_bin, ["ci", "p"]).join(hi_bin, ["ci", "p"]))  # cols x probs rows
+    state = materialize(
+        stats.where(F.col("n") > 0)
+        .select("ci", "n", "lo", "hi", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+        .select("ci", "p", F.floor(pos).alias("k_lo"), F.ceil(pos).alias("k_hi"),
+                (pos - F.floor(pos)).alias("frac"), F.col("lo").alias("a"), F.col("hi").alias("b"),
+                F.lit(0).cast("long").alias("before"), F.col("n").cast("long").alias("ncand")))
+
+    previous = None
+    for _ in range(max_levels):
+        widest = state.agg(F.max("ncand")).first()[0] or 0  # one number
+        if widest <= max_candidates or widest == previous:
+            break
+        previous = widest
+        state = _narrow(long, state, bins)
 
     # Broadcast bound: len(cols) x len(probs) rows.
-    cand = materialize(tagged.join(F.broadcast(brackets.select("ci", "p", "b_lo", "b_hi")), "ci")
-                       .where((F.col("b") >= F.col("b_lo")) & (F.col("b") <= F.col("b_hi")))
+    cand = materialize(long.join(F.broadcast(state.select("ci", "p", "a", "b")), "ci")
+                       .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
                        .select("ci", "p", "v"))
     counts = cand.groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt"))
     ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["ci", "p"], blocks=blocks)
@@ -196,7 +187,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     last = F.col("before") + F.col("cnt_cum") - 1
     in_lo = (F.col("k_lo") >= first) & (F.col("k_lo") <= last)
     in_hi = (F.col("k_hi") >= first) & (F.col("k_hi") <= last)
-    hit = ranked.join(F.broadcast(brackets.select("ci", "p", "k_lo", "k_hi", "frac", "before")), ["ci", "p"]) \
+    hit = ranked.join(F.broadcast(state.select("ci", "p", "k_lo", "k_hi", "frac", "before")), ["ci", "p"]) \
         .where(in_lo | in_hi)
     picked = hit.groupBy("ci", "p").agg(
         F.max(F.when(in_lo, F.col("v"))).alias("v_lo"),
@@ -206,3 +197,42 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return picked.select(
         F.element_at(names, F.col("ci") + 1).alias("column"), F.col("p").alias("prob"),
         (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("quantile"))
+
+
+def _narrow(long: DataFrame, state: DataFrame, bins: int) -> DataFrame:
+    """One narrowing level: histogram every distinct range of the state, keep
+    per target the bins holding its two ranks, return the new (checkpointed)
+    state."""
+    # Distinct ranges (targets of one column share a range at the first level,
+    # so values are not repeated per target).
+    ranges = state.select("ci", "a", "b").distinct().withColumn(
+        "rid", F.xxhash64("ci", "a", "b"))
+    width = F.col("b") - F.col("a")
+    bin_of = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("a")) / width * F.lit(float(bins))),
+                                       F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+    # Broadcast bound: at most len(cols) x len(probs) ranges.
+    inr = (long.join(F.broadcast(ranges), "ci")
+           .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
+           .select("rid", "v", bin_of.alias("bin")))
+    hist = inr.groupBy("rid", "bin").agg(F.count(F.lit(1)).alias("hc"), F.min("v").alias("vmin"),
+                                          F.max("v").alias("vmax"))
+    below = Window.partitionBy("rid").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("hb", F.coalesce(F.sum("hc").over(below), F.lit(0)))  # <= bins rows per range
+
+    tgt = state.join(ranges, ["ci", "a", "b"]).select(
+        "rid", "ci", "p", "k_lo", "k_hi", "frac", "before",
+        (F.col("k_lo") - F.col("before")).alias("kl"), (F.col("k_hi") - F.col("before")).alias("kh"))
+    # Each histogram row keeps only the ranks inside its bin (a few per range).
+    per_range = tgt.groupBy("rid").agg(F.collect_list(F.struct("p", "kl", "kh")).alias("ts"))
+    inside = lambda k: lambda t: (F.col("hb") <= t[k]) & (t[k] < F.col("hb") + F.col("hc"))
+    hist_t = hist.join(F.broadcast(per_range), "rid")
+    lo_bin = (hist_t.select("rid", "hb", "vmin", F.explode(F.filter("ts", inside("kl"))).alias("t"))
+              .select("rid", F.col("t.p").alias("p"), F.col("hb").alias("hb_lo"), F.col("vmin").alias("a")))
+    hi_bin = (hist_t.select("rid", "hb", "hc", "vmax", F.explode(F.filter("ts", inside("kh"))).alias("t"))
+              .select("rid", F.col("t.p").alias("p"), (F.col("hb") + F.col("hc")).alias("hb_hi"),
+                      F.col("vmax").alias("b")))
+    new = (tgt.join(lo_bin, ["rid", "p"]).join(hi_bin, ["rid", "p"])
+           .select("ci", "p", "k_lo", "k_hi", "frac", "a", "b",
+                   (F.col("before") + F.col("hb_lo")).alias("before"),
+                   (F.col("hb_hi") - F.col("hb_lo")).alias("ncand")))
+    return materialize(new)

@@ -214,3 +214,14 @@ def test_rounded_roc_has_bounded_points(spark):
     rounded = evaluate.roc_curve(ev, "y", "p1", decimals=2).toPandas()
     assert len(rounded) <= 102 < exact
     assert rounded["fpr"].max() == pytest.approx(1.0) and rounded["tpr"].max() == pytest.approx(1.0)
+
+
+def test_exact_quantiles_heavy_tail(spark):
+    """Sentinel values far from the bulk force several narrowing levels."""
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.normal(50, 5, size=5000), [1e12, -1e12, 9999.0]])
+    df = spark.createDataFrame(pd.DataFrame({"a": vals}))
+    got = {r["prob"]: r["quantile"]
+           for r in scan.exact_quantiles(df, ["a"], [0.01, 0.5, 0.99], bins=16, max_candidates=50).collect()}
+    for p in (0.01, 0.5, 0.99):
+        assert got[p] == pytest.approx(np.quantile(vals, p), rel=1e-12)
