@@ -79,11 +79,22 @@ def _cut(df: DataFrame, keys: list[str], out_col: str, group_cols: list[str], st
     if levels > 1 and start + prefix_len <= 32:
         rest = _cut(straddle.select(*cols), keys, out_col, group_cols, start + prefix_len, prefix_len, levels - 1)
     else:
-        rank_w = Window.partitionBy(*group_cols, "_pre").orderBy("_h", *keys)
+        # Ties on (hash, key) only occur for repeated keys; a hash of the whole
+        # row orders those repeatably (fully identical rows are interchangeable).
+        row_hash = F.xxhash64(*[F.col(c) for c in cols if not c.startswith("_")])
+        rank_w = Window.partitionBy(*group_cols, "_pre").orderBy("_h", *keys, row_hash)
         rest = straddle.withColumn(out_col, F.row_number().over(rank_w) <= F.col("_need")).select(*cols, out_col)
     return settled.unionByName(rest)
 
 
+def duplicate_keys(df: DataFrame, key: KeyCols) -> DataFrame:
+    """Keys that occur more than once, with their counts (pre-aggregated per
+    key). Hash-keyed sampling treats equal keys as one draw, so keys should
+    identify rows."""
+    keys = _key_list(key)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
 def undersample_bernoulli(df: DataFrame, label: str, key: KeyCols, seed: int = 13,
                           majority: int = 0, minority: int = 1) -> DataFrame:
     """Keep every minority row and each majority row with probability

@@ -225,3 +225,15 @@ def test_exact_quantiles_heavy_tail(spark):
            for r in scan.exact_quantiles(df, ["a"], [0.01, 0.5, 0.99], bins=16, max_candidates=50).collect()}
     for p in (0.01, 0.5, 0.99):
         assert got[p] == pytest.approx(np.quantile(vals, p), rel=1e-12)
+
+
+def test_duplicate_keys_and_repeatable_ties(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn(
+        "y", (F.col("l_returnflag") == "R").cast("int"))
+    assert sampling.duplicate_keys(li, ["l_orderkey", "l_linenumber"]).count() > 0
+    picks = []
+    for n in (1, 8):
+        df = li.repartition(n)
+        out = sampling.flag_first_n(df, 13, "l_orderkey", 5000, "f").where("f")
+        picks.append(sorted(tuple(r) for r in out.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity").collect()))
+    assert len(picks[0]) == 5000 and picks[0] == picks[1]
