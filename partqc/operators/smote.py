@@ -3,9 +3,12 @@
 Neighbours (euclidean, ties by key, the row itself excluded) are found
 exactly without emitting all pairs:
 
-1. ``P`` pivots (the rows first in ``md5(seed:key)`` order, P bounded by
-   ``max_pivots``) are broadcast; each row joins the cell of its nearest
-   pivot. Per cell: size and radius (max distance to the pivot).
+1. A two-level pivot tree: up to ``fanout`` top pivots (the rows first in
+   ``md5(seed:key)`` order), and inside every large top cell up to
+   ``fanout`` sub-pivots chosen the same way; the leaves (at most
+   ``fanout``^2, broadcast) are the cells. Each row finds its top pivot, then
+   its nearest sub-pivot there. Per cell: size and radius (max distance of
+   its rows to its pivot); per top cell the same for the top pivot.
 2. Round 1: neighbours inside the own cell. A cell is cut into hash blocks
    of at most about ``block`` rows; a task compares one block of queries with
    one block of candidates (vectorised numpy, Arrow batches) and returns only
@@ -13,7 +16,8 @@ exactly without emitting all pairs:
    k-th neighbour so far.
 3. Round 2: by the triangle inequality a row of cell j is at least
    ``d(x, pivot_j) - radius_j`` from x, so x visits only the cells where that
-   bound is <= r. Visits are blocked the same way.
+   bound is <= r; top cells are tested first and only the leaves of the
+   surviving ones after. Visits are blocked the same way.
 4. The k best of all candidates per row are the exact neighbours.
 
 Memory per task is bounded by the block size; skew (a large cell) turns into
@@ -103,24 +107,62 @@ def _assign_cells(pivots_bc):
     return run
 
 
-def _candidate_cells(pivots_bc, radius_bc, slack: float = 1e-9):
+def _assign_leaves(sub_bc, off_bc):
+    """mapInPandas body: row with top cell ``c1`` -> nearest sub-pivot of that
+    top cell (global leaf id) and the distance to it."""
     def run(batches):
-        P = pivots_bc.value
-        rad = radius_bc.value
+        P2 = sub_bc.value
+        off = off_bc.value  # off[c1] .. off[c1 + 1]: leaves of top cell c1
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.drop(columns=["c1"]).assign(cell=pd.Series([], dtype="int32"),
+                                                      dcell=pd.Series([], dtype="float64"))
+                continue
+            X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+            c1 = pdf["c1"].to_numpy()
+            cell = np.zeros(len(pdf), dtype=np.int64)
+            dcell = np.zeros(len(pdf), dtype=np.float64)
+            for t in np.unique(c1):
+                rows = np.nonzero(c1 == t)[0]
+                lo, hi = off[t], off[t + 1]
+                d = np.sqrt(_sq_dist(X[rows], P2[lo:hi]))
+                j = np.argmin(d, axis=1)
+                cell[rows] = lo + j
+                dcell[rows] = d[np.arange(len(rows)), j]
+            yield pdf.drop(columns=["c1"]).assign(cell=cell.astype("int32"), dcell=dcell)
+    return run
+
+
+def _candidate_leaves(top_bc, top_rad_bc, sub_bc, off_bc, leaf_rad_bc, slack: float = 1e-9):
+    """mapInPandas body: for each row (own cell, bound r) the other leaves
+    that may hold a row within r: top cells first, then their leaves."""
+    def run(batches):
+        P1, R1 = top_bc.value, top_rad_bc.value
+        P2, off, R2 = sub_bc.value, off_bc.value, leaf_rad_bc.value
         for pdf in batches:
             if pdf.empty:
                 yield pd.DataFrame({"key": pd.Series([], dtype="int64"), "x": pd.Series([], dtype=object),
                                     "tcell": pd.Series([], dtype="int32")})
                 continue
             X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            d = np.sqrt(_sq_dist(X, P))
-            bound = d - rad[None, :]
             r = pdf["r"].to_numpy(dtype=np.float64)
-            ok = bound <= (r + slack * (1.0 + np.where(np.isfinite(r), r, 0.0)))[:, None]
-            ok[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False  # own cell done in round 1
-            rows, cells = np.nonzero(ok)
-            yield pd.DataFrame({"key": pdf["key"].to_numpy()[rows], "x": pdf["x"].to_numpy()[rows],
-                                "tcell": cells.astype("int32")})
+            lim = r + slack * (1.0 + np.where(np.isfinite(r), r, 0.0))
+            own = pdf["cell"].to_numpy()
+            keys, xs = pdf["key"].to_numpy(), pdf["x"].to_numpy()
+            top_ok = (np.sqrt(_sq_dist(X, P1)) - R1[None, :]) <= lim[:, None]
+            out_rows, out_cells = [], []
+            for t in np.nonzero(top_ok.any(axis=0))[0]:
+                rows = np.nonzero(top_ok[:, t])[0]
+                lo, hi = off[t], off[t + 1]
+                ok = (np.sqrt(_sq_dist(X[rows], P2[lo:hi])) - R2[None, lo:hi]) <= lim[rows][:, None]
+                rr, cc = np.nonzero(ok)
+                cells = lo + cc
+                keep = cells != own[rows[rr]]  # the own cell was done in round 1
+                out_rows.append(rows[rr][keep])
+                out_cells.append(cells[keep])
+            rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
+            cells = np.concatenate(out_cells) if out_cells else np.zeros(0, dtype=np.int64)
+            yield pd.DataFrame({"key": keys[rows], "x": xs[rows], "tcell": cells.astype("int32")})
     return run
 
 
@@ -170,38 +212,68 @@ class SmoteResult:
 
 class Smote:
     """SMOTE with ``k`` neighbours and a seed; ``block`` bounds the rows per
-    task in the neighbour search, ``cell_size`` sets the number of pivots."""
+    task in the neighbour search, ``cell_size`` is the target leaf size and
+    ``fanout`` the pivots per tree level (at most ``fanout``^2 leaves)."""
 
     def __init__(self, k: int = 5, seed: int = 2, block: int = 2048, cell_size: int = 512,
-                 max_pivots: int = 4096):
+                 fanout: int = 256):
         self.k, self.seed, self.block = k, seed, block
-        self.cell_size, self.max_pivots = cell_size, max_pivots
+        self.cell_size, self.fanout = cell_size, fanout
         self._cached: list[DataFrame] = []
 
     def neighbours(self, minority: DataFrame, key: str, m: int) -> DataFrame:
         """Exact k nearest neighbours of every row of ``minority`` (key, x)."""
         spark = minority.sparkSession
         k = min(self.k, max(0, m - 1))
-        n_piv = int(min(self.max_pivots, max(1, math.ceil(m / self.cell_size))))
-        piv_rows = flag_first_n(minority, f"{self.seed}:pivot", key, n_piv, "_p").where("_p").select("x").collect()
-        pivots = np.array([list(r["x"]) for r in piv_rows], dtype=np.float64)
         sc = spark.sparkContext
-        pivots_bc = sc.broadcast(pivots)
-
+        fan, leaf = self.fanout, self.cell_size
         cell_schema = T.StructType(minority.schema.fields + [
             T.StructField("cell", T.IntegerType()), T.StructField("dcell", T.DoubleType())])
-        assigned = minority.mapInPandas(_assign_cells(pivots_bc), cell_schema)
+
+        # Level 1: top pivots (<= fanout rows collected and broadcast).
+        n1 = int(min(fan, max(1, math.ceil(m / leaf))))
+        top = flag_first_n(minority, f"{self.seed}:pivot", key, n1, "_p").where("_p").select("x").collect()
+        P1 = np.array([list(r["x"]) for r in top], dtype=np.float64)
+        top_bc = sc.broadcast(P1)
+        lvl1 = (minority.mapInPandas(_assign_cells(top_bc), cell_schema)
+                .withColumnRenamed("cell", "c1").withColumnRenamed("dcell", "d1")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+        self._cached.append(lvl1)
+        cnt1, R1 = np.zeros(len(P1), dtype=np.int64), np.zeros(len(P1))
+        for row in lvl1.groupBy("c1").agg(F.count(F.lit(1)).alias("n"), F.max("d1").alias("r")).collect():
+            cnt1[row["c1"]], R1[row["c1"]] = row["n"], row["r"]  # <= fanout rows
+        top_rad_bc = sc.broadcast(R1)
+
+        # Level 2: up to fanout sub-pivots per top cell (<= fanout^2 rows).
+        k2 = [int(min(fan, max(1, math.ceil(c / leaf)))) for c in cnt1]
+        need = F.element_at(F.array(*[F.lit(v) for v in k2]), F.col("c1") + 1)
+        subs = (flag_first_n(lvl1.select(key, "x", "c1"), f"{self.seed}:sub", key, need, "_s", group_cols=["c1"])
+                .where("_s").select("c1", "x").collect())
+        by_top: dict[int, list] = {}
+        for row in subs:
+            by_top.setdefault(int(row["c1"]), []).append(list(row["x"]))
+        off = np.zeros(len(P1) + 1, dtype=np.int64)
+        blocks_p2 = []
+        for t in range(len(P1)):
+            pts = sorted(by_top.get(t, [])) or [list(P1[t])]  # an empty top cell keeps its pivot
+            blocks_p2.append(np.array(pts, dtype=np.float64))
+            off[t + 1] = off[t] + len(pts)
+        P2 = np.concatenate(blocks_p2)
+        sub_bc, off_bc = sc.broadcast(P2), sc.broadcast(off)
+        pivots = P2  # the leaves are the cells below
+
+        assigned = lvl1.select(key, "x", "c1").mapInPandas(_assign_leaves(sub_bc, off_bc), cell_schema)
         stats = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"), F.max("dcell").alias("radius"))
         stats = stats.withColumn("nsub", F.greatest(F.lit(1), F.ceil(F.col("cnt") / F.lit(self.block))).cast("int"))
-        # Bounded broadcast: one row per pivot (<= max_pivots).
+        # Bounded broadcast: one row per leaf (<= fanout^2).
         assigned = (assigned.join(F.broadcast(stats.select("cell", "nsub")), "cell")
                     .withColumn("b", (seeded_u32(f"{self.seed}:blk", key) % F.col("nsub")).cast("int"))
                     .persist(StorageLevel.MEMORY_AND_DISK))
         self._cached.append(assigned)
         radius = np.zeros(len(pivots))
-        for row in stats.select("cell", "radius").collect():  # <= max_pivots rows
+        for row in stats.select("cell", "radius").collect():  # <= fanout^2 rows
             radius[row["cell"]] = row["radius"]
-        radius_bc = sc.broadcast(radius)
+        leaf_rad_bc = sc.broadcast(radius)
 
         # Round 1: own cell, blocks (cell, a = candidate block, b = query block).
         seqs = F.sequence(F.lit(0), F.col("nsub") - 1)
@@ -223,7 +295,8 @@ class Smote:
                            F.when(F.coalesce(F.col("nfound"), F.lit(0)) >= k, F.col("dk"))
                            .otherwise(F.lit(float("inf"))).alias("r")))
         visit_schema = "key long, x array<double>, tcell int"
-        visits = bounded.mapInPandas(_candidate_cells(pivots_bc, radius_bc), visit_schema)
+        visits = bounded.mapInPandas(
+            _candidate_leaves(top_bc, top_rad_bc, sub_bc, off_bc, leaf_rad_bc), visit_schema)
         vcount = visits.groupBy(F.col("tcell").alias("cell")).agg(F.count(F.lit(1)).alias("nvis"))
         vcount = vcount.withColumn("nq", F.greatest(F.lit(1), F.ceil(F.col("nvis") / F.lit(self.block))).cast("int"))
         # Round 2: visited cells, blocks (cell, a = candidate block, c = visit chunk).

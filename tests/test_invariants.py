@@ -120,11 +120,12 @@ def test_smote_neighbours_exact_with_many_cells(spark):
     for i, k in enumerate(keys):
         order = np.lexsort((keys, d[i]))[:5]
         expected[int(k)] = [int(keys[j]) for j in order]
-    nb = Smote(k=5, seed=2, cell_size=4, block=3).neighbours(em.select("vec_id", "x"), "vec_id", len(keys))
-    got = {}
-    for r in nb.orderBy("vec_id", "rank").collect():
-        got.setdefault(r["vec_id"], []).append(r["neighbour"])
-    assert got == expected
+    for params in (dict(cell_size=4, block=3), dict(cell_size=2, fanout=4, block=3)):
+        nb = Smote(k=5, seed=2, **params).neighbours(em.select("vec_id", "x"), "vec_id", len(keys))
+        got = {}
+        for r in nb.orderBy("vec_id", "rank").collect():
+            got.setdefault(r["vec_id"], []).append(r["neighbour"])
+        assert got == expected, params
 
 
 def test_roc_points_monotone(spark):
@@ -237,3 +238,25 @@ def test_duplicate_keys_and_repeatable_ties(spark):
         out = sampling.flag_first_n(df, 13, "l_orderkey", 5000, "f").where("f")
         picks.append(sorted(tuple(r) for r in out.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity").collect()))
     assert len(picks[0]) == 5000 and picks[0] == picks[1]
+
+
+def test_smote_neighbours_exact_two_level_on_events(spark):
+    """2,014 minority rows, 8 x 8 leaves of ~32 rows, blocks of 16: both tree
+    levels, both rounds and many blocks per leaf; equal to brute force."""
+    ev = events_view(spark, SF01).where("y = 1").select(
+        F.col("event_id"), F.array("value", "user_id", "k").alias("x"))
+    pdf = ev.toPandas()
+    X = np.stack(pdf["x"].to_numpy()).astype(float)
+    keys = pdf["event_id"].to_numpy()
+    d = np.zeros((len(X), len(X)))
+    for j in range(X.shape[1]):
+        diff = X[:, j][:, None] - X[:, j][None, :]
+        d += diff * diff
+    d = np.sqrt(d)
+    np.fill_diagonal(d, np.inf)
+    expected = {int(k): [int(keys[j]) for j in np.lexsort((keys, d[i]))[:5]] for i, k in enumerate(keys)}
+    nb = Smote(k=5, seed=2, cell_size=32, fanout=8, block=16).neighbours(ev, "event_id", len(keys))
+    got = {}
+    for r in nb.orderBy("event_id", "rank").collect():
+        got.setdefault(r["event_id"], []).append(r["neighbour"])
+    assert got == expected
