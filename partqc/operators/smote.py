@@ -230,6 +230,14 @@ class Smote:
         cell_schema = T.StructType(minority.schema.fields + [
             T.StructField("cell", T.IntegerType()), T.StructField("dcell", T.DoubleType())])
 
+        if m <= leaf:
+            # Everything fits one leaf: no pivots, round 1 compares all blocks.
+            one = minority.withColumn("cell", F.lit(0)).withColumn("nsub", F.lit(
+                max(1, math.ceil(m / self.block))))
+            one = one.withColumn("b", (seeded_u32(f"{self.seed}:blk", key) % F.col("nsub")).cast("int"))
+            return self._round1(one, key, k).select(
+                F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
+
         # Level 1: top pivots (<= fanout rows collected and broadcast).
         n1 = int(min(fan, max(1, math.ceil(m / leaf))))
         top = flag_first_n(minority, f"{self.seed}:pivot", key, n1, "_p").where("_p").select("x").collect()
@@ -275,14 +283,7 @@ class Smote:
             radius[row["cell"]] = row["radius"]
         leaf_rad_bc = sc.broadcast(radius)
 
-        # Round 1: own cell, blocks (cell, a = candidate block, b = query block).
-        seqs = F.sequence(F.lit(0), F.col("nsub") - 1)
-        refs = assigned.select(F.col("cell").alias("g"), F.col("b").alias("ga"), F.explode(seqs).alias("gb"),
-                               F.lit("r").alias("role"), F.col(key).alias("key"), "x")
-        qrys = assigned.select(F.col("cell").alias("g"), F.explode(seqs).alias("ga"), F.col("b").alias("gb"),
-                               F.lit("q").alias("role"), F.col(key).alias("key"), "x")
-        cand1 = refs.unionByName(qrys).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
-        best1 = self._top_k(cand1, k).persist(StorageLevel.MEMORY_AND_DISK)
+        best1 = self._round1(assigned, key, k).persist(StorageLevel.MEMORY_AND_DISK)
         self._cached.append(best1)
 
         if len(pivots) == 1:  # one cell: round 1 already compared all pairs of blocks
@@ -314,6 +315,17 @@ class Smote:
         final = self._top_k(best1.select("qkey", "nkey", "distance").unionByName(cand2), k)
         return final.select(F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
 
+    def _round1(self, assigned: DataFrame, key: str, k: int) -> DataFrame:
+        """Round 1: neighbours inside the own cell; groups (cell, a = candidate
+        block, b = query block), the k best per query."""
+        seqs = F.sequence(F.lit(0), F.col("nsub") - 1)
+        refs = assigned.select(F.col("cell").alias("g"), F.col("b").alias("ga"), F.explode(seqs).alias("gb"),
+                               F.lit("r").alias("role"), F.col(key).alias("key"), "x")
+        qrys = assigned.select(F.col("cell").alias("g"), F.explode(seqs).alias("ga"), F.col("b").alias("gb"),
+                               F.lit("q").alias("role"), F.col(key).alias("key"), "x")
+        cand1 = refs.unionByName(qrys).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
+        return self._top_k(cand1, k)
+
     @staticmethod
     def _top_k(cands: DataFrame, k: int) -> DataFrame:
         # One group per query row holding at most k x (blocks visited) rows.
