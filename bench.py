@@ -21,7 +21,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from partqc.operators import evaluate, models, profile, sampling  # noqa: E402
 from partqc.operators.smote import Smote  # noqa: E402
 from partqc.plans import train  # noqa: E402
-from partqc.schema import FEATURES, message_schema  # noqa: E402
+from partqc.schema import FEATURES, csv_schema, message_schema  # noqa: E402
+from partqc.sources import files  # noqa: E402
 from partqc.session import local_session, scratch_path  # noqa: E402
 from partqc.sources.tables import (EV_FEATURES, LI_FEATURES, embeddings_array_view,  # noqa: E402
                                    events_view, lineitem_view, table)
@@ -42,7 +43,7 @@ def machine_frame(spark, sf):
             F.col("l_tax") * 100.0]
     cols = [(base[i % 4] * (1.0 + (i // 4) / 10.0) + base[(i + 1) % 4] * ((i % 7) / 7.0)).alias(name)
             for i, name in enumerate(FEATURES)]
-    return li.select((F.col("l_returnflag") == "R").cast("double").alias("reason"), *cols)
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("reason"), *cols)
 
 
 def main():
@@ -94,6 +95,13 @@ def main():
     machine_frame(spark, sf).repartition(parts).write.mode("overwrite").parquet(wide_path)
     mf = spark.read.parquet(wide_path)
     wide = mf
+    # The same table as a prepared CSV: scan with the explicit schema (our
+    # default) and with type inference (the source job's way: one more pass).
+    csv_path = scratch_path(spark, "bench_csv")
+    files.write_csv(mf, csv_path)
+    explicit = csv_schema(FEATURES, "reason", index_col=None)
+    timed("csv_scan_schema", lambda: run(files.read_csv(spark, csv_path, schema=explicit, drop_index=None)))
+    timed("csv_scan_infer", lambda: run(files.read_csv(spark, csv_path, infer=True, drop_index=None)))
     # Profiles over all 72 readings + label, as the analysis notebook does.
     timed("correlation_wide", lambda: run(profile.correlation_matrix(wide, ["reason", *FEATURES])))
     timed("describe_wide", lambda: run(profile.describe_columns(wide, ["reason", *FEATURES])))
