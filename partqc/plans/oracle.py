@@ -115,6 +115,14 @@ ORACLE: dict[str, str] = {
     "class_share": f"""
         SELECT y, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share
           FROM {EV} GROUP BY y""",
+    "class_share_labels": """
+        SELECT y, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share
+          FROM (SELECT CAST(quality = 0 AS INTEGER) AS y FROM labels) GROUP BY y""",
+    "imbalance_ratio_lineitem": """
+        SELECT n_major, n_minor, CAST(floor(n_major / n_minor) AS INTEGER) AS ratio
+          FROM (SELECT CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_major,
+                       CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_minor
+                  FROM lineitem)""",
     "describe_columns": " UNION ALL ".join(
         f"""SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean,
                    round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min,

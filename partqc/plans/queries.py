@@ -18,7 +18,8 @@ from ..functions.columns import class_probability, cutoff_class, round6
 from ..operators import evaluate, features, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
-from ..sources.tables import EV_FEATURES, embeddings_array_view, events_view, table
+from ..sources.tables import (EV_FEATURES, embeddings_array_view, events_view, labels_view,
+                              lineitem_view, table)
 from ..streaming import messages as msg
 from ..streaming import run as srun
 from ..streaming.score import score_messages
@@ -168,6 +169,16 @@ def q_class_share(spark, sf):
     return profile.class_share(_ev(spark, sf), "y").select("y", "count", round6("share").alias("share"))
 
 
+def q_class_share_labels(spark, sf):
+    """A3 on LB (y = quality 0)."""
+    return profile.class_share(labels_view(spark, sf), "y").select("y", "count", round6("share").alias("share"))
+
+
+def q_imbalance_ratio_lineitem(spark, sf):
+    """A2 on LI (y = return flag R; needs no key)."""
+    return profile.imbalance_ratio(lineitem_view(spark, sf), "y")
+
+
 def q_describe_columns(spark, sf):
     d = profile.describe_columns(_ev(spark, sf), ["y", *EV_FEATURES])
     return d.select("column", "count", *[round6(c).alias(c) for c in
@@ -384,6 +395,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_counts": q_class_counts,
     "imbalance_ratio": q_imbalance_ratio,
     "class_share": q_class_share,
+    "class_share_labels": q_class_share_labels,
+    "imbalance_ratio_lineitem": q_imbalance_ratio_lineitem,
     "describe_columns": q_describe_columns,
     "correlation_matrix": q_correlation_matrix,
     "undersample_bernoulli": q_undersample_bernoulli,
