@@ -260,3 +260,11 @@ def test_smote_neighbours_exact_two_level_on_events(spark):
     for r in nb.orderBy("event_id", "rank").collect():
         got.setdefault(r["event_id"], []).append(r["neighbour"])
     assert got == expected
+
+
+def test_rmse_matches_regression_evaluator(production):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    scored = production.scored.withColumn("yd", F.col("y").cast("double"))
+    ours = evaluate.rmse(scored, "yd").first()["rmse"]
+    theirs = RegressionEvaluator(labelCol="yd", predictionCol="prediction", metricName="rmse").evaluate(scored)
+    assert ours == pytest.approx(theirs, abs=1e-12)
