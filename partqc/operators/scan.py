@@ -145,9 +145,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
        count of values below it. An equal-width histogram of ``bins`` bins
        over each range (with per-bin min and max) locates the bins holding the
        two ranks around the wanted position; their exact min and max become
-       the next range. Levels repeat while a range holds more than
-       ``max_candidates`` values, so heavy tails and sentinel values do not
-       keep everything in one bin;
+       the next range. A first level runs when a range holds more values
+       than ``bins``; further levels while one holds more than
+       ``max_candidates``, so heavy tails and sentinel values do not keep
+       everything in one bin;
     3. only the values inside the final ranges are counted by distinct value
        and ranked with :func:`running_totals`, offset by the values below.
 
@@ -169,9 +170,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 F.lit(0).cast("long").alias("before"), F.col("n").cast("long").alias("ncand")))
 
     previous = None
-    for _ in range(max_levels):
+    for level in range(max_levels):
         widest = state.agg(F.max("ncand")).first()[0] or 0  # one number
-        if widest <= max_candidates or widest == previous:
+        # A first histogram level is far cheaper than ranking whole columns,
+        # so it runs whenever a range holds more values than it has bins.
+        if widest <= (max_candidates if level else bins) or widest == previous:
             break
         previous = widest
         state = _narrow(long, state, bins)
