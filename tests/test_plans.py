@@ -24,3 +24,8 @@ def test_pruned_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
     plan = _plan(queries()["roc_auc"](spark, SF01))
     assert "ReadSchema: struct<event_type:string,value:double>" in plan
+
+
+def test_json_parse_is_map_only(spark):
+    plan = _plan(queries()["json_flatten"](spark, SF01))
+    assert "Exchange" not in plan and plan.count("from_json") == 1
