@@ -186,7 +186,9 @@ class SmoteResult:
         """``new_id, base, neighbour, step, x`` for every synthetic row."""
         key = self.key
         idx = positions(self.minority, [key], name="idx", start=0)
-        draws = self.spark.range(self.n_new).select(
+        # About 2M synthetic rows per task, never fewer tasks than the cluster's parallelism.
+        parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(self.n_new / 2_000_000))
+        draws = self.spark.range(0, self.n_new, 1, parts).select(
             F.col("id").alias("new_id"),
             (seeded_u32(self.seed, [F.lit("b"), F.col("id").cast("string")]) % F.lit(self.m)).alias("idx"),
             (F.lit(1) + seeded_u32(self.seed, [F.lit("k"), F.col("id").cast("string")]) % F.lit(self.k)).alias("rank"),
