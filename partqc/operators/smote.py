@@ -34,12 +34,13 @@ New rows: for synthetic row ``i`` (0-based), base row = dense index
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,10 @@ from .scan import positions
 
 _CAND_SCHEMA = "qkey long, nkey long, distance double"
 
+# The task functions below run in Python workers. Ship them by value so the
+# workers need numpy and pandas but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _sq_dist(Q: np.ndarray, R: np.ndarray) -> np.ndarray:
     """Squared euclidean distances, summed coordinate by coordinate in order
