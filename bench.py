@@ -23,7 +23,7 @@ from partqc.operators.smote import Smote  # noqa: E402
 from partqc.plans import train  # noqa: E402
 from partqc.schema import FEATURES, csv_schema, message_schema  # noqa: E402
 from partqc.sources import files  # noqa: E402
-from partqc.session import local_session, scratch_path  # noqa: E402
+from partqc.session import local_session, scratch_path, stable_path  # noqa: E402
 from partqc.sources.tables import (EV_FEATURES, LI_FEATURES, embeddings_array_view,  # noqa: E402
                                    events_view, lineitem_view, table)
 from partqc.streaming import messages as msg  # noqa: E402
@@ -91,13 +91,14 @@ def main():
 
     # A machine-readings table (72 readings + label per lineitem row) written
     # once as parquet, as such a table would be stored (setup, not timed).
-    wide_path = scratch_path(spark, "bench_machine")
+    tag = os.path.basename(sf.rstrip("/"))
+    wide_path = stable_path(spark, f"bench_machine_{tag}")
     machine_frame(spark, sf).repartition(parts).write.mode("overwrite").parquet(wide_path)
     mf = spark.read.parquet(wide_path)
     wide = mf
     # The same table as a prepared CSV: scan with the explicit schema (our
     # default) and with type inference (the source job's way: one more pass).
-    csv_path = scratch_path(spark, "bench_csv")
+    csv_path = stable_path(spark, f"bench_csv_{tag}")
     files.write_csv(mf, csv_path)
     explicit = csv_schema(FEATURES, "reason", index_col=None)
     timed("csv_scan_schema", lambda: run(files.read_csv(spark, csv_path, schema=explicit, drop_index=None)))
@@ -114,7 +115,7 @@ def main():
     timed("json_score", lambda: run(score_messages(msgs, json_model, schema)))
 
     # The same scoring as a stream over message files (availableNow).
-    src = scratch_path(spark, "bench_msgs")
+    src = stable_path(spark, f"bench_msgs_{tag}")
     msgs.write.mode("overwrite").parquet(src)
     msgs.unpersist()
     sink, ckpt = scratch_path(spark, "bench_out"), scratch_path(spark, "bench_ckpt")

@@ -51,6 +51,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stable_path(spark: SparkSession, name: str) -> str:
+    """A fixed path under the shared checkpoint folder, for data that is
+    rewritten (mode overwrite) on every run rather than accumulated."""
+    return f"{checkpoint_root(spark)}/partqc/{name}"
+
+
 def materialize(df):
     """Reliable checkpoint into the shared checkpoint folder: cuts the lineage
     (later branches read the written data instead of recomputing it) and
