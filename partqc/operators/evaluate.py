@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scan import running_totals
@@ -143,20 +143,36 @@ def classification_report(df: DataFrame, label: str, prediction: str = "predicti
 def threshold_sweep(df: DataFrame, label: str, score: str, cutoffs: Sequence[float],
                     positive: int = 1) -> DataFrame:
     """Confusion matrix at each inclusive cut-off (``score >= c`` is
-    class 1): ``cutoff, actual, predicted, count``. One aggregate with four
-    conditional counts per cut-off; rows are not copied per cut-off."""
-    y1 = _is(label, positive)
+    class 1): ``cutoff, actual, predicted, count`` for every distinct cut-off.
+
+    Every row gets a bucket, the number of cut-offs at or below its score;
+    positives and negatives are counted per bucket (combined map-side), and
+    suffix sums over the ``len(cutoffs) + 1`` buckets give the cells at every
+    cut-off. Rows are neither copied per cut-off nor tested in one wide
+    aggregate, so any number of cut-offs costs one pass."""
+    cuts = sorted({float(c) for c in cutoffs})
     s = F.col(score).cast("double")
-    aggs, entries = [], []
-    for i, c in enumerate(cutoffs):
-        hit = s >= F.lit(float(c))
-        for a, ya in ((0, ~y1), (1, y1)):
-            for p, pp in ((0, ~hit), (1, hit)):
-                name = f"c{i}_{a}_{p}"
-                aggs.append(_count_if(ya & pp).alias(name))
-                entries.append(F.struct(F.lit(float(c)).alias("cutoff"), F.lit(a).alias("actual"),
-                                        F.lit(p).alias("predicted"), F.col(name).alias("count")))
-    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    y1 = _is(label, positive)
+    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= s))
+    per = df.groupBy(bucket.alias("bucket")).agg(_count_if(y1).alias("pos"), _count_if(~y1).alias("neg"))
+    # All buckets 0..T (T = number of cut-offs); bucket b > 0 starts at cut-off b - 1.
+    slots = F.explode(F.array(*[F.struct(F.lit(b).alias("bucket"),
+                                         (F.lit(cuts[b - 1]) if b else F.lit(None).cast("double")).alias("cutoff"))
+                                for b in range(len(cuts) + 1)])).alias("t")
+    every = per.sparkSession.range(1).select(slots).select("t.*")  # T + 1 rows
+    full = every.join(per, "bucket", "left").select(
+        "bucket", "cutoff", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg"))
+    # One window over T + 1 rows: suffix sums from the highest bucket down.
+    w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tot = Window.partitionBy()
+    at = full.select("bucket", "cutoff", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
+                     F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N")).where("bucket > 0")
+    cells = at.select("cutoff", F.explode(F.array(
+        F.struct(F.lit(0).alias("actual"), F.lit(0).alias("predicted"), (F.col("N") - F.col("fp")).alias("count")),
+        F.struct(F.lit(0).alias("actual"), F.lit(1).alias("predicted"), F.col("fp").alias("count")),
+        F.struct(F.lit(1).alias("actual"), F.lit(0).alias("predicted"), (F.col("P") - F.col("tp")).alias("count")),
+        F.struct(F.lit(1).alias("actual"), F.lit(1).alias("predicted"), F.col("tp").alias("count")))).alias("c"))
+    return cells.select("cutoff", "c.actual", "c.predicted", F.col("c.count").cast("long").alias("count"))
 
 
 def model_metrics(scored: DataFrame, label: str, prediction: str = "prediction",

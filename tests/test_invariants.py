@@ -268,3 +268,17 @@ def test_rmse_matches_regression_evaluator(production):
     ours = evaluate.rmse(scored, "yd").first()["rmse"]
     theirs = RegressionEvaluator(labelCol="yd", predictionCol="prediction", metricName="rmse").evaluate(scored)
     assert ours == pytest.approx(theirs, abs=1e-12)
+
+
+def test_threshold_sweep_many_cutoffs(spark):
+    ev = events_view(spark, SF01).withColumn("p1", F.col("value") / (F.col("value") + 20.0))
+    cuts = [i / 200 for i in range(200)]
+    got = {(r["cutoff"], r["actual"], r["predicted"]): r["count"]
+           for r in evaluate.threshold_sweep(ev, "y", "p1", cuts).collect()}
+    pdf = ev.select("y", "p1").toPandas()
+    for c in cuts[::37]:
+        pred = (pdf["p1"] >= c).astype(int)
+        for a in (0, 1):
+            for p in (0, 1):
+                assert got[(c, a, p)] == int(((pdf["y"] == a) & (pred == p)).sum())
+    assert len(got) == 4 * len(cuts)
