@@ -73,3 +73,12 @@ def test_analysis_flow(spark):
     analysis.write_outputs(prepared, "part_id", "reason", p1, p2)
     back = files.read_csv(spark, p2, infer=True)
     assert back.count() == 88 and "position" in back.columns
+
+
+def test_command_line_train(spark):
+    from partqc.__main__ import main
+    csv, model_path = scratch_path(spark, "cli_csv"), scratch_path(spark, "cli_model")
+    files.write_csv(_prepared(spark), csv)
+    rep = main(["train", "--csv", csv, "--model", model_path, "--key", "_c0", "--exact"], spark=spark)
+    assert rep.confusion.count() == 4
+    assert model_store.load_model(model_path) is not None
