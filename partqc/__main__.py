@@ -1,7 +1,8 @@
-"""Command-line entry for the two jobs, for use with spark-submit:
+"""Command-line entry for the two jobs (PySpark starts the session; cluster
+settings come from spark-defaults or PYSPARK_SUBMIT_ARGS):
 
-    spark-submit -m partqc train --csv data/prepared.csv --model model --key _c0
-    spark-submit -m partqc serve --model model --bootstrap host:9092 \
+    python -m partqc train --csv data/prepared.csv --model model --key _c0
+    python -m partqc serve --model model --bootstrap host:9092 \
         --input readings --output alerts --checkpoint /shared/checkpoints/alerts
 """
 
