@@ -282,3 +282,23 @@ def test_threshold_sweep_many_cutoffs(spark):
             for p in (0, 1):
                 assert got[(c, a, p)] == int(((pdf["y"] == a) & (pred == p)).sum())
     assert len(got) == 4 * len(cuts)
+
+
+def test_scans_repeatable_across_partitionings(spark):
+    from partqc.operators import profile
+    ev = events_view(spark, SF01)
+    outs = []
+    for n in (1, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        df = ev.repartition(n)
+        d = sorted(tuple(r) for r in profile.describe_columns(df, ["value", "k"]).collect())
+        roc = sorted(tuple(r) for r in evaluate.roc_curve(df, "y", "value").collect())
+        auc = evaluate.roc_auc(df, "y", "value").first()["auc"]
+        sweep = sorted(tuple(r) for r in evaluate.threshold_sweep(df, "y", "value", [5.0, 50.0]).collect())
+        outs.append((d, roc, auc, sweep))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    (d1, r1, a1, s1), (d2, r2, a2, s2) = outs
+    assert r1 == r2 and s1 == s2 and a1 == pytest.approx(a2, abs=1e-15)
+    for x, y in zip(d1, d2):
+        assert x[0] == y[0] and x[1] == y[1]
+        assert all(u == pytest.approx(v, rel=1e-12) for u, v in zip(x[2:], y[2:]))
