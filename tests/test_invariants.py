@@ -302,3 +302,12 @@ def test_scans_repeatable_across_partitionings(spark):
     for x, y in zip(d1, d2):
         assert x[0] == y[0] and x[1] == y[1]
         assert all(u == pytest.approx(v, rel=1e-12) for u, v in zip(x[2:], y[2:]))
+
+
+def test_smote_degenerate_classes(spark):
+    em = embeddings_array_view(spark, SF01)
+    with pytest.raises(ValueError):
+        Smote().prepare(em.where("y = 0"), "y", "vec_id", "x")
+    one = em.where("y = 0").unionByName(em.where("y = 1").orderBy("vec_id").limit(1))
+    with pytest.raises(ValueError):
+        Smote().prepare(one, "y", "vec_id", "x")
