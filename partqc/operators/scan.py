@@ -170,11 +170,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 F.lit(0).cast("long").alias("before"), F.col("n").cast("long").alias("ncand")))
 
     previous = None
-    for level in range(max_levels):
+    widest = 0
+    for level in range(max_levels + 1):
         widest = state.agg(F.max("ncand")).first()[0] or 0  # one number
         # A first histogram level is far cheaper than ranking whole columns,
         # so it runs whenever a range holds more values than it has bins.
-        if widest <= (max_candidates if level else bins) or widest == previous:
+        if level == max_levels or widest <= (max_candidates if level else bins) or widest == previous:
             break
         previous = widest
         state = _narrow(long, state, bins)
@@ -184,7 +185,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                        .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
                        .select("ci", "p", "v"))
     counts = cand.groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["ci", "p"], blocks=blocks)
+    if widest <= max_candidates:
+        # Every target keeps at most max_candidates values: a plain window per
+        # target is bounded, no blocked scan needed.
+        w = Window.partitionBy("ci", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.withColumn("cnt_cum", F.sum("cnt").over(w))
+    else:
+        ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["ci", "p"], blocks=blocks)
 
     first = F.col("before") + F.col("cnt_cum") - F.col("cnt")
     last = F.col("before") + F.col("cnt_cum") - 1
