@@ -20,4 +20,5 @@ def test_entry_module_loads_by_path():
     spec = importlib.util.spec_from_file_location("entry_by_path", path)
     mod = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(mod)
-    assert set(mod.oracle_sql()) <= set(mod.queries()) and len(mod.queries()) == 49
+    assert set(mod.oracle_sql()) <= set(mod.queries())
+    assert len(mod.queries()) - len(mod._LLM_QUERIES) >= 49
