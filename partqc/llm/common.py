@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partqc.session import materialize
+from partqc.session import checkpoint_root, materialize
 
-__all__ = ["components", "documents", "materialize", "table", "tokens_of"]
+__all__ = ["Scratch", "components", "documents", "materialize", "scratch", "table", "tokens_of"]
 
 #: A word, as an expression both Java and RE2 read alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +30,50 @@ def tokens_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables written under ``spark.checkpoint.dir`` for the length of a step.
+
+    ``keep`` writes a frame as Parquet, with the shuffle files of that write
+    cleaned at its end, and reads it again: the lineage is cut, a lost executor
+    costs a reread, and disk holds columns instead of serialised rows.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{checkpoint_root(spark)}/partqc-scratch/{uuid.uuid4().hex}"
+        self.n = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path, schema = f"{self.root}/{self.n}", df.schema
+        before = self.spark.conf.get(_CLEAN, "false")
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEAN, before)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def drop(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A Scratch that is deleted on leaving the block; frames that outlive it
+    must be materialised inside."""
+    s = Scratch(spark)
+    try:
+        yield s
+    finally:
+        s.drop()
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
                                                     F.lit(0))).first())
@@ -54,13 +102,15 @@ def components(edges: DataFrame) -> DataFrame:
         return new.filter("u <> v").distinct()
 
     e = edges.select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
-    e = materialize(e.filter("u <> v").distinct())
-    seen = _fingerprint(e)
-    while seen[0]:
-        e = materialize(star(star(e, True), False))
-        now = _fingerprint(e)
-        if now == seen:
-            break
-        seen = now
+    with scratch(edges.sparkSession) as tmp:
+        e = tmp.keep(e.filter("u <> v").distinct())
+        seen = _fingerprint(e)
+        while seen[0]:
+            e = tmp.keep(star(star(e, True), False))
+            now = _fingerprint(e)
+            if now == seen:
+                break
+            seen = now
+        e = materialize(e)
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -41,13 +41,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partqc.llm.common import components, materialize
+from partqc.llm.common import Scratch, components, materialize, scratch
 from partqc.llm.words import U, mix, shingles, slices, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIGNATURES = 4
-_SET_SCHEMA = "id long, n long, d1 long, d2 long, sig array<long>, first array<long>"
+_SET_SCHEMA = "id long, n long, d1 long, d2 long, sig array<long>"
 
 
 def _need(n, percent: int):
@@ -61,25 +61,28 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
 
 
+def _slot(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    slot = mix(h ^ U(0x5851F42D4C957F2D)) & U(size - 1)
+    return (slot >> U(3)).astype(np.int64), (slot & U(7)).astype(np.uint8)
+
+
 def _in_order(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The set's shingles, those whose slot is set in ``common`` last, each part
     by hash."""
-    slot = mix(s ^ U(0x5851F42D4C957F2D)) & U(len(common) * 8 - 1)
-    late = (common[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8)) & 1
+    at, bit = _slot(s, len(common) * 8)
+    late = (common[at] >> bit) & 1
     return np.concatenate((s[late == 0], s[late == 1]))
 
 
-def _sets(docs: DataFrame, k: int, percent: int, extra: int) -> DataFrame:
-    """Size, digest, min-hashes and first shingles (by hash) of every document's set."""
+def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """Size, digest and min-hashes of every document's set."""
     keys = mix(np.arange(7, 7 + SIGNATURES + 2, dtype=U) * U(0x2545F4914F6CDD1D))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = part.column(0)
                 sets = shingles(*word_hashes(part.column(1)), k)
                 n = np.array([len(s) for s in sets], np.int64)
-                first = [s[:len(s) - _need(len(s), percent) + extra] for s in sets]
                 full = np.flatnonzero(n)
                 digest = np.zeros((SIGNATURES + 2, len(n)), U)
                 if len(full):
@@ -93,12 +96,39 @@ def _sets(docs: DataFrame, k: int, percent: int, extra: int) -> DataFrame:
                     pa.array(np.arange(len(n) + 1, dtype=np.int32) * SIGNATURES),
                     pa.array(digest[2:].T.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(n), pa.array(digest[0]), pa.array(digest[1]), sig, _longs(first)],
-                    names=["id", "n", "d1", "d2", "sig", "first"])
+                    [part.column(0), pa.array(n), pa.array(digest[0]), pa.array(digest[1]), sig],
+                    names=["id", "n", "d1", "d2", "sig"])
 
     return docs.mapInArrow(run, _SET_SCHEMA)
 
 
+def _first_counts(docs: DataFrame, k: int, percent: int, extra: int) -> DataFrame:
+    """(token, n): in how many documents a shingle is among the first by hash,
+    counted in each piece of a task already."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text", 16 << 20):
+                sets = shingles(*word_hashes(part.column(1)), k)
+                token, n = np.unique(np.concatenate([s[:len(s) - _need(len(s), percent) + extra] for s in sets]),
+                                     return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))],
+                                                 names=["token", "n"])
+    return docs.mapInArrow(run, "token long, n long")
+
+
+def _first_sets(docs: DataFrame, k: int, percent: int, extra: int, share) -> DataFrame:
+    """The first shingles of every document in the common order."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingles(*word_hashes(part.column(1)), k)
+                first = [_in_order(s, share.value)[:len(s) - _need(len(s), percent) + extra] for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(first)],
+                    names=["id", "n", "first"])
+    return docs.mapInArrow(run, "id long, n long, first array<long>")
+
+
 def _overlap(k: int):
     def run(batches):
         for batch in batches:
@@ -113,16 +143,16 @@ def _overlap(k: int):
     return run
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def confirm(tmp: Scratch, docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (u, v) of ids that link, by their whole texts: (u, v, shared,
-    total).  Only texts that are in a pair are moved."""
+    total).  Only texts that are in a pair are brought to pairs."""
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    texts = materialize(docs.join(wanted, "id", "left_semi"))
+    texts = tmp.keep(docs.join(wanted, "id", "left_semi"))
     both = (pairs.join(texts.select(F.col("id").alias("v"), F.col("text").alias("tb")), "v")
             .join(texts.select(F.col("id").alias("u"), F.col("text").alias("ta")), "u")
             .select("u", "v", "ta", "tb"))
-    return (both.mapInArrow(_overlap(k), "u long, v long, shared long, total long")
-            .filter(F.col("total") > 0).filter(F.col("shared") * 100 >= F.col("total") * percent))
+    return tmp.keep(both.mapInArrow(_overlap(k), "u long, v long, shared long, total long")
+                    .filter(F.col("total") > 0).filter(F.col("shared") * 100 >= F.col("total") * percent))
 
 
 def _size_ok(a, b, percent: int):
@@ -130,33 +160,19 @@ def _size_ok(a, b, percent: int):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def _common_slots(first: DataFrame, at_least: int, most: int) -> np.ndarray | None:
-    """A bit set of the shingles in ``at_least`` sets or more; if these are over
-    ``most`` (a bound of what goes through the driver), of the most frequent."""
-    slots = (first.groupBy("token").count().filter(F.col("count") >= at_least)
-             .orderBy(F.desc("count"), "token").limit(most).select("token"))
+def _common_slots(counts: DataFrame, at_least: int, most: int) -> np.ndarray:
+    """A bit set of the shingles that ``at_least`` documents have; if these are
+    over ``most`` (the bound of what goes through the driver), of the most frequent."""
+    slots = (counts.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least)
+             .orderBy(F.desc("n"), "token").limit(most).select("token"))
     got = np.array([r[0] for r in slots.collect()], np.int64).view(U)
-    if not len(got):
-        return None
-    size = max(1 << 16, 1 << int(16 * len(got) - 1).bit_length())
+    size = max(1 << 16, 1 << (16 * len(got)).bit_length())
     bits = np.zeros(size // 8, np.uint8)
-    slot = mix(got ^ U(0x5851F42D4C957F2D)) & U(size - 1)
-    np.bitwise_or.at(bits, (slot >> U(3)).astype(np.int64), (1 << (slot & U(7)).astype(np.uint8)).astype(np.uint8))
+    at, bit = _slot(got, size)
+    np.bitwise_or.at(bits, at, np.left_shift(np.uint8(1), bit))
     return bits
 
 
-def _ordered_sets(docs: DataFrame, k: int, percent: int, extra: int, share) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                sets = shingles(*word_hashes(part.column(1)), k)
-                first = [_in_order(s, share.value)[:len(s) - _need(len(s), percent) + extra] for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(first)],
-                    names=["id", "n", "first"])
-    return docs.mapInArrow(run, "id long, n long, first array<long>")
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                        percent: int = 80, extra: int = 3, common_from: int = 24,
                        common_most: int = 1 << 19) -> DataFrame:
@@ -169,69 +185,74 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     The last two steer the cost only.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = materialize(_sets(docs, k, percent, extra))
+    sets = materialize(_sets(docs, k))
     named = sets.filter(F.col("id").isNotNull())
-    classes = named.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"))
-    classes = materialize(classes)
-    member = named.join(classes, ["d1", "d2", "n"]).select("id", "rep", "n", "sig", "first")
-    reps = member.filter("id = rep").drop("id").dropDuplicates(["rep", "n"])
+    classes = materialize(named.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep")))
+    with scratch(docs.sparkSession) as tmp:
+        group = _groups(tmp, docs, named, classes, k, percent)
+        far = _opened(tmp, docs, classes, group, k, percent, extra, common_from, common_most)
+        # Contract: links between groups, then class -> group -> component.
+        for end in ("u", "v"):
+            far = far.join(group.withColumnRenamed("node", end), end, "left").withColumn(
+                end, F.coalesce("component", end)).drop("component")
+        whole = components(far.select("u", "v")).select(F.col("node").alias("component"),
+                                                        F.col("component").alias("c2"))
+        final = group.join(whole, "component", "left").select(
+            F.col("node").alias("rep"), F.coalesce("c2", "component").alias("c")).union(
+            whole.join(group.select(F.col("node").alias("component")), "component", "left_anti")
+            .select(F.col("component").alias("rep"), F.col("c2").alias("c")))
+        final = materialize(final)
+    return (sets.select("id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
+            .join(final, "rep", "left")
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                    F.when(F.col("id").isNotNull(), F.coalesce("c", "rep", "id")).alias("component_id")))
+
+
+def _groups(tmp: Scratch, docs: DataFrame, named: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component): classes that are linked with the smallest of those
+    that share a pair of min-hashes with them."""
+    member = named.join(classes, ["d1", "d2", "n"]).select("id", "rep", "n", "sig")
+    reps = member.filter("id = rep")
     # An id with several texts joins their classes.
     several = (member.groupBy("id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"))
                .filter("u <> v").select("id"))
     several = member.join(several, "id", "left_semi").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-
-    # Groups: compare with the smallest class that has the same pair of min-hashes.
     bands = [F.xxhash64(F.lit(i), F.col("sig")[i], F.col("sig")[(i + 1) % SIGNATURES]) for i in range(SIGNATURES)]
     banded = reps.select("rep", "n", F.explode(F.array(*bands)).alias("band"))
     lead = banded.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("l"))
     star = (banded.join(lead, "band").filter(F.col("l.rep") < F.col("rep"))
             .filter(_size_ok(F.col("n"), F.col("l.n"), percent))
             .select(F.col("l.rep").alias("u"), F.col("rep").alias("v")).distinct())
-    near = confirm(docs, materialize(star), k, percent).select("u", "v").union(several)
-    group = materialize(components(near))
-
-    # Common order and first shingles in it.
-    common = _common_slots(reps.select(F.explode("first").alias("token")), common_from, common_most)
-    if common is None:
-        ordered = reps.select("rep", "n", "first")
-    else:
-        share = docs.sparkSession.sparkContext.broadcast(common)
-        again = _ordered_sets(docs, k, percent, extra, share)
-        ordered = again.join(reps.select(F.col("rep").alias("id"), "n"), ["id", "n"], "left_semi").select(
-            F.col("id").alias("rep"), "n", "first").dropDuplicates(["rep", "n"])
-    token = (ordered.join(group.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("rep", "n", F.coalesce("component", "rep").alias("g"), F.explode("first").alias("token")))
-    token = materialize(token)
-    shared = token.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("token")
-    token = materialize(token.join(shared, "token"))
+    near = confirm(tmp, docs, tmp.keep(star), k, percent).select("u", "v")
+    return materialize(components(near.union(several)))
+
+
+def _opened(tmp: Scratch, docs: DataFrame, classes: DataFrame, group: DataFrame, k: int, percent: int, extra: int,
+            common_from: int, common_most: int) -> DataFrame:
+    """Links (u, v) between classes of different groups."""
+    common = _common_slots(_first_counts(docs, k, percent, extra), common_from, common_most)
+    share = docs.sparkSession.sparkContext.broadcast(common)
+    node = classes.select("rep", "n").distinct().join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
+        F.col("rep").alias("id"), "n", F.coalesce("component", "rep").alias("g"))
+    token = tmp.keep(_first_sets(docs, k, percent, extra, share).join(node, ["id", "n"])
+                     .select(F.col("id").alias("rep"), "n", "g", F.explode("first").alias("token")))
+    shared = (token.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+              .filter("lo < hi").select("token"))
+    token = tmp.keep(token.join(shared, "token"))
 
     # The matrix, the bound, the opened groups.
     least = F.least(F.lit(extra), F.ceil(F.col("n") * percent / 100).cast("long"))
     matrix = token.groupBy("token", "g").agg(F.min("n").alias("n0"), F.max("n").alias("n1")).select(
         "token", F.col("g").alias("h"), "n0", "n1")
-    open_ = (token.join(matrix, "token").filter("g < h")
-             .filter((F.col("n") * 100 >= F.col("n0") * percent) & (F.col("n1") * 100 >= F.col("n") * percent))
-             .groupBy("rep", "n", "h").count().filter(F.col("count") >= least).select("rep", "n", "h"))
+    open_ = tmp.keep(
+        token.join(matrix, "token").filter("g < h")
+        .filter((F.col("n1") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("n0") * percent))
+        .groupBy("rep", "n", "h").count().filter(F.col("count") >= least).select("rep", "n", "h"))
     asked = token.drop("g").join(open_, ["rep", "n"])
-    pairs = (asked.join(token.select("token", F.col("g").alias("h"), F.col("rep").alias("v"),
-                                     F.col("n").alias("m")), ["token", "h"])
-             .filter(_size_ok(F.col("n"), F.col("m"), percent))
-             .groupBy(F.col("rep").alias("u"), "n", "v", "m").count().filter(F.col("count") >= least)
-             .select("u", "v").distinct())
-    far = confirm(docs, materialize(pairs), k, percent).select("u", "v")
-
-    # Contract: links between groups, then class -> group -> component.
-    lift = group.select(F.col("node"), F.col("component"))
-    for end in ("u", "v"):
-        far = far.join(lift.withColumnRenamed("node", end), end, "left").withColumn(
-            end, F.coalesce("component", end)).drop("component")
-    whole = components(far.select("u", "v")).select(F.col("node").alias("component"), F.col("component").alias("c2"))
-    final = group.join(whole, "component", "left").select(
-        F.col("node").alias("rep"), F.coalesce("c2", "component").alias("c")).union(
-        whole.join(group.select(F.col("node").alias("component")), "component", "left_anti")
-        .select(F.col("component").alias("rep"), F.col("c2").alias("c")))
-    return (sets.select("id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
-            .join(materialize(final), "rep", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("c", "rep", "id")).alias("component_id")))
-
+    pairs = tmp.keep(
+        asked.join(token.select("token", F.col("g").alias("h"), F.col("rep").alias("v"),
+                                F.col("n").alias("m")), ["token", "h"])
+        .filter(_size_ok(F.col("n"), F.col("m"), percent))
+        .groupBy(F.col("rep").alias("u"), "n", "v", "m").count().filter(F.col("count") >= least)
+        .select("u", "v").distinct())
+    return confirm(tmp, docs, pairs, k, percent).select("u", "v")
