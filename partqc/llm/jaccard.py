@@ -21,9 +21,16 @@ document's connected component.
    share L of the shingles themselves, and the pair is decided by the exact
    intersection and union of the two whole sets, computed from the texts.
 
-The common order puts shingles that many classes share last.  It decides the
-cost alone: any order gives the same links.  Work on a hot shingle is one entry
-per group instead of one per document; no list of members is ever collected.
+The common order puts shingles that many documents share last, so most sets need
+none of these among their first ones.  Sets that do (they consist of little else,
+as the copies of one text do) are told apart in the same way, but as blocks: sets
+of one group, or else of one min-hash over their common shingles, are dealt into
+blocks of at most ``BLOCK_SETS`` sets and ``BLOCK_SHINGLES`` shingles; the matrix
+holds the blocks' unions, and two blocks whose unions share L shingles are opened
+together, as one matrix product in a task that returns a spanning forest of the
+links.  A group of copies of any size so costs rows in proportion to its blocks,
+and no task ever holds more than two of them.  The order steers the cost alone: any
+order gives the same links.
 
 Nulls and oddities: a null or empty text has an empty set and links with
 nothing; a null id gets its size and a null component; rows that repeat an id
@@ -47,6 +54,7 @@ from partqc.llm.words import U, mix, shingles, slices, word_hashes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIGNATURES = 4
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 19
 _SET_SCHEMA = "id long, n long, d1 long, d2 long, sig array<long>"
 
 
@@ -55,23 +63,30 @@ def _need(n, percent: int):
     return -(-n * percent // 100)
 
 
+def _extra(n):
+    """L of the bound for a set of n."""
+    return 3 + n // 25
+
+
+def _first_n(n: int, percent: int) -> int:
+    return n - _need(n, percent) + _extra(n)
+
+
 def _longs(parts: list[np.ndarray]) -> pa.Array:
     off = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))).astype(np.int32)
     flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
 
 
-def _slot(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    slot = mix(h ^ U(0x5851F42D4C957F2D)) & U(size - 1)
-    return (slot >> U(3)).astype(np.int64), (slot & U(7)).astype(np.uint8)
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (mix(h ^ U(0x5851F42D4C957F2D)) >> U(32)).astype(np.uint32)
 
 
-def _in_order(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The set's shingles, those whose slot is set in ``common`` last, each part
-    by hash."""
-    at, bit = _slot(s, len(common) * 8)
-    late = (common[at] >> bit) & 1
-    return np.concatenate((s[late == 0], s[late == 1]))
+def _in_order(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set's shingles by hash, those not in ``common`` and those in it."""
+    slot = _slot(s) & np.uint32(len(common) * 8 - 1)
+    late = (common[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
+    return s[late == 0], s[late == 1]
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -102,31 +117,40 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, _SET_SCHEMA)
 
 
-def _first_counts(docs: DataFrame, k: int, percent: int, extra: int) -> DataFrame:
-    """(token, n): in how many documents a shingle is among the first by hash,
-    counted in each piece of a task already."""
+def _slot_counts(docs: DataFrame, k: int) -> DataFrame:
+    """(slot, n): in how many documents the shingles of a 32-bit slot are, counted
+    in each piece of a task already."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 16 << 20):
                 sets = shingles(*word_hashes(part.column(1)), k)
-                token, n = np.unique(np.concatenate([s[:len(s) - _need(len(s), percent) + extra] for s in sets]),
-                                     return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 names=["token", "n"])
-    return docs.mapInArrow(run, "token long, n long")
+                slot, n = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int32)), pa.array(n.astype(np.int32))],
+                                                 names=["slot", "n"])
+    return docs.mapInArrow(run, "slot int, n int")
 
 
-def _first_sets(docs: DataFrame, k: int, percent: int, extra: int, share) -> DataFrame:
-    """The first shingles of every document in the common order."""
+def _first_sets(docs: DataFrame, k: int, percent: int, share) -> DataFrame:
+    """The first shingles of every document in the common order: ``rare`` ones,
+    and as many ``common`` ones as are needed besides; ``key``: the min-hash of
+    all common ones, for sets that need some."""
+    turn = U(0xD6E8FEB86659FD93)
+
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingles(*word_hashes(part.column(1)), k)
-                first = [_in_order(s, share.value)[:len(s) - _need(len(s), percent) + extra] for s in sets]
+                rare, common, key = [], [], []
+                for s in sets:
+                    early, late = _in_order(s, share.value)
+                    m = _first_n(len(s), percent)
+                    rare.append(early[:m])
+                    common.append(late[:max(0, m - len(early))])
+                    key.append(int(mix(late ^ turn).min().view(np.int64)) if len(common[-1]) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(first)],
-                    names=["id", "n", "first"])
-    return docs.mapInArrow(run, "id long, n long, first array<long>")
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(rare), _longs(common),
+                     pa.array(key, pa.int64())], names=["id", "n", "rare", "common", "key"])
+    return docs.mapInArrow(run, "id long, n long, rare array<long>, common array<long>, key long")
 
 
 def _overlap(k: int):
@@ -143,6 +167,59 @@ def _overlap(k: int):
     return run
 
 
+def _spanning(sets: tuple[list, list], groups: tuple, ids: tuple, same: bool, percent: int) -> list[tuple[int, int]]:
+    """Links between the sets of two blocks (or inside one), of those that join
+    the same sets a spanning forest; sets of one group are joined already."""
+    flat = [np.concatenate(s) if s else np.zeros(0, U) for s in sets]
+    n = [np.array([len(x) for x in s], np.int64) for s in sets]
+    if same:
+        token, times = np.unique(flat[0], return_counts=True)
+        token = token[times > 1]
+    else:
+        token = np.intersect1d(*(np.unique(f) for f in flat))
+    row = [np.repeat(np.arange(len(s)), m) for s, m in zip(sets, n)]
+    col = [np.searchsorted(token, f) for f in flat]
+    known = [token[np.minimum(c, len(token) - 1)] == f if len(token) else np.zeros(len(f), bool) for c, f in zip(col, flat)]
+    shared = np.zeros((len(n[0]), len(n[1])), np.float32)
+    for at in range(0, len(token), 4096):
+        part = []
+        for side in (0, 1):
+            hit = known[side] & (col[side] >= at) & (col[side] < at + 4096)
+            m = np.zeros((len(n[side]), min(4096, len(token) - at)), np.float32)
+            m[row[side][hit], col[side][hit] - at] = 1
+            part.append(m)
+        shared += part[0] @ part[1].T
+    both = shared.astype(np.int64)
+    link = both * 100 >= (n[0][:, None] + n[1][None, :] - both) * percent
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(link).tolist():
+        a, b = find(groups[0][i]), find(groups[1][j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((ids[0][i], ids[1][j]))
+    return out
+
+
+def _open_blocks(k: int, percent: int):
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        links = []
+        if len(left) and len(right):
+            sides = (left, right)
+            sets = tuple(shingles(*word_hashes(t.column("text")), k) for t in sides)
+            groups, ids = (tuple(t.column(c).to_pylist() for t in sides) for c in ("g", "rep"))
+            links = _spanning(sets, groups, ids, key[0].as_py() == key[1].as_py(), percent)
+        return pa.table([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
+                        names=["u", "v"])
+    return run
+
+
 def confirm(tmp: Scratch, docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (u, v) of ids that link, by their whole texts: (u, v, shared,
     total).  Only texts that are in a pair are brought to pairs."""
@@ -161,28 +238,26 @@ def _size_ok(a, b, percent: int):
 
 
 def _common_slots(counts: DataFrame, at_least: int, most: int) -> np.ndarray:
-    """A bit set of the shingles that ``at_least`` documents have; if these are
-    over ``most`` (the bound of what goes through the driver), of the most frequent."""
-    slots = (counts.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least)
-             .orderBy(F.desc("n"), "token").limit(most).select("token"))
-    got = np.array([r[0] for r in slots.collect()], np.int64).view(U)
-    size = max(1 << 16, 1 << (16 * len(got)).bit_length())
+    """A bit set of the slots that ``at_least`` documents have; if these are over
+    ``most`` (the bound of what goes through the driver), of the most frequent."""
+    slots = (counts.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least)
+             .orderBy(F.desc("n"), "slot").limit(most).select("slot"))
+    got = np.array([r[0] for r in slots.collect()], np.int32).view(np.uint32)
+    size = max(1 << 16, min(1 << 32, 1 << (16 * len(got)).bit_length()))
     bits = np.zeros(size // 8, np.uint8)
-    at, bit = _slot(got, size)
-    np.bitwise_or.at(bits, at, np.left_shift(np.uint8(1), bit))
+    slot = got & np.uint32(size - 1)
+    np.bitwise_or.at(bits, slot >> 3, np.left_shift(np.uint8(1), (slot & 7).astype(np.uint8)))
     return bits
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                       percent: int = 80, extra: int = 3, common_from: int = 24,
-                       common_most: int = 1 << 19) -> DataFrame:
+                       percent: int = 80, common_from: int = 24, common_most: int = 1 << 19) -> DataFrame:
     """One row per input row: id, n_shingles (size of its set), component_id
     (smallest id reachable by links, itself included).
 
-    ``extra`` is L of the bound, ``common_from`` the number of classes from which
-    a shingle is put last in the common order, ``common_most`` how many of these
-    are told to all tasks (a bit set of at most 16 bits each; 1 MB by default).
-    The last two steer the cost only.
+    ``common_from`` is the number of documents from which a shingle is put last in
+    the common order, ``common_most`` how many of these are told to all tasks (a bit
+    set of at most 32 bits each; 2 MB by default).  They steer the cost only.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = materialize(_sets(docs, k))
@@ -190,7 +265,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = materialize(named.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep")))
     with scratch(docs.sparkSession) as tmp:
         group = _groups(tmp, docs, named, classes, k, percent)
-        far = _opened(tmp, docs, classes, group, k, percent, extra, common_from, common_most)
+        far = _opened(tmp, docs, classes, group, k, percent, common_from, common_most)
         # Contract: links between groups, then class -> group -> component.
         for end in ("u", "v"):
             far = far.join(group.withColumnRenamed("node", end), end, "left").withColumn(
@@ -227,32 +302,67 @@ def _groups(tmp: Scratch, docs: DataFrame, named: DataFrame, classes: DataFrame,
     return materialize(components(near.union(several)))
 
 
-def _opened(tmp: Scratch, docs: DataFrame, classes: DataFrame, group: DataFrame, k: int, percent: int, extra: int,
+def _opened(tmp: Scratch, docs: DataFrame, classes: DataFrame, group: DataFrame, k: int, percent: int,
             common_from: int, common_most: int) -> DataFrame:
     """Links (u, v) between classes of different groups."""
-    common = _common_slots(_first_counts(docs, k, percent, extra), common_from, common_most)
+    common = _common_slots(_slot_counts(docs, k), common_from, common_most)
     share = docs.sparkSession.sparkContext.broadcast(common)
     node = classes.select("rep", "n").distinct().join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("rep").alias("id"), "n", F.coalesce("component", "rep").alias("g"))
-    token = tmp.keep(_first_sets(docs, k, percent, extra, share).join(node, ["id", "n"])
-                     .select(F.col("id").alias("rep"), "n", "g", F.explode("first").alias("token")))
-    shared = (token.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
-              .filter("lo < hi").select("token"))
+        F.col("rep").alias("id"), "n", F.coalesce("component", "rep").alias("g"), F.col("component").isNotNull().alias("linked"))
+    first = tmp.keep(_first_sets(docs, k, percent, share).join(node, ["id", "n"])
+                     .withColumnRenamed("id", "rep"))
+    return _by_sets(tmp, docs, first, k, percent).union(_by_blocks(tmp, docs, first, k, percent))
+
+
+def _by_sets(tmp: Scratch, docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links of which one side needs no common shingle among its first ones."""
+    token = first.select("rep", "n", "g", F.col("key").isNotNull().alias("blocked"), F.explode("rare").alias("token"))
+    shared = (token.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.bool_and("blocked").alias("all"))
+              .filter("lo < hi AND NOT all").select("token"))
     token = tmp.keep(token.join(shared, "token"))
 
     # The matrix, the bound, the opened groups.
-    least = F.least(F.lit(extra), F.ceil(F.col("n") * percent / 100).cast("long"))
+    def least(n):
+        return F.least(3 + F.floor(n / 25), F.ceil(n * percent / 100))
+
     matrix = token.groupBy("token", "g").agg(F.min("n").alias("n0"), F.max("n").alias("n1")).select(
         "token", F.col("g").alias("h"), "n0", "n1")
     open_ = tmp.keep(
         token.join(matrix, "token").filter("g < h")
         .filter((F.col("n1") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("n0") * percent))
-        .groupBy("rep", "n", "h").count().filter(F.col("count") >= least).select("rep", "n", "h"))
+        .groupBy("rep", "n", "h").count().filter(F.col("count") >= least(F.floor(F.col("n") * percent / 100)))
+        .select("rep", "n", "h"))
     asked = token.drop("g").join(open_, ["rep", "n"])
     pairs = tmp.keep(
-        asked.join(token.select("token", F.col("g").alias("h"), F.col("rep").alias("v"),
-                                F.col("n").alias("m")), ["token", "h"])
-        .filter(_size_ok(F.col("n"), F.col("m"), percent))
-        .groupBy(F.col("rep").alias("u"), "n", "v", "m").count().filter(F.col("count") >= least)
-        .select("u", "v").distinct())
+        asked.join(token.select("token", F.col("g").alias("h"), F.col("rep").alias("v"), F.col("n").alias("m"),
+                                F.col("blocked").alias("other")), ["token", "h"])
+        .filter(_size_ok(F.col("n"), F.col("m"), percent) & ~(F.col("blocked") & F.col("other")))
+        .groupBy(F.col("rep").alias("u"), "n", "v", "m").count()
+        .filter(F.col("count") >= least(F.least("n", "m"))).select("u", "v").distinct())
     return confirm(tmp, docs, pairs, k, percent).select("u", "v")
+
+
+def _by_blocks(tmp: Scratch, docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between sets that need common shingles among their first ones."""
+    sets = first.filter("key IS NOT NULL").withColumn("key", F.when(F.col("linked"), F.col("g")).otherwise(F.col("key")))
+    size = sets.groupBy("linked", "key").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt = (sets.join(size, ["linked", "key"])
+             .withColumn("b", F.xxhash64("linked", "key", F.pmod(F.xxhash64("rep"), "blocks"))))
+    dealt = tmp.keep(dealt.select("b", "rep", "g", "linked", F.concat("rare", "common").alias("first")))
+    # A block of linked sets is of one group; other blocks may hold links inside.
+    union = dealt.select("b", F.when(F.col("linked"), F.col("g")).alias("one"), F.explode("first").alias("token")).distinct()
+    union = tmp.keep(union)
+    shared = union.groupBy("token").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).filter("lo < hi").select("token")
+    union = union.join(shared, "token")
+    other = union.select("token", F.col("b").alias("c"), F.col("one").alias("two"))
+    opened = (union.join(other, "token").filter("b < c AND (one IS NULL OR two IS NULL OR one <> two)")
+              .groupBy("b", "c").count().filter("count >= 3").select("b", "c"))
+    inside = dealt.filter("NOT linked").groupBy("b").count().filter("count > 1").select("b", F.col("b").alias("c"))
+    opened = tmp.keep(opened.union(inside))
+    texts = tmp.keep(dealt.select("b", "rep", "g").join(docs.withColumnRenamed("id", "rep"), "rep"))
+    left = opened.join(texts, "b").select("b", "c", "rep", "g", "text").toDF("b", "c", "rep", "g", "text")
+    right = (opened.join(texts.withColumnRenamed("b", "c"), "c").select("b", "c", "rep", "g", "text")
+             .toDF("b", "c", "rep", "g", "text"))
+    return tmp.keep(left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInArrow(
+        _open_blocks(k, percent), "u long, v long"))

@@ -125,11 +125,47 @@ def shingles(h: np.ndarray, counts: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
-def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20):
-    """The batch in parts of about ``most_bytes`` of text (one row at least)."""
+def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20, most_rows: int = 4096):
+    """The batch in parts of about ``most_bytes`` of text (one row at least) and
+    ``most_rows`` rows at most."""
     off, _ = buffers(batch.column(batch.schema.get_field_index(text)))
     at = 0
     while at < len(batch):
         to = max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1)
+        to = min(to, at + most_rows)
         yield batch.slice(at, to - at)
         at = to
+
+
+def code_points(col) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all rows, offsets of the rows in them); null as empty."""
+    off, raw = buffers(col)
+    cps = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    lead = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
+    return cps, lead[off]
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans (rising, not overlapping), case kept."""
+    table = mix((np.arange(256, dtype=U) + U(1)) * _GOLD) | U(1)
+    out, at = np.empty(len(starts), U), 0
+    while at < len(starts):
+        lo = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, lo + PIECE, "right")))
+        hi = int(ends[to - 1])
+        p, inv = _powers(hi - lo)
+        run = np.empty(hi - lo + 1, U)
+        run[0] = 0
+        np.cumsum(table[raw[lo:hi]] * p[:hi - lo], out=run[1:])
+        a, b = starts[at:to] - lo, ends[at:to] - lo
+        out[at:to] = mix((run[b] - run[a]) * inv[a] + (b - a).astype(U) * _GOLD)
+        at = to
+    return out
+
+
+def gather(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """flat[first[i]:first[i] + count[i]] for all i, one after the other."""
+    end = np.cumsum(count)
+    total = int(end[-1]) if len(end) else 0
+    return flat[np.repeat(first - (end - count), count) + np.arange(total)]
