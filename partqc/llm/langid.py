@@ -123,8 +123,9 @@ def phrases(table: np.ndarray, s: np.ndarray, off: np.ndarray, stretch: int = ST
         c = s[start[:live] + t].astype(np.int64)
         to = flat[state[:live] * width + c]
         miss = to == 0
-        count[:live] += miss
+        count[:live] += miss & (state[:live] != 0)
         state[:live] = np.where(miss, flat[c], to)
+        count[:live] += state[:live] == 0  # a symbol that the sample has not
     count += state != 0  # the phrase under way at the end
     return np.bincount(row[order], count, minlength=len(size)).astype(np.int64)
 
