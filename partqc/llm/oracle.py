@@ -31,8 +31,8 @@ _PII = [  # kind, pattern, condition, base score, context words
      f" CAST(substr({_DIGITS}, CAST(length({_DIGITS}) - i + 1 AS INT), 1) AS INT) + 1, 1) AS INT))) % 10 = 0", 80,
      "card|visa|credit|karte|carte|tarjeta"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15", 60, "tel|phone|call|fax|mobil|handy"),
-    ("iban", r"[A-Za-z0-9]+( [A-Z0-9]{4}){2,7}( [A-Z0-9]{1,3})?|[A-Za-z0-9]{15,}",
-     f"regexp_full_match({_IBAN}, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND list_reduce(list_prepend(0,"
+    ("iban", r"[A-Z]{2}[0-9]{2}( [A-Z0-9]{4}){2,7}( [A-Z0-9]{1,3})?|[A-Za-z0-9]{15,}",
+     f"(s = 0 OR NOT regexp_matches(substr(t, s, 1), '[A-Za-z0-9]')) AND regexp_full_match({_IBAN}, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND list_reduce(list_prepend(0,"
      f" list_transform(string_split(array_to_string(list_transform(string_split({_TURNED}, ''), lambda c:"
      f" CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), ''), ''), lambda d: CAST(d AS INT))),"
      f" lambda a, d: (a * 10 + d) % 97) = 1", 80, "iban|account|konto|compte|cuenta"),

@@ -10,7 +10,7 @@ Base kinds (leftmost matches that do not overlap, each kind by itself):
 Added by the method (never in place of a base span):
 
   iban         country, check digits and 11 to 30 more in one run or in groups
-               of four, whose mod-97 remainder is 1
+               of four, whose mod-97 remainder is 1, not in the middle of a word
   phone_local  8 to 15 digits without +, overlapping no base span, accepted only
                when a word for a telephone stands shortly before
 
@@ -42,8 +42,7 @@ KINDS = {
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", None, 80,
              "card|visa|credit|karte|carte|tarjeta"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", 60, "tel|phone|call|fax|mobil|handy"),
-    "iban": (r"(?:(?<![A-Za-z0-9])|\G)(?:[A-Za-z0-9]++(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?"
-             r"|[A-Za-z0-9]{15,}+)", None, 80, "iban|account|konto|compte|cuenta"),
+    "iban": (r"[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Za-z0-9]{15,}+", None, 80, "iban|account|konto|compte|cuenta"),
     "phone_local": (r"[0-9][0-9\x20().-]{6,}[0-9]", None, 30, "tel|phone|call|fax|mobil|handy"),
 }
 BASE = ("email", "ip", "card", "phone")
@@ -114,7 +113,8 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     d = d.select("*", *gaps)
     d = d.select("row", "text", *[_spans(k, i).alias(f"s_{k}") for i, k in enumerate(KINDS)])
     d = d.withColumn("base", F.concat(*[F.col(f"s_{k}") for k in BASE]))
-    added = F.concat(F.col("s_iban"), F.filter("s_phone_local", lambda x: ~F.exists(
+    whole = F.expr("filter(s_iban, x -> x.s = 0 or not substr(text, x.s, 1) rlike '[A-Za-z0-9]')")
+    added = F.concat(whole, F.filter("s_phone_local", lambda x: ~F.exists(
         "base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))))
     return d.select("row", "text", "base", F.filter(added, lambda x: x["score"] >= ACCEPT).alias("added"))
 
