@@ -147,7 +147,8 @@ def estimate_prior(sp: np.ndarray, su: np.ndarray) -> float:
 def fit(p: np.ndarray, u: np.ndarray, steps: int = 1000, rate: float = 0.15, l2: float = 1e-5) -> Model:
     """The model of positives ``p`` and unlabelled ``u`` (rows of statistics)."""
     both = np.concatenate((p, u))
-    borders = [np.unique(np.quantile(both[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(both.shape[1])]
+    cuts = np.linspace(0, 1, BINS + 1)[1:-1]
+    borders = [np.unique(np.quantile(x, cuts)) if len(x) else np.zeros(0) for x in both.T]
     model = Model(borders, np.zeros(both.shape[1] * (BINS + 1)), 0.0, 0.5)
     if not len(p) or not len(u):
         return model
