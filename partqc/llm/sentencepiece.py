@@ -50,7 +50,7 @@ from partqc.llm.words import U, buffers, gather, mix, slices, span_hashes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MARK, OTHER = "▁", "\U0010ffff"
+MARK, OTHER = "▁", "\ud800"  # a lone surrogate: no text holds it
 WIDEST = 24  # longer units are solved one by one
 BYTE_LOSS = 10.0
 CACHED_UNITS = 600_000
