@@ -37,27 +37,38 @@ def rmse(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame
 
 def confusion_cells(df: DataFrame, label: str, prediction: str = "prediction",
                     classes: Sequence[int] = (0, 1)) -> DataFrame:
-    """One-row frame with one count per (actual, predicted) cell, ``c_<a>_<p>``."""
-    return df.agg(*[_count_if(_is(label, a) & _is(prediction, p)).alias(f"c_{a}_{p}")
-                    for a in classes for p in classes])
+    """One-row frame with one count per (actual, predicted) cell, ``c_<a>_<p>``.
+    Values outside ``classes`` and nulls fall into the cells of ``other``, so
+    the cells always add up to the rows."""
+    def at(c, v):
+        inside = F.coalesce(F.col(c).cast("double").isin(*[float(k) for k in classes]), F.lit(False))
+        return ~inside if v == "other" else F.coalesce(_is(c, v), F.lit(False))
+
+    ends = [*classes, "other"]
+    return df.agg(*[_count_if(at(label, a) & at(prediction, p)).alias(f"c_{a}_{p}") for a in ends for p in ends])
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str = "prediction",
                      classes: Sequence[int] = (0, 1)) -> DataFrame:
     """``actual, predicted, count`` for every cell of the class grid
-    (empty cells are 0). One aggregate, no join."""
+    (empty cells are 0). Rows whose label or prediction is null or outside the
+    grid are counted in cells with a null class, listed where they have rows.
+    One aggregate, no join."""
     cells = confusion_cells(df, label, prediction, classes)
-    entries = [F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(f"c_{a}_{p}").alias("count"))
-               for a in classes for p in classes]
-    return cells.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    value = lambda v: F.lit(None if v == "other" else v).cast("int")
+    entries = [F.struct(value(a).alias("actual"), value(p).alias("predicted"), F.col(f"c_{a}_{p}").alias("count"))
+               for a in [*classes, "other"] for p in [*classes, "other"]]
+    long = cells.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return long.where((F.col("actual").isNotNull() & F.col("predicted").isNotNull()) | (F.col("count") > 0))
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str = "prediction", positive: int = 1) -> DataFrame:
     """Accuracy, precision and recall of the positive class (precision
-    is 0 when nothing is predicted positive)."""
+    is 0 when nothing is predicted positive). A row with a null label or
+    prediction is a wrong one."""
     y1, p1 = _is(label, positive), _is(prediction, positive)
     counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    _count_if(_is(label, 0) & _is(prediction, 0) | (y1 & p1)).alias("correct"),
+                    _count_if(F.col(label).cast("double") == F.col(prediction).cast("double")).alias("correct"),
                     _count_if(y1 & p1).alias("tp"), _count_if(p1).alias("pp"), _count_if(y1).alias("ap"))
     return counts.select(_safe_ratio(F.col("correct"), F.col("n")).alias("accuracy"),
                          _safe_ratio(F.col("tp"), F.col("pp")).alias("precision"),
@@ -102,23 +113,27 @@ def roc_auc(df: DataFrame, label: str, score: str, positive: int = 1,
     ``sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)``."""
     counts = score_counts(df, label, score, positive)
     cum = running_totals(counts, ["score"], ["neg"], blocks=blocks)
-    part = F.col("pos") * ((F.col("neg_cum") - F.col("neg")) + F.col("neg") / 2.0)
-    return cum.agg(_safe_ratio(F.sum(part), F.sum("pos") * F.sum("neg"), None).alias("auc"))
+    part = F.col("pos").cast("double") * ((F.col("neg_cum") - F.col("neg")) + F.col("neg") / 2.0)
+    # In doubles: the product of two long counts overflows from about 3e9 each.
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return cum.agg(_safe_ratio(F.sum(part), pairs, None).alias("auc"))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str = "prediction",
                           classes: Sequence[int] = (0, 1)) -> DataFrame:
     """``class, precision, recall, f1, support`` per class, then the rows
     ``accuracy`` (in the f1 column), ``macro avg`` and ``weighted avg``.
-    Computed from the one-row confusion counts."""
+    Computed from the one-row confusion counts; rows outside the class grid
+    count as errors of the class they touch and in the accuracy's support."""
     cells = confusion_cells(df, label, prediction, classes)
     c = lambda a, p: F.col(f"c_{a}_{p}")
-    total = sum((c(a, p) for a in classes for p in classes), F.lit(0))
+    ends = [*classes, "other"]
+    total = sum((c(a, p) for a in ends for p in ends), F.lit(0))
     rows, prec, rec, f1, sup = [], {}, {}, {}, {}
     for k in classes:
         tp = c(k, k)
-        sup[k] = sum((c(k, p) for p in classes), F.lit(0))
-        pred_k = sum((c(a, k) for a in classes), F.lit(0))
+        sup[k] = sum((c(k, p) for p in ends), F.lit(0))
+        pred_k = sum((c(a, k) for a in ends), F.lit(0))
         prec[k] = _safe_ratio(tp, pred_k)
         rec[k] = _safe_ratio(tp, sup[k])
         f1[k] = _safe_ratio(2 * prec[k] * rec[k], prec[k] + rec[k])
@@ -126,6 +141,7 @@ def classification_report(df: DataFrame, label: str, prediction: str = "predicti
                              f1[k].alias("f1"), sup[k].cast("long").alias("support")))
     correct = sum((c(k, k) for k in classes), F.lit(0))
     n = float(len(classes))
+    known = sum((sup[k] for k in classes), F.lit(0))  # rows with a label in the grid
     rows.append(F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                          F.lit(None).cast("double").alias("recall"), _safe_ratio(correct, total).alias("f1"),
                          total.cast("long").alias("support")))
@@ -133,10 +149,10 @@ def classification_report(df: DataFrame, label: str, prediction: str = "predicti
                          (sum((prec[k] for k in classes), F.lit(0.0)) / n).alias("precision"),
                          (sum((rec[k] for k in classes), F.lit(0.0)) / n).alias("recall"),
                          (sum((f1[k] for k in classes), F.lit(0.0)) / n).alias("f1"),
-                         total.cast("long").alias("support")))
-    wavg = lambda m: _safe_ratio(sum((m[k] * sup[k] for k in classes), F.lit(0.0)), total)
+                         known.cast("long").alias("support")))
+    wavg = lambda m: _safe_ratio(sum((m[k] * sup[k] for k in classes), F.lit(0.0)), known)
     rows.append(F.struct(F.lit("weighted avg").alias("class"), wavg(prec).alias("precision"),
-                         wavg(rec).alias("recall"), wavg(f1).alias("f1"), total.cast("long").alias("support")))
+                         wavg(rec).alias("recall"), wavg(f1).alias("f1"), known.cast("long").alias("support")))
     return cells.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

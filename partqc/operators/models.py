@@ -38,11 +38,17 @@ def forest(label: str = LABEL, features_col: str = "features", impurity: str = "
 
 
 def forest_full_depth(label: str = LABEL, features_col: str = "features", impurity: str = "gini",
-                      seed: int = 3) -> RandomForestClassifier:
+                      seed: int = 3, num_trees: int = 100, max_depth: int = SPARK_MAX_DEPTH,
+                      min_instances_per_node: int = 1) -> RandomForestClassifier:
     """M3 / M4: 100 trees grown as deep as Spark allows (30), square-root
-    feature subsets, the given impurity and seed."""
-    rf = forest(label, features_col, impurity, num_trees=100, max_depth=SPARK_MAX_DEPTH,
-                subset="sqrt", seed=seed)
+    feature subsets, the given impurity and seed.
+
+    The driver holds the trees: at most ``num_trees * min(2 ** (max_depth + 1),
+    2 * rows / min_instances_per_node)`` nodes. With the defaults (the source
+    application's) that grows with the training rows; on large tables bound it
+    by ``max_depth`` or by ``min_instances_per_node``."""
+    rf = forest(label, features_col, impurity, num_trees=num_trees, max_depth=max_depth,
+                subset="sqrt", seed=seed).setMinInstancesPerNode(min_instances_per_node)
     # Deep trees: keep node ids cached between levels instead of re-walking
     # every tree per level.
     return rf.setCacheNodeIds(True)

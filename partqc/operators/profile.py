@@ -62,41 +62,31 @@ def describe_columns(df: DataFrame, cols: Sequence[str], blocks: int | None = No
             .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], wide_from: int = 6) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A5: Pearson correlation of every pair of columns (label included if
     listed), long as ``col_a, col_b, r``.
 
-    Few columns: one aggregate with a ``corr`` per pair (pairwise complete
-    rows, as pandas). From ``wide_from`` columns on, the pair aggregates grow
-    quadratically inside one aggregation (six buffer fields each; past 100
-    fields Spark drops whole-stage code generation; 73 columns: 2,701 pairs), so the
-    columns are assembled into a vector and Spark ML computes the matrix in one
-    distributed pass (a Gram-matrix tree aggregate); rows with a null or NaN in
-    any listed column are left out, as the source application drops them
-    before correlating. Only the d x d result (bounded by the column count)
-    comes back to be laid out long.
+    Rows with a null or NaN in any listed column are left out, whatever the
+    number of columns (the source application drops them before correlating).
+    The columns are assembled into a vector and Spark ML computes the matrix in
+    distributed Gram-matrix tree aggregates; pair aggregates would grow
+    quadratically inside one aggregation (73 columns: 2,701 pairs). Only the
+    d x d result (bounded by the column count) comes back to be laid out long.
     """
-    cols = list(cols)
-    if len(cols) >= wide_from:
-        return _correlation_wide(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_r{i}").alias("r")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"_r{i}").alias("r")))
-    return agg.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-
-
-def _correlation_wide(df: DataFrame, cols: list[str]) -> DataFrame:
+    return _correlation(df, list(cols))
+
+
+def _correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
     vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
         df.select(*[F.col(c).cast("double") for c in cols]))
-    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()  # d x d, d = len(cols)
+    vec = vec.select("_v").persist()  # the fit reads it twice
+    try:
+        m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()  # d x d, d = len(cols)
+    finally:
+        vec.unpersist()
     rows = [(a, b, None if m[i, j] != m[i, j] else float(m[i, j]))
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")

@@ -181,10 +181,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         state = _narrow(long, state, bins)
 
     # Broadcast bound: len(cols) x len(probs) rows.
-    cand = materialize(long.join(F.broadcast(state.select("ci", "p", "a", "b")), "ci")
-                       .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
-                       .select("ci", "p", "v"))
-    counts = cand.groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    # Counted by value before anything is kept: a constant or low-cardinality
+    # column is a few rows. A target whose range is one value needs no values.
+    counts = materialize(long.join(F.broadcast(state.where("a < b").select("ci", "p", "a", "b")), "ci")
+                         .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
+                         .groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt")))
     if widest <= max_candidates:
         # Every target keeps at most max_candidates values: a plain window per
         # target is bounded, no blocked scan needed.
@@ -203,6 +204,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.max(F.when(in_lo, F.col("v"))).alias("v_lo"),
         F.max(F.when(in_hi, F.col("v"))).alias("v_hi"),
         F.first("frac").alias("frac"))
+    picked = picked.unionByName(state.where("a = b").select(
+        "ci", "p", F.col("a").alias("v_lo"), F.col("b").alias("v_hi"), "frac"))
     names = F.array(*[F.lit(c) for c in cols])
     return picked.select(
         F.element_at(names, F.col("ci") + 1).alias("column"), F.col("p").alias("prob"),

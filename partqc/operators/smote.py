@@ -45,8 +45,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import TWO_32, seeded_u32
-from ..session import checkpoint_root
+from ..functions.hashing import TWO_32, seeded_hash, seeded_u32
+from ..session import checkpoint_root, materialize
 from .sampling import flag_first_n
 from .scan import positions
 
@@ -195,7 +195,9 @@ class SmoteResult:
         parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(self.n_new / 2_000_000))
         draws = self.spark.range(0, self.n_new, 1, parts).select(
             F.col("id").alias("new_id"),
-            (seeded_u32(self.seed, [F.lit("b"), F.col("id").cast("string")]) % F.lit(self.m)).alias("idx"),
+            # 60 bits of the hash: every base row can be drawn, and evenly, at any size.
+            (F.conv(F.substring(seeded_hash(self.seed, [F.lit("b"), F.col("id").cast("string")]), 1, 15), 16, 10)
+             .cast("long") % F.lit(self.m)).alias("idx"),
             (F.lit(1) + seeded_u32(self.seed, [F.lit("k"), F.col("id").cast("string")]) % F.lit(self.k)).alias("rank"),
             (seeded_u32(self.seed, [F.lit("u"), F.col("id").cast("string")]) / F.lit(float(TWO_32))).alias("step"))
         based = draws.join(idx.select(F.col(key).alias("base"), "idx", F.col("x").alias("xb")), "idx")
@@ -352,11 +354,16 @@ class Smote:
         else:
             x = F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("x")
         base = df.select(F.col(key).cast("long").alias(key), F.col(label), x)
-        minority = base.where(F.col(label) == minority_class).select(key, "x")
+        minority = materialize(base.where(F.col(label) == minority_class).select(key, "x"))
         majority = base.where(F.col(label) == majority_class).select(key, "x")
         sizes = base.agg(F.sum(F.when(F.col(label) == minority_class, 1).otherwise(0)).alias("m"),
                          F.sum(F.when(F.col(label) == majority_class, 1).otherwise(0)).alias("M")).first()
         m, big_m = int(sizes["m"] or 0), int(sizes["M"] or 0)
+        bad = minority.where(F.col(key).isNull() | F.col("x").isNull()
+                             | F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))).count()
+        if bad:
+            raise ValueError(f"SMOTE: {bad} minority rows have no key or a null, NaN or infinite feature; "
+                             "drop or fill them first")
         if m == 0:
             raise ValueError("SMOTE: the minority class is empty")
         k = min(self.k, m - 1)

@@ -26,9 +26,13 @@ from . import compare
 class Analysis:
     prepared: DataFrame          # label + readings, complete rows
     class_counts: DataFrame
+    class_share: DataFrame
+    summary: DataFrame           # count, mean, std, min, quartiles, max per reading
     correlation: DataFrame
     comparison: DataFrame        # sampling, model, accuracy, precision, recall, auc
-    cutoff_confusion: DataFrame  # logistic model on the under-sampled split, p1 >= 0.5
+    roc: DataFrame               # sampling, model, threshold, fpr, tpr
+    confusion: DataFrame         # sampling, model, actual, predicted, count
+    cutoff_confusion: DataFrame  # logistic model on the SMOTE training part, p1 >= cut-off
 
 
 def prepare_raw(raw: DataFrame, label: str = LABEL, text_col: str = LABEL,
@@ -43,10 +47,11 @@ def analyse(prepared: DataFrame, key: str, features: Sequence[str], label: str =
             cutoff: float = 0.5) -> Analysis:
     counts = profile.class_counts(prepared, label)
     corr = profile.correlation_matrix(prepared, [label, *features])
-    comparison = compare.compare_models(prepared, label, key, list(features))
-    logit = compare.fit_and_score(compare.notebook_data(prepared, label, key, list(features)), "logistic")
-    cut = evaluate.threshold_sweep(logit, label, "p1", [cutoff])
-    return Analysis(prepared, counts, corr, comparison, cut.drop("cutoff"))
+    both = compare.compare_all(prepared, label, key, list(features))
+    cut = evaluate.threshold_sweep(both.scored["smote", "logistic"], label, "p1", [cutoff])
+    return Analysis(prepared, counts, profile.class_share(prepared, label),
+                    profile.describe_columns(prepared, list(features)), corr, both.metrics, both.roc, both.confusion,
+                    cut.drop("cutoff"))
 
 
 def write_outputs(prepared: DataFrame, key: str, label: str, prepared_path: str, balanced_path: str,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,12 +63,15 @@ def notebook_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec
 
 def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                split_seed: int = 42, test_size: float = 0.2, smote_seed: int = 2, k: int = 5) -> ModelData:
-    """SMOTE path: split the full table, grow the training minority with
-    SMOTE to the majority size, scale."""
+    """SMOTE path: split the full table, drop incomplete rows, scale both parts by
+    the natural training rows, then grow the training minority with SMOTE to the
+    majority size (neighbours in scaled units, so no unit dominates)."""
     train, test = sampling.split_exact(df, key, test_size, split_seed)
-    res = Smote(k=k, seed=smote_seed).prepare(materialize(train), label, key, feature_cols)
-    grown = materialize(res.resampled().select(key, label, array_to_vector("x").alias("assembler")))
-    return _scale(grown, to_vector(test, feature_cols).select(key, label, "assembler"), label, key)
+    data = _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
+    rows = materialize(data.train.select(key, label, vector_to_array("features").alias("x")))
+    res = Smote(k=k, seed=smote_seed).prepare(rows, label, key, "x")
+    grown = materialize(res.resampled().select(key, label, array_to_vector("x").alias("features")))
+    return ModelData(grown, data.test, label, key, grown.count())
 
 
 def classifier(kind: str, label: str, n_train: int):
@@ -93,15 +96,44 @@ def fit_and_score(data: ModelData, kind: str) -> DataFrame:
     return model.transform(data.test).withColumn("p1", class_probability("probability", 1))
 
 
-def compare_models(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
-                   kinds: Sequence[str] = KINDS) -> DataFrame:
-    """``sampling, model, accuracy, precision, recall, auc`` for every pair."""
-    rows = None
+@dataclass
+class Comparison:
+    """Per (sampling, model): metrics, ROC points and confusion cells, and the
+    scored test parts they come from."""
+    metrics: DataFrame
+    roc: DataFrame
+    confusion: DataFrame
+    scored: dict
+
+
+def compare_all(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
+                kinds: Sequence[str] = KINDS) -> Comparison:
+    """E10 in full: ``metrics`` (sampling, model, accuracy, precision, recall,
+    auc), ``roc`` (sampling, model, threshold, fpr, tpr) and ``confusion``
+    (sampling, model, actual, predicted, count). Each scored test part is
+    checkpointed once and read by all three."""
+    parts: dict = {"metrics": [], "roc": [], "confusion": []}
+    scored = {}
     for name, data in (("undersample", notebook_data(df, label, key, feature_cols)),
                        ("smote", smote_data(df, label, key, feature_cols))):
         for kind in kinds:
-            scored = fit_and_score(data, kind)
-            m = evaluate.model_metrics(scored, label, "prediction", "p1")
-            m = m.select(F.lit(name).alias("sampling"), F.lit(kind).alias("model"), *m.columns)
-            rows = m if rows is None else rows.unionByName(m)
-    return rows
+            s = materialize(fit_and_score(data, kind).select(key, label, "prediction", "p1"))
+            scored[name, kind] = s
+            for part, frame in (("metrics", evaluate.model_metrics(s, label, "prediction", "p1")),
+                                ("roc", evaluate.roc_curve(s, label, "p1")),
+                                ("confusion", evaluate.confusion_matrix(s, label))):
+                parts[part].append(frame.select(F.lit(name).alias("sampling"), F.lit(kind).alias("model"), *frame.columns))
+
+    def union(frames):
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    return Comparison(*(union(parts[p]) for p in ("metrics", "roc", "confusion")), scored)
+
+
+def compare_models(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
+                   kinds: Sequence[str] = KINDS) -> DataFrame:
+    """``sampling, model, accuracy, precision, recall, auc`` for every pair."""
+    return compare_all(df, label, key, feature_cols, kinds).metrics

@@ -56,7 +56,7 @@ SMOTE_DRAWS = f"""
                    (SELECT count(*) FROM mi) AS m),
   ids AS (SELECT unnest(range(n_new)) AS new_id, m FROM sizes),
   draws AS (SELECT new_id,
-                   ('0x' || substr(md5('2:b:' || CAST(new_id AS VARCHAR)), 1, 8))::BIGINT % m AS idx,
+                   ('0x' || substr(md5('2:b:' || CAST(new_id AS VARCHAR)), 1, 15))::BIGINT % m AS idx,
                    1 + ('0x' || substr(md5('2:k:' || CAST(new_id AS VARCHAR)), 1, 8))::BIGINT % 5 AS rank,
                    ('0x' || substr(md5('2:u:' || CAST(new_id AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0 AS step
               FROM ids),
@@ -256,4 +256,57 @@ ORACLE: dict[str, str] = {
     "stream_restart": f"""
         SELECT CAST(y AS DOUBLE) AS reason, CAST(event_id AS DOUBLE) AS event_id, value, user_id, k
           FROM {EV}""",
+    "csv_reordered": f"SELECT * FROM {EV}",
+    "correlation_dirty": f"""
+        WITH v AS (SELECT * FROM {EV_DIRTY} WHERE value IS NOT NULL AND NOT isnan(value) AND user_id IS NOT NULL
+                    AND NOT isnan(user_id) AND k IS NOT NULL AND NOT isnan(k))
+        """ + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM v"
+        for a in ("y", "value", "user_id", "k") for b in ("y", "value", "user_id", "k")),
+    "correlation_wide": """
+        WITH x AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)
+        SELECT 'c' || a.i AS col_a, 'c' || b.i AS col_b, round(corr(a.v, b.v), 6) AS r
+          FROM x a JOIN x b USING (vec_id) GROUP BY a.i, b.i""",
+    "describe_lineitem": " UNION ALL ".join(f"""
+        SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std,
+               round(CAST(min({c}) AS DOUBLE), 6) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25,
+               round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75,
+               round(CAST(max({c}) AS DOUBLE), 6) AS max FROM lineitem"""
+                                            for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")),
+    # Test part: a fifth, rounded up, of twice the minority rows.
+    "model_roundtrip_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS differ FROM {EV} WHERE y = 1",
+    "class_probability_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
+    "batch_score_check": f"SELECT count(*) AS n, 0::BIGINT AS off FROM {EV}",
+    "rf_entropy_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
+    "rf_gini_100_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
+    "logreg_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
+    "compare_confusion": f"""
+        WITH m AS (SELECT vec_id, CAST(label = 5 AS INT) AS y FROM embeddings),
+        b AS (SELECT * FROM m WHERE y = 1 UNION ALL SELECT vec_id, y FROM (
+              SELECT *, row_number() OVER (ORDER BY {h(13, 'vec_id')}, vec_id) AS r FROM m WHERE y = 0)
+              WHERE r <= (SELECT count(*) FROM m WHERE y = 1)),
+        t AS (SELECT 'undersample' AS sampling, y, row_number() OVER (ORDER BY {h(42, 'vec_id')}, vec_id) AS r,
+                     ceil(0.2 * (SELECT count(*) FROM b)) AS n FROM b
+              UNION ALL
+              SELECT 'smote', y, row_number() OVER (ORDER BY {h(42, 'vec_id')}, vec_id),
+                     ceil(0.2 * (SELECT count(*) FROM m)) FROM m)
+        SELECT sampling, 'logistic' AS model, count(*) AS n, CAST(sum(y) AS BIGINT) AS positive FROM t WHERE r <= n GROUP BY sampling""",
+    "stream_score_check": f"""
+        SELECT count(*) AS n, 0::BIGINT AS differ FROM {EV_DIRTY}
+         WHERE value IS NOT NULL AND NOT isnan(value) AND k IS NOT NULL AND NOT isnan(k)""",
+    "confusion_dirty": f"""
+        WITH s AS (SELECT CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 <> 0 THEN y END AS a,
+                          CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 <> 0 THEN CAST(prediction AS INT) END AS p
+                     FROM {EV_SCORED}),
+        c AS (SELECT a, p, count(*) AS n FROM s GROUP BY a, p)
+        SELECT g.actual, g.predicted, CAST(coalesce(n, 0) AS BIGINT) AS count
+          FROM (SELECT * FROM {GRID} UNION SELECT a, p FROM c) g
+          LEFT JOIN c ON c.a IS NOT DISTINCT FROM g.actual AND c.p IS NOT DISTINCT FROM g.predicted""",
+    "metrics_class0": f"""
+        SELECT round(avg(CASE WHEN y = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+               round(coalesce(sum(CASE WHEN y = 0 AND prediction = 0 THEN 1 ELSE 0 END)
+                     / nullif(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END), 0), 0.0), 6) AS precision,
+               round(coalesce(sum(CASE WHEN y = 0 AND prediction = 0 THEN 1 ELSE 0 END)
+                     / nullif(sum(CASE WHEN y = 0 THEN 1 ELSE 0 END), 0), 0.0), 6) AS recall
+          FROM {EV_SCORED}""",
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import class_probability, cutoff_class, round6
-from ..operators import evaluate, features, prep, profile, sampling, smote
+from ..operators import evaluate, features, models, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
 from ..sources.tables import (EV_FEATURES, embeddings_array_view, events_view, labels_view,
@@ -66,7 +66,7 @@ _FITS: dict = {}
 
 
 def _memo(spark, sf, name, build):
-    k = (id(spark), sf, name)
+    k = (spark.sparkContext.applicationId, sf, name)
     if k not in _FITS:
         _FITS[k] = build()
     return _FITS[k]
@@ -89,6 +89,15 @@ def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, schema=ev.schema)
 
 
+def q_csv_reordered(spark, sf):
+    """The file's columns are in another order than the schema's, with one
+    more; they are bound by name."""
+    ev = _ev(spark, sf)
+    path = scratch_path(spark, "csv_reordered")
+    files.write_csv(ev.select(F.lit("x").alias("extra"), *ev.columns[::-1]), path)
+    return files.read_csv(spark, path, schema=ev.schema)
+
+
 def q_alert_messages(spark, sf):
     ev = _ev(spark, sf, dirty=True)
     scored = ev.select(F.col("value").alias("timCycle"), F.col("y").cast("double").alias("prediction"))
@@ -143,7 +152,7 @@ def q_threshold_class(spark, sf):
 
 def q_class_probability(spark, sf):
     res = _production(spark, sf)
-    return res.scored.select(EV_KEY, class_probability("probability", 1).alias("p1"))
+    return prep.with_class_probability(res.scored).select(EV_KEY, "p1")
 
 
 def q_threshold_ratio(spark, sf):
@@ -190,6 +199,28 @@ def q_correlation_matrix(spark, sf):
     return c.select("col_a", "col_b", round6("r").alias("r"))
 
 
+def q_correlation_dirty(spark, sf):
+    """A5 with nulls and NaN: rows that lack any listed column are left out."""
+    c = profile.correlation_matrix(_ev(spark, sf, dirty=True), ["y", *EV_FEATURES])
+    return c.select("col_a", "col_b", round6("r").alias("r"))
+
+
+def q_correlation_wide(spark, sf):
+    """A5 on the 64 columns of EM."""
+    em = embeddings_array_view(spark, sf)
+    cols = [f"c{i}" for i in range(64)]
+    wide = em.select(*[F.col("x")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    c = profile.correlation_matrix(wide, cols)
+    return c.select("col_a", "col_b", round6("r").alias("r"))
+
+
+def q_describe_lineitem(spark, sf):
+    """A4 on LI: columns of few distinct values."""
+    d = profile.describe_columns(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
+    return d.select("column", "count", *[round6(c).alias(c) for c in
+                                         ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+
+
 # ---------------------------------------------------------------- sampling
 def q_undersample_bernoulli(spark, sf):
     return sampling.undersample_bernoulli(_ev(spark, sf), "y", EV_KEY, EV_SEED_SAMPLE)
@@ -270,7 +301,7 @@ def q_rf_gini(spark, sf):
 
 def q_batch_score(spark, sf):
     res = _production(spark, sf)
-    full = res.model.transform(_ev(spark, sf))
+    full = models.batch_score(res.model, _ev(spark, sf))
     return full.select(EV_KEY, "y", "prediction",
                        class_probability("probability", 0).alias("p0"),
                        class_probability("probability", 1).alias("p1"))
@@ -299,7 +330,77 @@ def q_compare_models(spark, sf):
     return compare.compare_models(em, "y", EM_KEY, "x")
 
 
+# What holds of the model queries whatever the model is.
+def q_model_roundtrip_check(spark, sf):
+    a = _production(spark, sf).scored.select(EV_KEY, F.col("prediction").alias("before"))
+    both = a.join(q_model_roundtrip(spark, sf), EV_KEY, "full")
+    return both.agg(F.count("*").alias("n"), F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("differ"))
+
+
+def q_class_probability_check(spark, sf):
+    s = _production(spark, sf).scored
+    s = prep.with_class_probability(prep.with_class_probability(s, cls=0, out_col="p0"))
+    return s.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("p0") + F.col("p1") - 1) > 1e-9).alias("off"))
+
+
+def q_batch_score_check(spark, sf):
+    """M2, M7: the prediction follows the class thresholds on every row."""
+    rule = prep.threshold_ratio(q_batch_score(spark, sf).withColumnRenamed("prediction", "given"), ["p0", "p1"], [0.18, 0.82])
+    return rule.agg(F.count("*").alias("n"), F.count_if(F.col("given") != F.col("prediction")).alias("off"))
+
+
+def _cutoff_check(scored):
+    wrong = F.when(F.abs(F.col("p1") - 0.5) > 1e-9, F.col("prediction") != (F.col("p1") > 0.5).cast("double"))
+    return scored.agg(F.count("*").alias("n"), F.count_if(F.coalesce(wrong, F.lit(False))).alias("off"))
+
+
+def q_rf_entropy_check(spark, sf):
+    return _cutoff_check(q_rf_entropy(spark, sf))
+
+
+def q_rf_gini_100_check(spark, sf):
+    return _cutoff_check(q_rf_gini_100(spark, sf))
+
+
+def q_logreg_check(spark, sf):
+    return _cutoff_check(q_logreg(spark, sf))
+
+
+def q_compare_confusion(spark, sf):
+    """The cells of each fit add up to its test rows."""
+    def build():
+        return compare.compare_all(embeddings_array_view(spark, sf), "y", EM_KEY, "x", ("logistic",))
+    c = _memo(spark, sf, "compare_em", build).confusion
+    return c.groupBy("sampling", "model").agg(F.sum("count").alias("n"), F.sum(F.when(F.col("actual") == 1, F.col("count"))
+                                                                                .otherwise(0)).alias("positive"))
+
+
+def q_stream_score_check(spark, sf):
+    """The stream's keys and predictions are those of batch scoring."""
+    batch = models.batch_score(_production(spark, sf).model, prep.drop_incomplete(_ev(spark, sf, dirty=True)))
+    both = (q_stream_score(spark, sf).select(F.col(EV_KEY).cast("long").alias(EV_KEY), "prediction")
+            .join(batch.select(EV_KEY, F.col("prediction").alias("batch")), EV_KEY, "full"))
+    return both.agg(F.count("*").alias("n"), F.count_if(~F.col("prediction").eqNullSafe(F.col("batch"))).alias("differ"))
+
+
 # ---------------------------------------------------------------- evaluation
+def _ev_odd(spark, sf):
+    """Scored EV in which some labels and predictions are null or no class."""
+    s, key = _ev_scored(spark, sf), F.col(EV_KEY)
+    return s.withColumn("y", F.when(key % 7 == 0, 2).when(key % 11 != 0, F.col("y"))).withColumn(
+        "prediction", F.when(key % 13 == 0, 3.0).when(key % 17 != 0, F.col("prediction")))
+
+
+def q_confusion_dirty(spark, sf):
+    return evaluate.confusion_matrix(_ev_odd(spark, sf), "y")
+
+
+def q_metrics_class0(spark, sf):
+    """E3-E5 with class 0 as the positive one."""
+    m = evaluate.binary_metrics(_ev_scored(spark, sf), "y", positive=0)
+    return m.select(*[round6(c).alias(c) for c in m.columns])
+
+
 def q_rmse(spark, sf):
     return evaluate.rmse(_ev_scored(spark, sf), "y").select(round6("rmse").alias("rmse"))
 
@@ -427,4 +528,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_parse": q_stream_parse,
     "stream_restart": q_stream_restart,
     "stream_score": q_stream_score,
+    "csv_reordered": q_csv_reordered,
+    "correlation_dirty": q_correlation_dirty,
+    "correlation_wide": q_correlation_wide,
+    "describe_lineitem": q_describe_lineitem,
+    "model_roundtrip_check": q_model_roundtrip_check,
+    "class_probability_check": q_class_probability_check,
+    "batch_score_check": q_batch_score_check,
+    "rf_entropy_check": q_rf_entropy_check,
+    "rf_gini_100_check": q_rf_gini_100_check,
+    "logreg_check": q_logreg_check,
+    "compare_confusion": q_compare_confusion,
+    "stream_score_check": q_stream_score_check,
+    "confusion_dirty": q_confusion_dirty,
+    "metrics_class0": q_metrics_class0,
 }

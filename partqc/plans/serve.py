@@ -36,14 +36,17 @@ class TrainReport:
 
 def train_job(spark: SparkSession, csv_path: str, model_path: str, key: str | Sequence[str],
               features: Sequence[str] = tuple(FEATURES), label: str = LABEL, exact: bool = False,
-              seed: int = 13, thresholds: Sequence[float] = tuple(PRODUCTION_THRESHOLDS)) -> TrainReport:
+              seed: int = 13, thresholds: Sequence[float] = tuple(PRODUCTION_THRESHOLDS),
+              infer: bool = False) -> TrainReport:
     """Batch training of the production model. ``exact=False`` balances by the
     Bernoulli ratio rule of the source job; ``exact=True`` takes exactly as
     many majority rows as minority rows. ``key`` identifies rows (the CSV's
-    index column, for example) and drives the repeatable sampling."""
+    index column, for example) and drives the repeatable sampling. Columns are
+    bound by their header names, in any order; ``infer`` takes their types from
+    the data instead of the schema."""
     keys = [key] if isinstance(key, str) else list(key)
-    schema = csv_schema(list(features), label)
-    df = files.read_csv(spark, csv_path, schema=schema, drop_index=None if "_c0" in keys else "_c0")
+    schema = None if infer else csv_schema(list(features), label, index_col="_c0" if "_c0" in keys else None)
+    df = files.read_csv(spark, csv_path, schema=schema, infer=infer, drop_index=None if "_c0" in keys else "_c0")
     balanced = train.prepare_balanced(df, label, keys, seed, exact=exact)
     res = train.train_and_score(balanced, list(features), label, keys, thresholds=thresholds)
     model_store.save_model(res.model, model_path)
@@ -64,12 +67,13 @@ def alerts(messages: DataFrame, model: PipelineModel, fields: Sequence[str] = tu
 def serve_job(spark: SparkSession, model_path: str, bootstrap: str, in_topic: str, out_topic: str,
               checkpoint: str, trigger: str | None = None, console: bool = False,
               max_offsets_per_trigger: int | None = None,
-              min_partitions: int | None = None) -> StreamingQuery:
+              min_partitions: int | None = None, fail_on_data_loss: bool = False) -> StreamingQuery:
     """Load the model, read the input topic, write alerts to the output topic
     (or to the console), and return the running query. The two Kafka knobs
-    bound a micro-batch and spread it over more tasks."""
+    bound a micro-batch and spread it over more tasks. As in the source
+    application, lost offsets are skipped unless ``fail_on_data_loss``."""
     model = model_store.load_model(model_path)
-    stream = kafka.read_kafka(spark, bootstrap, in_topic, fail_on_data_loss=False,
+    stream = kafka.read_kafka(spark, bootstrap, in_topic, fail_on_data_loss=fail_on_data_loss,
                               max_offsets_per_trigger=max_offsets_per_trigger,
                               min_partitions=min_partitions)
     out = alerts(stream.select(F.col("value")), model)

@@ -31,12 +31,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a folder of our own set.
+    Only when a local session has none (tests) is a folder of our own set; on a
+    cluster a folder of one machine would lose data, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="partqc-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -46,7 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     path = f"{root}/partqc/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
+    if spark.sparkContext.master.split("[")[0] == "local" and ("://" not in path or path.startswith("file:")):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
 

@@ -14,12 +14,13 @@ KAFKA_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp", "t
 
 
 def kafka_source_options(bootstrap: str, topic: str, starting_offsets: str = "earliest",
-                         fail_on_data_loss: bool = False,
+                         fail_on_data_loss: bool = True,
                          max_offsets_per_trigger: int | None = None,
                          min_partitions: int | None = None) -> dict[str, str]:
     """Options to subscribe to one topic. ``startingOffsets`` only acts on the
-    first start; afterwards the checkpoint decides. ``failOnDataLoss=false``
-    tolerates offsets that were aged out of the topic. ``maxOffsetsPerTrigger``
+    first start; afterwards the checkpoint decides. Offsets that were aged out
+    of the topic stop the query unless ``fail_on_data_loss`` is False, which
+    skips them. ``maxOffsetsPerTrigger``
     bounds the size of one micro-batch (back-pressure); ``minPartitions``
     splits large topic partitions over more tasks per micro-batch."""
     opts = {
@@ -56,7 +57,7 @@ def _with_trigger(writer: DataStreamWriter, trigger: str | None, available_now:
 
 
 def kafka_writer(df: DataFrame, bootstrap: str, topic: str, checkpoint: str,
-                 query_name: str | None = "Notification Writer", trigger: str | None = None,
+                 query_name: str | None = None, trigger: str | None = None,
                  available_now: bool = False) -> DataStreamWriter:
     """Writer of a ``key, value`` frame to a topic in append mode (at-least-once)."""
     w = (df.writeStream.format("kafka").outputMode("append")

@@ -166,15 +166,37 @@ def test_empty_minority_raises(spark):
         sampling.undersample_bernoulli(ev, "y", "event_id").count()
 
 
-def test_wide_correlation_matches_pairwise(spark):
+def test_correlation_has_one_null_rule_at_every_width(spark):
     from partqc.operators import profile
-    ev = events_view(spark, SF01)
-    cols = ["y", "value", "user_id", "k"]
-    narrow = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(ev, cols).collect()}
-    wide = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(ev, cols, wide_from=2).collect()}
-    assert narrow.keys() == wide.keys()
-    for k in narrow:
-        assert wide[k] == pytest.approx(narrow[k], abs=1e-12)
+    ev = events_view(spark, SF01, True)
+    wide = ev.withColumn("v2", F.col("value") * 2).withColumn("u2", F.col("user_id") + 1)
+    few = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(ev, ["value", "user_id", "k"]).collect()}
+    many = {(r["col_a"], r["col_b"]): r["r"]
+            for r in profile.correlation_matrix(wide, ["y", "value", "user_id", "k", "v2", "u2"]).collect()}
+    for pair, r in few.items():
+        assert many[pair] == pytest.approx(r, abs=1e-12)
+
+
+def test_auc_of_counts_whose_product_passes_a_long(spark, monkeypatch):
+    from partqc.operators import evaluate
+    counts = spark.createDataFrame([(0.1, 0, 4_000_000_000), (0.9, 4_000_000_000, 0)], "score double, pos long, neg long")
+    monkeypatch.setattr(evaluate, "score_counts", lambda *a, **k: counts)
+    assert evaluate.roc_auc(counts, "y", "score").first()["auc"] == 1.0
+
+
+def test_smote_rejects_invalid_vectors(spark):
+    from partqc.operators.smote import Smote
+    rows = [(i, int(i < 6), [float(i), float("nan") if i == 3 else 1.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, y int, x array<double>")
+    with pytest.raises(ValueError, match="1 minority rows"):
+        Smote(k=2).prepare(df, "y", "id", "x")
+
+
+def test_forest_bounds_take_effect(spark):
+    from partqc.operators import models
+    rf = models.forest_full_depth(num_trees=7, max_depth=4, min_instances_per_node=9)
+    assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getMinInstancesPerNode()) == (7, 4, 9)
+    assert models.forest_full_depth().getNumTrees() == 100 and models.forest_full_depth().getMaxDepth() == 30
 
 
 def test_two_level_cut_equals_one_level(spark):

@@ -12,6 +12,8 @@ from partqc.sources import files, model_store
 from partqc.sources.tables import events_view
 from partqc.streaming.messages import to_messages
 
+import pytest
+
 from conftest import SF01
 
 
@@ -30,6 +32,41 @@ def test_csv_inference_and_explicit_schema(spark):
     assert inferred.count() == 50
 
 
+def test_csv_columns_are_bound_by_name(spark):
+    from partqc.schema import csv_schema
+    path = scratch_path(spark, "test_csv_names")
+    schema = csv_schema(["b", "a"], "reason")
+    spark.createDataFrame([(0, 2.5, 1, 7.5)], "_c0 long, b double, reason int, a double").write.mode("overwrite").option(
+        "header", True).csv(path)
+    got = files.read_csv(spark, path, schema=schema).first()
+    assert got.asDict() == {"reason": 1, "b": 2.5, "a": 7.5}
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_csv(spark, path, schema=csv_schema(["b", "c"], "reason"))
+    bad = csv_schema(["b"], "a")  # 7.5 is no integer
+    with pytest.raises(Exception):
+        files.read_csv(spark, path, schema=bad).collect()
+
+
+def test_checkpoint_folder_is_required_off_local_masters(spark, monkeypatch):
+    from partqc import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
 def test_train_job_and_alerts(spark):
     csv, model_path = scratch_path(spark, "test_job_csv"), scratch_path(spark, "test_job_model")
     prepared = _prepared(spark)

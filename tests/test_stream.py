@@ -95,7 +95,8 @@ def test_alert_frame_on_stream(spark, stream_setup):
 def test_kafka_option_maps():
     src = kafka.kafka_source_options("localhost:9092", "injection", max_offsets_per_trigger=1000)
     assert src == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "injection",
-                   "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+                   "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "1000"}
+    assert kafka.kafka_source_options("b", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     sink = kafka.kafka_sink_options("localhost:9092", "injection2", "/chk")
     assert sink["topic"] == "injection2" and sink["checkpointLocation"] == "/chk"
     with pytest.raises(ValueError):
