@@ -72,8 +72,8 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bytes_ = (_chunks(first, divisor).join(holders, ["rk", "s"]).select("key", "chunk").dropDuplicates(["key"]))
     out = (rest.join(bytes_, "key").groupBy("rk")
            .agg(F.sort_array(F.collect_list(F.struct("s", "e", "chunk"))).alias("out")))
-    lines = (base.withColumn("rk", _row_key(F.col("id"), F.col("text")))
-             .join(out, "rk", "left")
+    lines = (base.select("row", _row_key(F.col("id"), F.col("text")).alias("rk"))
+             .join(out, "rk", "left").withColumn("text", F.col(f"row.`{text_col}`").cast("string"))
              .select("row", "text", F.split("text", _NL, -1).alias("lines"), "out")
              .withColumn("out", F.expr(
                  f"filter(out, z -> array_join(slice(lines, z.s + 1, z.e - z.s), '{_NL}') = z.chunk)"))

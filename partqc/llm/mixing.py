@@ -84,9 +84,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     base = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
             .withColumn("key", id_)
             .withColumn("source", F.col(f"row.`{source_col}`"))
-            .withColumn("n_tokens", tokens_of(F.col(f"row.`{text_col}`"))))
-    narrow = materialize(base.filter("n_tokens > 0").select("key", "source", "n_tokens", F.xxhash64(
-        f"row.`{text_col}`").alias("tie")))
+            .withColumn("n_tokens", tokens_of(F.col(f"row.`{text_col}`")))
+            .withColumn("tie", F.xxhash64(f"row.`{text_col}`")))
+    narrow = materialize(base.filter("n_tokens > 0").select("key", "source", "n_tokens", "tie"))
     size = narrow.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
     weights = source_weights(size.select("source", "tokens"), target_entropy, max_repeats, budget)
     plan = (size.drop("tokens").join(weights, size["source"].eqNullSafe(weights["source"])).drop(size["source"])
@@ -126,8 +126,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                      F.col("tie").alias("lt")).agg(F.count("*").alias("fit")))
     drawn = with_plan(base.filter("n_tokens > 0")).join(passes, same)
     full = drawn.filter("state = 2")
-    part = drawn.filter("state = 1").withColumn("tie", F.xxhash64(f"row.`{text_col}`"))
-    part = (part.join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls"))
+    part = (drawn.filter("state = 1").join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls"))
                       & (F.col("n_tokens") == F.col("ln")) & (F.col("tie") == F.col("lt")))
             .withColumn("nth", F.row_number().over(Window.partitionBy("key", "source", "n_tokens", "tie").orderBy("epoch")))
             .filter("nth <= fit"))
