@@ -299,7 +299,8 @@ ORACLE: dict[str, str] = {
                           CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 <> 0 THEN CAST(prediction AS INT) END AS p
                      FROM {EV_SCORED}),
         c AS (SELECT a, p, count(*) AS n FROM s GROUP BY a, p)
-        SELECT g.actual, g.predicted, CAST(coalesce(n, 0) AS BIGINT) AS count
+        SELECT coalesce(CAST(g.actual AS VARCHAR), 'other') AS actual, coalesce(CAST(g.predicted AS VARCHAR), 'other') AS predicted,
+               CAST(coalesce(n, 0) AS BIGINT) AS count
           FROM (SELECT * FROM {GRID} UNION SELECT a, p FROM c) g
           LEFT JOIN c ON c.a IS NOT DISTINCT FROM g.actual AND c.p IS NOT DISTINCT FROM g.predicted""",
     "metrics_class0": f"""

@@ -392,7 +392,8 @@ def _ev_odd(spark, sf):
 
 
 def q_confusion_dirty(spark, sf):
-    return evaluate.confusion_matrix(_ev_odd(spark, sf), "y")
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("other")).alias(c)
+    return evaluate.confusion_matrix(_ev_odd(spark, sf), "y").select(name("actual"), name("predicted"), "count")
 
 
 def q_metrics_class0(spark, sf):
