@@ -237,12 +237,13 @@ def _size_ok(a, b, percent: int):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def _common_slots(counts: DataFrame, at_least: int, most: int) -> np.ndarray:
+def _common_slots(tmp: Scratch, counts: DataFrame, at_least: int, most: int) -> np.ndarray:
     """A bit set of the slots that ``at_least`` documents have; if these are over
     ``most`` (the bound of what goes through the driver), of the most frequent."""
-    slots = (counts.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least)
-             .orderBy(F.desc("n"), "slot").limit(most).select("slot"))
-    got = np.array([r[0] for r in slots.collect()], np.int32).view(np.uint32)
+    # Tasks have summed already what they saw, so rows are dealt before the sum.
+    slots = tmp.keep(counts.repartition("slot").groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least))
+    top = slots.orderBy(F.desc("n"), "slot").limit(most).select("slot")
+    got = np.array([r[0] for r in top.collect()], np.int32).view(np.uint32)
     size = max(1 << 16, min(1 << 32, 1 << (16 * len(got)).bit_length()))
     bits = np.zeros(size // 8, np.uint8)
     slot = got & np.uint32(size - 1)
@@ -305,7 +306,7 @@ def _groups(tmp: Scratch, docs: DataFrame, named: DataFrame, classes: DataFrame,
 def _opened(tmp: Scratch, docs: DataFrame, classes: DataFrame, group: DataFrame, k: int, percent: int,
             common_from: int, common_most: int) -> DataFrame:
     """Links (u, v) between classes of different groups."""
-    common = _common_slots(_slot_counts(docs, k), common_from, common_most)
+    common = _common_slots(tmp, _slot_counts(docs, k), common_from, common_most)
     share = docs.sparkSession.sparkContext.broadcast(common)
     node = classes.select("rep", "n").distinct().join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("rep").alias("id"), "n", F.coalesce("component", "rep").alias("g"), F.col("component").isNotNull().alias("linked"))
