@@ -42,7 +42,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = common.table(spark, sf_dir, "labels").filter("quality = 1")
-    return lm.cross_entropy_difference(common.documents(spark, sf_dir), good)
+    return lm.word_difference(common.documents(spark, sf_dir), good)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Model scores against plain counting."""
 
 import math
+import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -60,3 +62,57 @@ def test_targets_score_lower_and_empty_tables(spark):
     assert max(got[i] for i in range(1, 40, 2)) < min(got[i] for i in range(0, 40, 2))
     assert lm.cross_entropy_difference(df.limit(0), targets).count() == 0
     assert lm.cross_entropy_difference(df, targets.limit(0)).count() == 40
+
+
+def plain_words(rows, targets, weight):
+    split = lambda t: re.findall("[\u4e00-\u9fff]|[^\\W_\u4e00-\u9fff]+|[^\\w\\s]|_", "".join(map(lm.folded, t or "")))
+    docs = [(i, split(t)) for i, t in rows]
+    kinds = len({w for _, ws in docs for w in ws})
+
+    def model(texts):
+        one, two, context = Counter(), Counter(), Counter()
+        for ws in texts:
+            one.update(ws)
+            two.update(zip([None, *ws], ws))
+            context.update([None, *ws][:len(ws)])
+        n = one.total()
+        return lambda v, w: (two[v, w] + weight * (one[w] + 1) / (n + kinds)) / (context[v] + weight)
+
+    back, front = model([ws for _, ws in docs]), model([ws for i, ws in docs if i in targets])
+    out = []
+    for i, ws in docs:
+        x = [math.log2(back(v, w)) - math.log2(front(v, w)) for v, w in zip([None, *ws], ws)]
+        out.append((i, len(ws), sum(x) / max(1, len(x))))
+    return sorted(out, key=repr)
+
+
+def test_words_equal_plain_counts_without_a_cut_vocabulary(spark):
+    many = "".join(chr(0x4E00 + i) for i in range(300))
+    rows = [*ROWS, (8, "жук и кот"), (9, "кот, жук; дом_и 42"), (10, many), (11, many[::-1] + " a\u0301 x"), (12, "Ωμέγα [x@y] = +j")]
+    df = spark.createDataFrame([(i, t, 1, "n") for i, t in rows], "doc_id long, text string, block int, id string").repartition(3)
+    targets = spark.createDataFrame([(2,), (5,), (2,), (9,), (11,), (None,), (99,)], "doc_id long")
+    plain_rows = [(i, t and t.replace("a\u0301", "\u00e1")) for i, t in rows]
+    want = plain_words(plain_rows, {2, 5, 9, 11}, lm.WEIGHT)
+    for block in (10, lm.BLOCK):
+        got = sorted((tuple(r) for r in lm.word_difference(df, targets, block=block).collect()), key=repr)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2] for g in got], [w[2] for w in want], atol=1e-9)
+
+
+def test_the_query_tells_documents_of_a_minority_script_apart(spark, tmp_path):
+    from partqc.llm import queries
+    # Words of like length, and more than 47 characters that occur more often.
+    rows = [(i, ("кот лежал под лампой " if i % 2 else "дом стоял над речкой ") * 4) for i in range(20)]
+    rows += [(100 + i, f"the quick brown fox jumps over the lazy dog 0123456789 {string.punctuation} " * 20) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r["loss_difference"] for r in queries.op7_lm_scoring(spark, str(tmp_path)).collect()}
+    assert len(got) == 80 and max(got[i] for i in range(1, 20, 2)) < min(got[i] for i in range(0, 20, 2))
+
+
+def test_words_of_empty_tables_and_no_targets(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long")
+    assert lm.word_difference(df.limit(0), none).count() == 0
+    assert sorted(r["n_tokens"] for r in lm.word_difference(df, none).collect()) == [0, 0, 2]
+    assert [r["loss_difference"] for r in lm.word_difference(df.filter("doc_id < 3"), none).collect()] == [0, 0]
