@@ -3,9 +3,10 @@
 A suffix automaton per language holds all substrings of a sample of its labelled
 text.  A text is parsed into phrases, each the longest match with the language's
 sample from where the last phrase ended; a language that explains the text needs
-few.  Phrases times log2 of the sample's length over the text's length is the
-cross-parsing estimate of the cross entropy in bits per character, and the
-language with the least wins (ties: the first in order of name).
+few.  Phrases times log2 of the longest sample's length plus the alphabet, over
+the text's length, estimate the cross entropy in bits per character, and the
+language with the least wins (ties: the first in order of name).  A phrase and an
+unknown letter cost the same in all languages, so a small sample gains nothing.
 
 Texts are folded to letters and single blanks.  They are parsed in stretches of
 ``STRETCH`` symbols, each from the automaton's start, so that all stretches of a
@@ -13,7 +14,8 @@ batch advance together, one symbol per array operation, through the automaton's
 transition table; a phrase is cut once per stretch at most.
 
 Each sample holds up to ``sample_chars`` letters and blanks (a documented bound)
-of whole training documents, those with the smallest hash of their id; the
+of training documents in order of the hash of their id, short or long: whole
+documents until it is full, of the last one the beginning that fits; the
 tables (states x symbols x 4 bytes per language, about 25 MB each) are the only
 broadcast.  All rows are scored, whole.
 
@@ -35,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partqc.functions.hashing import TWO_32, seeded_u32
+from partqc.functions.hashing import seeded_u32
 from partqc.llm.quality import in_fold
 from partqc.llm.words import code_points, slices
 
@@ -138,21 +140,33 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
         F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
         & ~in_fold(F.col("id"), folds, held))
     d = d.withColumn("h", seeded_u32(seed, "id"))
-    total = d.groupBy("lang").agg(F.sum(F.char_length("text")).alias("n"), F.max(F.char_length("text")).alias("longest"))
-    # By hash, the share that holds twice the sample on average; whole documents.
-    near = total.select(F.col("lang").alias("l"), F.least(
-        F.lit(float(TWO_32)), F.lit(2.0 * sample_chars * TWO_32) / F.col("n")).alias("below"), "n")
-    picked = (d.join(F.broadcast(near), d["lang"] == near["l"]).filter(F.col("h") < F.col("below"))
-              .filter(F.char_length("text") <= sample_chars)
-              .select("lang", "h", "id", "text").collect())
-    rows = sorted((r["lang"], r["h"], r["text"]) for r in picked)
-    if not rows:
+    # What a text can add: its first letters and single blanks.
+    part = F.substring(F.trim(F.regexp_replace("text", r"\P{L}+", " ")), 1, sample_chars)
+    d = d.withColumn("level", 32 - F.length(F.bin("h")))  # zeros that the hash begins with
+    sums: dict[str, dict] = {}
+    for r in d.groupBy("lang", "level").agg(F.sum(F.char_length(part)).alias("n")).collect():
+        if r["n"]:
+            sums.setdefault(r["lang"], {})[r["level"]] = r["n"]
+    if not sums:
         return None
+    # The fewest halvings of the hashes' range from its small end that fill the sample.
+    least = []
+    for lang, by in sums.items():
+        n = 0
+        for level in sorted(by, reverse=True):
+            n += by[level]
+            if n >= sample_chars:
+                break
+        least.append((lang, level))
+    near = F.broadcast(docs.sparkSession.createDataFrame(least, "l string, least int"))
+    picked = (d.join(near, d["lang"] == near["l"]).filter(F.col("level") >= F.col("least"))
+              .select("lang", "h", part.alias("text")).collect())
     texts: dict[str, list] = {}
-    for lang, _, text in rows:
+    for lang, _, text in sorted((r["lang"], r["h"], r["text"]) for r in picked):
         kept = texts.setdefault(lang, [])
-        if sum(map(len, kept)) < sample_chars:
-            kept.append(text)
+        room = sample_chars - sum(map(len, kept))
+        if room > 0 and text:
+            kept.append(text[:room - 1] + " ")
     letters: dict[str, int] = {}
     for kept in texts.values():
         for text in kept:
@@ -181,7 +195,8 @@ def identify(parser: Parser, col) -> tuple[list, np.ndarray]:
     """(language, score) of every text of an Arrow column."""
     s, off, letters = fold(parser.symbol, *code_points(col))
     size = np.maximum(np.diff(off), 1)
-    bits = np.stack([phrases(t, s, off) * np.log2(n) / size for t, n in zip(parser.tables, parser.sizes)])
+    cost = np.log2(max(parser.sizes) + SYMBOLS)
+    bits = np.stack([phrases(t, s, off) * cost / size for t in parser.tables])
     best = bits.argmin(0)
     score = 1 / np.exp2(-SHARPNESS * (bits - bits.min(0))).sum(0)
     some = letters > 0

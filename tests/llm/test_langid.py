@@ -69,3 +69,23 @@ def test_nulls_clashes_and_empty_tables(spark):
     assert by[54] in (["en"], ["fr"])
     assert [r["lang_pred"] for r in langid.identify_language(spark.createDataFrame([(1, "text", None, 1.0)], schema)).collect()] == ["und"]
     assert langid.identify_language(spark.createDataFrame([], schema)).count() == 0
+
+
+def trained(n, held=False):
+    return [i for i in range(10 * n) if (zlib.crc32(str(i).encode()) % 4 == 2) == held][:n]
+
+
+def test_long_texts_and_small_samples(spark):
+    rng = random.Random(5)
+    bag = {x: ["".join(rng.choices(a, k=rng.randint(3, 7))) for _ in range(60)] for x, a in (("aa", "abcdefghij"), ("bb", "fghijklmno"), ("cc", "klmnopqrst"))}
+    say = lambda x, n: " ".join(rng.choices(bag[x], k=n))
+    ids, held = trained(80), trained(30, held=True)
+    rows = [(i, say("aa", 1000), "aa") for i in ids[:20]]  # each longer than a sample
+    rows += [(i, say("bb", 20), "bb") for i in ids[20:60]] + [(i, say("bb", 30_000), "bb") for i in ids[60:62]]
+    rows += [(i, say("cc", 20), "cc") for i in ids[62:79]] + [(ids[79], "ok", "zz")]
+    rows += [(i, say("abc"[k % 3] * 2, 30), None) for k, i in enumerate(held)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    parser = langid.learn(df, "doc_id", "text", "lang", 4, 2, 2000)
+    assert parser.names == ["aa", "bb", "cc", "zz"] and min(parser.sizes[:2]) >= 1900
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_language(df, sample_chars=2000).collect()}
+    assert [got[i] for i in held] == ["abc"[k % 3] * 2 for k in range(len(held))]
