@@ -10,7 +10,9 @@ Base kinds (leftmost matches that do not overlap, each kind by itself):
 Added by the method (never in place of a base span):
 
   iban         country, check digits and 11 to 30 more in one run or in groups
-               of four, whose mod-97 remainder is 1, not in the middle of a word
+               of four, whose mod-97 remainder is 1, not in the middle of a word;
+               of groups that words in capitals or numbers follow, the longest
+               leading part (whole groups, the last one shorter) with remainder 1
   phone_local  8 to 15 digits without +, overlapping no base span, accepted only
                when a word for a telephone stands shortly before
 
@@ -42,9 +44,11 @@ KINDS = {
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", None, 80,
              "card|visa|credit|karte|carte|tarjeta"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", 60, "tel|phone|call|fax|mobil|handy"),
-    "iban": (r"[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Za-z0-9]{15,}+", None, 80, "iban|account|konto|compte|cuenta"),
+    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20[A-Z0-9]{4})|[A-Za-z0-9]{15,}+", None, 80, "iban|account|konto|compte|cuenta"),
     "phone_local": (r"[0-9][0-9\x20().-]{6,}[0-9]", None, 30, "tel|phone|call|fax|mobil|handy"),
 }
+#: The groups that begin at a match of four characters, each a word of its own.
+_GROUPS = r"^[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}(?![A-Za-z0-9])){2,7}(?:\x20[A-Z0-9]{1,3}(?![A-Za-z0-9]))?"
 BASE = ("email", "ip", "card", "phone")
 _TESTS = {"card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]", "iban": r"[A-Z]{2}[0-9]{2}",
           "phone_local": r"(?i)tel|phone|call|fax|mobil|handy"}
@@ -95,6 +99,17 @@ def _spans(kind: str, order: int) -> Column:
     near = f"lower(substr(text, greatest(s - {CONTEXT}, 0) + 1, s - greatest(s - {CONTEXT}, 0))) rlike r'{words}'"
     span = (f"named_struct('k', {order}, 'kind', '{kind}', 's', s, 'e', s + char_length(v), 'v', v, "
             f"'score', {base} + if({near}, {CONTEXT_BONUS}, 0))")
+    if kind == "iban":
+        # Of what begins at a match, the longest part that holds; parts that begin inside an earlier one go.
+        kinds = "array<struct<k:int,kind:string,s:int,e:int,v:string,score:int>>"
+        parts = (f"transform(array(if(char_length({m}[i]) > 4, {m}[i], regexp_extract(substr(text, s + 1, 44), r'{_GROUPS}', 0))), "
+                 f"r -> concat(array(r), transform(filter(array(7, 6, 5, 4, 3, 2), n -> char_length({m}[i]) = 4 and "
+                 f"4 + 5 * n < char_length(r)), n -> substr(r, 1, 4 + 5 * n))))[0]")
+        best = f"transform(slice(filter({parts}, v -> {_VALID[kind]}), 1, 1), v -> {span})"
+        return F.expr(
+            f"if(size({m}) = 0, cast(array() as {kinds}), aggregate(flatten(transform(sequence(0, size({m}) - 1), "
+            f"i -> transform(array({start}), s -> {best})[0])), cast(array() as {kinds}), "
+            f"(a, x) -> if(size(a) > 0 and get(a, size(a) - 1).e > x.s, a, concat(a, array(x)))))")
     placed = f"transform(array({start}), s -> {span})[0]"
     return F.expr(
         f"if(size({m}) = 0, cast(array() as array<struct<k:int,kind:string,s:int,e:int,v:string,score:int>>), "

@@ -78,3 +78,18 @@ def test_masking(spark):
 def test_null_ids_repeats_clashes_and_empty_table(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string, base string")
     assert [r["n_email"] for r in pii.report(df).collect()] == [1] * len(rows)
+
+
+IBANS = ["NO93 8601 1117 947", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332",
+         "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+
+
+@pytest.mark.parametrize("after", ["", " Please", " For", " A", " AB", " 2024", " 12", " AB12 2024 EUR", " PLEASE", " EURO 1000 2000 3000 4000", ".", "\n"])
+def test_account_numbers_before_capitals_and_digits(spark, after):
+    rows = [(i, f"é to IBAN {x}{after}") for i, x in enumerate(IBANS)]
+    rows.append((90, " ".join(IBANS) + after))
+    rows.append((91, "XX12 " + IBANS[1] + after))
+    got = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("iban:")]
+        assert [text[s:e] for s, e in spans] == (IBANS if i == 90 else [IBANS[1]] if i == 91 else [IBANS[i]])
