@@ -8,6 +8,11 @@ return to step after any insertion or removal.  Of chunks of two or more lines
 (id, position) stays and the others go, each after its bytes have been compared
 with the first one's: equal hashes alone remove nothing.
 
+Not the whole of what repeats: a chunk of a single line (a line ends one with
+chance 1 / ``divisor``) is never removed, nor are the lines of a repeated passage
+that share a chunk with others, so short repeated passages, single-line texts and
+parts of exact copies stay.  The SQL of the query fixes this recipe.
+
 Chunk keys (16 bytes) are counted with map-side combination, so a chunk that a
 third of all documents share is a few rows; texts move once, to be joined with
 their own removals.
