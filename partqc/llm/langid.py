@@ -16,8 +16,10 @@ transition table; a phrase is cut once per stretch at most.
 Each sample holds up to ``sample_chars`` letters and blanks (a documented bound)
 of training documents in order of the hash of their id, short or long: whole
 documents until it is full, of the last one the beginning that fits; the
-tables (states x symbols x 4 bytes per language, about 25 MB each) are the only
-broadcast.  All rows are scored, whole.
+tables are the only broadcast: states x letters x 4 bytes per language, or, with
+more than ``CELLS`` cells (thousands of letters), the transitions alone, sorted.
+Every language's table has all the letters of its own sample.  All rows are
+scored, whole.
 
 Nulls and oddities: a text that is null or has no letter is ``und`` with score 0;
 null languages and null ids are not learned from; letters that no sample has
@@ -44,7 +46,7 @@ from partqc.llm.words import code_points, slices
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STRETCH = 256
-SYMBOLS = 48  # blank, other letters, and the most frequent letters
+CELLS = 1 << 24
 SAMPLE_CHARS = 80_000
 SHARPNESS = 8.0
 
@@ -52,13 +54,30 @@ SHARPNESS = 8.0
 @dataclass
 class Parser:
     """What a task needs: symbol of every code point (0: no letter, 1: a letter
-    that no sample has), and per language its name, sample length and table."""
+    that no sample has), and per language its name, sample length, its own
+    symbol of every symbol (1: a letter that its sample has not) and table."""
     symbol: np.ndarray
     names: list
     sizes: list
+    own: list
     tables: list
 
 
+@dataclass
+class Sparse:
+    """A transition table as the sorted places of its cells and what they hold."""
+    place: np.ndarray
+    to: np.ndarray
+    shape: tuple
+
+    def __getitem__(self, cell: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.place, cell), len(self.place) - 1)
+        return np.where(self.place[at] == cell, self.to[at], 0)
+
+    def ravel(self) -> Sparse:
+        return self
+
+
 def fold(symbol: np.ndarray, cps: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols with runs of blanks as one and none at either end's start,
     offsets, letters per row)."""
@@ -71,7 +90,7 @@ def fold(symbol: np.ndarray, cps: np.ndarray, off: np.ndarray) -> tuple[np.ndarr
     return s[keep], run[off], np.diff(letters[off])
 
 
-def automaton(text: np.ndarray, symbols: int) -> np.ndarray:
+def automaton(text: np.ndarray, symbols: int, cells: int = CELLS) -> np.ndarray | Sparse:
     """Transition table (states x symbols, 0: none) of the suffix automaton of a
     sequence of symbols; state 0 is the start."""
     nxt: list[dict] = [{}]
@@ -100,6 +119,10 @@ def automaton(text: np.ndarray, symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
+    if len(nxt) * symbols > cells:
+        pairs = sorted((i * symbols + c, to) for i, d in enumerate(nxt) for c, to in d.items())
+        place, to = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+        return Sparse(place, to.astype(np.int32), (len(nxt), symbols))
     table = np.zeros((len(nxt), symbols), np.int32)
     for i, d in enumerate(nxt):
         for c, to in d.items():
@@ -170,24 +193,28 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
     letters: dict[str, int] = {}
     for kept in texts.values():
         for text in kept:
-            for ch in text.lower():
-                if ch.isalpha():
-                    letters[ch] = letters.get(ch, 0) + 1
-    known = sorted(letters, key=lambda c: (-letters[c], c))[:SYMBOLS - 2]
-    symbol = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
+            for ch in text:
+                low = ch.lower() if len(ch.lower()) == 1 else ch
+                if low.isalpha():
+                    letters[low] = letters.get(low, 0) + 1
+    known = sorted(letters, key=lambda c: (-letters[c], c))
+    symbol = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.int32, 0x110000)
     for i, ch in enumerate(known):
         symbol[ord(ch)] = i + 2
         if len(ch.upper()) == 1:
             symbol[ord(ch.upper())] = i + 2
-    out = Parser(symbol, [], [], [])
+    out = Parser(symbol, [], [], [], [])
     for lang in sorted(texts):
         col = pa.array(texts[lang])
         s, off, _ = fold(symbol, *code_points(col))
         s = s[:sample_chars]
-        s = s[s != 1]
+        has = np.unique(s[s > 1])
+        own = np.minimum(np.arange(len(known) + 2), 1)
+        own[has] = np.arange(len(has)) + 2
         out.names.append(lang)
         out.sizes.append(max(2, len(s)))
-        out.tables.append(automaton(s, SYMBOLS))
+        out.own.append(own)
+        out.tables.append(automaton(own[s], len(has) + 2))
     return out
 
 
@@ -195,8 +222,8 @@ def identify(parser: Parser, col) -> tuple[list, np.ndarray]:
     """(language, score) of every text of an Arrow column."""
     s, off, letters = fold(parser.symbol, *code_points(col))
     size = np.maximum(np.diff(off), 1)
-    cost = np.log2(max(parser.sizes) + SYMBOLS)
-    bits = np.stack([phrases(t, s, off) * cost / size for t in parser.tables])
+    cost = np.log2(max(parser.sizes) + len(parser.own[0]))
+    bits = np.stack([phrases(t, own[s], off) * cost / size for own, t in zip(parser.own, parser.tables)])
     best = bits.argmin(0)
     score = 1 / np.exp2(-SHARPNESS * (bits - bits.min(0))).sum(0)
     some = letters > 0

@@ -89,3 +89,25 @@ def test_long_texts_and_small_samples(spark):
     assert parser.names == ["aa", "bb", "cc", "zz"] and min(parser.sizes[:2]) >= 1900
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_language(df, sample_chars=2000).collect()}
     assert [got[i] for i in held] == ["abc"[k % 3] * 2 for k in range(len(held))]
+
+
+def test_every_letter_of_a_sample_is_kept(spark):
+    rng = random.Random(6)
+    ids, held = trained(160), trained(20, held=True)
+    han = [chr(0x4E00 + i) for i in range(400)]
+    latin = [chr(97 + i) for i in range(26)] + list("àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ")
+    bag = {x: ["".join(rng.choices(a, k=3)) for _ in range(60)] for x, a in (("aa", latin), ("jj", han[:200]), ("kk", han[200:]))}
+    say = lambda x, n: "".join(rng.choices(bag[x], k=n))
+    rows = [(i, say(x, 2000 if x == "aa" else 40), x) for k, i in enumerate(ids) for x in [("aa", "aa", "jj", "kk")[k % 4]]]
+    rows += [(i, say(("jj", "kk")[k % 2], 30), None) for k, i in enumerate(held)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_language(df, sample_chars=80_000).collect()}
+    assert [got[i] for i in held] == [("jj", "kk")[k % 2] for k in range(len(held))]
+
+
+def test_sparse_tables_equal_dense_ones():
+    rng = np.random.default_rng(1)
+    sample, text = rng.integers(2, 30, 500), rng.integers(0, 32, 900)
+    off = np.array([0, 0, 300, 900])
+    dense, sparse = langid.automaton(sample, 32), langid.automaton(sample, 32, 0)
+    assert langid.phrases(sparse, text, off).tolist() == langid.phrases(dense, text, off).tolist()
