@@ -12,7 +12,7 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
+import pyarrow as pa
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
@@ -44,13 +44,6 @@ def _norm(v):
         return ("num", float(v))
     if isinstance(v, int):
         return ("num", float(v))
-    if hasattr(v, "item"):
-        return _norm(v.item())
-    try:
-        if pd.isna(v):
-            return ("null",)
-    except (TypeError, ValueError):
-        pass
     return ("str", str(v))
 
 
@@ -65,12 +58,10 @@ def type_mismatches(sdf, rel) -> dict:
     return {c: (sp.get(c), dk.get(c)) for c in set(sp) | set(dk) if sp.get(c) != dk.get(c)}
 
 
-def rows_of(pdf: pd.DataFrame) -> list[tuple]:
-    cols = sorted(pdf.columns)
-    out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(v) for v in rec))
-    return sorted(out, key=repr)
+def rows_of(table: pa.Table) -> list[tuple]:
+    """Rows with their columns by name; Arrow keeps null apart from NaN."""
+    cols = sorted(table.column_names)
+    return sorted((tuple(_norm(rec[c]) for c in cols) for rec in table.to_pylist()), key=repr)
 
 
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
@@ -78,22 +69,22 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     q = queries()[name]
     t0 = time.time()
     sdf = q(spark, sf_dir)
-    spdf = sdf.toPandas()
+    got = sdf.toArrow()
     t_spark = time.time() - t0
     sql = oracle_sql().get(name)
-    res = {"name": name, "spark_rows": len(spdf), "spark_s": round(t_spark, 2)}
+    res = {"name": name, "spark_rows": got.num_rows, "spark_s": round(t_spark, 2)}
     if sql is None:
         res["status"] = "rows-only"
         return res
     con = con or duck(sf_dir)
     rel = con.sql(sql)
     bad_types = type_mismatches(sdf, rel)
-    opdf = rel.df()
-    res["oracle_rows"] = len(opdf)
-    if sorted(spdf.columns) != sorted(opdf.columns):
-        res["status"] = f"COLUMNS {sorted(spdf.columns)} vs {sorted(opdf.columns)}"
+    want = rel.to_arrow_table()
+    res["oracle_rows"] = want.num_rows
+    if sorted(got.column_names) != sorted(want.column_names):
+        res["status"] = f"COLUMNS {sorted(got.column_names)} vs {sorted(want.column_names)}"
         return res
-    a, b = rows_of(spdf), rows_of(opdf)
+    a, b = rows_of(got), rows_of(want)
     if len(a) != len(b):
         res["status"] = "ROWCOUNT"
         return res
