@@ -12,6 +12,9 @@ Nothing outside this subpackage imports it.  Module per operator:
   langid        cross-parsing language identification
   linededup     content-defined line chunks
   ann           int8 block matrix nearest neighbours
+  covertree     product codes by Lloyd rounds over cover trees
+  merkle        postorder append logs of a Merkle manifest
+  licenses      exact containment join of text blocks and license notices
 
 ``queries`` registers one query per operator, ``oracle`` the SQL of those SQL
 can express, ``words`` and ``common`` are shared helpers.

@@ -7,6 +7,8 @@ round trips and held-out accuracy.
 
 from __future__ import annotations
 
+from partqc.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -142,10 +144,107 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
+# A digest's input: '-' for null, else UTF-8 byte count, ':', value.
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_CRC = ("xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(k) + 1),"
+        " lambda i: CAST(ord(substr(k, CAST(i AS INT), 1)) AS BIGINT))), lambda c, b: list_reduce("
+        "list_concat([xor(c, b)], range(8)), lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))))")
+_FOLD = """SELECT p.k, p.g, p.l + 1, p.i // 2, (p.n + 1) // 2, p.proof || coalesce(s.d, ''),
+  sha256(CASE WHEN s.d IS NULL THEN p.d WHEN s.i > p.i THEN p.d || s.d ELSE s.d || p.d END), p.root
+  FROM {path} p LEFT JOIN {node} s ON s.g = p.g AND s.l = p.l AND s.i = xor(p.i, 1) WHERE p.n > 1"""
+
+_MERKLE = f"""
+WITH RECURSIVE leaf AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {_LEAF.format(n='n_chars')} AS leaf,
+  CASE WHEN {_CRC} % 7 = 0
+    THEN {_LEAF.format(n='(n_chars + 1)')} ELSE {_LEAF.format(n='n_chars')} END AS claim FROM (SELECT *, CAST(doc_id AS VARCHAR) AS k FROM documents)),
+placed AS (SELECT *, row_number() OVER () AS k, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+  count(*) OVER (PARTITION BY g) AS n FROM leaf),
+node(g, l, i, d, n) AS (SELECT g, 0, i, leaf, n FROM placed UNION ALL
+  SELECT g, l + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), any_value((n + 1) // 2) FROM node WHERE n > 1
+  GROUP BY g, l, i // 2),
+sub AS (SELECT g, d, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+top(g, l, i, d, n) AS (SELECT '', 0, i, d, n FROM sub UNION ALL
+  SELECT g, l + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), any_value((n + 1) // 2) FROM top WHERE n > 1
+  GROUP BY g, l, i // 2),
+low(k, g, l, i, n, proof, d, root) AS (SELECT k, g, 0, i, n, '', claim, '' FROM placed UNION ALL {_FOLD.format(path='low', node='node')}),
+high(k, g, l, i, n, proof, d, root) AS (SELECT low.k, '', 0, sub.i, sub.n, low.proof, low.d, sub.d FROM low JOIN sub ON sub.g = low.g
+  WHERE low.n = 1 UNION ALL {_FOLD.format(path='high', node='top')})
+SELECT doc_id, leaf, high.root AS subroot, top.d AS root, sha256(high.proof) AS proof_sha256, high.d AS folded_root,
+  high.d = top.d AS verified FROM placed JOIN high ON high.k = placed.k AND high.n = 1 JOIN top ON top.n = 1
+"""
+
+
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Lloyd rounds written out: every part against every entry of its codebook."""
+    def nearest(r: int) -> str:
+        return (f"a{r} AS (SELECT v, p, any_value(x) AS x, min(list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform("
+                f"list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda a, b: a + b)) AS err,"
+                f" arg_min(e, (list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(list_zip(x, c),"
+                f" lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda a, b: a + b)) * {entries} + e) AS e"
+                f" FROM part JOIN b{r} USING (p) GROUP BY v, p)")
+    steps = [nearest(0)]
+    for r in range(1, rounds + 1):
+        steps.append(
+            f"m{r} AS (SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS c FROM (SELECT p, e, j, sum(y) AS s,"
+            f" count(*) AS n FROM (SELECT p, e, unnest(x) AS y, unnest(range(len(x))) AS j FROM a{r - 1}) GROUP BY ALL) GROUP BY p, e)")
+        steps.append(f"b{r} AS (SELECT p, e, coalesce(m{r}.c, b{r - 1}.c) AS c FROM b{r - 1} LEFT JOIN m{r} USING (p, e))")
+        steps.append(nearest(r))
+    return f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS v, vec_id, label, list_transform(embedding,
+    lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0),
+part AS (SELECT v, p, x[p * (len(x) // {parts}) + 1:(p + 1) * (len(x) // {parts})] AS x FROM v, range({parts}) t(p)),
+b0 AS (SELECT p, v AS e, x AS c FROM part WHERE v < {entries}),
+{', '.join(steps)},
+row AS (SELECT v, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(err) AS BIGINT) AS error FROM a{rounds} GROUP BY v)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN row USING (v)
+"""
+
+
+def _licenses() -> str:
+    """Every block against every template, without filters."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    pick = lambda x: f"regexp_extract_all(translate({x}, '{_UPPER}', '{_LOWER}'), '{word}')"
+    rows = ", ".join(f"({t}, '{label}', '{text}')" for t, (label, text) in enumerate(TEMPLATES))
+    phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in PHRASES)
+    return f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS k, {pick("coalesce(text, '')")} AS ws FROM documents),
+tw AS (SELECT t, label, {pick('text')} AS ws FROM (VALUES {rows}) x(t, label, text)),
+half AS (SELECT max(len(ws)) AS s FROM tw),
+token AS (SELECT DISTINCT t, label, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS pair FROM tw),
+need AS (SELECT t, count(*) AS m FROM token GROUP BY t),
+pair AS (SELECT k, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS pair,
+  unnest(range(len(ws) - 1)) AS i FROM w WHERE len(ws) > 1),
+hit AS (SELECT k, t, label, pair, i FROM pair JOIN token USING (pair)),
+dealt AS (SELECT k, t, label, pair, i // s AS b FROM hit, half UNION
+  SELECT k, t, label, pair, i // s - 1 FROM hit, half WHERE i >= s AND i + 1 < (i // s + 1) * s),
+held AS (SELECT k, t, label, count(*) AS c FROM dealt GROUP BY k, t, label, b),
+good AS (SELECT k, label, c / m AS share FROM held JOIN need USING (t) WHERE 100 * c >= {THRESHOLD} * m),
+place AS (SELECT k, label, i FROM (SELECT k, ws, label, string_split(phrase, ' ') AS ps, unnest(range(len(ws))) AS i
+  FROM w, (VALUES {phrases}) x(phrase, label)) WHERE ws[i + 1:i + len(ps)] = ps),
+base AS (SELECT k, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY k),
+every AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share FROM (
+  SELECT k, label, share FROM good UNION ALL SELECT k, label, 1.0 FROM place) GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(share, 0.0) AS score
+FROM w LEFT JOIN base USING (k) LEFT JOIN every USING (k)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_pii": _pii(),
     "op5_mixing": _MIX,
     "op6_jaccard_join": _JACCARD,
     "op9_line_dedup": _LINES,
     "op10_nearest": _NEAREST,
+    "op11_vector_codes": _codes(),
+    "op12_merkle_manifest": _MERKLE,
+    "op13_license_scan": _licenses(),
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partqc.llm import (ann, common, fingerprint, jaccard, langid, linededup, lm, mixing, pii, quality,
-                        sentencepiece)
+from partqc.llm import (ann, common, covertree, fingerprint, jaccard, langid, licenses, linededup, lm,
+                        merkle, mixing, pii, quality, sentencepiece)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,21 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.encode(common.table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(common.documents(spark, sf_dir), altered={"n_chars": F.col("n_chars") + 1},
+                        is_altered=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(common.documents(spark, sf_dir)).drop("matches")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_sentencepiece, op3_pii, op4_quality, op5_mixing, op6_jaccard_join,
-                            op7_lm_scoring, op8_language_id, op9_line_dedup, op10_nearest)
+                            op7_lm_scoring, op8_language_id, op9_line_dedup, op10_nearest, op11_vector_codes,
+                            op12_merkle_manifest, op13_license_scan)
 }
