@@ -22,8 +22,8 @@ is one block of ``BLOCK`` rows.
 
 Nulls and oddities: rows whose vector is null or holds null or non-finite
 components go; components of up to 2**18 in size are exact, larger ones are an
-error; the vector length is that of the row of the smallest id, and rows of other
-lengths stay with null code and error; rows with a null id are kept and give no
+error; the vector length is that of the row of the smallest id that is not
+empty, and rows of other lengths stay with null code and error; rows with a null id are kept and give no
 first entry before others; rows that repeat an id are rows each, ordered by
 vector; fewer rows than entries give as many entries as rows; equal rows cost one
 node; null labels are one label; other columns are ignored; an empty table gives
@@ -161,19 +161,20 @@ def encode(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     v = (vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                         F.col(vec_col).cast("array<double>").alias("vec"))
          .filter(vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))))
-    v = v.withColumn("vec", F.when(F.forall(vec, lambda x: F.abs(x) * 256 < MOST), vec).otherwise(
+    large = F.exists(vec, lambda x: (F.abs(x) < float("inf")) & (F.abs(x) * 256 >= MOST))
+    v = v.withColumn("vec", F.when(~F.coalesce(large, F.lit(False)), vec).otherwise(
         F.raise_error(F.lit(f"a vector component is {MOST >> 8} or larger")).cast("array<double>")))
     least = [F.col("id").asc_nulls_last(), "vec"]
-    start = v.select("id", "vec").orderBy(*least).limit(entries).collect()
+    start = v.filter(F.size("vec") > 0).select("id", "vec").orderBy(*least).limit(entries).collect()
     length = len(start[0]["vec"]) if start else 0
     if length % parts:
         raise ValueError(f"vectors of {length} components have no {parts} equal parts")
-    fits = v.filter(F.size("vec") == length) if length else v.limit(0)
+    fits = v.filter((F.size("vec") == length) & (F.size("vec") > 0))
     if any(len(r["vec"]) != length for r in start):
         start = fits.select("id", "vec").orderBy(*least).limit(entries).collect()
-    ints = np.floor(256 * np.array([r["vec"] for r in start], float)).astype(np.int64).reshape(len(start), parts, -1)
-    books = np.ascontiguousarray(ints.transpose(1, 0, 2)) if length else np.zeros((parts, 0, 0), np.int64)
     width = length // parts
+    ints = np.floor(256 * np.array([r["vec"] for r in start], float)).astype(np.int64).reshape(len(start), parts, width)
+    books = np.ascontiguousarray(ints.transpose(1, 0, 2))
 
     def plant(batches):
         for batch in batches:
@@ -241,7 +242,7 @@ def encode(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
             for r in got.collect():  # parts * entries rows at most
                 books[r["part"], r["entry"]] = [r[f"s{j}"] // r["n"] for j in range(width)]
         rows = trees.mapInArrow(codes, f"id {kinds[id_col]}, label {kinds[label_col]}, code string, error long")
-        rows = rows.union(v.filter(F.size("vec") != length).select(
+        rows = rows.union(v.filter((F.size("vec") != length) | (F.size("vec") == 0)).select(
             "id", "label", F.lit(None).cast("string"), F.lit(None).cast("long")))
         rows = materialize(rows)
     sha = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()

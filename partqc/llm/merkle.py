@@ -172,27 +172,32 @@ class Tree:
             out = out.union(t)
         return out
 
+    def opened(self, k: int, up: DataFrame) -> DataFrame:
+        """``up`` (grp, b, path, and what else is carried: a row per builder of
+        tier k) becomes a row per node of the level below it, numbered ``b``."""
+        builder, carried = self.builder, up.columns
+
+        def below(batches):
+            for batch in batches:
+                schema = batch.schema.empty_table().select(carried).schema
+                for at in range(len(batch)):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    n, log = row["n"], row["log"].hex()
+                    height = _height(n, row["total"], builder)
+                    yield pa.RecordBatch.from_pylist(
+                        [{**{c: row[c] for c in carried}, "b": row["b"] * builder + i,
+                          "path": pack(siblings(log, i, n, height)) + row["path"]} for i in range(n)], schema=schema)
+
+        return self.tiers[k].join(up, ["grp", "b"]).select(*carried, "n", "total", "log").mapInArrow(below, up.schema)
+
     def paths(self, above: DataFrame) -> DataFrame:
-        """The lowest tier's builders with ``path``, the siblings of their root
-        up to the top; ``above`` (grp, path, and what else is to be carried):
-        those of the groups' roots."""
-        builder = self.builder
+        """The siblings of every lowest builder's root up to the top as ``path``;
+        ``above`` (grp, path, and what else is to be carried): those of the
+        groups' roots."""
         up = above.withColumn("b", F.lit(0).cast("long"))
         for k in range(len(self.tiers) - 1, 0, -1):
-            here, carried = self.tiers[k].join(up, ["grp", "b"]), up.columns
-
-            def below(batches):
-                for batch in batches:
-                    for row in batch.to_pylist():
-                        n, log = row["n"], row["log"].hex()
-                        height = _height(n, row["total"], builder)
-                        yield pa.RecordBatch.from_pylist(
-                            [{**{c: row[c] for c in carried}, "b": row["b"] * builder + i,
-                              "path": pack(siblings(log, i, n, height)) + row["path"]} for i in range(n)],
-                            schema=batch.schema.empty_table().select(carried).schema)
-
-            up = here.select(*up.columns, "n", "total", "log").mapInArrow(below, up.schema)
-        return self.tiers[0].join(up, ["grp", "b"])
+            up = self.opened(k, up)
+        return up
 
 
 def build(nodes: DataFrame, tmp: Scratch, builder: int = BUILDER) -> Tree:
@@ -244,21 +249,10 @@ def prove(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang",
         first = top.roots.first()
         root = first["root"].hex() if first else None
         # What follows each subtree's root: its siblings in the top tree.
-        down = top.paths(top.roots.select("grp", F.lit(b"").alias("path"))).select("b", "n", "total", "log", "path")
-        above = down.join(tops.select(F.col("idx"), F.col("name"), F.col("digest").alias("subroot"),
-                                      F.shiftright("idx", builder.bit_length() - 1).alias("b")), "b")
-
-        def finish(batches):
-            for batch in batches:
-                out = []
-                for r in batch.to_pylist():
-                    own = siblings(r["log"].hex(), r["idx"] % builder, r["n"], _height(r["n"], r["total"], builder))
-                    out.append({"grp": r["name"], "subroot": r["subroot"], "path": pack(own) + r["path"]})
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
-                    [("grp", pa.string()), ("subroot", pa.binary()), ("path", pa.binary())]))
-
-        above = above.mapInArrow(finish, "grp string, subroot binary, path binary")
-        paths = tree.paths(above)
+        down = top.opened(0, top.paths(top.roots.select("grp", F.lit(b"").alias("path"))))
+        above = down.select(F.col("b").alias("idx"), "path").join(tops.select(
+            "idx", F.col("name").alias("grp"), F.col("digest").alias("subroot")), "idx").select("grp", "path", "subroot")
+        paths = tree.tiers[0].join(tree.paths(above), ["grp", "b"])
 
         def check(left: pa.Table, right: pa.Table) -> pa.Table:
             cols: dict[str, list] = {c: [] for c in ("leaf", "subroot", "proof_sha256", "folded_root")}
