@@ -1,28 +1,5 @@
-"""SMOTE over-sampling (R3) with an exact k-nearest-neighbour self-join.
-
-Neighbours (euclidean, ties by key, the row itself excluded) are found
-exactly without emitting all pairs:
-
-1. A two-level pivot tree: up to ``fanout`` top pivots (the rows first in
-   ``md5(seed:key)`` order), and inside every large top cell up to
-   ``fanout`` sub-pivots chosen the same way; the leaves (at most
-   ``fanout``^2, broadcast) are the cells. Each row finds its top pivot, then
-   its nearest sub-pivot there. Per cell: size and radius (max distance of
-   its rows to its pivot); per top cell the same for the top pivot.
-2. Round 1: neighbours inside the own cell. A cell is cut into hash blocks
-   of at most about ``block`` rows; a task compares one block of queries with
-   one block of candidates (vectorised numpy, Arrow batches) and returns only
-   the k best per query. This gives each row a bound ``r`` = distance to its
-   k-th neighbour so far.
-3. Round 2: by the triangle inequality a row of cell j is at least
-   ``d(x, pivot_j) - radius_j`` from x, so x visits only the cells where that
-   bound is <= r; top cells are tested first and only the leaves of the
-   surviving ones after. Visits are blocked the same way.
-4. The k best of all candidates per row are the exact neighbours.
-
-Memory per task is bounded by the block size; skew (a large cell) turns into
-more tasks, not larger ones. No candidate cap: every cell that could hold a
-closer row is visited.
+"""SMOTE over-sampling (R3): neighbours from :mod:`.neighbours` (an exact tile
+join, or a random-projection index if the caller asks for it).
 
 New rows: for synthetic row ``i`` (0-based), base row = dense index
 ``u('<seed>:b:i') mod m`` in key order, neighbour rank
@@ -34,142 +11,17 @@ New rows: for synthetic row ``i`` (0-based), base row = dense index
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.hashing import TWO_32, seeded_hash, seeded_u32
-from ..session import checkpoint_root, materialize
-from .sampling import flag_first_n
+from ..session import materialize
+from .neighbours import BLOCK, neighbours
 from .scan import positions
 
-_CAND_SCHEMA = "qkey long, nkey long, distance double"
-
-# The task functions below run in Python workers. Ship them by value so the
-# workers need numpy and pandas but not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _sq_dist(Q: np.ndarray, R: np.ndarray) -> np.ndarray:
-    """Squared euclidean distances, summed coordinate by coordinate in order
-    (no |a|^2 + |b|^2 - 2ab cancellation)."""
-    acc = np.zeros((Q.shape[0], R.shape[0]), dtype=np.float64)
-    for j in range(Q.shape[1]):
-        diff = Q[:, j][:, None] - R[:, j][None, :]
-        acc += diff * diff
-    return acc
-
-
-def _knn_block(k: int):
-    """applyInPandas body: rows of one block, ``role`` 'q' (queries) or 'r'
-    (candidates); returns the k nearest candidates of every query."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["role"] == "q"]
-        r = pdf[pdf["role"] == "r"]
-        if q.empty or r.empty:
-            return pd.DataFrame({"qkey": pd.Series([], dtype="int64"), "nkey": pd.Series([], dtype="int64"),
-                                 "distance": pd.Series([], dtype="float64")})
-        Q = np.stack(q["x"].to_numpy()).astype(np.float64)
-        R = np.stack(r["x"].to_numpy()).astype(np.float64)
-        qk = q["key"].to_numpy(dtype=np.int64)
-        rk = r["key"].to_numpy(dtype=np.int64)
-        out_q, out_n, out_d = [], [], []
-        step = max(1, 4_000_000 // max(1, R.shape[0]))
-        for s in range(0, Q.shape[0], step):
-            d = np.sqrt(_sq_dist(Q[s:s + step], R))
-            qs = qk[s:s + step]
-            d[qs[:, None] == rk[None, :]] = np.inf
-            order = np.lexsort((np.broadcast_to(rk, d.shape), d), axis=-1)[:, :k]
-            dd = np.take_along_axis(d, order, axis=-1)
-            ok = np.isfinite(dd)
-            rows = np.repeat(np.arange(order.shape[0]), order.shape[1]).reshape(order.shape)
-            out_q.append(qs[rows[ok]])
-            out_n.append(rk[order[ok]])
-            out_d.append(dd[ok])
-        return pd.DataFrame({"qkey": np.concatenate(out_q), "nkey": np.concatenate(out_n),
-                             "distance": np.concatenate(out_d)})
-    return run
-
-
-def _assign_cells(pivots_bc):
-    def run(batches):
-        P = pivots_bc.value
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(cell=pd.Series([], dtype="int32"), dcell=pd.Series([], dtype="float64"))
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            d = np.sqrt(_sq_dist(X, P))
-            cell = np.argmin(d, axis=1)
-            yield pdf.assign(cell=cell.astype("int32"), dcell=d[np.arange(len(cell)), cell])
-    return run
-
-
-def _assign_leaves(sub_bc, off_bc):
-    """mapInPandas body: row with top cell ``c1`` -> nearest sub-pivot of that
-    top cell (global leaf id) and the distance to it."""
-    def run(batches):
-        P2 = sub_bc.value
-        off = off_bc.value  # off[c1] .. off[c1 + 1]: leaves of top cell c1
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.drop(columns=["c1"]).assign(cell=pd.Series([], dtype="int32"),
-                                                      dcell=pd.Series([], dtype="float64"))
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            c1 = pdf["c1"].to_numpy()
-            cell = np.zeros(len(pdf), dtype=np.int64)
-            dcell = np.zeros(len(pdf), dtype=np.float64)
-            for t in np.unique(c1):
-                rows = np.nonzero(c1 == t)[0]
-                lo, hi = off[t], off[t + 1]
-                d = np.sqrt(_sq_dist(X[rows], P2[lo:hi]))
-                j = np.argmin(d, axis=1)
-                cell[rows] = lo + j
-                dcell[rows] = d[np.arange(len(rows)), j]
-            yield pdf.drop(columns=["c1"]).assign(cell=cell.astype("int32"), dcell=dcell)
-    return run
-
-
-def _candidate_leaves(top_bc, top_rad_bc, sub_bc, off_bc, leaf_rad_bc, slack: float = 1e-9):
-    """mapInPandas body: for each row (own cell, bound r) the other leaves
-    that may hold a row within r: top cells first, then their leaves."""
-    def run(batches):
-        P1, R1 = top_bc.value, top_rad_bc.value
-        P2, off, R2 = sub_bc.value, off_bc.value, leaf_rad_bc.value
-        for pdf in batches:
-            if pdf.empty:
-                yield pd.DataFrame({"key": pd.Series([], dtype="int64"), "x": pd.Series([], dtype=object),
-                                    "tcell": pd.Series([], dtype="int32")})
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            r = pdf["r"].to_numpy(dtype=np.float64)
-            lim = r + slack * (1.0 + np.where(np.isfinite(r), r, 0.0))
-            own = pdf["cell"].to_numpy()
-            keys, xs = pdf["key"].to_numpy(), pdf["x"].to_numpy()
-            top_ok = (np.sqrt(_sq_dist(X, P1)) - R1[None, :]) <= lim[:, None]
-            out_rows, out_cells = [], []
-            for t in np.nonzero(top_ok.any(axis=0))[0]:
-                rows = np.nonzero(top_ok[:, t])[0]
-                lo, hi = off[t], off[t + 1]
-                ok = (np.sqrt(_sq_dist(X[rows], P2[lo:hi])) - R2[None, lo:hi]) <= lim[rows][:, None]
-                rr, cc = np.nonzero(ok)
-                cells = lo + cc
-                keep = cells != own[rows[rr]]  # the own cell was done in round 1
-                out_rows.append(rows[rr][keep])
-                out_cells.append(cells[keep])
-            rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
-            cells = np.concatenate(out_cells) if out_cells else np.zeros(0, dtype=np.int64)
-            yield pd.DataFrame({"key": keys[rows], "x": xs[rows], "tcell": cells.astype("int32")})
-    return run
-
 
 @dataclass
 class SmoteResult:
@@ -220,129 +72,13 @@ class SmoteResult:
 
 
 class Smote:
-    """SMOTE with ``k`` neighbours and a seed; ``block`` bounds the rows per
-    task in the neighbour search, ``cell_size`` is the target leaf size and
-    ``fanout`` the pivots per tree level (at most ``fanout``^2 leaves)."""
+    """SMOTE with ``k`` neighbours and a seed. ``method`` is ``"exact"`` or
+    ``"lsh"`` (see :mod:`.neighbours`; ``options`` are its parameters), ``block``
+    bounds the rows per side of a tile."""
 
-    def __init__(self, k: int = 5, seed: int = 2, block: int = 2048, cell_size: int = 512,
-                 fanout: int = 256):
+    def __init__(self, k: int = 5, seed: int = 2, block: int = BLOCK, method: str = "exact", **options):
         self.k, self.seed, self.block = k, seed, block
-        self.cell_size, self.fanout = cell_size, fanout
-        self._cached: list[DataFrame] = []
-
-    def neighbours(self, minority: DataFrame, key: str, m: int) -> DataFrame:
-        """Exact k nearest neighbours of every row of ``minority`` (key, x)."""
-        spark = minority.sparkSession
-        k = min(self.k, max(0, m - 1))
-        sc = spark.sparkContext
-        fan, leaf = self.fanout, self.cell_size
-        cell_schema = T.StructType(minority.schema.fields + [
-            T.StructField("cell", T.IntegerType()), T.StructField("dcell", T.DoubleType())])
-
-        if m <= leaf:
-            # Everything fits one leaf: no pivots, round 1 compares all blocks.
-            one = minority.withColumn("cell", F.lit(0)).withColumn("nsub", F.lit(
-                max(1, math.ceil(m / self.block))))
-            one = one.withColumn("b", (seeded_u32(f"{self.seed}:blk", key) % F.col("nsub")).cast("int"))
-            return self._round1(one, key, k).select(
-                F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
-
-        # Level 1: top pivots (<= fanout rows collected and broadcast).
-        n1 = int(min(fan, max(1, math.ceil(m / leaf))))
-        top = flag_first_n(minority, f"{self.seed}:pivot", key, n1, "_p").where("_p").select("x").collect()
-        P1 = np.array([list(r["x"]) for r in top], dtype=np.float64)
-        top_bc = sc.broadcast(P1)
-        lvl1 = (minority.mapInPandas(_assign_cells(top_bc), cell_schema)
-                .withColumnRenamed("cell", "c1").withColumnRenamed("dcell", "d1")
-                .persist(StorageLevel.MEMORY_AND_DISK))
-        self._cached.append(lvl1)
-        cnt1, R1 = np.zeros(len(P1), dtype=np.int64), np.zeros(len(P1))
-        for row in lvl1.groupBy("c1").agg(F.count(F.lit(1)).alias("n"), F.max("d1").alias("r")).collect():
-            cnt1[row["c1"]], R1[row["c1"]] = row["n"], row["r"]  # <= fanout rows
-        top_rad_bc = sc.broadcast(R1)
-
-        # Level 2: up to fanout sub-pivots per top cell (<= fanout^2 rows).
-        k2 = [int(min(fan, max(1, math.ceil(c / leaf)))) for c in cnt1]
-        need = F.element_at(F.array(*[F.lit(v) for v in k2]), F.col("c1") + 1)
-        subs = (flag_first_n(lvl1.select(key, "x", "c1"), f"{self.seed}:sub", key, need, "_s", group_cols=["c1"])
-                .where("_s").select("c1", "x").collect())
-        by_top: dict[int, list] = {}
-        for row in subs:
-            by_top.setdefault(int(row["c1"]), []).append(list(row["x"]))
-        off = np.zeros(len(P1) + 1, dtype=np.int64)
-        blocks_p2 = []
-        for t in range(len(P1)):
-            pts = sorted(by_top.get(t, [])) or [list(P1[t])]  # an empty top cell keeps its pivot
-            blocks_p2.append(np.array(pts, dtype=np.float64))
-            off[t + 1] = off[t] + len(pts)
-        P2 = np.concatenate(blocks_p2)
-        sub_bc, off_bc = sc.broadcast(P2), sc.broadcast(off)
-        pivots = P2  # the leaves are the cells below
-
-        assigned = lvl1.select(key, "x", "c1").mapInPandas(_assign_leaves(sub_bc, off_bc), cell_schema)
-        stats = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"), F.max("dcell").alias("radius"))
-        stats = stats.withColumn("nsub", F.greatest(F.lit(1), F.ceil(F.col("cnt") / F.lit(self.block))).cast("int"))
-        # Bounded broadcast: one row per leaf (<= fanout^2).
-        assigned = (assigned.join(F.broadcast(stats.select("cell", "nsub")), "cell")
-                    .withColumn("b", (seeded_u32(f"{self.seed}:blk", key) % F.col("nsub")).cast("int"))
-                    .persist(StorageLevel.MEMORY_AND_DISK))
-        self._cached.append(assigned)
-        radius = np.zeros(len(pivots))
-        for row in stats.select("cell", "radius").collect():  # <= fanout^2 rows
-            radius[row["cell"]] = row["radius"]
-        leaf_rad_bc = sc.broadcast(radius)
-
-        best1 = self._round1(assigned, key, k).persist(StorageLevel.MEMORY_AND_DISK)
-        self._cached.append(best1)
-
-        if len(pivots) == 1:  # one cell: round 1 already compared all pairs of blocks
-            return best1.select(F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
-
-        # Bound r: distance to the k-th neighbour found in the own cell.
-        kth = best1.groupBy("qkey").agg(F.count(F.lit(1)).alias("nfound"), F.max("distance").alias("dk"))
-        bounded = (assigned.join(kth, assigned[key] == kth["qkey"], "left")
-                   .select(F.col(key).alias("key"), "x", "cell",
-                           F.when(F.coalesce(F.col("nfound"), F.lit(0)) >= k, F.col("dk"))
-                           .otherwise(F.lit(float("inf"))).alias("r")))
-        visit_schema = "key long, x array<double>, tcell int"
-        visits = bounded.mapInPandas(
-            _candidate_leaves(top_bc, top_rad_bc, sub_bc, off_bc, leaf_rad_bc), visit_schema)
-        vcount = visits.groupBy(F.col("tcell").alias("cell")).agg(F.count(F.lit(1)).alias("nvis"))
-        vcount = vcount.withColumn("nq", F.greatest(F.lit(1), F.ceil(F.col("nvis") / F.lit(self.block))).cast("int"))
-        # Round 2: visited cells, blocks (cell, a = candidate block, c = visit chunk).
-        vis = (visits.join(F.broadcast(vcount.select(F.col("cell").alias("tcell"), "nq")), "tcell")
-               .join(F.broadcast(stats.select(F.col("cell").alias("tcell"), "nsub")), "tcell"))
-        q2 = vis.select(F.col("tcell").alias("g"), F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("ga"),
-                        (seeded_u32(f"{self.seed}:vis", "key") % F.col("nq")).cast("int").alias("gb"),
-                        F.lit("q").alias("role"), "key", "x")
-        r2 = (assigned.join(F.broadcast(vcount.select("cell", "nq")), "cell")
-              .select(F.col("cell").alias("g"), F.col("b").alias("ga"),
-                      F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("gb"),
-                      F.lit("r").alias("role"), F.col(key).alias("key"), "x"))
-        cand2 = q2.unionByName(r2).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
-
-        final = self._top_k(best1.select("qkey", "nkey", "distance").unionByName(cand2), k)
-        return final.select(F.col("qkey").alias(key), "rank", F.col("nkey").alias("neighbour"), "distance")
-
-    def _round1(self, assigned: DataFrame, key: str, k: int) -> DataFrame:
-        """Round 1: neighbours inside the own cell; groups (cell, a = candidate
-        block, b = query block), the k best per query."""
-        seqs = F.sequence(F.lit(0), F.col("nsub") - 1)
-        refs = assigned.select(F.col("cell").alias("g"), F.col("b").alias("ga"), F.explode(seqs).alias("gb"),
-                               F.lit("r").alias("role"), F.col(key).alias("key"), "x")
-        qrys = assigned.select(F.col("cell").alias("g"), F.explode(seqs).alias("ga"), F.col("b").alias("gb"),
-                               F.lit("q").alias("role"), F.col(key).alias("key"), "x")
-        cand1 = refs.unionByName(qrys).groupBy("g", "ga", "gb").applyInPandas(_knn_block(k), _CAND_SCHEMA)
-        return self._top_k(cand1, k)
-
-    @staticmethod
-    def _top_k(cands: DataFrame, k: int) -> DataFrame:
-        # One group per query row holding at most k x (blocks visited) rows.
-        # Each (query, candidate) pair is compared in exactly one block (cells
-        # and blocks are disjoint), so there are no duplicates to remove.
-        w = Window.partitionBy("qkey").orderBy("distance", "nkey")
-        ranked = cands.withColumn("rank", F.row_number().over(w))
-        return ranked.where(F.col("rank") <= k)
+        self.method, self.options = method, options
 
     def prepare(self, df: DataFrame, label: str, key: str, feature_cols: Sequence[str] | str,
                 minority_class: int = 1, majority_class: int = 0) -> SmoteResult:
@@ -369,14 +105,8 @@ class Smote:
         k = min(self.k, m - 1)
         if k < 1:
             raise ValueError("SMOTE: the minority class needs at least two rows")
-        nb = self.neighbours(minority, key, m)
-        # Reliable checkpoint into the session's checkpoint folder: cuts the
-        # multi-stage lineage of the search, survives lost executors.
-        checkpoint_root(df.sparkSession)
-        nb = nb.checkpoint(eager=True)
-        for cached in self._cached:
-            cached.unpersist()
-        self._cached = []
+        # Reliable checkpoint: cuts the lineage of the search, survives lost executors.
+        nb = materialize(neighbours(minority, key, k, m, self.method, self.block, self.seed, **self.options))
         return SmoteResult(df.sparkSession, label, key, minority, majority, nb, m, max(0, big_m - m), k,
                            self.seed, minority_class, majority_class)
 

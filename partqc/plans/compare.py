@@ -62,14 +62,15 @@ def notebook_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec
 
 
 def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
-               split_seed: int = 42, test_size: float = 0.2, smote_seed: int = 2, k: int = 5) -> ModelData:
+               split_seed: int = 42, test_size: float = 0.2, smote_seed: int = 2, k: int = 5,
+               smote_method: str = "exact") -> ModelData:
     """SMOTE path: split the full table, drop incomplete rows, scale both parts by
     the natural training rows, then grow the training minority with SMOTE to the
     majority size (neighbours in scaled units, so no unit dominates)."""
     train, test = sampling.split_exact(df, key, test_size, split_seed)
     data = _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
     rows = materialize(data.train.select(key, label, vector_to_array("features").alias("x")))
-    res = Smote(k=k, seed=smote_seed).prepare(rows, label, key, "x")
+    res = Smote(k=k, seed=smote_seed, method=smote_method).prepare(rows, label, key, "x")
     grown = materialize(res.resampled().select(key, label, array_to_vector("x").alias("features")))
     return ModelData(grown, data.test, label, key, grown.count())
 

@@ -169,6 +169,18 @@ ORACLE: dict[str, str] = {
                round(CAST(xb[position + 1] AS DOUBLE)
                      + step * (CAST(xn[position + 1] AS DOUBLE) - CAST(xb[position + 1] AS DOUBLE)), 6) AS value
           FROM (SELECT *, unnest(range(64)) AS position FROM srows)""",
+    "smote_neighbours_ev": f"""
+        WITH mi AS (SELECT event_id, value, user_id, k FROM {EV} WHERE y = 1),
+             d AS (SELECT a.event_id, b.event_id AS neighbour, sqrt((a.value - b.value) * (a.value - b.value)
+                          + (a.user_id - b.user_id) * (a.user_id - b.user_id) + (a.k - b.k) * (a.k - b.k)) AS distance
+                     FROM mi a JOIN mi b ON a.event_id <> b.event_id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY distance, neighbour) AS rank FROM d)
+        SELECT event_id, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 6) AS distance FROM r WHERE rank <= 5""",
+    "smote_lsh_check": f"""
+        SELECT 'EV' AS view, 5 * sum(y)::BIGINT AS n, 0::BIGINT AS off, true AS recalled,
+               CAST(sum(1 - y) - sum(y) AS BIGINT) AS n_new FROM {EV}
+        UNION ALL SELECT 'EM', CAST(5 * sum(y) AS BIGINT), 0, true, CAST(sum(1 - y) - sum(y) AS BIGINT)
+          FROM (SELECT CAST(label = 5 AS INT) AS y FROM embeddings)""",
     "smote_counts": """
         SELECT y, count AS count FROM (
           SELECT 0 AS y, count(*) AS count FROM embeddings WHERE label <> 5

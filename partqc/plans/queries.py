@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import class_probability, cutoff_class, round6
-from ..operators import evaluate, features, models, prep, profile, sampling, smote
+from ..operators import evaluate, features, models, neighbours, prep, profile, sampling, smote
 from ..session import scratch_path
 from ..sources import files, model_store
 from ..sources.tables import (EV_FEATURES, embeddings_array_view, events_view, labels_view,
@@ -268,6 +268,43 @@ def q_smote_rows(spark, sf):
                        ).select("new_id", "base", "neighbour", "position", round6("value").alias("value"))
 
 
+def _ev_smote(spark, sf, method):
+    def build():
+        return smote.Smote(k=5, seed=2, method=method).prepare(_ev(spark, sf), "y", EV_KEY, EV_FEATURES)
+    return _memo(spark, sf, f"smote_ev_{method}", build)
+
+
+def q_smote_neighbours_ev(spark, sf):
+    """R3 over thousands of minority rows, default parameters."""
+    nb = _ev_smote(spark, sf, "exact").neighbours
+    return nb.select(EV_KEY, "rank", "neighbour", round6("distance").alias("distance"))
+
+
+def q_smote_rows_lsh(spark, sf):
+    """R3 with neighbours from the random-projection index."""
+    rows = _ev_smote(spark, sf, "lsh").synthetic()
+    return rows.select("new_id", "base", "neighbour", F.posexplode("x").alias("position", "value")
+                       ).select("new_id", "base", "neighbour", "position", round6("value").alias("value"))
+
+
+def q_smote_lsh_check(spark, sf):
+    """The index's lists are whole, its distances true, its recall at least
+    0.9, and every synthetic row has its draw."""
+    out = []
+    em_rows = smote.Smote(k=5, seed=2, method="lsh").prepare(embeddings_array_view(spark, sf), "y", EM_KEY, "x")
+    for view, res, exact, key in (("EV", _ev_smote(spark, sf, "lsh"), _ev_smote(spark, sf, "exact"), EV_KEY),
+                                  ("EM", em_rows, _em_smote(spark, sf), EM_KEY)):
+        good = neighbours.recall(res.neighbours, exact.neighbours, key) >= 0.9
+        x = res.minority
+        pairs = (res.neighbours.join(x.select(key, F.col("x").alias("xa")), key)
+                 .join(x.select(F.col(key).alias("neighbour"), F.col("x").alias("xb")), "neighbour"))
+        far = F.sqrt(F.aggregate(F.zip_with("xa", "xb", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b))
+        new = res.synthetic().agg(F.count("*").alias("n_new"))
+        out.append(pairs.agg(F.count("*").alias("n"), F.count_if(F.abs(far - F.col("distance")) > 1e-9).alias("off"))
+                   .select(F.lit(view).alias("view"), "n", "off", F.lit(good).alias("recalled"), new.scalar().alias("n_new")))
+    return out[0].unionByName(out[1])
+
+
 def q_smote_counts(spark, sf):
     return profile.class_counts(_em_smote(spark, sf).resampled(), "y")
 
@@ -510,6 +547,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smote_neighbours": q_smote_neighbours,
     "smote_rows": q_smote_rows,
     "smote_counts": q_smote_counts,
+    "smote_neighbours_ev": q_smote_neighbours_ev,
+    "smote_rows_lsh": q_smote_rows_lsh,
+    "smote_lsh_check": q_smote_lsh_check,
     "assemble_features": q_assemble_features,
     "scale_minmax": q_scale_minmax,
     "scale_standard": q_scale_standard,

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from partqc.functions.columns import binary_ratio_class, class_probability
-from partqc.operators import evaluate, models, sampling, scan
+from partqc.operators import evaluate, models, neighbours, sampling, scan
 from partqc.operators.smote import Smote
 from partqc.plans import train
 from partqc.sources import model_store
@@ -95,7 +95,7 @@ def test_exact_quantiles_match_numpy(spark):
 
 def test_smote_invariants(spark):
     em = embeddings_array_view(spark, SF01)
-    res = Smote(k=5, seed=2, cell_size=8, block=16).prepare(em, "y", "vec_id", "x")
+    res = Smote(k=5, seed=2, block=16).prepare(em, "y", "vec_id", "x")
     counts = {r["y"]: r["count"] for r in res.resampled().groupBy("y").count().collect()}
     assert counts[0] == counts[1] == 456
     # New rows lie on the segment between base and neighbour.
@@ -107,27 +107,6 @@ def test_smote_invariants(spark):
     assert syn.where((F.col("step") < 0) | (F.col("step") >= 1)).count() == 0
 
 
-def test_smote_neighbours_exact_with_many_cells(spark):
-    """Many small cells and blocks exercise both rounds; result must equal
-    brute force."""
-    em = embeddings_array_view(spark, SF01).where("y = 1")
-    pdf = em.toPandas()
-    X = np.stack(pdf["x"].to_numpy())
-    keys = pdf["vec_id"].to_numpy()
-    d = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
-    np.fill_diagonal(d, np.inf)
-    expected = {}
-    for i, k in enumerate(keys):
-        order = np.lexsort((keys, d[i]))[:5]
-        expected[int(k)] = [int(keys[j]) for j in order]
-    for params in (dict(cell_size=4, block=3), dict(cell_size=2, fanout=4, block=3)):
-        nb = Smote(k=5, seed=2, **params).neighbours(em.select("vec_id", "x"), "vec_id", len(keys))
-        got = {}
-        for r in nb.orderBy("vec_id", "rank").collect():
-            got.setdefault(r["vec_id"], []).append(r["neighbour"])
-        assert got == expected, params
-
-
 def test_roc_points_monotone(spark):
     ev = events_view(spark, SF01)
     pts = evaluate.roc_curve(ev, "y", "value", blocks=5).orderBy(F.desc("threshold")).toPandas()
@@ -262,9 +241,8 @@ def test_duplicate_keys_and_repeatable_ties(spark):
     assert len(picks[0]) == 5000 and picks[0] == picks[1]
 
 
-def test_smote_neighbours_exact_two_level_on_events(spark):
-    """2,014 minority rows, 8 x 8 leaves of ~32 rows, blocks of 16: both tree
-    levels, both rounds and many blocks per leaf; equal to brute force."""
+def test_smote_neighbours_exact_in_many_blocks_on_events(spark):
+    """2,014 minority rows in blocks of about 150: equal to brute force."""
     ev = events_view(spark, SF01).where("y = 1").select(
         F.col("event_id"), F.array("value", "user_id", "k").alias("x"))
     pdf = ev.toPandas()
@@ -277,7 +255,7 @@ def test_smote_neighbours_exact_two_level_on_events(spark):
     d = np.sqrt(d)
     np.fill_diagonal(d, np.inf)
     expected = {int(k): [int(keys[j]) for j in np.lexsort((keys, d[i]))[:5]] for i, k in enumerate(keys)}
-    nb = Smote(k=5, seed=2, cell_size=32, fanout=8, block=16).neighbours(ev, "event_id", len(keys))
+    nb = neighbours.neighbours(ev, "event_id", 5, len(keys), block=150)
     got = {}
     for r in nb.orderBy("event_id", "rank").collect():
         got.setdefault(r["event_id"], []).append(r["neighbour"])
