@@ -160,6 +160,11 @@ ORACLE: dict[str, str] = {
     "shuffle_rows": f"""
         SELECT event_id, row_number() OVER (ORDER BY {h(7, 'event_id')}, event_id) AS position
           FROM {EV}""",
+    "undersample_keyless": """
+        SELECT y, count, 0::BIGINT AS moved FROM (SELECT unnest([0, 1]) AS y, count(*) FILTER (l_returnflag = 'R') AS count FROM lineitem)""",
+    "split_keyless": """
+        SELECT 'test' AS split, CAST(ceil(0.2 * count(*)) AS BIGINT) AS count FROM lineitem
+        UNION ALL SELECT 'train', count(*) - CAST(ceil(0.2 * count(*)) AS BIGINT) FROM lineitem""",
     "union_classes": f"SELECT * FROM {EV} WHERE y = 0 UNION ALL SELECT * FROM {EV} WHERE y = 1",
     "smote_neighbours": f"""
         SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 6) AS distance

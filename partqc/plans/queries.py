@@ -243,6 +243,29 @@ def q_shuffle_rows(spark, sf):
     return sampling.shuffle_rows(_ev(spark, sf), EV_KEY, EV_SEED_SHUFFLE).select(EV_KEY, "position")
 
 
+def _li_identified(spark, sf):
+    li = sampling.with_row_identity(table(spark, sf, "lineitem"))
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("y"), "l_quantity", "_file", "_row")
+
+
+def q_undersample_keyless(spark, sf):
+    """R1, R2 on a table without a key, by each row's place in its file: class
+    sizes, and rows whose Bernoulli draw changes over a repartitioning."""
+    li, key = _li_identified(spark, sf), ["_file", "_row"]
+    one = sampling.undersample_bernoulli(li, "y", key, EV_SEED_SAMPLE).select(*key, F.lit(1).alias("a"))
+    two = sampling.undersample_bernoulli(li.repartition(7), "y", key, EV_SEED_SAMPLE).select(*key, F.lit(1).alias("b"))
+    moved = one.join(two, key, "full").agg(F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("moved"))
+    exact = sampling.undersample_exact(li, "y", key, EV_SEED_SAMPLE)
+    return exact.groupBy("y").agg(F.count("*").alias("count")).select("y", "count", moved.scalar().alias("moved"))
+
+
+def q_split_keyless(spark, sf):
+    """R5 on a table without a key."""
+    li = _li_identified(spark, sf)
+    return sampling.assign_split_exact(li, ["_file", "_row"], 0.2, EV_SEED_SPLIT).groupBy("split").agg(
+        F.count("*").alias("count"))
+
+
 def q_union_classes(spark, sf):
     ev = _ev(spark, sf)
     return sampling.union_classes(prep.filter_class(ev, "y", 0), prep.filter_class(ev, "y", 1))
@@ -543,6 +566,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_weighted": q_split_weighted,
     "split_exact": q_split_exact,
     "shuffle_rows": q_shuffle_rows,
+    "undersample_keyless": q_undersample_keyless,
+    "split_keyless": q_split_keyless,
     "union_classes": q_union_classes,
     "smote_neighbours": q_smote_neighbours,
     "smote_rows": q_smote_rows,

@@ -1,5 +1,7 @@
 """Invariants of operators that have no SQL oracle, and repeatability."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -178,12 +180,57 @@ def test_forest_bounds_take_effect(spark):
     assert models.forest_full_depth().getNumTrees() == 100 and models.forest_full_depth().getMaxDepth() == 30
 
 
-def test_two_level_cut_equals_one_level(spark):
+def test_radix_passes_equal_a_sort(spark, monkeypatch):
+    ev = events_view(spark, SF01)
+    keys = sorted((hashlib.md5(f"13:{r[0]}".encode()).hexdigest(), r[0]) for r in ev.select("event_id").collect())
+    for fetch in (16_384, 5):  # one pass of digits, many
+        monkeypatch.setattr(sampling, "_FETCH", fetch)
+        for n in (0, 1, 3000, len(keys), len(keys) + 5):
+            got = sampling.flag_first_n(ev, 13, "event_id", n, "f").where("f").select("event_id").collect()
+            assert sorted(r[0] for r in got) == sorted(k for _, k in keys[:n])
+
+
+def test_first_n_of_repeated_keys_and_equal_rows(spark):
+    rows = [(1, i % 400, "a") for i in range(4000)] + [(2, 7, "b")] * 3000 + [(None, 1, None)] * 5 + [(9, 9, "c")]
+    df = spark.createDataFrame(rows, "id int, v int, t string")
+    for n in (1, 3, 2500, 3005, 5001, 7004, 8006):
+        flagged = sampling.flag_first_n(df, 5, "id", n, "f")
+        got = [sorted((tuple(r) for r in flagged.where(F.col("f") == f).drop("f").collect()), key=repr) for f in (True, False)]
+        assert len(got[0]) == min(n, len(rows)) and sorted(got[0] + got[1], key=repr) == sorted(rows, key=repr)
+        again = sampling.first_n(df.repartition(7), 5, "id", n)
+        assert sorted((tuple(r) for r in again.collect()), key=repr) == got[0]
+
+
+def test_exact_sampling_is_one_wide_scan(spark):
+    ev = events_view(spark, SF01)
+    for df in (sampling.undersample_exact(ev, "y", "event_id", 13), sampling.assign_split_exact(ev, "event_id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan and "Union" not in plan
+
+
+def test_shuffle_is_one_wide_exchange_in_order(spark):
     ev = events_view(spark, SF01)
-    one = sampling.flag_first_n(ev, 13, "event_id", 3000, "f", levels=1).where("f").select("event_id")
-    two = sampling.flag_first_n(ev, 13, "event_id", 3000, "f", prefix_len=2, levels=3).where("f").select("event_id")
-    a, b = sorted(r[0] for r in one.collect()), sorted(r[0] for r in two.collect())
-    assert len(a) == 3000 and a == b
+    out = sampling.shuffle_rows(ev, "event_id", 7, rows_per_block=300)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange shufflepartitionid") == 1 and "rangepartitioning" not in plan
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") + 1
+    assert [r[0] for r in out.select("position").collect()] == list(range(1, 10001))  # partitions follow each other
+
+
+def test_file_rows_are_a_stable_key(spark):
+    path = f"{SF01}/lineitem.parquet"
+    li = sampling.with_row_identity(spark.read.parquet(path)).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    key = ["_file", "_row"]
+    assert sampling.duplicate_keys(li, key).isEmpty()
+    pick = lambda df: sorted(tuple(r) for r in sampling.undersample_bernoulli(df, "y", key, 3).collect())
+    first = pick(li)
+    assert pick(li.repartition(13)) == first
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # other splits of the file
+    try:
+        again = sampling.with_row_identity(spark.read.parquet(path)).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+        assert pick(again) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_keyless_variants(spark):
