@@ -1,8 +1,9 @@
 """Evaluation operators (E1-E9) as Spark aggregates.
 
 Nothing is collected to the driver: confusion counts, reports and metrics
-are partial + final aggregates; ROC and AUC group by score first and scan
-the distinct scores with the blocked running totals of ``scan``.
+are partial + final aggregates; ROC and AUC group by score first, keep that
+table, and scan the distinct scores with the blocked running totals of ``scan``.
+``by`` evaluates many scored sets at once: one job per table, grouped by it.
 Divisions use ``try_divide`` (null instead of an error on an empty class).
 """
 
@@ -13,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import running_totals
+from ..session import materialize
+from .scan import ROWS_PER_BLOCK, running_totals
 
 
 def _is(c: str, v) -> Column:
@@ -36,8 +38,8 @@ def rmse(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame
 
 
 def confusion_cells(df: DataFrame, label: str, prediction: str = "prediction",
-                    classes: Sequence[int] = (0, 1)) -> DataFrame:
-    """One-row frame with one count per (actual, predicted) cell, ``c_<a>_<p>``.
+                    classes: Sequence[int] = (0, 1), by: Sequence[str] = ()) -> DataFrame:
+    """One-row frame (one row per ``by``) with one count per (actual, predicted) cell, ``c_<a>_<p>``.
     Values outside ``classes`` and nulls fall into the cells of ``other``, so
     the cells always add up to the rows."""
     def at(c, v):
@@ -45,38 +47,39 @@ def confusion_cells(df: DataFrame, label: str, prediction: str = "prediction",
         return ~inside if v == "other" else F.coalesce(_is(c, v), F.lit(False))
 
     ends = [*classes, "other"]
-    return df.agg(*[_count_if(at(label, a) & at(prediction, p)).alias(f"c_{a}_{p}") for a in ends for p in ends])
+    return df.groupBy(*by).agg(*[_count_if(at(label, a) & at(prediction, p)).alias(f"c_{a}_{p}") for a in ends for p in ends])
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str = "prediction",
-                     classes: Sequence[int] = (0, 1)) -> DataFrame:
+                     classes: Sequence[int] = (0, 1), by: Sequence[str] = ()) -> DataFrame:
     """``actual, predicted, count`` for every cell of the class grid
     (empty cells are 0). Rows whose label or prediction is null or outside the
     grid are counted in cells with a null class, listed where they have rows.
     One aggregate, no join."""
-    cells = confusion_cells(df, label, prediction, classes)
+    cells = confusion_cells(df, label, prediction, classes, by)
     value = lambda v: F.lit(None if v == "other" else v).cast("int")
     entries = [F.struct(value(a).alias("actual"), value(p).alias("predicted"), F.col(f"c_{a}_{p}").alias("count"))
                for a in [*classes, "other"] for p in [*classes, "other"]]
-    long = cells.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    long = cells.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.*")
     return long.where((F.col("actual").isNotNull() & F.col("predicted").isNotNull()) | (F.col("count") > 0))
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str = "prediction", positive: int = 1) -> DataFrame:
+def binary_metrics(df: DataFrame, label: str, prediction: str = "prediction", positive: int = 1,
+                   by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision and recall of the positive class (precision
     is 0 when nothing is predicted positive). A row with a null label or
     prediction is a wrong one."""
     y1, p1 = _is(label, positive), _is(prediction, positive)
-    counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    _count_if(F.col(label).cast("double") == F.col(prediction).cast("double")).alias("correct"),
-                    _count_if(y1 & p1).alias("tp"), _count_if(p1).alias("pp"), _count_if(y1).alias("ap"))
-    return counts.select(_safe_ratio(F.col("correct"), F.col("n")).alias("accuracy"),
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
+                                 _count_if(F.col(label).cast("double") == F.col(prediction).cast("double")).alias("correct"),
+                                 _count_if(y1 & p1).alias("tp"), _count_if(p1).alias("pp"), _count_if(y1).alias("ap"))
+    return counts.select(*by, _safe_ratio(F.col("correct"), F.col("n")).alias("accuracy"),
                          _safe_ratio(F.col("tp"), F.col("pp")).alias("precision"),
                          _safe_ratio(F.col("tp"), F.col("ap")).alias("recall"))
 
 
 def score_counts(df: DataFrame, label: str, score: str, positive: int = 1,
-                 decimals: int | None = None) -> DataFrame:
+                 decimals: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: positives and negatives (the only input the ROC
     and AUC scans need; a hot score value becomes one row). With
     ``decimals`` the scores are rounded first, which bounds the number of
@@ -84,39 +87,42 @@ def score_counts(df: DataFrame, label: str, score: str, positive: int = 1,
     s = F.col(score).cast("double")
     if decimals is not None:
         s = F.round(s, int(decimals))
-    return df.groupBy(s.alias("score")).agg(
+    return df.groupBy(*by, s.alias("score")).agg(
         _count_if(_is(label, positive)).alias("pos"),
         _count_if(~_is(label, positive)).alias("neg"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, positive: int = 1,
-              blocks: int | None = None, decimals: int | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, positive: int = 1, decimals: int | None = None,
+              by: Sequence[str] = (), rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``threshold, fpr, tpr`` at every distinct score (descending), plus
     the start point ``(+inf, 0, 0)``. All points are kept; ``decimals``
     rounds the scores first to bound the number of points."""
-    counts = score_counts(df, label, score, positive, decimals)
-    totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    both = totals.select(F.struct("P", "N")).scalar()  # one subquery for both totals
-    P, N = both.getField("P"), both.getField("N")
-    cum = running_totals(counts, ["score"], ["pos", "neg"], descending=True, blocks=blocks)
-    pts = cum.select(F.col("score").alias("threshold"),
+    counts = materialize(score_counts(df, label, score, positive, decimals, by))
+    totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    cum = running_totals(counts, ["score"], ["pos", "neg"], by, descending=True, rows_per_block=rows_per_block)
+    if by:
+        cum, P, N = cum.join(totals, list(by)), F.col("P"), F.col("N")
+    else:
+        both = totals.select(F.struct("P", "N")).scalar()  # one subquery for both totals
+        P, N = both.getField("P"), both.getField("N")
+    pts = cum.select(*by, F.col("score").alias("threshold"),
                      _safe_ratio(F.col("neg_cum"), N, None).alias("fpr"),
                      _safe_ratio(F.col("pos_cum"), P, None).alias("tpr"))
-    start = totals.select(F.lit(float("inf")).alias("threshold"),
+    start = totals.select(*by, F.lit(float("inf")).alias("threshold"),
                           F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, positive: int = 1,
-            blocks: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, positive: int = 1, by: Sequence[str] = (),
+            rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Area under the ROC curve, ties counted half:
     ``sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)``."""
-    counts = score_counts(df, label, score, positive)
-    cum = running_totals(counts, ["score"], ["neg"], blocks=blocks)
+    counts = materialize(score_counts(df, label, score, positive, by=by))
+    cum = running_totals(counts, ["score"], ["neg"], by, rows_per_block=rows_per_block)
     part = F.col("pos").cast("double") * ((F.col("neg_cum") - F.col("neg")) + F.col("neg") / 2.0)
     # In doubles: the product of two long counts overflows from about 3e9 each.
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return cum.agg(_safe_ratio(F.sum(part), pairs, None).alias("auc"))
+    return cum.groupBy(*by).agg(_safe_ratio(F.sum(part), pairs, None).alias("auc"))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str = "prediction",
@@ -192,8 +198,8 @@ def threshold_sweep(df: DataFrame, label: str, score: str, cutoffs: Sequence[flo
 
 
 def model_metrics(scored: DataFrame, label: str, prediction: str = "prediction",
-                  score: str = "p1", blocks: int | None = None) -> DataFrame:
-    """E10 row: accuracy, precision, recall and AUC of one scored frame."""
-    m = binary_metrics(scored, label, prediction)
-    auc = roc_auc(scored, label, score, blocks=blocks).scalar()
-    return m.withColumn("auc", auc)
+                  score: str = "p1", by: Sequence[str] = ()) -> DataFrame:
+    """E10 row: accuracy, precision, recall and AUC of every scored set."""
+    m = binary_metrics(scored, label, prediction, by=by)
+    auc = roc_auc(scored, label, score, by=by)
+    return m.join(auc, list(by)) if by else m.withColumn("auc", auc.scalar())

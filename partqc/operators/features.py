@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import vector_has_invalid
@@ -53,25 +53,15 @@ def fit_standard_scaler(df: DataFrame, in_col: str = "assembler", out_col: str =
 
     Spark's StandardScaler divides by the sample std; the fitted model here is
     that scaler followed by a constant factor ``sqrt(n / (n - 1))``, so the
-    result is saveable and runs entirely in the JVM.
+    result is saveable and runs entirely in the JVM. ``n`` is observed in the
+    pass of the fit.
     """
     tmp = f"{out_col}__sample_std"
-    model = StandardScaler(inputCol=in_col, outputCol=tmp, withMean=True, withStd=True).fit(df)
-    n = df.where(F.col(in_col).isNotNull()).count()
+    seen = Observation()
+    model = StandardScaler(inputCol=in_col, outputCol=tmp, withMean=True, withStd=True).fit(
+        df.observe(seen, F.count(in_col).alias("n")))
+    n = seen.get["n"]
     dim = len(model.mean)
     factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     product = ElementwiseProduct(scalingVec=Vectors.dense([factor] * dim), inputCol=tmp, outputCol=out_col)
     return PipelineModel(stages=[model, product])
-
-
-def standard_scale_columns(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """F3 on plain columns: ``(x - mean) / std_pop`` with the statistics from
-    one aggregate used as scalar subqueries (0 for a constant column)."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                   *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)])
-    out = df
-    for i, c in enumerate(cols):
-        m = stats.select(f"m_{i}").scalar()
-        s = stats.select(f"s_{i}").scalar()
-        out = out.withColumn(c + suffix, F.when(s == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s))
-    return out

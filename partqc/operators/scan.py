@@ -3,22 +3,20 @@
 ``Window.orderBy(x)`` with no partition key moves the whole input to one task.
 The helpers here do the same scan in parallel:
 
-1. cut the order range into about ``blocks`` blocks with approximate
-   quantiles of the first order column (one small sketch aggregate; the
-   bounds only balance the blocks, exactness does not depend on them);
-2. give every row its block number, a deterministic function of its own
-   value (so recomputed or retried tasks agree);
-3. total every block and prefix-sum the block totals (at most ``blocks`` rows
-   per group);
-4. run the ordered window inside each block only and add the block offset.
-
-The result is exact. Rows that tie on the order columns must be distinct
-(the callers group by the order value first, or order by a unique key); a
-single order value is never split across blocks.
+1. range-partition the rows by the order into blocks of about
+   ``rows_per_block`` rows and write them with their block number (a reliable
+   checkpoint), so every later step sees the same blocks;
+2. total every block and prefix-sum the block totals (a row per block and group);
+3. run the ordered window inside each block only and add the block offset.
+
+The result is exact; block bounds only balance the work. Rows that tie on the
+order columns must be distinct (the callers group by the order value first, or
+order by a unique key).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,225 +25,40 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 _BLK = "_blk"
-_BOUNDS = "_bounds"
-
-
-def _default_blocks(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def with_blocks(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
-                descending: bool = False, blocks: int | None = None, accuracy: int = 10000) -> DataFrame:
-    """Add ``_blk``: block number, monotone in ``order_col`` (within
-    ``partition_cols``), from approximate quantile bounds.
-
-    The bounds are computed once, before the plan that uses them (a literal
-    array of ``blocks - 1`` values, or a checkpointed table with one row per
-    group): a sketch merged in another order on a recomputation or a retried
-    task could give other bounds, and every branch must see the same blocks.
-    """
-    nb = blocks or _default_blocks(df)
-    v = F.col(order_col)
-    if nb <= 1:
-        return df.withColumn(_BLK, F.lit(0))
-    fracs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
-    sketch = F.percentile_approx(v, fracs, accuracy).alias(_BOUNDS)
-    if partition_cols:
-        bounds = materialize(df.groupBy(*partition_cols).agg(sketch))  # one row per group
-        tagged = df.join(bounds, list(partition_cols), "left")
-    else:
-        found = df.agg(sketch).first()[0] or []  # blocks - 1 values
-        tagged = df.withColumn(_BOUNDS, F.array(*[F.lit(float(x)) for x in found]).cast("array<double>"))
-    b = F.col(_BOUNDS)
-    if descending:
-        blk = F.size(F.filter(b, lambda x: x > v))
-    else:
-        blk = F.size(F.filter(b, lambda x: x < v))
-    return tagged.withColumn(_BLK, F.coalesce(blk, F.lit(0))).drop(_BOUNDS)
+ROWS_PER_BLOCK = 500_000
 
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   blocks: int | None = None, suffix: str = "_cum",
-                   block_expr: Column | None = None) -> DataFrame:
+                   rows_per_block: int = ROWS_PER_BLOCK, suffix: str = "_cum") -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of ``c`` over ``order_cols``
-    (within ``partition_cols``) for every ``c`` in ``sum_cols``. The first
-    order column must be numeric (it sets the blocks), unless ``block_expr``
-    gives the block directly (an integer non-decreasing along the order, e.g.
-    a range bucket of a uniform hash; no sketch pass is needed then)."""
+    (within ``partition_cols``) for every ``c`` in ``sum_cols``. ``df`` is
+    counted and read again: pass a table or a checkpoint."""
     order: list[Column] = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    if block_expr is not None:
-        blocked = df.withColumn(_BLK, block_expr.cast("int"))
-    else:
-        blocked = with_blocks(df, order_cols[0], partition_cols, descending, blocks)
-
-    totals = blocked.groupBy(*partition_cols, _BLK).agg(
-        *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    before = Window.partitionBy(*partition_cols).orderBy(_BLK).rowsBetween(
-        Window.unboundedPreceding, -1)
+    blocks = math.ceil(df.count() / rows_per_block)
+    inside = Window.partitionBy(*partition_cols, _BLK).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    if blocks <= 1:  # one block: the plain window
+        return df.withColumn(_BLK, F.lit(0)).select(
+            *df.columns, *[F.sum(c).over(inside).alias(f"{c}{suffix}") for c in sum_cols])
+    blocked = materialize(df.repartitionByRange(blocks, *partition_cols, *order)
+                          .withColumn(_BLK, F.spark_partition_id()))
+    totals = blocked.groupBy(*partition_cols, _BLK).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    before = Window.partitionBy(*partition_cols).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *partition_cols, _BLK,
         *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-
-    inside = Window.partitionBy(*partition_cols, _BLK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     joined = blocked.join(offsets, [*partition_cols, _BLK])
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
 
 
-def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position",
-              partition_cols: Sequence[str] = (), blocks: int | None = None,
-              start: int = 1, block_expr: Column | None = None) -> DataFrame:
+def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position", partition_cols: Sequence[str] = (),
+              rows_per_block: int = ROWS_PER_BLOCK, start: int = 1) -> DataFrame:
     """Dense position of each row in the order of ``order_cols`` (unique),
     counted from ``start``: a distributed ``row_number``."""
     tmp = "_one"
-    counted = running_totals(df.withColumn(tmp, F.lit(1)), order_cols, [tmp],
-                             partition_cols=partition_cols, blocks=blocks, block_expr=block_expr)
+    counted = running_totals(df.withColumn(tmp, F.lit(1)), order_cols, [tmp], partition_cols=partition_cols,
+                             rows_per_block=rows_per_block)
     return counted.select(*df.columns, (F.col(f"{tmp}_cum") - 1 + start).cast("long").alias(name))
-
-
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``ci, v``: one row per non-null, non-NaN value (column index, value)."""
-    return (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
-                                          for i, c in enumerate(cols)])).alias("s"))
-            .select("s.ci", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
-
-
-def column_stats(df: DataFrame, cols: Sequence[str], extra: bool = False) -> DataFrame:
-    """``ci, n, lo, hi`` (and ``mean, std`` with ``extra``) per column over
-    the non-null, non-NaN values. Computed long (one group per column,
-    combined map-side): a single wide aggregate would hold several buffer
-    fields per column and lose whole-stage code generation past 100 fields."""
-    aggs = [F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
-    if extra:
-        aggs += [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
-    stats = _long_values(df, cols).groupBy("ci").agg(*aggs)
-    # Columns with no valid value keep a row (count 0).
-    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("ci"))
-    return (every.join(stats, "ci", "left")
-            .select("ci", F.coalesce(F.col("n"), F.lit(0)).alias("n"),
-                    *[c for c in ["lo", "hi"] + (["mean", "std"] if extra else [])]))
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    blocks: int | None = None, bins: int = 4096,
-                    stats: DataFrame | None = None, max_candidates: int = 65_536,
-                    max_levels: int = 6) -> DataFrame:
-    """Exact quantiles with linear interpolation between closest ranks
-    (position ``p * (n - 1)``), the definition of ``percentile`` /
-    ``quantile_cont``. Nulls and NaN are ignored. Returns ``column, prob,
-    quantile``.
-
-    No task holds all values of a column (as ``percentile`` would):
-
-    1. one aggregate gives count, min and max per column;
-    2. narrowing: every target rank keeps a value range ``[a, b]`` and the
-       count of values below it. An equal-width histogram of ``bins`` bins
-       over each range (with per-bin min and max) locates the bins holding the
-       two ranks around the wanted position; their exact min and max become
-       the next range. A first level runs when a range holds more values
-       than ``bins``; further levels while one holds more than
-       ``max_candidates``, so heavy tails and sentinel values do not keep
-       everything in one bin;
-    3. only the values inside the final ranges are counted by distinct value
-       and ranked with :func:`running_totals`, offset by the values below.
-
-    The small per-target state is checkpointed at every level (at most
-    len(cols) x len(probs) rows), so no level re-runs the previous ones.
-    """
-    cols = list(cols)
-    probs = [float(p) for p in probs]
-    # One row per column (ci, n, lo, hi); a caller that already has them passes them in.
-    stats = stats if stats is not None else materialize(column_stats(df, cols))
-    long = _long_values(df, cols)
-
-    pos = F.col("p") * (F.col("n") - 1)
-    state = materialize(
-        stats.where(F.col("n") > 0)
-        .select("ci", "n", "lo", "hi", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-        .select("ci", "p", F.floor(pos).alias("k_lo"), F.ceil(pos).alias("k_hi"),
-                (pos - F.floor(pos)).alias("frac"), F.col("lo").alias("a"), F.col("hi").alias("b"),
-                F.lit(0).cast("long").alias("before"), F.col("n").cast("long").alias("ncand")))
-
-    previous = None
-    widest = 0
-    for level in range(max_levels + 1):
-        widest = state.agg(F.max("ncand")).first()[0] or 0  # one number
-        # A first histogram level is far cheaper than ranking whole columns,
-        # so it runs whenever a range holds more values than it has bins.
-        if level == max_levels or widest <= (max_candidates if level else bins) or widest == previous:
-            break
-        previous = widest
-        state = _narrow(long, state, bins)
-
-    # Broadcast bound: len(cols) x len(probs) rows.
-    # Counted by value before anything is kept: a constant or low-cardinality
-    # column is a few rows. A target whose range is one value needs no values.
-    counts = materialize(long.join(F.broadcast(state.where("a < b").select("ci", "p", "a", "b")), "ci")
-                         .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
-                         .groupBy("ci", "p", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    if widest <= max_candidates:
-        # Every target keeps at most max_candidates values: a plain window per
-        # target is bounded, no blocked scan needed.
-        w = Window.partitionBy("ci", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = counts.withColumn("cnt_cum", F.sum("cnt").over(w))
-    else:
-        ranked = running_totals(counts, ["v"], ["cnt"], partition_cols=["ci", "p"], blocks=blocks)
-
-    first = F.col("before") + F.col("cnt_cum") - F.col("cnt")
-    last = F.col("before") + F.col("cnt_cum") - 1
-    in_lo = (F.col("k_lo") >= first) & (F.col("k_lo") <= last)
-    in_hi = (F.col("k_hi") >= first) & (F.col("k_hi") <= last)
-    hit = ranked.join(F.broadcast(state.select("ci", "p", "k_lo", "k_hi", "frac", "before")), ["ci", "p"]) \
-        .where(in_lo | in_hi)
-    picked = hit.groupBy("ci", "p").agg(
-        F.max(F.when(in_lo, F.col("v"))).alias("v_lo"),
-        F.max(F.when(in_hi, F.col("v"))).alias("v_hi"),
-        F.first("frac").alias("frac"))
-    picked = picked.unionByName(state.where("a = b").select(
-        "ci", "p", F.col("a").alias("v_lo"), F.col("b").alias("v_hi"), "frac"))
-    names = F.array(*[F.lit(c) for c in cols])
-    return picked.select(
-        F.element_at(names, F.col("ci") + 1).alias("column"), F.col("p").alias("prob"),
-        (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("quantile"))
-
-
-def _narrow(long: DataFrame, state: DataFrame, bins: int) -> DataFrame:
-    """One narrowing level: histogram every distinct range of the state, keep
-    per target the bins holding its two ranks, return the new (checkpointed)
-    state."""
-    # Distinct ranges (targets of one column share a range at the first level,
-    # so values are not repeated per target).
-    ranges = state.select("ci", "a", "b").distinct().withColumn(
-        "rid", F.xxhash64("ci", "a", "b"))
-    width = F.col("b") - F.col("a")
-    bin_of = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("a")) / width * F.lit(float(bins))),
-                                       F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    # Broadcast bound: at most len(cols) x len(probs) ranges.
-    inr = (long.join(F.broadcast(ranges), "ci")
-           .where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
-           .select("rid", "v", bin_of.alias("bin")))
-    hist = inr.groupBy("rid", "bin").agg(F.count(F.lit(1)).alias("hc"), F.min("v").alias("vmin"),
-                                          F.max("v").alias("vmax"))
-    below = Window.partitionBy("rid").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("hb", F.coalesce(F.sum("hc").over(below), F.lit(0)))  # <= bins rows per range
-
-    tgt = state.join(ranges, ["ci", "a", "b"]).select(
-        "rid", "ci", "p", "k_lo", "k_hi", "frac", "before",
-        (F.col("k_lo") - F.col("before")).alias("kl"), (F.col("k_hi") - F.col("before")).alias("kh"))
-    # Each histogram row keeps only the ranks inside its bin (a few per range).
-    per_range = tgt.groupBy("rid").agg(F.collect_list(F.struct("p", "kl", "kh")).alias("ts"))
-    inside = lambda k: lambda t: (F.col("hb") <= t[k]) & (t[k] < F.col("hb") + F.col("hc"))
-    hist_t = hist.join(F.broadcast(per_range), "rid")
-    lo_bin = (hist_t.select("rid", "hb", "vmin", F.explode(F.filter("ts", inside("kl"))).alias("t"))
-              .select("rid", F.col("t.p").alias("p"), F.col("hb").alias("hb_lo"), F.col("vmin").alias("a")))
-    hi_bin = (hist_t.select("rid", "hb", "hc", "vmax", F.explode(F.filter("ts", inside("kh"))).alias("t"))
-              .select("rid", F.col("t.p").alias("p"), (F.col("hb") + F.col("hc")).alias("hb_hi"),
-                      F.col("vmax").alias("b")))
-    new = (tgt.join(lo_bin, ["rid", "p"]).join(hi_bin, ["rid", "p"])
-           .select("ci", "p", "k_lo", "k_hi", "frac", "a", "b",
-                   (F.col("before") + F.col("hb_lo")).alias("before"),
-                   (F.col("hb_hi") - F.col("hb_lo")).alias("ncand")))
-    return materialize(new)

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from partqc.functions.columns import binary_ratio_class, class_probability
-from partqc.operators import evaluate, models, neighbours, sampling, scan
+from partqc.operators import evaluate, models, neighbours, quantiles, sampling, scan
 from partqc.operators.smote import Smote
 from partqc.plans import train
 from partqc.sources import model_store
@@ -77,7 +77,7 @@ def test_running_totals_match_window(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 2000), "o": rng.permutation(2000), "v": rng.integers(0, 10, 2000)})
     df = spark.createDataFrame(pdf)
-    got = scan.running_totals(df, ["o"], ["v"], partition_cols=["g"], blocks=7).toPandas()
+    got = scan.running_totals(df, ["o"], ["v"], partition_cols=["g"], rows_per_block=300).toPandas()
     pdf = pdf.sort_values(["g", "o"])
     pdf["exp"] = pdf.groupby("g")["v"].cumsum()
     m = got.merge(pdf, on=["g", "o"])
@@ -89,7 +89,7 @@ def test_exact_quantiles_match_numpy(spark):
     vals = np.concatenate([rng.normal(size=999), [5.0] * 300])
     df = spark.createDataFrame(pd.DataFrame({"a": vals, "b": vals * 2}))
     q = {(r["column"], r["prob"]): r["quantile"]
-         for r in scan.exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.9], blocks=5).collect()}
+         for r in quantiles.exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.9]).collect()}
     for p in (0.1, 0.25, 0.5, 0.9):
         assert q[("a", p)] == pytest.approx(np.quantile(vals, p), rel=1e-12)
         assert q[("b", p)] == pytest.approx(np.quantile(vals * 2, p), rel=1e-12)
@@ -111,7 +111,7 @@ def test_smote_invariants(spark):
 
 def test_roc_points_monotone(spark):
     ev = events_view(spark, SF01)
-    pts = evaluate.roc_curve(ev, "y", "value", blocks=5).orderBy(F.desc("threshold")).toPandas()
+    pts = evaluate.roc_curve(ev, "y", "value", rows_per_block=1500).orderBy(F.desc("threshold")).toPandas()
     assert pts.iloc[0]["fpr"] == 0 and pts.iloc[0]["tpr"] == 0
     assert pts.iloc[-1]["fpr"] == pytest.approx(1.0) and pts.iloc[-1]["tpr"] == pytest.approx(1.0)
     assert (pts["fpr"].diff().dropna() >= 0).all() and (pts["tpr"].diff().dropna() >= 0).all()
@@ -271,7 +271,7 @@ def test_exact_quantiles_heavy_tail(spark):
     vals = np.concatenate([rng.normal(50, 5, size=5000), [1e12, -1e12, 9999.0]])
     df = spark.createDataFrame(pd.DataFrame({"a": vals}))
     got = {r["prob"]: r["quantile"]
-           for r in scan.exact_quantiles(df, ["a"], [0.01, 0.5, 0.99], bins=16, max_candidates=50).collect()}
+           for r in quantiles.exact_quantiles(df, ["a"], [0.01, 0.5, 0.99], size=16, max_candidates=50).collect()}
     for p in (0.01, 0.5, 0.99):
         assert got[p] == pytest.approx(np.quantile(vals, p), rel=1e-12)
 
