@@ -7,13 +7,16 @@ scaler is one distributed aggregate (``Summarizer``) over the vectors.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, MinMaxScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Observation
+from pyspark.ml.stat import Summarizer
+from pyspark.ml.wrapper import JavaWrapper
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import vector_has_invalid
@@ -51,17 +54,15 @@ def fit_standard_scaler(df: DataFrame, in_col: str = "assembler", out_col: str =
     """centre and divide by the **population** standard deviation (a
     constant feature gives 0).
 
-    Spark's StandardScaler divides by the sample std; the fitted model here is
-    that scaler followed by a constant factor ``sqrt(n / (n - 1))``, so the
-    result is saveable and runs entirely in the JVM. ``n`` is observed in the
-    pass of the fit.
+    One ``Summarizer`` pass gives mean, sample variance and count; the model is
+    Spark's own scaler model with the population deviation, so it is saveable and runs entirely in the JVM.
     """
-    tmp = f"{out_col}__sample_std"
-    seen = Observation()
-    model = StandardScaler(inputCol=in_col, outputCol=tmp, withMean=True, withStd=True).fit(
-        df.observe(seen, F.count(in_col).alias("n")))
-    n = seen.get["n"]
-    dim = len(model.mean)
-    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    product = ElementwiseProduct(scalingVec=Vectors.dense([factor] * dim), inputCol=tmp, outputCol=out_col)
-    return PipelineModel(stages=[model, product])
+    got = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(in_col)).alias("s")).select("s.*").first()
+    n = got["count"]
+    std = Vectors.dense([math.sqrt(v * (n - 1) / n) if n > 1 else 0.0 for v in got["variance"]])
+    # As CountVectorizerModel.from_vocabulary does: a model made from its values.
+    java = JavaWrapper._new_java_obj("org.apache.spark.ml.feature.StandardScalerModel",
+                                     f"StandardScaler_{uuid.uuid4().hex[:12]}", std, got["mean"])
+    model = StandardScalerModel(java)
+    model._resetUid(java.uid())
+    return PipelineModel(stages=[model._set(inputCol=in_col, outputCol=out_col, withMean=True, withStd=True)])

@@ -35,7 +35,8 @@ class ModelData:
     n_train: int
 
 
-def _scale(train: DataFrame, test: DataFrame, label: str, key: str) -> ModelData:
+def scaled(train: DataFrame, test: DataFrame, label: str, key: str) -> ModelData:
+    """Both parts standardised by the training rows."""
     scaler = features.fit_standard_scaler(train, "assembler", "features")
     tr = scaler.transform(train).select(key, label, "features")
     te = scaler.transform(test).select(key, label, "features")
@@ -58,7 +59,7 @@ def notebook_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec
     """Under-sampled path: balance exactly, split exactly, scale."""
     balanced = materialize(sampling.undersample_exact(df, label, key, sample_seed))
     train, test = sampling.split_exact(balanced, key, test_size, split_seed)
-    return _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
+    return scaled(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
 
 
 def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
@@ -68,7 +69,7 @@ def smote_data(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
     the natural training rows, then grow the training minority with SMOTE to the
     majority size (neighbours in scaled units, so no unit dominates)."""
     train, test = sampling.split_exact(df, key, test_size, split_seed)
-    data = _scale(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
+    data = scaled(to_vector(train, feature_cols), to_vector(test, feature_cols), label, key)
     rows = materialize(data.train.select(key, label, vector_to_array("features").alias("x")))
     res = Smote(k=k, seed=smote_seed, method=smote_method).prepare(rows, label, key, "x")
     grown = materialize(res.resampled().select(key, label, array_to_vector("x").alias("features")))
@@ -111,27 +112,24 @@ def compare_all(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,
                 kinds: Sequence[str] = KINDS) -> Comparison:
     """E10 in full: ``metrics`` (sampling, model, accuracy, precision, recall,
     auc), ``roc`` (sampling, model, threshold, fpr, tpr) and ``confusion``
-    (sampling, model, actual, predicted, count). Each scored test part is
-    checkpointed once and read by all three."""
-    parts: dict = {"metrics": [], "roc": [], "confusion": []}
-    scored = {}
+    (sampling, model, actual, predicted, count). The scored test parts are one
+    checkpointed table with the fit as key; each result is one job over it,
+    grouped by the fit."""
+    scored, every = {}, None
     for name, data in (("undersample", notebook_data(df, label, key, feature_cols)),
                        ("smote", smote_data(df, label, key, feature_cols))):
         for kind in kinds:
-            s = materialize(fit_and_score(data, kind).select(key, label, "prediction", "p1"))
-            scored[name, kind] = s
-            for part, frame in (("metrics", evaluate.model_metrics(s, label, "prediction", "p1")),
-                                ("roc", evaluate.roc_curve(s, label, "p1")),
-                                ("confusion", evaluate.confusion_matrix(s, label))):
-                parts[part].append(frame.select(F.lit(name).alias("sampling"), F.lit(kind).alias("model"), *frame.columns))
-
-    def union(frames):
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
-
-    return Comparison(*(union(parts[p]) for p in ("metrics", "roc", "confusion")), scored)
+            s = fit_and_score(data, kind).select(F.lit(name).alias("sampling"), F.lit(kind).alias("model"),
+                                                 key, label, "prediction", "p1")
+            every = s if every is None else every.unionByName(s)
+    table = materialize(every)  # one pass scores all fits
+    for name in ("undersample", "smote"):
+        for kind in kinds:
+            scored[name, kind] = table.where((F.col("sampling") == name) & (F.col("model") == kind)).drop("sampling", "model")
+    by = ["sampling", "model"]
+    return Comparison(evaluate.model_metrics(table, label, "prediction", "p1", by),
+                      evaluate.roc_curve(table, label, "p1", by=by),
+                      evaluate.confusion_matrix(table, label, by=by), scored)
 
 
 def compare_models(df: DataFrame, label: str, key: str, feature_cols: FeatureSpec,

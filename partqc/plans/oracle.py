@@ -69,6 +69,14 @@ SMOTE_DRAWS = f"""
              JOIN mi n ON n.vec_id = nb.neighbour)"""
 
 
+_TEST_PART = f"""
+        WITH b AS (SELECT event_id, y FROM {EV} WHERE y = 1 UNION ALL SELECT event_id, y FROM (
+               SELECT *, row_number() OVER (ORDER BY {h(13, 'event_id')}, event_id) AS r FROM {EV} WHERE y = 0)
+               WHERE r <= (SELECT count(*) FROM {EV} WHERE y = 1)),
+             t AS (SELECT *, row_number() OVER (ORDER BY {h(42, 'event_id')}, event_id) AS r FROM b)
+        SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS keys, CAST(sum(y) AS BIGINT) AS positive, 0::BIGINT AS off
+          FROM t WHERE r <= (SELECT ceil(0.2 * count(*)) FROM b)"""
+
 ORACLE: dict[str, str] = {
     "csv_scan": f"SELECT * FROM {EV}",
     "alert_messages": f"""
@@ -294,9 +302,9 @@ ORACLE: dict[str, str] = {
     "model_roundtrip_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS differ FROM {EV} WHERE y = 1",
     "class_probability_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
     "batch_score_check": f"SELECT count(*) AS n, 0::BIGINT AS off FROM {EV}",
-    "rf_entropy_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
-    "rf_gini_100_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
-    "logreg_check": f"SELECT CAST(ceil(0.2 * 2 * count(*)) AS BIGINT) AS n, 0::BIGINT AS off FROM {EV} WHERE y = 1",
+    "rf_entropy_check": _TEST_PART,
+    "rf_gini_100_check": _TEST_PART,
+    "logreg_check": _TEST_PART,
     "compare_confusion": f"""
         WITH m AS (SELECT vec_id, CAST(label = 5 AS INT) AS y FROM embeddings),
         b AS (SELECT * FROM m WHERE y = 1 UNION ALL SELECT vec_id, y FROM (
@@ -307,7 +315,17 @@ ORACLE: dict[str, str] = {
               UNION ALL
               SELECT 'smote', y, row_number() OVER (ORDER BY {h(42, 'vec_id')}, vec_id),
                      ceil(0.2 * (SELECT count(*) FROM m)) FROM m)
-        SELECT sampling, 'logistic' AS model, count(*) AS n, CAST(sum(y) AS BIGINT) AS positive FROM t WHERE r <= n GROUP BY sampling""",
+        SELECT sampling, model, count(*) AS n, CAST(sum(y) AS BIGINT) AS positive
+          FROM t, (SELECT unnest(['logistic', 'forest_entropy', 'forest_gini']) AS model) WHERE r <= n GROUP BY sampling, model""",
+    "compare_roc_check": """
+        SELECT sampling, model, 0.0::DOUBLE AS x0, 0.0::DOUBLE AS y0, 1.0::DOUBLE AS x1, 1.0::DOUBLE AS y1, 0::BIGINT AS falls,
+               true AS agrees
+          FROM (SELECT unnest(['undersample', 'smote']) AS sampling),
+               (SELECT unnest(['logistic', 'forest_entropy', 'forest_gini']) AS model)""",
+    "models_learn_check": """
+        SELECT model, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys,
+               CAST(sum(CAST(l_quantity > 25 OR l_discount > 0.05 AS INT)) AS BIGINT) AS positive, true AS learned
+          FROM lineitem, (SELECT unnest(['logistic', 'forest_entropy', 'forest_gini', 'production']) AS model) WHERE l_linenumber = 5 GROUP BY model""",
     "stream_score_check": f"""
         SELECT count(*) AS n, 0::BIGINT AS differ FROM {EV_DIRTY}
          WHERE value IS NOT NULL AND NOT isnan(value) AND k IS NOT NULL AND NOT isnan(k)""",

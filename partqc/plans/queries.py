@@ -8,17 +8,18 @@ SQL oracle (``plans.oracle``) can compare values.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import class_probability, cutoff_class, round6
 from ..operators import evaluate, features, models, neighbours, prep, profile, sampling, smote
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files, model_store
-from ..sources.tables import (EV_FEATURES, embeddings_array_view, events_view, labels_view,
+from ..sources.tables import (EV_FEATURES, LI_FEATURES, embeddings_array_view, events_view, labels_view,
                               lineitem_view, table)
 from ..streaming import messages as msg
 from ..streaming import run as srun
@@ -385,9 +386,23 @@ def q_logreg(spark, sf):
     return compare.fit_and_score(_notebook_split(spark, sf), "logistic").select(EV_KEY, "y", "prediction", "p1")
 
 
+def _em_compared(spark, sf) -> compare.Comparison:
+    return _memo(spark, sf, "compare_em",
+                 lambda: compare.compare_all(embeddings_array_view(spark, sf), "y", EM_KEY, "x"))
+
+
 def q_compare_models(spark, sf):
-    em = embeddings_array_view(spark, sf)
-    return compare.compare_models(em, "y", EM_KEY, "x")
+    return _em_compared(spark, sf).metrics
+
+
+def q_compare_cells(spark, sf):
+    """Confusion cells of the six fits."""
+    return _em_compared(spark, sf).confusion
+
+
+def q_compare_roc(spark, sf):
+    """All ROC points of the six fits."""
+    return _em_compared(spark, sf).roc
 
 
 # What holds of the model queries whatever the model is.
@@ -410,8 +425,10 @@ def q_batch_score_check(spark, sf):
 
 
 def _cutoff_check(scored):
+    """M3-M5: the test part's keys and labels, and predictions by the cut-off."""
     wrong = F.when(F.abs(F.col("p1") - 0.5) > 1e-9, F.col("prediction") != (F.col("p1") > 0.5).cast("double"))
-    return scored.agg(F.count("*").alias("n"), F.count_if(F.coalesce(wrong, F.lit(False))).alias("off"))
+    return scored.agg(F.count("*").alias("n"), F.sum(EV_KEY).alias("keys"), F.sum("y").cast("long").alias("positive"),
+                      F.count_if(F.coalesce(wrong, F.lit(False)) | ~F.col("p1").between(0, 1)).alias("off"))
 
 
 def q_rf_entropy_check(spark, sf):
@@ -426,15 +443,49 @@ def q_logreg_check(spark, sf):
     return _cutoff_check(q_logreg(spark, sf))
 
 
+def q_models_learn_check(spark, sf):
+    """M1, M3-M5 on a label that follows from the features (LI: quantity above 25 or
+    discount above 0.05), lines numbered 5 held out: their number, keys and
+    labels, and an AUC that no random score reaches."""
+    y = ((F.col("l_quantity") > 25) | (F.col("l_discount") > 0.05)).cast("int")
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", y.alias("y"), *LI_FEATURES)
+    fold = F.col("l_linenumber") == 5
+    train_part, test = df.where(~fold), df.where(fold)
+    data = compare.scaled(*(compare.to_vector(d, LI_FEATURES) for d in (train_part, test)), "y", "l_orderkey")
+    model = models.fit(models.production_pipeline(LI_FEATURES, "y"), train_part)
+    scored = [(d.select(F.lit(kind).alias("model"), "l_orderkey", "y", class_probability("probability", 1).alias("p1")))
+              for kind, d in [(k, compare.fit_and_score(data, k)) for k in compare.KINDS] + [("production", model.transform(test))]]
+    every = materialize(functools.reduce(DataFrame.unionByName, scored))
+    auc = evaluate.roc_auc(every, "y", "p1", by=["model"])
+    floor = F.when(F.col("model") == "logistic", 0.85).otherwise(0.95)
+    return (every.groupBy("model").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"),
+                                       F.sum("y").cast("long").alias("positive"))
+            .join(auc, "model").select("model", "n", "keys", "positive", (F.col("auc") >= floor).alias("learned")))
+
+
 def q_compare_confusion(spark, sf):
-    """The cells of each fit add up to its test rows."""
-    def build():
-        return compare.compare_all(embeddings_array_view(spark, sf), "y", EM_KEY, "x", ("logistic",))
-    c = _memo(spark, sf, "compare_em", build).confusion
+    """The cells of each of the six fits add up to its test rows."""
+    c = _em_compared(spark, sf).confusion
     return c.groupBy("sampling", "model").agg(F.sum("count").alias("n"), F.sum(F.when(F.col("actual") == 1, F.col("count"))
                                                                                 .otherwise(0)).alias("positive"))
 
 
+def q_compare_roc_check(spark, sf):
+    """Each curve runs from (0, 0) to (1, 1) without falling back, and its
+    area is the AUC of the metrics."""
+    c = _em_compared(spark, sf)
+    w = Window.partitionBy("sampling", "model").orderBy(F.desc("threshold"))
+    back = (F.col("fpr") < F.lag("fpr").over(w)) | (F.col("tpr") < F.lag("tpr").over(w))
+    strip = (F.col("fpr") - F.lag("fpr").over(w)) * (F.col("tpr") + F.lag("tpr").over(w)) / 2
+    pts = c.roc.select("*", back.alias("back"), strip.alias("strip"))
+    curve = pts.groupBy("sampling", "model").agg(
+        F.min(F.struct("fpr", "tpr")).alias("lo"), F.max(F.struct("fpr", "tpr")).alias("hi"),
+        F.count_if("back").alias("falls"), F.sum("strip").alias("area"))
+    return curve.join(c.metrics, ["sampling", "model"]).select(
+        "sampling", "model", F.col("lo.fpr").alias("x0"), F.col("lo.tpr").alias("y0"), F.col("hi.fpr").alias("x1"),
+        F.col("hi.tpr").alias("y1"), "falls", (F.abs(F.col("area") - F.col("auc")) < 1e-9).alias("agrees"))
+
+
 def q_stream_score_check(spark, sf):
     """The stream's keys and predictions are those of batch scoring."""
     batch = models.batch_score(_production(spark, sf).model, prep.drop_incomplete(_ev(spark, sf, dirty=True)))
@@ -604,7 +655,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_entropy_check": q_rf_entropy_check,
     "rf_gini_100_check": q_rf_gini_100_check,
     "logreg_check": q_logreg_check,
+    "models_learn_check": q_models_learn_check,
     "compare_confusion": q_compare_confusion,
+    "compare_cells": q_compare_cells,
+    "compare_roc": q_compare_roc,
+    "compare_roc_check": q_compare_roc_check,
     "stream_score_check": q_stream_score_check,
     "confusion_dirty": q_confusion_dirty,
     "metrics_class0": q_metrics_class0,

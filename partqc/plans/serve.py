@@ -57,10 +57,11 @@ def train_job(spark: SparkSession, csv_path: str, model_path: str, key: str | Se
 
 
 def alerts(messages: DataFrame, model: PipelineModel, fields: Sequence[str] = tuple(FEATURES),
-           label: str | None = LABEL, key_col: str = CYCLE_TIME) -> DataFrame:
-    """Messages (``value`` binary or text) -> ``key, value`` alert records."""
+           label: str | None = LABEL, key_col: str = CYCLE_TIME, counters: str | None = None) -> DataFrame:
+    """Messages (``value`` binary or text) -> ``key, value`` alert records.
+    ``counters``: name of an observation of the messages that give no alert."""
     scored = score_messages(messages, model, message_schema(list(fields), label), label=label,
-                            out_cols=(key_col, "prediction"))
+                            out_cols=(key_col, "prediction"), counters=counters)
     return alert_frame(scored, key_col, "prediction")
 
 
@@ -71,12 +72,14 @@ def serve_job(spark: SparkSession, model_path: str, bootstrap: str, in_topic: st
     """Load the model, read the input topic, write alerts to the output topic
     (or to the console), and return the running query. The two Kafka knobs
     bound a micro-batch and spread it over more tasks. As in the source
-    application, lost offsets are skipped unless ``fail_on_data_loss``."""
+    application, lost offsets are skipped unless ``fail_on_data_loss``. The
+    query's progress tells malformed and incomplete messages per batch
+    (observation ``messages``; ``streaming.run.observed_counts`` sums them)."""
     model = model_store.load_model(model_path)
     stream = kafka.read_kafka(spark, bootstrap, in_topic, fail_on_data_loss=fail_on_data_loss,
                               max_offsets_per_trigger=max_offsets_per_trigger,
                               min_partitions=min_partitions)
-    out = alerts(stream.select(F.col("value")), model)
+    out = alerts(stream.select(F.col("value")), model, counters="messages")
     if console:
         return kafka.console_writer(out, trigger=trigger or "10 seconds").start()
     return kafka.kafka_writer(out, bootstrap, out_topic, checkpoint, trigger=trigger).start()

@@ -8,6 +8,7 @@ or null message gives a null struct (all fields null after flattening).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,23 @@ def parse_flatten(df: DataFrame, schema: T.StructType, value_col: str = "value")
     return flatten(parse_messages(df, schema, value_col, "_msg"), "_msg")
 
 
+def parse_flatten_counted(df: DataFrame, schema: T.StructType, name: str = "messages",
+                          required: Sequence[str] | None = None, value_col: str = "value") -> DataFrame:
+    """:func:`parse_flatten` with counters, on a batch or a stream: of
+    ``messages``, the ``malformed`` (empty, or text that is no JSON object with
+    any of the fields) and the ``incomplete`` (a ``required`` field, all by
+    default, null or NaN) are lost to scoring. The counters ride along in the
+    same pass (``Dataset.observe``) and come with each batch's progress."""
+    flat = parse_flatten(df, schema, value_col)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    required = list(kinds) if required is None else list(required)
+    missing = lambda c: (F.col(c).isNull() | F.isnan(c)) if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else F.col(c).isNull()
+    nothing = functools.reduce(lambda a, b: a & b, [F.col(c).isNull() for c in kinds])
+    lacking = functools.reduce(lambda a, b: a | b, [missing(c) for c in required], F.lit(False))
+    return flat.observe(name, F.count(F.lit(1)).alias("messages"), F.count_if(nothing).alias("malformed"),
+                        F.count_if(lacking & ~nothing).alias("incomplete"))
+
+
 def alert_frame(scored: DataFrame, key_col: str = CYCLE_TIME, prediction: str = "prediction") -> DataFrame:
     """``key`` = cycle time as text, ``value`` = JSON of the cycle
     time (as a JSON string) and the prediction; null fields are left out."""

@@ -53,6 +53,20 @@ def run_until_done(query: StreamingQuery, timeout_s: float = 600.0) -> Streaming
     return query
 
 
+def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
+    """The counters of ``Dataset.observe(name, ...)`` summed over the batches of
+    a query's recent progress (Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
+    total: dict[str, int] = {}
+    for p in query.recentProgress:
+        seen = (p.get("observedMetrics") if isinstance(p, dict) else p.observedMetrics) or {}
+        row = seen.get(name)
+        if row is not None:
+            for field, value in (row if isinstance(row, dict) else row.asDict()).items():
+                total[field] = total.get(field, 0) + int(value or 0)
+    return total
+
+
 def run_file_stream(spark: SparkSession, source: str, transform: Callable[[DataFrame], DataFrame],
                     sink: str, checkpoint: str, max_files_per_trigger: int = 1,
                     timeout_s: float = 600.0, query_name: str | None = None) -> StreamingQuery:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.columns import vector_has_invalid
 from ..schema import CYCLE_TIME, LABEL
-from .messages import parse_flatten
+from .messages import parse_flatten, parse_flatten_counted
 
 
 def score_clean(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -41,10 +41,16 @@ def score_clean(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def score_messages(messages: DataFrame, model: PipelineModel, schema, value_col: str = "value",
                    label: str | None = LABEL,
-                   out_cols: Sequence[str] = (CYCLE_TIME, "prediction")) -> DataFrame:
+                   out_cols: Sequence[str] = (CYCLE_TIME, "prediction"), counters: str | None = None) -> DataFrame:
     """Parse -> flatten -> drop the label -> score -> project. Works on a
-    batch frame and on a streaming frame alike (stateless, one map stage)."""
-    flat = parse_flatten(messages, schema, value_col)
+    batch frame and on a streaming frame alike (stateless, one map stage).
+    ``counters`` names an observation that tells the messages which scoring
+    loses (see ``messages.parse_flatten_counted``)."""
+    if counters:
+        inputs = [f.name for f in schema.fields if f.name != label]
+        flat = parse_flatten_counted(messages, schema, counters, inputs, value_col)
+    else:
+        flat = parse_flatten(messages, schema, value_col)
     if label and label in flat.columns:
         flat = flat.drop(label)
     return score_clean(flat, model).select(*out_cols)

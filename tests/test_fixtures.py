@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from partqc.functions.columns import binary_ratio_class, label_from_text, ratio_class
 from partqc.functions.hashing import seeded_hash, seeded_u32
 from partqc.operators import evaluate, features, prep, sampling
+from partqc.session import scratch_path
+from partqc.sources import model_store
 from partqc.sources.tables import events_view
 from partqc.streaming.messages import alert_frame, parse_flatten
 
@@ -40,8 +42,12 @@ def test_clean_assembly_equals_skip(spark):
 def test_standard_scaler_population_std(spark):
     df = spark.createDataFrame([(1.0, 7.0), (3.0, 7.0)], "a double, c double")
     asm = features.assembler(["a", "c"]).transform(df)
-    out = _vecs(features.fit_standard_scaler(asm).transform(asm), "features")
+    model = features.fit_standard_scaler(asm)
+    out = _vecs(model.transform(asm), "features")
     assert sorted(out) == [[-1.0, 0.0], [1.0, 0.0]]
+    path = scratch_path(spark, "scaler")
+    model_store.save_model(model, path)
+    assert sorted(_vecs(model_store.load_model(path).transform(asm), "features")) == sorted(out)
 
 
 @pytest.mark.parametrize("p1,expected", [(0.8172, 0.0), (0.8269, 1.0)])

@@ -92,6 +92,22 @@ def test_alert_frame_on_stream(spark, stream_setup):
     assert parsed["timCycle"] == row["key"] and parsed["prediction"] in (0.0, 1.0)
 
 
+def test_lost_messages_are_told(spark, stream_setup):
+    df, model, src = stream_setup
+    sink, ckpt = scratch_path(spark, "test_lost_out"), scratch_path(spark, "test_lost_ckpt")
+    q = srun.run_file_stream(spark, src, lambda d: score_messages(d, model, message_schema(), counters="messages"),
+                             sink, ckpt, timeout_s=300)
+    seen = srun.observed_counts(q, "messages")
+    kept = spark.read.parquet(sink)
+    assert seen["messages"] == 605 and seen["malformed"] + seen["incomplete"] == 380 and kept.count() == 225
+    assert seen["malformed"] > 0 and seen["incomplete"] > 0
+    plain = score_messages(spark.read.parquet(src), model, message_schema())
+    assert sorted(kept.collect()) == sorted(plain.collect())  # counting changes no row
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000000")
+    counted = score_messages(df, model, message_schema(), counters="messages")
+    assert counted._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_kafka_option_maps():
     src = kafka.kafka_source_options("localhost:9092", "injection", max_offsets_per_trigger=1000)
     assert src == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "injection",
