@@ -20,6 +20,18 @@ def _u32(x: str) -> str:
 # The plain patterns; what may follow is told by a condition on the match v.
 _IBAN = "replace(v, ' ', '')"
 _TURNED = f"substr({_IBAN}, 5) || substr({_IBAN}, 1, 4)"
+_IBAN_OK = (f"regexp_full_match({_IBAN}, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND list_reduce(list_prepend(0,"
+            f" list_transform(string_split(array_to_string(list_transform(string_split({_TURNED}, ''), lambda c:"
+            f" CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), ''), ''), lambda d: CAST(d AS INT))),"
+            f" lambda a, d: (a * 10 + d) % 97) = 1")
+# What may be a number at a run r: itself, or leading parts of its groups, the longest first. RE2 has no
+# lookahead; \\b does it once the underscore is no word character.
+_GROUPS = (r"regexp_extract(translate(substr(t, s + 1, 44), '_', '-'),"
+           r" '^[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}\b){2,7}(?: [A-Z0-9]{1,3}\b)?')")
+_IBAN_PARTS = f"""CASE WHEN length(v) >= 15 THEN [v]
+  WHEN regexp_full_match(v, '[A-Z]{{2}}[0-9]{{2}}') AND regexp_matches(substr(t, s + 5, 5), '^ [A-Z0-9]{{4}}') AND {_GROUPS} <> ''
+  THEN list_concat([{_GROUPS}], list_transform(list_filter([7, 6, 5, 4, 3, 2], lambda n: 4 + 5 * n < length({_GROUPS})),
+    lambda n: substr({_GROUPS}, 1, 4 + 5 * n))) ELSE [] END"""
 _DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
 _PII = [  # kind, pattern, condition, base score, context words
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", 70, "mail|contact|write|kontakt|correo"),
@@ -33,27 +45,33 @@ _PII = [  # kind, pattern, condition, base score, context words
      f" CAST(substr({_DIGITS}, CAST(length({_DIGITS}) - i + 1 AS INT), 1) AS INT) + 1, 1) AS INT))) % 10 = 0", 80,
      "card|visa|credit|karte|carte|tarjeta"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15", 60, "tel|phone|call|fax|mobil|handy"),
-    ("iban", r"[A-Z]{2}[0-9]{2}( [A-Z0-9]{4}){2,7}( [A-Z0-9]{1,3})?|[A-Za-z0-9]{15,}",
-     f"(s = 0 OR NOT regexp_matches(substr(t, s, 1), '[A-Za-z0-9]')) AND regexp_full_match({_IBAN}, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND list_reduce(list_prepend(0,"
-     f" list_transform(string_split(array_to_string(list_transform(string_split({_TURNED}, ''), lambda c:"
-     f" CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), ''), ''), lambda d: CAST(d AS INT))),"
-     f" lambda a, d: (a * 10 + d) % 97) = 1", 80, "iban|account|konto|compte|cuenta"),
+    # A run of letters and digits: a whole number, or the first of groups (see _IBAN_PARTS).
+    ("iban", r"[A-Za-z0-9]+", None, 80, "iban|account|konto|compte|cuenta"),
     ("phone_local", r"[0-9][0-9\x20().-]{6,}[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15", 30,
      "tel|phone|call|fax|mobil|handy"),
 ]
 
 
 def _pii() -> str:
-    parts = ["WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)"]
+    parts = ["WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)"]
     for k, (kind, pattern, valid, base, words) in enumerate(_PII):
+        found, valid = f"p{k}", valid or "true"
+        if kind == "iban":  # the longest part that holds, from the left those that begin after the last one's end
+            found = f"kept{k}"
         parts.append(f"""m{k} AS (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS m,
           string_split_regex(t, '{pattern}') AS g FROM d WHERE regexp_matches(t, '{pattern}')),
         p{k} AS (SELECT doc_id, t, m[i] AS v, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
           + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
           FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m{k})),
-        s{k} AS (SELECT doc_id, {k} AS k, '{kind}' AS kind, s, s + length(v) AS e, {base} + CASE WHEN
+        """ + (f"""part{k} AS (SELECT doc_id, t, s, unnest({_IBAN_PARTS}) AS v FROM p{k}),
+        best{k} AS (SELECT doc_id, t, s, v FROM part{k} WHERE {_IBAN_OK}
+          QUALIFY row_number() OVER (PARTITION BY doc_id, s ORDER BY length(v) DESC) = 1),
+        kept{k} AS (SELECT * FROM best{k} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s) = 1 UNION ALL
+          SELECT b.* FROM kept{k} a JOIN best{k} b ON a.doc_id = b.doc_id AND b.s >= a.s + length(a.v)
+          QUALIFY row_number() OVER (PARTITION BY b.doc_id ORDER BY b.s) = 1),
+        """ if kind == "iban" else "") + f"""s{k} AS (SELECT doc_id, {k} AS k, '{kind}' AS kind, s, s + length(v) AS e, {base} + CASE WHEN
           regexp_matches(lower(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0))), '{words}') THEN 20 ELSE 0 END AS score
-          FROM p{k} WHERE {valid})""")
+          FROM {found} WHERE {valid})""")
     parts.append("b AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)")
     parts.append("""a AS (SELECT * FROM s4 UNION ALL SELECT * FROM s5 x WHERE NOT EXISTS
         (SELECT 1 FROM b WHERE b.doc_id = x.doc_id AND b.s < x.e AND b.e > x.s))""")

@@ -20,9 +20,12 @@ A span's score in percent is its kind's base, plus ``CONTEXT_BONUS`` if one of
 the kind's context words occurs in the ``CONTEXT`` code points before it; added
 spans below ``ACCEPT`` are dropped.  Positions are code points, the end exclusive.
 
-Patterns run possessively, or start only where a match can begin, so the work is
-linear in the text; positions come from the lengths of what lies between the
-matches.  Everything is a column expression on one row: no shuffle.
+Patterns run possessively, or start only where a match can begin, so matching is
+linear in the text; positions are running sums of the lengths of matches and of
+what lies between them, overlaps of added spans a running maximum over the sorted
+ends.  Both run by blocks of ``RUN`` (a total per block, then inside the block), so a text's work
+grows with its matches, not with their square.  Everything is a column expression
+on one row: no shuffle.
 
 Nulls and oddities: a null or empty text has no spans; a null id and rows that
 repeat an id are reported row by row; other columns pass through unused whatever
@@ -83,6 +86,27 @@ _VALID = {
 }
 
 
+#: Matches per block of a running sum or maximum; code points per piece of a text.
+RUN, PIECE = 128, 1024
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` bound to ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _running(steps: str, each: str, join: str) -> str:
+    """SQL: for every place i of the array ``steps`` (not empty), ``each`` (an
+    expression of i and ``before``), ``before`` being the elements ahead of i
+    joined by ``join`` (of a and x; 0 for none)."""
+    fold = lambda part: f"aggregate({part}, 0, (a, x) -> {join})"
+    blocks = f"transform(sequence(0, (size(st) - 1) div {RUN}), b -> {fold(f'slice(st, b * {RUN} + 1, {RUN})')})"
+    ahead = f"transform(sequence(0, size(bl) - 1), b -> {fold('slice(bl, 1, b)')})"
+    inside = f"aggregate(slice(st, i - i % {RUN} + 1, i % {RUN}), ah[i div {RUN}], (a, x) -> {join})"
+    body = f"transform(sequence(0, size(st) - 1), i -> {_let('before', inside, each)})"
+    return _let("st", steps, _let("bl", blocks, _let("ah", ahead, body)))
+
+
 def _matches(kind: str) -> Column:
     pattern, cheap, _, _ = KINDS[kind]
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
@@ -94,27 +118,32 @@ def _spans(kind: str, order: int) -> Column:
     """Confirmed matches with their places: array of (k, kind, s, e, v, score)."""
     m, g = f"m_{kind}", f"g_{kind}"
     _, _, base, words = KINDS[kind]
-    start = (f"aggregate(slice({g}, 1, i + 1), 0, (a, x) -> a + x) + "
-             f"aggregate(slice({m}, 1, i), 0, (a, x) -> a + char_length(x))")
-    near = f"lower(substr(text, greatest(s - {CONTEXT}, 0) + 1, s - greatest(s - {CONTEXT}, 0))) rlike r'{words}'"
+    steps = f"zip_with(slice({g}, 1, size({m})), {m}, (x, y) -> x + char_length(y))"
+    starts = _running(steps, f"int(before + {g}[i])", "int(a + x)")
+    # What stands before and after s, from the pieces around it: substr on the text would walk to s from its start.
+    lead = f"substr(concat('', get(pc, s div {PIECE} - 1), coalesce(get(pc, s div {PIECE}), '')), 1, {PIECE} + s % {PIECE})"
+    lead = f"if(s < {PIECE}, substr(coalesce(get(pc, 0), ''), 1, s), {lead})"
+    near = f"lower(right({lead}, {CONTEXT})) rlike r'{words}'"
+    after = f"substr(concat(get(pc, s div {PIECE}), coalesce(get(pc, s div {PIECE} + 1), '')), s % {PIECE} + 1, 44)"
     span = (f"named_struct('k', {order}, 'kind', '{kind}', 's', s, 'e', s + char_length(v), 'v', v, "
             f"'score', {base} + if({near}, {CONTEXT_BONUS}, 0))")
     if kind == "iban":
         # Of what begins at a match, the longest part that holds; parts that begin inside an earlier one go.
         kinds = "array<struct<k:int,kind:string,s:int,e:int,v:string,score:int>>"
-        parts = (f"transform(array(if(char_length({m}[i]) > 4, {m}[i], regexp_extract(substr(text, s + 1, 44), r'{_GROUPS}', 0))), "
+        parts = (f"transform(array(if(char_length({m}[i]) > 4, {m}[i], regexp_extract({after}, r'{_GROUPS}', 0))), "
                  f"r -> concat(array(r), transform(filter(array(7, 6, 5, 4, 3, 2), n -> char_length({m}[i]) = 4 and "
                  f"4 + 5 * n < char_length(r)), n -> substr(r, 1, 4 + 5 * n))))[0]")
         best = f"transform(slice(filter({parts}, v -> {_VALID[kind]}), 1, 1), v -> {span})"
-        return F.expr(
-            f"if(size({m}) = 0, cast(array() as {kinds}), aggregate(flatten(transform(sequence(0, size({m}) - 1), "
-            f"i -> transform(array({start}), s -> {best})[0])), cast(array() as {kinds}), "
-            f"(a, x) -> if(size(a) > 0 and get(a, size(a) - 1).e > x.s, a, concat(a, array(x)))))")
-    placed = f"transform(array({start}), s -> {span})[0]"
+        found = f"flatten(transform(sequence(0, size({m}) - 1), i -> {_let('s', 'p[i]', best)}))"
+        meet = "exists(sequence(1, greatest(size(f) - 1, 1)), i -> coalesce(get(f, i - 1).e > get(f, i).s, false))"
+        apart = (f"if({meet}, aggregate(f, cast(array() as {kinds}), (a, x) -> "
+                 f"if(size(a) > 0 and get(a, size(a) - 1).e > x.s, a, concat(a, array(x)))), f)")
+        return F.expr(f"if(size({m}) = 0, cast(array() as {kinds}), {_let('p', starts, _let('f', found, apart))})")
+    valid = f"filter(sequence(0, size({m}) - 1), i -> {_let('v', f'{m}[i]', _VALID[kind])})"
+    spans = f"transform({valid}, i -> {_let('v', f'{m}[i]', _let('s', 'p[i]', span))})"
     return F.expr(
         f"if(size({m}) = 0, cast(array() as array<struct<k:int,kind:string,s:int,e:int,v:string,score:int>>), "
-        f"transform(filter(sequence(0, size({m}) - 1), i -> transform(array({m}[i]), v -> {_VALID[kind]})[0]), "
-        f"i -> transform(array({m}[i]), v -> {placed})[0]))")
+        f"{_let('p', starts, spans)})")
 
 
 def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -125,13 +154,20 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     d = d.select("*", *[_matches(k).alias(f"m_{k}") for k in KINDS])
     gaps = [F.when(F.size(f"m_{k}") > 0, F.transform(F.split("text", KINDS[k][0], -1), lambda x: F.char_length(x)))
             .alias(f"g_{k}") for k in KINDS]
-    d = d.select("*", *gaps)
+    hit = F.greatest(*[F.size(f"m_{k}") for k in KINDS]) > 0
+    d = d.select("*", *gaps, F.when(hit, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("pc"))
     d = d.select("row", "text", *[_spans(k, i).alias(f"s_{k}") for i, k in enumerate(KINDS)])
     d = d.withColumn("base", F.concat(*[F.col(f"s_{k}") for k in BASE]))
-    whole = F.expr("filter(s_iban, x -> x.s = 0 or not substr(text, x.s, 1) rlike '[A-Za-z0-9]')")
-    added = F.concat(whole, F.filter("s_phone_local", lambda x: ~F.exists(
-        "base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))))
-    return d.select("row", "text", "base", F.filter(added, lambda x: x["score"] >= ACCEPT).alias("added"))
+    # A local number overlaps a base span if, of the base spans that begin before its end, the farthest
+    # reaches beyond its start: a running maximum over base starts and local ends in one order.
+    marks = ("array_sort(concat(transform(base, x -> named_struct('at', x.s, 'own', 1, 'e', x.e, 'i', -1)), "
+             f"transform(sequence(0, size(loc) - 1), j -> named_struct('at', loc[j].e, 'own', 0, 'e', 0, 'i', j))))")
+    clear = _let("mk", marks, "filter(" + _running(
+        "transform(mk, x -> x.e)", "if(mk[i].own = 0 and before <= loc[mk[i].i].s, mk[i].i, -1)", "int(greatest(a, x))")
+        + ", j -> j >= 0)")
+    local = _let("loc", f"filter(s_phone_local, x -> x.score >= {ACCEPT})",
+                 f"if(size(loc) = 0 or size(base) = 0, loc, transform(array_sort({clear}), j -> loc[j]))")
+    return d.select("row", "text", "base", F.concat(F.filter("s_iban", lambda x: x["score"] >= ACCEPT), F.expr(local)).alias("added"))
 
 
 def joined(spans: Column, score: bool = False) -> Column:
