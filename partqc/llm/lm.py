@@ -1,6 +1,6 @@
 """Cross-entropy difference of two n-gram models (target and background).
 
-Words (``word_difference``, what op7 runs).  A word is a run of letters, marks
+A word is a run of letters, marks
 and digits (lower case, digits as 0); a sign, and a letter of a script written
 without blanks, is a word of its own.  Words and pairs of neighbours are counted
 over all documents (background) and over the target documents; nothing is cut or
@@ -13,28 +13,18 @@ with it.  The probability of a word backs off from the pair to the word:
 Documents are dealt into blocks of about ``BLOCK`` characters.  A block asks for
 its distinct words, contexts and pairs (64-bit hashes, no table of strings) in
 packs by range of hash; every range sums the packs of all blocks and answers each;
-a block's documents are scored with its answers.  Nothing is broadcast; the
+a block's documents are scored with its answers.  There are ``RANGES`` ranges for
+the root of the number of blocks, so packs grow as the input to the power 1.5 and
+their numbers in proportion.  Nothing is broadcast; the
 driver gets N and V.  Blocks come from the hashes of id and text: rows that
 repeat an id are spread over ``SPREAD`` blocks by text.
 
-Characters (``cross_entropy_difference``): a model of fixed size for any corpus.
-Both models predict characters from the three before them, over one shared
-vocabulary: the ``symbols`` - 1 most frequent characters of the whole corpus
-(letters folded to lower case, digits to 0) and one symbol for all others and
-for the text's beginning.  The background model is counted over all documents,
-the target model over the target documents; every document counts whole.  The
-probability of a character backs off from four to one with Dirichlet weights:
-
-    p(d | abc) = (c(abcd) + m p(d | bc)) / (c(abc) + m)
-
-and p(d) = (c(d) + 1) / (N + V) at the end.  A document's score is the mean over its
-characters of the target's loss less the background's, in bits: the lower, the
-closer to the target.
-
-Tasks count four-grams in an array and send the ones that occur; sums by
-four-gram are an ordinary aggregation.  As the vocabulary and the order are
-fixed, so is the table's size: at most symbols ** 4 numbers (5.3 million, 21 MB),
-which is the one thing that is broadcast, for any corpus.
+Every document is scored without itself: its own counts are taken out of the
+background's, and out of the target's if it is a target document, before the
+logarithms.  So a score says what the rest of the corpus says of a text, and
+target documents and equally good ones left out score alike.  (V stays that of
+all documents.)  The score is the mean over its words of the target's loss less
+the background's, in bits: the lower, the closer to the target.
 
 Nulls and oddities: a null or empty text has no tokens and score 0; without
 target documents every score is 0 less what smoothing says; ids may repeat (a
@@ -44,6 +34,7 @@ through unused; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import sys
 import unicodedata
 
@@ -59,14 +50,16 @@ from partqc.llm.words import R, U, _powers, code_points, mix, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SYMBOLS = 48
-ORDER = 4
 WEIGHT = 4.0
 BLOCK = 4_000_000
 SPREAD = 16
+#: Ranges of hash per root of the number of blocks.
+RANGES = 16
 #: Scripts written without blanks: first and last code points.
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+#: Marks a target's id among the answers.
+_TARGET = 9
 _GOLD, _BEGIN, _CONTEXT, _PAIR = U(0x9E3779B97F4A7C15), U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179), U(0xA54FF53A5F1D36F1)
 
 
@@ -75,124 +68,6 @@ def folded(ch: str) -> str:
     return "0" if ch.isdigit() else low if len(low) == 1 else ch
 
 
-def vocabulary(docs: DataFrame, symbols: int) -> list[str]:
-    """The most frequent characters, most frequent first."""
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                cps, _ = code_points(part.column(part.schema.get_field_index("text")))
-                n = np.bincount(cps)
-                there = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([folded(chr(i)) for i in there.tolist()], pa.string()), pa.array(n[there])],
-                    names=["ch", "n"])
-    top = (docs.mapInArrow(run, "ch string, n long").groupBy("ch").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "ch").limit(symbols - 1))
-    return [r["ch"] for r in top.collect()]
-
-
-def symbol_table(chars: list[str]) -> np.ndarray:
-    out = np.zeros(0x110000, np.uint8)
-    for i, ch in enumerate(chars):
-        for same in {ch, ch.upper(), *("0123456789" if ch == "0" else "")}:
-            if len(same) == 1:
-                out[ord(same)] = i + 1
-    return out
-
-
-def four_grams(symbol: np.ndarray, col, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(code of the four-gram that ends at each character, offsets of the rows)."""
-    cps, off = code_points(col)
-    s = symbol[cps].astype(np.int64)
-    code = s.copy()
-    for back in range(1, ORDER):
-        prev = np.zeros(len(s), np.int64)
-        prev[back:] = s[:-back] if back < len(s) else 0
-        for j in range(back):  # before the text's beginning
-            at = off[:-1] + j
-            prev[at[at < off[1:]]] = 0
-        code += prev * symbols ** back
-    return code, off
-
-
-def probabilities(c: np.ndarray, symbols: int, weight: float) -> np.ndarray:
-    """log2 p(d | abc) for all abcd from the counts of four-grams."""
-    p = None
-    for order in range(1, ORDER + 1):
-        n = c.reshape(-1, symbols ** order).sum(0).reshape(-1, symbols)
-        whole = n.sum(1, keepdims=True)
-        if p is None:
-            p = (n + 1) / (whole + symbols)
-        else:
-            p = (n + weight * np.tile(p, (symbols, 1))) / (whole + weight)
-    return np.log2(p).ravel()
-
-
-def loss_differences(docs: DataFrame, targets: DataFrame, symbols: int, chars: list[str], weight: float) -> np.ndarray:
-    """float32 by four-gram: the target's loss less the background's."""
-    share = docs.sparkSession.sparkContext.broadcast(symbol_table(chars))
-    flagged = (docs.join(targets.select("id").distinct().withColumn("target", F.lit(True)), "id", "left")
-               .select(F.coalesce("target", F.lit(False)).alias("target"), "text"))
-    size = symbols ** ORDER
-
-    def count(batches):
-        all_, target = np.zeros(size, np.int32), np.zeros(size, np.int32)
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                code, off = four_grams(share.value, part.column(1), symbols)
-                all_ += np.bincount(code, minlength=size).astype(np.int32)
-                mark = np.repeat(part.column(0).to_numpy(zero_copy_only=False), np.diff(off))
-                target += np.bincount(code[mark], minlength=size).astype(np.int32)
-        there = np.flatnonzero(all_)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(there.astype(np.int32)), pa.array(all_[there].astype(np.int64)),
-             pa.array(target[there].astype(np.int64))], names=["code", "n", "t"])
-
-    # One row per 64th of the table's last two symbols: bounded, whatever the corpus.
-    sums = (flagged.mapInArrow(count, "code int, n long, t long").groupBy("code")
-            .agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
-    pair = symbols * symbols
-
-    def pack(table: pa.Table) -> pa.Table:
-        code = table.column("code").to_numpy()
-        out = np.zeros((2, pair))
-        out[0, code % pair], out[1, code % pair] = table.column("n").to_numpy(), table.column("t").to_numpy()
-        return pa.table([pa.array([int(code[0]) // pair], pa.int32()), pa.array([out.tobytes()], pa.binary())],
-                        names=["head", "counts"])
-
-    packed = (sums.withColumn("head", F.floor(F.col("code") / pair).cast("int")).groupBy("head")
-              .applyInArrow(pack, "head int, counts binary"))
-    n = np.zeros((2, pair, pair))
-    for r in packed.toLocalIterator():
-        n[:, r["head"]] = np.frombuffer(r["counts"]).reshape(2, pair)
-    back, front = (probabilities(x.ravel(), symbols, weight) for x in n)
-    return (back - front).astype(np.float32)
-
-
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             symbols: int = SYMBOLS, weight: float = WEIGHT) -> DataFrame:
-    """(id, n_tokens, loss_difference) of every row; ``targets`` has the ids of
-    the target documents."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    chars = vocabulary(d.select("text"), symbols)
-    table = loss_differences(d, targets.select(F.col(id_col).alias("id")).filter("id IS NOT NULL"), symbols, chars, weight)
-    share = d.sparkSession.sparkContext.broadcast((symbol_table(chars), table))
-
-    def score(batches):
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                symbol, loss = share.value
-                code, off = four_grams(symbol, part.column(1), symbols)
-                run = np.concatenate(([0.0], np.cumsum(loss[code], dtype=np.float64)))
-                n = np.diff(off)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array((run[off[1:]] - run[off[:-1]]) / np.maximum(n, 1))],
-                    names=["id", "n_tokens", "loss_difference"])
-
-    kind = d.schema["id"].dataType.simpleString()
-    return d.mapInArrow(score, f"id {kind}, n_tokens long, loss_difference double").withColumnRenamed("id", id_col)
-
-
 def character_tables() -> tuple[np.ndarray, np.ndarray]:
     """By code point: the folded one, and 0 (blank), 1 (part of a word) or 2 (a
     word of its own)."""
@@ -262,7 +137,7 @@ def word_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     chars = d.agg(F.sum(F.char_length("text"))).first()[0] or 0
     groups = -(-chars // (block * SPREAD)) or 1
-    ranges = groups * SPREAD
+    ranges = math.ceil(RANGES * math.sqrt(groups * SPREAD))
     place = lambda x: F.pmod(x, F.lit(groups)) * SPREAD
     d = d.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(SPREAD)) + F.when(
         F.col("id").isNull(), place(F.xxhash64("text", F.lit(1)))).otherwise(place(F.xxhash64("id"))))
@@ -316,15 +191,24 @@ def word_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
 
         def score(key, rows: pa.Table, told: pa.Table) -> pa.Table:
             found, size = grams(share.value, _column(rows, "text"))
-            loss, at = np.zeros(int(size.sum())), []
+            loss, at, own = np.zeros(int(size.sum())), [], []
+            row = np.repeat(np.arange(len(size)), size)
             for k in range(3):  # from here on the place of every gram among the block's distinct ones
                 at.append(np.unique(found[k], return_inverse=True)[1].astype(np.int32))
                 found[k] = None
-            part = np.lexsort((told.column("range").to_numpy(), of := told.column("kind").to_numpy()))
+                # How often it stands in its own document.
+                _, i, n = np.unique(row * (int(at[k].max(initial=0)) + 1) + at[k], return_inverse=True, return_counts=True)
+                own.append(n[i].astype(np.int32))
+            of = told.column("kind").to_numpy()
+            marked = told.filter(pa.array(of == _TARGET)).column("id")
+            marked = pc.is_in(_column(rows, "id"), value_set=marked.combine_chunks()).to_numpy(zero_copy_only=False)
+            part = np.lexsort((told.column("range").to_numpy(), of))
             for column, whole, sign in (("n", n_all, 1), ("t", t_all, -1)) if len(loss) else ():
+                without = marked if column == "t" else np.ones(len(size), bool)  # where the document was counted
+                taken = without[row]
                 w, v, vw = (np.concatenate([unpacked(told.column(column)[i], np.int64) for i in part[of[part] == k].tolist()])[at[k]]
-                            for k in range(3))
-                p = (w + 1) * (weight / (whole + max(1, distinct)))
+                            - own[k] * taken for k in range(3))
+                p = (w + 1) * (weight / (whole - size * without + max(1, distinct)))[row]
                 p += vw
                 p /= v + weight
                 loss += sign * np.log2(p, out=p)
@@ -334,7 +218,10 @@ def word_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
                              pa.array((run[end] - run[end - size]) / np.maximum(size, 1))],
                             names=["id", "n_tokens", "loss_difference"])
 
-        told = answers.filter("block >= 0").select("block", "kind", "range", "n", "t")
+        none = lambda t: F.lit(None).cast(t)
+        told = answers.filter("block >= 0").select("block", "kind", "range", "n", "t", none(kind).alias("id")).unionByName(
+            chosen.select("block", F.lit(_TARGET).alias("kind"), F.lit(0).cast("long").alias("range"),
+                          none("binary").alias("n"), none("binary").alias("t"), "id"))
         out = materialize(d.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
             score, f"id {kind}, n_tokens long, loss_difference double"))
     return out.withColumnRenamed("id", id_col)

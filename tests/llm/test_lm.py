@@ -12,58 +12,6 @@ from partqc.llm import lm
 ROWS = [(1, "Banana 42 bandana"), (2, "cabbage and bananas"), (3, ""), (4, None), (5, "ZZz éé"), (None, "banana"), (2, "a"), (7, "ab")]
 
 
-def plain(rows, targets, symbols, weight):
-    chars = Counter(lm.folded(c) for _, t in rows for c in t or "")
-    vocab = [c for c, _ in sorted(chars.items(), key=lambda x: (-x[1], x[0].encode()))][:symbols - 1]
-    seq = lambda t: [0, 0, 0] + [vocab.index(lm.folded(c)) + 1 if lm.folded(c) in vocab else 0 for c in t or ""]
-
-    def model(texts):
-        n = [Counter() for _ in range(5)]
-        for t in texts:
-            s = seq(t)
-            for i in range(3, len(s)):
-                for o in range(1, 5):
-                    n[o][tuple(s[i - o + 1:i + 1])] += 1
-        context = [Counter() for _ in range(5)]
-        for o in range(1, 5):
-            for g, c in n[o].items():
-                context[o][g[:-1]] += c
-
-        def p(g):
-            if len(g) == 1:
-                return (n[1][g] + 1) / (context[1][()] + symbols)
-            return (n[len(g)][g] + weight * p(g[1:])) / (context[len(g)][g[:-1]] + weight)
-        return p
-
-    back, front = model([t for _, t in rows]), model([t for i, t in rows if i in targets])
-    out = []
-    for i, t in rows:
-        s = seq(t)
-        d = [math.log2(back(tuple(s[j - 3:j + 1]))) - math.log2(front(tuple(s[j - 3:j + 1]))) for j in range(3, len(s))]
-        out.append((i, len(d), sum(d) / max(1, len(d))))
-    return sorted(out, key=repr)
-
-
-def test_equal_to_plain_counts(spark):
-    df = spark.createDataFrame([(i, t, 1, "n") for i, t in ROWS], "doc_id long, text string, code int, id string").repartition(3)
-    targets = spark.createDataFrame([(2,), (5,), (2,), (None,), (99,)], "doc_id long")
-    for symbols in (4, 12):
-        got = sorted((tuple(r) for r in lm.cross_entropy_difference(df, targets, symbols=symbols).collect()), key=repr)
-        want = plain(ROWS, {2, 5}, symbols, lm.WEIGHT)
-        assert [g[:2] for g in got] == [w[:2] for w in want]
-        assert np.allclose([g[2] for g in got], [w[2] for w in want], atol=1e-5)
-
-
-def test_targets_score_lower_and_empty_tables(spark):
-    rows = [(i, ("the cat sat on the mat " if i % 2 else "der hund lag auf dem sofa ") * 4) for i in range(40)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    targets = spark.createDataFrame([(i,) for i in range(1, 20, 2)], "doc_id long")
-    got = {r["doc_id"]: r["loss_difference"] for r in lm.cross_entropy_difference(df, targets).collect()}
-    assert max(got[i] for i in range(1, 40, 2)) < min(got[i] for i in range(0, 40, 2))
-    assert lm.cross_entropy_difference(df.limit(0), targets).count() == 0
-    assert lm.cross_entropy_difference(df, targets.limit(0)).count() == 40
-
-
 def plain_words(rows, targets, weight):
     split = lambda t: re.findall("[\u4e00-\u9fff]|[^\\W_\u4e00-\u9fff]+|[^\\w\\s]|_", "".join(map(lm.folded, t or "")))
     docs = [(i, split(t)) for i, t in rows]
@@ -78,9 +26,10 @@ def plain_words(rows, targets, weight):
         n = one.total()
         return lambda v, w: (two[v, w] + weight * (one[w] + 1) / (n + kinds)) / (context[v] + weight)
 
-    back, front = model([ws for _, ws in docs]), model([ws for i, ws in docs if i in targets])
     out = []
-    for i, ws in docs:
+    for at, (i, ws) in enumerate(docs):  # both models without the document itself
+        rest = [x for k, x in enumerate(docs) if k != at]
+        back, front = model([x for _, x in rest]), model([x for j, x in rest if j in targets])
         x = [math.log2(back(v, w)) - math.log2(front(v, w)) for v, w in zip([None, *ws], ws)]
         out.append((i, len(ws), sum(x) / max(1, len(x))))
     return sorted(out, key=repr)
@@ -110,6 +59,30 @@ def test_the_query_tells_documents_of_a_minority_script_apart(spark, tmp_path):
     assert len(got) == 80 and max(got[i] for i in range(1, 20, 2)) < min(got[i] for i in range(0, 20, 2))
 
 
+def test_targets_score_lower(spark):
+    rows = [(i, ("the cat sat on the mat " if i % 2 else "der hund lag auf dem sofa ") * 4) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    targets = spark.createDataFrame([(i,) for i in range(1, 20, 2)], "doc_id long")
+    got = {r["doc_id"]: r["loss_difference"] for r in lm.word_difference(df, targets).collect()}
+    assert max(got[i] for i in range(1, 40, 2)) < min(got[i] for i in range(0, 40, 2))
+    # Being in the target is worth nothing of itself.
+    inside, outside = (np.mean([got[i] for i in ids]) for ids in (range(1, 20, 2), range(21, 40, 2)))
+    assert abs(inside - outside) < 0.2
+
+
+def test_membership_is_no_advantage(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.filter("quality = 1")
+    targets = good.filter("crc32(cast(cast(doc_id AS string) AS binary)) % 2 = 0")
+    scored = lm.word_difference(docs, targets).join(labels, "doc_id", "left").join(
+        targets.selectExpr("doc_id", "true AS inside"), "doc_id", "left")
+    mean = {(r["quality"], r["inside"]): r["m"] for r in scored.groupBy("quality", "inside").agg(
+        {"loss_difference": "avg"}).toDF("quality", "inside", "m").collect()}
+    assert abs(mean[1, True] - mean[1, None]) < 0.5
+    assert max(mean[1, True], mean[1, None]) < mean[0, None]
+
+
 def test_words_of_empty_tables_and_no_targets(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long")
