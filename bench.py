@@ -18,12 +18,12 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from partqc.operators import evaluate, models, profile, sampling  # noqa: E402
+from partqc.operators import evaluate, models, neighbours, profile, sampling  # noqa: E402
 from partqc.operators.smote import Smote  # noqa: E402
 from partqc.plans import train  # noqa: E402
 from partqc.schema import FEATURES, csv_schema, message_schema  # noqa: E402
 from partqc.sources import files  # noqa: E402
-from partqc.session import local_session, scratch_path, stable_path  # noqa: E402
+from partqc.session import local_session, materialize, scratch_path, stable_path  # noqa: E402
 from partqc.sources.tables import (EV_FEATURES, LI_FEATURES, embeddings_array_view,  # noqa: E402
                                    events_view, lineitem_view, table)
 from partqc.streaming import messages as msg  # noqa: E402
@@ -106,6 +106,12 @@ def main():
     # Profiles over all 72 readings + label, as the analysis notebook does.
     timed("correlation_wide", lambda: run(profile.correlation_matrix(wide, ["reason", *FEATURES])))
     timed("describe_wide", lambda: run(profile.describe_columns(wide, ["reason", *FEATURES])))
+    # SMOTE neighbours of about 30,000 rows of 72 readings, exact.
+    minority = materialize(mf.where((F.col("reason") == 1) & (F.pmod(F.xxhash64(*FEATURES), F.lit(5)) == 0)).select(
+        F.monotonically_increasing_id().alias("key"), F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("x")))
+    m = minority.count()
+    timed("neighbours_wide", lambda: run(neighbours.neighbours(minority, "key", 5, m)))
+    # The scoring model learns from a tenth of the rows: only its shape matters to the scoring rows below.
     json_model = models.fit(models.production_pipeline(FEATURES, "reason"), mf.sample(0.1, 1))
     # JSON scoring of 72-field messages (one per machine row); messages come
     # from a topic with many partitions: the table's files give as many tasks.
