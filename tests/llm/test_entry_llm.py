@@ -20,7 +20,7 @@ def entry(name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = list(entry("entry_a").queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names
 
 
