@@ -136,17 +136,33 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(v) AS component_id
 GROUP BY s.doc_id, len(s.s)
 """
 
+def _same(a: str, b: str) -> str:
+    """Number of leading elements that two lists share."""
+    return f"len(list_filter(range(1, least(len({a}), len({b})) + 1), lambda i: ({a})[1:i] = ({b})[1:i]))"
+
+
 _LINES = f"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
-h AS (SELECT *, list_transform(lines, lambda x: {_u32('x')}) AS h FROM l),
-c AS (SELECT *, list_filter(range(1, len(h)), lambda i: (h[i] * 31 + coalesce(h[i - 1], 0)) % 3 = 0) AS cuts FROM h),
-z AS (SELECT doc_id, lines, unnest(list_zip(list_concat([CAST(0 AS BIGINT)], cuts), list_concat(cuts, [len(lines)]))) AS z FROM c),
-k AS (SELECT doc_id, z[1] AS s, z[2] AS e, array_to_string(lines[z[1] + 1:z[2]], chr(10)) AS chunk FROM z WHERE z[2] - z[1] > 1),
-gone AS (SELECT doc_id, s, e FROM (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) AS nth FROM k
-  WHERE regexp_matches(chunk, '{_WORD}')) WHERE nth > 1),
+h AS (SELECT *, list_transform(lines, lambda x: {_u32('x')}) AS h,
+  list_transform(lines, lambda x: len(regexp_extract_all(x, '{_WORD}'))) AS w FROM l),
+c AS (SELECT *, list_filter(range(1, len(h)), lambda i: w[i] >= 16 OR w[i + 1] >= 16
+  OR (h[i] * 31 + coalesce(h[i - 1], 0)) % 3 = 0) AS cuts FROM h),
+z AS (SELECT *, list_filter(list_zip(list_concat([CAST(0 AS BIGINT)], cuts), list_concat(cuts, [len(lines)])),
+  lambda z: w[z[1] + 1] >= 16 OR (z[2] - z[1] > 1 AND list_sum(w[z[1] + 1:z[2]]) > 0)) AS z FROM c),
+u AS (SELECT doc_id, lines, z, unnest(range(1, len(z) + 1)) AS n FROM z),
+k AS (SELECT doc_id, lines, z[n][1] AS s, z[n][2] AS e, lines[z[n][1] + 1:z[n][2]] AS chunk,
+  list_reverse(lines[coalesce(z[n - 1][1], 0) + 1:z[n][1]]) AS lft, lines[z[n][2] + 1:coalesce(z[n + 1][2], len(lines))] AS rgt FROM u),
+f AS (SELECT *, row_number() OVER q AS nth, first_value(lft) OVER q AS lft0, first_value(rgt) OVER q AS rgt0
+  FROM k WINDOW q AS (PARTITION BY chunk ORDER BY doc_id, s)),
+g AS (SELECT *, coalesce(lag(e) OVER d, 0) AS lo, coalesce(lead(s) OVER d, len(lines)) AS hi FROM f WHERE nth > 1
+  WINDOW d AS (PARTITION BY doc_id ORDER BY s)),
+gone AS (SELECT doc_id, s - {_same('list_reverse(lines[lo + 1:s])', 'lft0')} AS s,
+  e + {_same('lines[e + 1:hi]', 'rgt0')} AS e FROM g
+  UNION ALL SELECT doc_id, 0, len(lines) FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id) AS nth FROM h
+    WHERE list_sum(w) > 0) WHERE nth > 1),
 line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS i FROM l),
-stay AS (SELECT line.doc_id, i, line, gone.doc_id IS NOT NULL AS gone FROM line LEFT JOIN gone
-  ON gone.doc_id = line.doc_id AND i >= s AND i < e)
+stay AS (SELECT line.doc_id, i, line, gone.doc_id IS NOT NULL AS gone FROM line LEFT JOIN (SELECT DISTINCT doc_id,
+    unnest(range(s, e)) AS j FROM gone) gone ON gone.doc_id = line.doc_id AND i = j)
 SELECT d.doc_id, count(i) AS n_lines, count(*) FILTER (gone) AS n_removed_lines,
   CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS kept_text
 FROM documents d LEFT JOIN stay ON stay.doc_id = d.doc_id GROUP BY d.doc_id
