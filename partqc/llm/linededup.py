@@ -117,9 +117,11 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
         holders = tmp.keep(again.join(rest.select("key").distinct(), "key", "left_semi")
                            .select("key", F.col("first.rk").alias("rk"), F.col("first.s").alias("s")))
         first = (base.select("id", "text", _row_key(F.col("id"), F.col("text")).alias("hk"))
-                 .join(holders.select(F.col("rk").alias("hk")).distinct(), "hk", "left_semi"))
-        bytes_ = tmp.keep(_chunks(first, divisor, alone).join(holders, ["key", "rk", "s"], "left_semi")
-                          .select("key", "chunk", "left", "right").dropDuplicates(["key"]))
+                 .join(holders.select(F.col("rk").alias("hk")).distinct().hint("merge"), "hk", "left_semi")
+                 .dropDuplicates(["hk"]))
+        # One plan at all sizes; a holder's key is one row, so bytes need no further step.
+        bytes_ = tmp.keep(_chunks(first, divisor, alone).join(holders.hint("merge"), ["key", "rk", "s"], "left_semi")
+                          .select("key", "chunk", "left", "right"))
         out = materialize(rest.join(copied(bytes_), ["key", "salt"]).groupBy("rk")
                           .agg(F.sort_array(F.collect_list(F.struct("s", "e", "chunk", "left", "right"))).alias("out")))
     lines = (base.select("row", _row_key(F.col("id"), F.col("text")).alias("rk"))
