@@ -62,6 +62,14 @@ class Parser:
     own: list
     tables: list
 
+    def plain(self) -> dict:
+        """The fields without classes of this package, so that workers need not have it."""
+        return {**vars(self), "tables": [tuple(vars(t).values()) if isinstance(t, Sparse) else t for t in self.tables]}
+
+    @staticmethod
+    def of(fields: dict) -> Parser:
+        return Parser(**{**fields, "tables": [Sparse(*t) if isinstance(t, tuple) else t for t in fields["tables"]]})
+
 
 @dataclass
 class Sparse:
@@ -234,15 +242,16 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       folds: int = 4, held: int = 2, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """(id, held_out, lang_pred, score) of every row."""
     parser = learn(docs, id_col, text_col, lang_col, folds, held, sample_chars)
-    share = docs.sparkSession.sparkContext.broadcast(parser)
+    share = docs.sparkSession.sparkContext.broadcast(parser and parser.plain())
 
     def run(batches):
+        parser = share.value and Parser.of(share.value)
         for batch in batches:
             for piece in slices(batch, "text", 2 << 20):
-                if share.value is None:
+                if parser is None:
                     lang, score = ["und"] * len(piece), np.zeros(len(piece))
                 else:
-                    lang, score = identify(share.value, piece.column(1))
+                    lang, score = identify(parser, piece.column(1))
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(lang, pa.string()), pa.array(score)],
                                                  names=["id", "lang_pred", "score"])
 

@@ -209,15 +209,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """The input's columns and held_out, score (0 to 1) and predicted (1 from
     ``cut`` on)."""
     model = learn(docs, labels, id_col, text_col, label_col, folds, held, most)
-    share = docs.sparkSession.sparkContext.broadcast(model)
+    share = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays: workers need not have the package
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches):
+        model = Model(**share.value)
         for batch in batches:
             for piece in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(share.value.score(statistics(piece.column(1))))], names=["row", "score"])
+                    [piece.column(0), pa.array(model.score(statistics(piece.column(1))))], names=["row", "score"])
 
     kind = row.select("row").schema.simpleString()
     scored = row.mapInArrow(run, f"{kind[len('struct<'):-1]},score:double")

@@ -338,7 +338,8 @@ def encode(docs: DataFrame, text_col: str = "text", n: int = 4, model_file: str
     score, others (the next ``n`` - 1: the loss against the best, and the edits: at the
     ``at``-th piece, ``drop`` pieces replaced by ``ids``), round_trip (the ids decode to
     the text)."""
-    share = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_file, model_scores))
+    # Plain arrays and lists: workers need not have the package.
+    share = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(model_file, model_scores)))
     new = ("ids", "score", "others", "round_trip")
     kept = [c for c in docs.columns if c != text_col and c not in new]
     row = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("row"),
@@ -348,7 +349,7 @@ def encode(docs: DataFrame, text_col: str = "text", n: int = 4, model_file: str
         made = None
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                made = made or Segmenter(share.value, n)
+                made = made or Segmenter(Vocabulary(**share.value), n)
                 got = made.segment(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(got["off"].astype(np.int32)), pa.array(got["ids"])),
