@@ -19,9 +19,10 @@ entropy, word lengths, repeated words and word sequences.  Each statistic is cut
 into quantile bins, one weight per bin, so the model is additive and a text's
 score does not depend on other texts.
 
-Fitting uses at most ``most`` texts of each part (a documented bound; the ones
-with the smallest hash of their id, so any partitioning gives the same sample);
-scoring runs over all rows in Arrow batches, with memory bounded by the batch.
+Fitting uses at most ``most`` different rows of each part (a documented bound; the
+ones with the smallest hash of their id, then of their text, so any partitioning
+gives the same sample, and rows that repeat an id, however many, do not raise what
+the driver gets); scoring runs over all rows in Arrow batches, with memory bounded by the batch.
 
 Nulls and oddities: a null or empty text is scored by its (all zero)
 statistics; a null label is no label; rows that repeat an id are scored each;
@@ -168,8 +169,9 @@ def in_fold(id_: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(id_.cast("string")) % folds == fold, F.lit(False))
 
 
-def _rows_of(docs: DataFrame, wanted: DataFrame) -> list:
-    """Statistics of the texts of ``wanted`` (id, part), a bounded set of ids."""
+def _rows_of(docs: DataFrame, wanted: DataFrame, most: int) -> list:
+    """Statistics of the texts of ``wanted`` (id, part, h), a bounded set of ids:
+    of each part the first ``most`` different rows by h, id and hash of the text."""
     def run(batches):
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -177,10 +179,14 @@ def _rows_of(docs: DataFrame, wanted: DataFrame) -> list:
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.ListArray.from_arrays(
                         pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))],
-                    names=["part", "x"])
+                    names=["row", "x"])
 
-    found = docs.select(F.col("id"), "text").join(F.broadcast(wanted), "id")
-    return found.select("part", "text").mapInArrow(run, "part int, x array<double>").collect()
+    found = docs.select(F.col("id"), "text").join(F.broadcast(wanted), "id").select(
+        F.struct("part", "h", F.col("id").cast("string").alias("id"), F.xxhash64("text").alias("t")).alias("row"), "text")
+    rows = found.mapInArrow(run, "row struct<part:int,h:string,id:string,t:bigint>, x array<double>")
+    each = rows.groupBy("row").agg(F.first("x").alias("x"))
+    return [r for part in (0, 1) for r in
+            each.filter(F.col("row.part") == part).orderBy("row").limit(most).select("row.part", "x").collect()]
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
@@ -195,10 +201,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
 
     def least(ids: DataFrame, part: int) -> DataFrame:
         return (ids.withColumn("h", seeded_hash(f"{seed}/{part}", "id")).orderBy("h", "id").limit(most)
-                .select("id", F.lit(part).alias("part")))
+                .select("id", F.lit(part).alias("part"), "h"))
 
     wanted = least(marks.join(d.select("id"), "id", "left_semi"), 1).union(least(d.select("id").distinct(), 0))
-    rows = _rows_of(d, wanted)
+    rows = _rows_of(d, wanted, most)
     x = {part: np.array(sorted(r["x"] for r in rows if r["part"] == part)).reshape(-1, N_STATS) for part in (0, 1)}
     return fit(x[1], x[0])
 

@@ -1,9 +1,12 @@
 """Risk, prior and held-out quality of the classifier."""
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from partqc.llm import quality
 
@@ -60,3 +63,47 @@ def test_nulls_clashes_and_empty_tables(spark):
     assert sorted((r["doc_id"] or -1, r["score"]) for r in got) == sorted((r["doc_id"] or -1, r["score"]) for r in again)
     assert quality.score_quality(spark.createDataFrame([], docs), lab).count() == 0
     assert {r["score"] for r in quality.score_quality(df, spark.createDataFrame([], labels)).collect()} == {0.5}
+
+
+def test_descent_equals_a_plain_loop():
+    """Adam on the non-negative risk, one row and one weight at a time."""
+    rng = np.random.default_rng(3)
+    bp, bu = rng.integers(0, 4, (30, 2)) + [0, 4], rng.integers(0, 4, (40, 2)) + [0, 4]
+    bp[:, 0] = bp[:, 0] // 2
+    prior, steps, rate, l2 = 0.6, 60, 0.3, 1e-3
+    w, m, v = [0.0] * 9, [0.0] * 9, [0.0] * 9
+    turned = 0
+    for t in range(1, steps + 1):
+        g_p, g_n, g_u = [0.0] * 9, [0.0] * 9, [0.0] * 9
+        risk_n = risk_u = 0.0
+        for rows, up, parts in ((bp, prior, ((g_p, -1), (g_n, 0))), (bu, 1.0, ((g_u, 0),))):
+            for row in rows.tolist():
+                z = sum(w[b] for b in row) + w[8]
+                s = 1 / (1 + math.exp(-z))
+                if rows is bp:
+                    risk_n += math.log(1 + math.exp(z)) / len(bp)
+                else:
+                    risk_u += math.log(1 + math.exp(z)) / len(bu)
+                for g, off in parts:
+                    for b in [*row, 8]:
+                        g[b] += up * (s + off) / len(rows)
+        back = risk_u - prior * risk_n < 0
+        turned += back
+        for b in range(9):
+            g = g_n[b] - g_u[b] if back else g_p[b] + g_u[b] - g_n[b]
+            g += l2 * w[b] if b < 8 else 0
+            m[b], v[b] = 0.9 * m[b] + 0.1 * g, 0.999 * v[b] + 0.001 * g * g
+            w[b] -= rate * (m[b] / (1 - 0.9 ** t)) / (math.sqrt(v[b] / (1 - 0.999 ** t)) + 1e-8)
+    got, bias = quality._descend(bp, bu, 8, prior, steps, rate, l2, True)
+    assert turned > 0 and np.allclose([*got, bias], w, atol=1e-9)
+
+
+def test_many_rows_of_one_id_stay_within_the_bound(spark, monkeypatch):
+    i = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    rows = spark.range(100_000).select(F.lit(i).cast("long").alias("doc_id"), F.concat_ws(
+        " ", F.lit("of one id"), F.col("id") % 50_000).alias("text"))
+    marks = spark.createDataFrame([(i, 1)], "doc_id long, quality int")
+    got, before = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: got.append(before(self)) or got[-1])
+    quality.learn(rows, marks, "doc_id", "text", "quality", 5, 0, 500)
+    assert [len(x) for x in got] == [500, 500]
