@@ -14,10 +14,13 @@ batch advance together, one symbol per array operation, through the automaton's
 transition table; a phrase is cut once per stretch at most.
 
 Each sample holds up to ``sample_chars`` letters and blanks (a documented bound)
-of training documents in order of the hash of their id, short or long: whole
-documents until it is full, of the last one the beginning that fits; the
+of different training documents in order of the hash of their id and text, short
+or long: whole documents until it is full, of the last one the beginning that fits
+(the driver gets about twice what the samples hold, whatever ids or rows repeat); the
 tables are the only broadcast: states x letters x 4 bytes per language, or, with
 more than ``CELLS`` cells (thousands of letters), the transitions alone, sorted.
+With more than ``most_bytes`` of tables (hundreds of languages) ``learn`` raises an
+error that asks for shorter samples, before any row is scored.
 Every language's table has all the letters of its own sample.  All rows are
 scored, whole.
 
@@ -49,6 +52,7 @@ STRETCH = 256
 CELLS = 1 << 24
 SAMPLE_CHARS = 80_000
 SHARPNESS = 8.0
+MOST_BYTES = 1 << 30
 
 
 @dataclass
@@ -85,6 +89,10 @@ class Sparse:
     def ravel(self) -> Sparse:
         return self
 
+    @property
+    def nbytes(self) -> int:
+        return self.place.nbytes + self.to.nbytes
+
 
 def fold(symbol: np.ndarray, cps: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols with runs of blanks as one and none at either end's start,
@@ -164,18 +172,19 @@ def phrases(table: np.ndarray, s: np.ndarray, off: np.ndarray, stretch: int = ST
 
 
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, held: int,
-          sample_chars: int, seed: int = 8) -> Parser | None:
+          sample_chars: int, seed: int = 8, most_bytes: int = MOST_BYTES) -> Parser | None:
     """The parser of the languages that training documents are marked with."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                     F.col(lang_col).cast("string").alias("lang")).filter(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
         & ~in_fold(F.col("id"), folds, held))
-    d = d.withColumn("h", seeded_u32(seed, "id"))
+    d = d.withColumn("h", seeded_u32(seed, [F.col("id"), F.xxhash64("text")]))
     # What a text can add: its first letters and single blanks.
     part = F.substring(F.trim(F.regexp_replace("text", r"\P{L}+", " ")), 1, sample_chars)
     d = d.withColumn("level", 32 - F.length(F.bin("h")))  # zeros that the hash begins with
     sums: dict[str, dict] = {}
-    for r in d.groupBy("lang", "level").agg(F.sum(F.char_length(part)).alias("n")).collect():
+    each = d.select("lang", "level", "h", F.char_length(part).alias("n")).distinct()
+    for r in each.groupBy("lang", "level").agg(F.sum("n").alias("n")).collect():
         if r["n"]:
             sums.setdefault(r["lang"], {})[r["level"]] = r["n"]
     if not sums:
@@ -191,7 +200,7 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
         least.append((lang, level))
     near = F.broadcast(docs.sparkSession.createDataFrame(least, "l string, least int"))
     picked = (d.join(near, d["lang"] == near["l"]).filter(F.col("level") >= F.col("least"))
-              .select("lang", "h", part.alias("text")).collect())
+              .select("lang", "h", part.alias("text")).distinct().collect())
     texts: dict[str, list] = {}
     for lang, _, text in sorted((r["lang"], r["h"], r["text"]) for r in picked):
         kept = texts.setdefault(lang, [])
@@ -211,7 +220,7 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
         symbol[ord(ch)] = i + 2
         if len(ch.upper()) == 1:
             symbol[ord(ch.upper())] = i + 2
-    out = Parser(symbol, [], [], [], [])
+    out, held_bytes = Parser(symbol, [], [], [], []), 0
     for lang in sorted(texts):
         col = pa.array(texts[lang])
         s, off, _ = fold(symbol, *code_points(col))
@@ -223,6 +232,10 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
         out.sizes.append(max(2, len(s)))
         out.own.append(own)
         out.tables.append(automaton(own[s], len(has) + 2))
+        held_bytes += out.tables[-1].nbytes
+        if held_bytes > most_bytes:
+            raise ValueError(f"the tables of {len(out.names)} of {len(texts)} languages take {held_bytes} bytes, "
+                             f"more than most_bytes={most_bytes}: lower sample_chars")
     return out
 
 

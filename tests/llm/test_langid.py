@@ -6,6 +6,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from partqc.llm import langid
 
@@ -111,3 +113,21 @@ def test_sparse_tables_equal_dense_ones():
     off = np.array([0, 0, 300, 900])
     dense, sparse = langid.automaton(sample, 32), langid.automaton(sample, 32, 0)
     assert langid.phrases(sparse, text, off).tolist() == langid.phrases(dense, text, off).tolist()
+
+
+def test_what_the_driver_gets_is_bounded_by_the_sample(spark, monkeypatch):
+    i = trained(1)[0]
+    rows = spark.range(100_000).select(F.lit(i).alias("doc_id"), F.lit("en").alias("lang"), F.concat_ws(
+        " ", F.lit("of one id"), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    same = spark.range(100_000).select(F.lit(i).alias("doc_id"), F.lit("fr").alias("lang"), F.lit("le chat noir").alias("text"))
+    got, before = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: got.append(before(self)) or got[-1])
+    parser = langid.learn(rows.union(same), "doc_id", "text", "lang", 4, 2, 20_000)
+    assert parser.names == ["en", "fr"] and parser.sizes[0] >= 19_900 and parser.sizes[1] == len("le chat noir ")
+    assert max(map(len, got)) < 20_000 / 20 * 4
+
+
+def test_tables_of_too_many_bytes_are_an_error(spark):
+    df = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in trained(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="sample_chars"):
+        langid.learn(df, "doc_id", "text", "lang", 4, 2, 2000, most_bytes=100)
