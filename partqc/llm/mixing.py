@@ -1,78 +1,105 @@
 """Temperature mixing of sources under a token budget.
 
 Source weights are the token shares raised to an exponent and normalised.  At 1
-they are the natural shares, at 0 all sources weigh the same.  Bisection finds
-the largest exponent whose weights reach ``target_entropy`` (a fraction of the
+they are the natural shares, at 0 all sources weigh the same.  Bisection (each pass
+cuts the interval into ``POINTS`` by one aggregation over the sources) finds the largest exponent whose weights reach ``target_entropy`` (a fraction of the
 most that these sources allow), then, if a source would be repeated more than
 ``max_repeats`` times, the smallest larger exponent that respects the limit
 (where even the natural shares exceed it, 1).
 
 The weights are realised as block permutations: a source's documents are dealt
-into blocks of about ``block_rows`` rows by a hash of their id; every pass over
+into blocks of about ``block_rows`` rows by a hash of id and text; every pass over
 the source orders the blocks anew, and the rows of a block anew inside it.  As
 many whole passes are taken as the source's share of the budget holds, then the
 first rows of one more whose tokens fit the rest.
 
 Only block totals are put in order by a window (one row per ``block_rows``
 documents); rows are ranked only in the one block of a source where the budget
-ends.  No source, hot or not, is gathered in a task.
+ends, and rows that repeat id and text are one row with a count there.  No source,
+hot or not, is gathered in a task, and neither are the sources: the driver gets two
+sums for each exponent tried.
 
 Nulls and oddities: a null source is a source of its own; null and empty texts
 have no tokens and are never drawn, nor are sources without tokens; rows that
 repeat an id are drawn alike, the budget's last ones in the order of their token
-counts and texts; a null id is dealt like an id; columns of the input pass
+counts and texts; rows that repeat id and text are alike, so of a group that fits
+the budget's rest in part any may stand for it; a null id is dealt like an id; columns of the input pass
 through unchanged; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partqc.functions.hashing import seeded_hash, seeded_u32
-from partqc.llm.common import materialize, tokens_of
-
-STEPS = 50
-
-
-def _bisect(holds: str, found: str) -> str:
-    """SQL of the bisection over [0, 1]: ``holds`` tells of an exponent ``m``
-    whether the border lies above it."""
-    return (f"aggregate(sequence(1, {STEPS}), named_struct('lo', 0D, 'hi', 1D), (a, i) -> transform("
-            f"array((a.lo + a.hi) / 2), m -> if({holds}, named_struct('lo', m, 'hi', a.hi), "
-            f"named_struct('lo', a.lo, 'hi', m)))[0], a -> a.{found})")
-
-
-_Z = "aggregate(shares, 0D, (z, p) -> z + power(p, {m}))"
-_H = ("(ln(" + _Z + ") - {m} * aggregate(shares, 0D, (z, p) -> z + power(p, {m}) * ln(p)) / " + _Z + ")")
-
-
-def source_weights(sources: DataFrame, target_entropy: float, max_repeats: float,
-                   budget: float | None) -> DataFrame:
-    """(source, tokens, exponent, weight, quota) from (source, tokens); quota is
-    the source's tokens of a budget that is ``budget`` times all tokens."""
-    one = (sources.filter("tokens > 0").agg(F.sort_array(F.collect_list(F.struct("tokens", "source"))).alias("s"))
-           .withColumn("total", F.expr("aggregate(s, 0L, (z, x) -> z + x.tokens)"))
-           .withColumn("shares", F.expr("transform(s, x -> x.tokens / total)"))
-           .filter(F.size("s") > 0))
-    goal = f"{float(target_entropy)}D * ln(size(s))"
-    # The most repeated source is the smallest: its weight over its share, times the budget.
-    repeats = f"({float(budget)}D * power(shares[0], {{m}}) / (" + _Z + ") / shares[0])"
-    one = (one.withColumn("by_entropy", F.expr(_bisect(f"{_H.format(m='m')} >= {goal}", "lo")))
-           .withColumn("by_repeats", F.expr(_bisect(f"{repeats.format(m='m')} > {float(max_repeats)}D", "hi")))
-           .withColumn("by_repeats", F.when(F.expr(f"{repeats.format(m='0D')} <= {float(max_repeats)}D"), F.lit(0.0))
-                       .otherwise(F.col("by_repeats")))
-           .withColumn("exponent", F.greatest("by_entropy", "by_repeats"))
-           .withColumn("z", F.expr(_Z.format(m="exponent"))))
-    return (one.select("total", "z", "exponent", F.explode("s").alias("x"))
-            .select(F.col("x.source").alias("source"), F.col("x.tokens").alias("tokens"), F.round("exponent", 9).alias("exponent"),
-                    F.round(F.pow(F.col("x.tokens") / F.col("total"), F.col("exponent")) / F.col("z"), 9).alias("weight"),
-                    "total")
-            .withColumn("quota", F.floor(F.col("weight") * float(budget) * F.col("total")).cast("long")).drop("total"))
-
-
-def _block(seed: int, id_: Column, blocks: Column) -> Column:
-    return seeded_u32(seed, id_) % blocks
+from partqc.llm.common import WORD, materialize, tokens_of
+
+POINTS, PASSES = 1024, 5  # 1024 ** 5 = 2 ** 50 places between 0 and 1
+
+
+def _grid(totals: DataFrame, total: int, ends: list[tuple[float, float]], points: int) -> list[dict]:
+    """For every interval (lo, hi) of ``ends``, by place i of ``points`` on it: the
+    exponent, and over all sources the sums z of share ** m and s of share ** m * ln(share)."""
+    share = F.col("tokens") / F.lit(float(total))
+    interval = F.floor(F.col("g") / points)
+    lo = F.element_at(F.array(*[F.lit(a) for a, _ in ends]), (interval + 1).cast("int"))
+    step = F.element_at(F.array(*[F.lit((b - a) / points) for a, b in ends]), (interval + 1).cast("int"))
+    rows = (totals.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(points * len(ends) - 1))))
+            .withColumn("m", lo + step * (F.col("g") % points))
+            .withColumn("x", F.col("k") * F.pow(share, F.col("m")))
+            .groupBy("g").agg(F.first("m").alias("m"), F.sum("x").alias("z"), F.sum(F.col("x") * F.log(share)).alias("s")).collect())
+    out: list[dict] = [{} for _ in ends]
+    for r in rows:
+        out[r["g"] // points][r["g"] % points] = r
+    return out
+
+
+def find_exponent(totals: DataFrame, total: int, sources: int, least: int, target_entropy: float,
+                  max_repeats: float, budget: float) -> float:
+    """The exponent from (tokens, k): k sources have as many tokens.  Every pass
+    tries ``POINTS`` exponents of both borders' intervals in one aggregation; the
+    driver gets two sums of each, however many sources there are."""
+    goal, p0 = target_entropy * math.log(sources), least / total
+    holds = {  # whether a border lies above an exponent or at it
+        "entropy": lambda r: math.log(r["z"]) - r["m"] * r["s"] / r["z"] >= goal,
+        # The most repeated source is the smallest: its weight over its share, times the budget.
+        "repeats": lambda r: budget * p0 ** r["m"] / r["z"] / p0 > max_repeats,
+    }
+    ends = {"entropy": (0.0, 1.0)}
+    if budget / sources / p0 > max_repeats:
+        ends["repeats"] = (0.0, 1.0)
+    for _ in range(PASSES):
+        for name, by in zip(ends, _grid(totals, total, list(ends.values()), POINTS)):
+            lo, hi = ends[name]
+            step, at = (hi - lo) / POINTS, 0
+            while at + 1 < POINTS and holds[name](by[at + 1]):
+                at += 1
+            ends[name] = (lo + at * step, lo + (at + 1) * step)
+    return max(ends["entropy"][0], ends["repeats"][1] if "repeats" in ends else 0.0)
+
+
+def source_weights(sources: DataFrame, target_entropy: float, max_repeats: float, budget: float) -> DataFrame:
+    """Adds exponent, weight and quota to rows with ``source`` and ``tokens`` (those
+    without tokens go); quota is the source's tokens of a budget that is ``budget``
+    times all tokens, rounded to thousandths, then down to a whole one."""
+    some = sources.filter("tokens > 0")
+    totals = materialize(some.groupBy("tokens").agg(F.count("*").alias("k")))
+    all_ = totals.agg(F.sum(F.col("tokens") * F.col("k")).alias("total"), F.sum("k").alias("n"),
+                      F.min("tokens").alias("least")).first()
+    e, z, total = 0.0, 1.0, all_["total"] or 1
+    if all_["n"]:
+        e = find_exponent(totals, total, all_["n"], all_["least"], float(target_entropy), float(max_repeats), float(budget))
+        z = _grid(totals, total, [(e, e)], 1)[0][0]["z"]
+    weight = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(e)) / F.lit(z)
+    return (some.withColumn("exponent", F.lit(e)).withColumn("weight", weight)
+            .withColumn("quota", F.floor(F.round(F.col("weight") * (float(budget) * total), 3)).cast("long")))
+
+
+def _block(seed: int, id_: Column, tie: Column, blocks: Column) -> Column:
+    return seeded_u32(seed, [id_, tie]) % blocks
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -81,15 +108,17 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     """One row per draw: the input's columns and n_tokens, epoch (pass over the
     source, from 0), block_rank (place of the row's block in that pass, from 1)."""
     id_ = F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("null"))
-    base = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col(f"row.`{text_col}`")
+    # Rows with words; counted where they are needed, as counting is what costs.
+    base = (docs.filter(F.col(f"`{text_col}`").rlike(WORD))
+            .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
             .withColumn("key", id_)
             .withColumn("source", F.col(f"row.`{source_col}`"))
-            .withColumn("n_tokens", tokens_of(F.col(f"row.`{text_col}`")))
-            .withColumn("tie", F.xxhash64(f"row.`{text_col}`")))
-    narrow = materialize(base.filter("n_tokens > 0").select("key", "source", "n_tokens", "tie"))
-    size = narrow.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
-    weights = source_weights(size.select("source", "tokens"), target_entropy, max_repeats, budget)
-    plan = (size.drop("tokens").join(weights, size["source"].eqNullSafe(weights["source"])).drop(size["source"])
+            .withColumn("tie", F.conv(F.substring(F.md5(text.cast("string")), 1, 15), 16, 10).cast("long")))
+    counted = base.withColumn("n_tokens", tokens_of(text))
+    narrow = materialize(counted.groupBy("key", "source", "n_tokens", "tie").agg(F.count("*").alias("c")))
+    size = materialize(narrow.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("c")).alias("tokens"), F.sum("c").alias("n")))
+    plan = (source_weights(size, target_entropy, max_repeats, budget)
             .withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("long"))
             .withColumn("whole", F.floor(F.col("quota") / F.col("tokens")).cast("long"))
             .withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens")))
@@ -98,10 +127,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     def with_plan(d: DataFrame) -> DataFrame:
         p = plan.select(F.col("source").alias("ps"), "blocks", "whole", "rest")
         return (d.join(p, F.col("source").eqNullSafe(F.col("ps"))).drop("ps")
-                .withColumn("block", _block(seed, F.col("key"), F.col("blocks"))))
+                .withColumn("block", _block(seed, F.col("key"), F.col("tie"), F.col("blocks"))))
 
     # Block totals, permuted once per pass.
-    total = with_plan(narrow).groupBy("source", "block", "whole", "rest").agg(F.sum("n_tokens").alias("t"))
+    total = with_plan(narrow).groupBy("source", "block", "whole", "rest").agg(F.sum(F.col("n_tokens") * F.col("c")).alias("t"))
     passes = total.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))))
     passes = passes.withColumn("order", seeded_hash(seed, [F.col("epoch"), F.lit("block"), F.col("block")]))
     in_pass = Window.partitionBy("source", "epoch").orderBy("order", "block")
@@ -117,19 +146,24 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 (F.col("rest") - F.col("before")).alias("room")))
     # Rows of the block where a source's budget ends.
     same = F.col("source").eqNullSafe(F.col("ps")) & (F.col("block") == F.col("pb"))
-    last = with_plan(narrow).select("key", "source", "block", "n_tokens", "tie").join(passes.filter("state = 1"), same)
+    ends = passes.filter("state = 1")
+    last = with_plan(narrow).select("key", "source", "block", "n_tokens", "tie", "c").join(ends, same)
     in_block = (Window.partitionBy("source", "block")
                 .orderBy(seeded_hash(seed, [F.col("epoch"), F.lit("row"), F.col("key")]), "n_tokens", "tie")
                 .rowsBetween(Window.unboundedPreceding, 0))
-    last = (last.withColumn("till", F.sum("n_tokens").over(in_block)).filter(F.col("till") <= F.col("room"))
-            .groupBy(F.col("key").alias("lk"), F.col("source").alias("ls"), F.col("n_tokens").alias("ln"),
-                     F.col("tie").alias("lt")).agg(F.count("*").alias("fit")))
-    drawn = with_plan(base.filter("n_tokens > 0")).join(passes, same)
-    full = drawn.filter("state = 2")
-    part = (drawn.filter("state = 1").join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls"))
-                      & (F.col("n_tokens") == F.col("ln")) & (F.col("tie") == F.col("lt")))
-            .withColumn("nth", F.row_number().over(Window.partitionBy("key", "source", "n_tokens", "tie").orderBy("epoch")))
-            .filter("nth <= fit"))
+    of_like = F.col("n_tokens") * F.col("c")  # rows that repeat id and text
+    last = (last.withColumn("left", F.col("room") - F.sum(of_like).over(in_block) + of_like)
+            .withColumn("fit", F.least(F.col("c"), F.floor(F.col("left") / F.col("n_tokens")))).filter("fit > 0")
+            .select(F.col("key").alias("lk"), F.col("source").alias("ls"), F.col("n_tokens").alias("ln"),
+                    F.col("tie").alias("lt"), "c", "fit"))
+    full = with_plan(counted).join(passes.filter("state = 2"), same)
+    part = (with_plan(base).join(ends, same).withColumn("n_tokens", tokens_of(text))
+            .join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls"))
+                  & (F.col("n_tokens") == F.col("ln")) & (F.col("tie") == F.col("lt"))))
+    # At most one group of like rows per source fits in part.
+    nth = F.row_number().over(Window.partitionBy("key", "source", "n_tokens", "tie").orderBy("epoch"))
+    some = part.filter("fit < c").withColumn("nth", nth).filter("nth <= fit").drop("nth")
+    part = part.filter("fit = c").unionByName(some)
     out = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("n_tokens", "epoch", "block_rank")]
     return full.select(*out, "n_tokens", "epoch", "block_rank").unionByName(
         part.select(*out, "n_tokens", "epoch", "block_rank"))

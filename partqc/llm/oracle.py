@@ -88,7 +88,8 @@ def _pii() -> str:
 
 _MIX = f"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(text, '{_WORD}')) AS BIGINT) AS n_tokens FROM documents),
+  SELECT doc_id, source, CAST(len(regexp_extract_all(text, '{_WORD}')) AS BIGINT) AS n_tokens,
+    CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS tie FROM documents),
 docs AS (SELECT * FROM d WHERE n_tokens > 0),
 src AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens, count(*) AS n FROM docs GROUP BY source),
 one AS (SELECT CAST(sum(tokens) AS BIGINT) AS total, list(tokens ORDER BY tokens, source) AS ts, count(*) AS k FROM src),
@@ -107,9 +108,9 @@ by_repeats AS (
 ex AS (SELECT greatest((SELECT lo FROM by_entropy WHERE i = 50), CASE WHEN 1 / k / p[1] <= 4 THEN 0
   ELSE (SELECT hi FROM by_repeats WHERE i = 50) END) AS e FROM shares),
 w AS (SELECT source, tokens, n, CAST(floor(round(pow(tokens / total, e)
-  / list_sum(list_transform(p, lambda x: pow(x, e))), 9) * total) AS BIGINT) AS quota FROM src, shares, ex),
+  / list_sum(list_transform(p, lambda x: pow(x, e))) * total, 3)) AS BIGINT) AS quota FROM src, shares, ex),
 plan AS (SELECT *, CAST(ceil(n / 4096) AS BIGINT) AS blocks, quota // tokens AS whole, quota % tokens AS rest FROM w),
-dealt AS (SELECT docs.*, whole, rest, {_u32("'5:' || doc_id")} % blocks AS block FROM docs JOIN plan USING (source)),
+dealt AS (SELECT docs.*, whole, rest, {_u32("'5:' || doc_id || ':' || tie")} % blocks AS block FROM docs JOIN plan USING (source)),
 total AS (SELECT source, block, whole, rest, CAST(sum(n_tokens) AS BIGINT) AS t FROM dealt GROUP BY ALL),
 pass AS (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM total),
 ranked AS (SELECT *, row_number() OVER o AS block_rank, CAST(sum(t) OVER o AS BIGINT) - t AS before FROM pass
@@ -117,7 +118,7 @@ ranked AS (SELECT *, row_number() OVER o AS block_rank, CAST(sum(t) OVER o AS BI
 state AS (SELECT source, block, epoch, block_rank, rest - before AS room, CASE WHEN epoch < whole THEN 2
   WHEN before + t <= rest THEN 2 WHEN before < rest THEN 1 END AS state FROM ranked),
 drawn AS (SELECT doc_id, source, n_tokens, epoch, block_rank, state, room, sum(n_tokens) OVER (
-  PARTITION BY source, block, epoch ORDER BY md5('5:' || epoch || ':row:' || doc_id), n_tokens
+  PARTITION BY source, block, epoch ORDER BY md5('5:' || epoch || ':row:' || doc_id), n_tokens, tie
   ROWS UNBOUNDED PRECEDING) AS till FROM dealt JOIN state USING (source, block) WHERE state IS NOT NULL)
 SELECT doc_id, source, n_tokens, epoch, block_rank FROM drawn WHERE state = 2 OR till <= room
 """
