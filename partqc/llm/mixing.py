@@ -157,9 +157,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
             .select(F.col("key").alias("lk"), F.col("source").alias("ls"), F.col("n_tokens").alias("ln"),
                     F.col("tie").alias("lt"), "c", "fit"))
     full = with_plan(counted).join(passes.filter("state = 2"), same)
-    part = (with_plan(base).join(ends, same).withColumn("n_tokens", tokens_of(text))
-            .join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls"))
-                  & (F.col("n_tokens") == F.col("ln")) & (F.col("tie") == F.col("lt"))))
+    # Their counts come with ``last``: texts are not counted, nor moved for it.
+    part = (with_plan(base).join(ends, same)
+            .join(last, (F.col("key") == F.col("lk")) & F.col("source").eqNullSafe(F.col("ls")) & (F.col("tie") == F.col("lt")))
+            .withColumnRenamed("ln", "n_tokens"))
     # At most one group of like rows per source fits in part.
     nth = F.row_number().over(Window.partitionBy("key", "source", "n_tokens", "tie").orderBy("epoch"))
     some = part.filter("fit < c").withColumn("nth", nth).filter("nth <= fit").drop("nth")
