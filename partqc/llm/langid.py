@@ -260,7 +260,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         parser = share.value and Parser.of(share.value)
         for batch in batches:
-            for piece in slices(batch, "text", 2 << 20):
+            for piece in slices(batch, "text", 1 << 19):
                 if parser is None:
                     lang, score = ["und"] * len(piece), np.zeros(len(piece))
                 else:
