@@ -82,3 +82,20 @@ def test_smote_by_index_draws_every_row(spark):
     res = Smote(k=5, seed=2, method="lsh").prepare(ev, "y", "event_id", EV_FEATURES)
     assert res.synthetic().count() == res.n_new
     assert res.resampled().groupBy("y").count().select(F.countDistinct("count")).first()[0] == 1
+
+
+def test_a_bundle_of_buckets_is_its_buckets_one_by_one(monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    n, k = 600, 4
+    X = rng.integers(0, 6, (n, 3)).astype(float)  # ties
+    t, h = rng.integers(0, 2, n).astype(np.int32), rng.choice([5, 9, 9, 9, 2 ** 40, -7, *range(100, 140)], n)
+    table = pa.table({"t": t, "h": h, "vid": np.arange(n), "x": pa.array(list(X)), "keys": pa.array([[i, i + n] for i in range(n)])})
+    rows = lambda x: sorted(zip(*(x.column(c).to_pylist() for c in ("vid", "neighbour", "distance"))))
+    want = []
+    for a, b in {(a, b) for a, b in zip(t.tolist(), h.tolist())}:
+        part = table.filter(pa.array((t == a) & (h == b)))
+        want += rows(nn._tile(k)(part.append_column("bound", pa.array([np.inf] * len(part))), part))
+    for small in (0, 10, 1000):
+        monkeypatch.setattr(nn, "_PAIRWISE", small or 1)
+        assert rows(nn._bundle(k)(table)) == sorted(want)
