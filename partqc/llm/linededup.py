@@ -139,9 +139,12 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stay = F.expr(f"array_join(transform(stay, z -> array_join(slice(lines, z.a + 1, z.b - z.a), '{_NL}')), '{_NL}')")
     some = F.coalesce(F.size("out"), F.lit(0)) > 0
     kept = [c for c in docs.columns if c not in (out_col, "n_lines", "n_removed_lines")]
-    return lines.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in kept],
-        F.when(some, stay).otherwise(F.col("text")).alias(out_col),
+    # One row out of an array of one: a condition on the result stays above this step. In a plain
+    # projection it would move below the join with all the arrays it reads, copied into every lambda.
+    done = lines.select("row", F.explode(F.array(F.struct(
+        F.when(some, stay).otherwise(F.col("text")).alias("kept"),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(some, F.size("lines") - F.expr("aggregate(stay, 0, (a, z) -> a + z.b - z.a)"))
-        .otherwise(F.lit(0)).cast("long").alias("n_removed_lines"))
+        .otherwise(F.lit(0)).cast("long").alias("n_removed_lines")))).alias("done"))
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], F.col("done.kept").alias(out_col),
+                       "done.n_lines", "done.n_removed_lines")

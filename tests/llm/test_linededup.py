@@ -121,3 +121,15 @@ def test_hot_chunks_and_long_texts(spark):
     rows.append((9000, "\n".join(f"line {j % 700}" for j in range(40_000))))
     got = result(spark, rows)
     assert sorted(got) == sorted(brute(rows))
+
+
+def test_conditions_on_the_result_stay_above_its_arrays(spark):
+    rng = random.Random(5)
+    shared = [f"shared {j} " + "w " * 20 for j in range(8)]
+    rows = [(i, "\n".join(rng.choice(shared) if rng.random() < 0.5 else f"own {i} {j}" for j in range(12))) for i in range(40)]
+    kept = linededup.drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    some = kept.filter("n_removed_lines > 0 AND kept_text LIKE 'own%'")
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (kept, some)]
+    assert plans[0].count("transform(") == plans[1].count("transform(") > 0
+    want = [r for r in brute(rows) if r[3] > 0 and r[1].startswith("own")]
+    assert want and sorted(tuple(r) for r in some.select("doc_id", "kept_text", "n_lines", "n_removed_lines").collect()) == sorted(want)
