@@ -3,7 +3,7 @@ block and the partitioning, and what the driver keeps."""
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from partqc.operators import deepforest, evaluate, models
@@ -96,3 +96,22 @@ def test_as_good_as_spark_mls_forest(spark):
 def test_labels_must_be_two_classes(spark):
     with pytest.raises(ValueError, match="label 0 or 1"):
         models.forest_full_depth("y").fit(frame(spark, 20).withColumn("y", F.lit(2)))
+
+
+def test_forests_of_one_split_share_binned_rows(spark, monkeypatch):
+    from partqc.plans import compare
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(400, 4))
+    df = spark.createDataFrame([(i, int(x[0] + x[1] > 0), *map(float, x)) for i, x in enumerate(X)], "id long, y int, a double, b double, c double, d double")
+    parts = [compare.to_vector(df.where(cond), ["a", "b", "c", "d"]) for cond in ("id % 4 > 0", "id % 4 = 0")]
+    passes = []
+    plain_thresholds = deepforest.DeepForest.thresholds
+    monkeypatch.setattr(deepforest.DeepForest, "thresholds",
+                        lambda self, rows, n: passes.append(n) or plain_thresholds(self, rows, n))
+    data = compare.scaled(*parts, "y", "id")
+    for kind, impurity in (("forest_entropy", "entropy"), ("forest_gini", "gini")):
+        shared = compare.fit_and_score(data, kind).select("id", "p1").collect()
+        alone = models.forest_full_depth("y", "features", impurity).fit(data.train).transform(data.test)
+        want = alone.select("id", F.element_at(vector_to_array("probability"), 2).alias("p1")).collect()
+        assert len(shared) == 100 and sorted(shared) == sorted(want)
+    assert passes == [300] * 3  # one for both forests, one for each forest alone
